@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, line_crf
+from . import decontaminate, line_crf, minhash
 from ._common import table
 
 
@@ -19,14 +19,31 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.hit_digest(decontaminate.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_decontamination": op3_decontamination,
+    "op7_minhash": op7_minhash,
 }
 
 _WORDS3 = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+_WORDS1 = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+
 ORACLES: dict[str, str] = {
+    "op7_minhash": f"""
+with recursive doc as (select doc_id, {_WORDS1} w from documents),
+sh as materialized (select distinct doc_id, array_to_string(w[s:s + 3], ' ') g from (select doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) s from doc where len(w) > 0)),
+n as materialized (select doc_id, count(*) n from sh group by 1),
+both_ as (select a.doc_id x, b.doc_id y, count(*) c from sh a join sh b on a.g = b.g and a.doc_id < b.doc_id group by all),
+link as materialized (select x, y from both_ join n p on p.doc_id = x join n q on q.doc_id = y where 100 * c >= 80 * (p.n + q.n - c)),
+edge as materialized (select x, y from link union all select y, x from link),
+reach(node, seen) as (select doc_id, doc_id from documents union select e.y, r.seen from reach r join edge e on e.x = r.node and r.seen < e.y)
+select doc_id, coalesce(n.n, 0) n_shingles, c component_id, c = doc_id kept
+from (select node doc_id, min(seen) c from reach group by 1) left join n using (doc_id)""",
     "op3_decontamination": f"""
 with item as (select cast(item_id as varchar) i, {_WORDS3} w from benchmark where text is not null),
 win as (select i, least(10, len(w)) k, unnest(range(1, greatest(len(w) - 9, 1) + 1)) s, w from item where len(w) > 0),
