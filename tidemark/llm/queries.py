@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, line_crf, minhash
+from . import decontaminate, line_crf, minhash, suffix_dedup
 from ._common import table
 
 
@@ -19,6 +19,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.hit_digest(decontaminate.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
@@ -26,6 +30,7 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_decontamination": op3_decontamination,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_minhash": op7_minhash,
 }
 
