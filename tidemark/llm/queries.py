@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, line_crf, minhash, suffix_dedup
+from . import decontaminate, knn_quality, line_crf, minhash, piece_codec, suffix_dedup, token_counts
 from ._common import table
 
 
@@ -15,6 +16,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.judge(docs, line_crf.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    space = knn_quality.train(docs, table(spark, sf_dir, "labels"), learnable=~held_out)
+    return knn_quality.classify(docs, space).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.hit_digest(decontaminate.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -27,11 +35,22 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op9_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.digest(table(spark, sf_dir, "documents"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_knn_quality": op2_knn_quality,
     "op3_decontamination": op3_decontamination,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_minhash": op7_minhash,
+    "op9_piece_codec": op9_piece_codec,
+    "op10_token_counts": op10_token_counts,
 }
 
 _WORDS3 = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
