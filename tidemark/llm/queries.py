@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, knn_quality, line_crf, minhash, piece_codec, suffix_dedup, token_counts
+from . import decontaminate, knn_quality, line_crf, minhash, piece_codec, suffix_dedup, token_counts, tool_calls, url_rules
 from ._common import table
 
 
@@ -27,6 +27,25 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.hit_digest(decontaminate.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+#: The tools that chat turns are read as.
+TOOLS = [("reply", {"prompt": "string", "chars": "integer"}, {}), ("instruct", {"prompt": "string", "chars": "integer"}, {})]
+
+
+def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_calls.calls_of_chat(table(spark, sf_dir, "conversations"))
+    schemas = spark.createDataFrame(TOOLS, "name string, required map<string,string>, optional map<string,string>")
+    return tool_calls.link(calls, results, schemas).withColumn("problems", F.array_join("problems", ","))
+
+
+#: verdict, host, path
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.judge(pages, url_rules.rules_table(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeats(table(spark, sf_dir, "documents"))
 
@@ -47,6 +66,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_knn_quality": op2_knn_quality,
     "op3_decontamination": op3_decontamination,
+    "op4_tool_calls": op4_tool_calls,
+    "op5_url_rules": op5_url_rules,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_minhash": op7_minhash,
     "op9_piece_codec": op9_piece_codec,
@@ -58,6 +79,21 @@ _WORDS3 = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ab
 _WORDS1 = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 
 ORACLES: dict[str, str] = {
+    "op4_tool_calls": """
+with asks as (select conv_id, turn, case role when 'user' then 'reply' else 'instruct' end name, coalesce(text, '') prompt, coalesce(length(text), 0) chars from conversations where role in ('user', 'system')),
+back as (select conv_id, turn - 1 turn, min(text) content, count(*) n from conversations where role = 'assistant' group by conv_id, turn)
+select cast(conv_id as varchar) conv_id, 'call-' || turn call_id, cast(turn as bigint) as "position", cast(null as integer) as "level", name,
+ cast(to_json({'chars': chars, 'prompt': prompt}) as varchar) arguments, content, coalesce(n, 0) n_results,
+ case when n is null then 'no_result' else '' end problems, n is not null valid,
+ cast(to_json({'arguments': {'chars': chars, 'prompt': prompt}, 'id': 'call-' || turn, 'name': name, 'result': content, 'valid': n is not null}) as varchar) message
+from asks left join back using (conv_id, turn)""",
+    "op5_url_rules": f"""
+with rule(v, h, p) as (values {", ".join(str(r) for r in URL_RULES)}),
+u as (select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end r from pages),
+w as (select page_id, regexp_extract(r, '^[^/?#]*') h, r from u),
+x as (select page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host, regexp_extract(substr(r, length(h) + 1), '^[^?#]*') path from w),
+m as (select page_id, arg_max(h || p, length(h || p)) rule, arg_max(v, length(h || p)) v from x join rule on (host = h or ends_with(host, '.' || h)) and starts_with(path, p) group by 1)
+select page_id, host, path, rule, coalesce(v, 'allow') verdict from x left join m using (page_id)""",
     "op7_minhash": f"""
 with recursive doc as (select doc_id, {_WORDS1} w from documents),
 sh as materialized (select distinct doc_id, array_to_string(w[s:s + 3], ' ') g from (select doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) s from doc where len(w) > 0)),
