@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, knn_quality, line_crf, minhash, piece_codec, suffix_dedup, token_counts, tool_calls, url_rules
+from . import decontaminate, knn_quality, line_crf, minhash, piece_codec, suffix_dedup, token_counts, tool_calls, url_rules, warc
 from ._common import table
 
 
@@ -54,6 +54,13 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    archive = warc.write(pages)
+    found = warc.lookup(archive, warc.wanted_of(pages))
+    return warc.read(archive, found).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digest(table(spark, sf_dir, "documents"))
 
@@ -70,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_rules": op5_url_rules,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_minhash": op7_minhash,
+    "op8_warc": op8_warc,
     "op9_piece_codec": op9_piece_codec,
     "op10_token_counts": op10_token_counts,
 }
@@ -116,4 +124,11 @@ items as (select doc_id, count(*) n, string_agg(i, ',' order by i) ids from (sel
 select doc_id, cast(len(w) as bigint) n_words, cast(coalesce(words.n, 0) as bigint) n_hit, cast(coalesce(items.n, 0) as bigint) n_items,
  sha256(coalesce(ids, '')) items_sha256, coalesce(words.n, 0) > 0 contaminated
 from doc left join words using (doc_id) left join items using (doc_id)""",
+    "op8_warc": """
+with p as (select page_id, coalesce(html, '') h from pages),
+d as (select page_id, octet_length(encode(h)) n, sha1(h) s from p),
+best as (select s, max(page_id) best from d where n >= 1000 group by s)
+select page_id, cast(n as bigint) payload_bytes, d.s payload_digest, case when best is null or best = page_id then 'response' else 'revisit' end record_type,
+ case when best <> page_id then best end refers_to
+from d left join best on best.s = d.s and d.n >= 1000""",
 }
