@@ -7,13 +7,15 @@ fewer words the whole sequence as one; without words none. Two documents are lin
 
 SuperMinHash gives an element a random rank in each of the m slots from one random permutation: value j + r in the
 slot that the permutation has at j. All elements take step 0, then those of documents whose slots do not all hold
-values below 1 take step 1, and so on: long texts stop after a step or two. 128 slots in 32 bands of 4: a pair at
-similarity 0.8 shares no band with probability (1 - 0.8^4)^32 = 5e-8.
+values below 1 take step 1, and so on: long texts stop after a few steps. 180 slots in 36 bands of 5: a pair at
+similarity 0.8 shares no band with probability (1 - 0.8^5)^36 = 6e-7.
 
-Candidates of a band bucket are not paired with each other. A bucket's members meet its *centre*, the member with
-the largest buckets; links found that way are joined up, and only buckets that still hold several components go on:
-members outside a bucket's main component, a bounded number a round, meet those of other components, until each has
-had its turn. So every pair of a bucket is either in one component already or has been compared.
+Candidates of a band bucket are not paired with each other. A bucket's *centre* is its member with the largest
+buckets; buckets of one centre are one family. First every member meets its centre, and the links found are joined up.
+Then, in families that still hold several components, the members outside the main one are held in blocks of bounded
+size and every member streams past them, with exact intersections from the blocks' sorted shingles. So every pair of a
+bucket is in one component already or has been compared, no pairs are written, and rows grow with members, times the
+blocks that a large family needs.
 
 Defined results: null or word-less texts have empty sets, n_shingles 0, and are linked with nothing; repeated rows
 and equal texts belong together and each row is returned; component_id is the least id of the component, so ties do
@@ -34,10 +36,10 @@ from ._common import LOWER_ASCII, encode, parallelism, written
 from .components import components
 from .hashing import blocks, mix, shingles
 
-SLOTS, ROWS = 128, 4
+SLOTS, ROWS = 180, 5
 _U = np.uint64
-#: Of buckets of at most so many members, all that stand outside take their turn at once; of larger ones so many a round.
-SMALL, CENTRES = 16, 8
+#: Sets that a task holds while others stream past.
+CHUNK = 1024
 
 
 def signatures(elements: np.ndarray, sizes: np.ndarray, slots: int = SLOTS) -> np.ndarray:
@@ -146,34 +148,82 @@ def _verified(pairs: DataFrame, active: DataFrame, k: int, percent: int) -> Data
     return dealt.mapInArrow(compare, "u binary, v binary")
 
 
+def _met_in_blocks(family: DataFrame, active: DataFrame, k: int, percent: int) -> DataFrame:
+    """family (home, node, root) -> links (u, v) that join all components of each home that have a link between them.
+
+    Members outside a home's main component are held in chunks of about CHUNK, as one sorted list of shingles with their
+    owners; every member of the home streams past and gets its exact intersection with all of them at once. A task
+    tells only links that join components that it has not joined yet.
+    """
+    sizes = family.groupBy("home", "root").agg(F.count("*").alias("c"))
+    main = sizes.groupBy("home").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("n"), F.count("*").alias("roots"), F.max("c").alias("most")).where("roots > 1 and n > 2")
+    main = main.select("home", "main", F.ceil((F.col("n") - F.col("most")) / CHUNK).cast("int").alias("chunks"), F.ceil(F.col("n") / (8 * CHUNK)).cast("int").alias("salts"))
+    open_ = written(family.join(main, "home"))
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
+    held = open_.where("root <> main").select("home", own("chunks", 1).alias("chunk"), spread("salts").alias("salt"), F.lit(0).alias("streams"), "node", "root")
+    streamed = open_.select("home", spread("chunks").alias("chunk"), own("salts", 2).alias("salt"), F.lit(1).alias("streams"), "node", "root")
+    rows = held.unionByName(streamed).join(active, "node").select("home", "chunk", "salt", "streams", "node", "root", "t")
+    dealt = rows.repartition(parallelism(family.sparkSession), "home", "chunk", "salt").sortWithinPartitions("home", "chunk", "salt", "streams")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, parent = None, {}
+        nodes, roots, parts, index = [], [], [], None
+
+        def top(x: bytes) -> bytes:
+            while parent.setdefault(x, x) != x:
+                x = parent[x]
+            return x
+
+        for batch in batches:
+            u, v = [], []
+            for first, last, elements, sizes, _ in _sets(batch.column(6), k):
+                part = batch.slice(first, last - first)
+                end = 0
+                columns = zip(*(part.column(c).to_pylist() for c in range(6)), sizes.tolist(), strict=True)
+                for home, chunk, salt, streams, node, root, size in columns:
+                    own = elements[end : end + size]
+                    end += size
+                    if (home, chunk, salt) != block:
+                        block, parent, nodes, roots, parts, index = (home, chunk, salt), {}, [], [], [], None
+                    if not streams:
+                        nodes.append(node)
+                        roots.append(root)
+                        parts.append(own.copy())
+                        continue
+                    if not nodes:
+                        continue
+                    if index is None:
+                        counts = np.array([len(x) for x in parts])
+                        every = np.concatenate(parts)
+                        order = np.argsort(every, kind="stable")
+                        index = every[order], np.repeat(np.arange(len(parts)), counts)[order]
+                        parts = []
+                    lo, hi = np.searchsorted(index[0], own, "left"), np.searchsorted(index[0], own, "right")
+                    n = hi - lo
+                    at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    common = np.bincount(index[1][at], minlength=len(nodes))
+                    for i in np.flatnonzero(100 * common >= percent * (counts + size - common)).tolist():
+                        if (x := top(roots[i])) != (y := top(root)):
+                            parent[x] = y
+                            u.append(nodes[i])
+                            v.append(node)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
+
+    return dealt.mapInArrow(compare, "u binary, v binary")
+
+
 def _linked(members: DataFrame, active: DataFrame, k: int, percent: int) -> DataFrame:
-    """members (key, n, node, w) of buckets -> (node, root) of the components of all links between members of a bucket."""
-    centre = members.groupBy("key").agg(F.max_by("node", F.struct("w", "node")).alias("a"))
-    met = written(members.join(centre, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct())
-    roots = written(components(_verified(met, active, k, percent)))
-    tried = None
-    while True:
-        placed = members.join(roots, "node", "left").select("key", "n", "node", "w", F.coalesce("root", "node").alias("root"))
-        size = placed.groupBy("key", "root").agg(F.count("*").alias("c"))
-        main = size.groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1").select("key", "main")
-        open_ = written(placed.join(main, "key"))
-        outside = open_.where("root <> main")
-        if tried is not None:
-            outside = outside.join(tried, ["key", "node"], "left_anti")
-        # members outside a bucket's main component: all of a small bucket, the heaviest few of a large one
-        sub = F.when(F.col("n") <= SMALL, F.col("node")).otherwise(F.pmod(F.xxhash64("node"), F.lit(CENTRES)).cast("string").cast("binary"))
-        heads = written(outside.groupBy("key", sub.alias("sub")).agg(F.max_by(F.struct("node", "root"), F.struct("w", "node")).alias("h")).select("key", "h.node", "h.root"))
-        if heads.limit(1).count() == 0:
-            return roots
-        tried = heads.select("key", "node") if tried is None else written(tried.unionByName(heads.select("key", "node")))
-        cross = heads.select("key", F.col("node").alias("x"), F.col("root").alias("rx")).join(open_.select("key", F.col("node").alias("y"), F.col("root").alias("ry")), "key").where("rx <> ry")
-        fresh = cross.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-        before = met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        fresh = written(fresh.join(before, ["a", "b"], "left_anti"))
-        found = written(_verified(fresh, active, k, percent))
-        if found.limit(1).count():
-            roots = written(components(found.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))))
-        met = written(before.unionByName(fresh))
+    """members (key, node, w) of buckets -> (node, root) of the components of all links between members of a bucket."""
+    centre = members.groupBy("key").agg(F.max_by("node", F.struct("w", "node")).alias("home"))
+    family = written(members.join(centre, "key").select("home", "node").distinct())
+    stars = family.where("home <> node").select(F.col("home").alias("a"), F.col("node").alias("b"))
+    roots = written(components(_verified(stars, active, k, percent)))
+    placed = family.join(roots, "node", "left").select("home", "node", F.coalesce("root", "node").alias("root"))
+    more = written(_met_in_blocks(placed, active, k, percent))
+    if more.limit(1).count() == 0:
+        return roots
+    return components(more.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -186,7 +236,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     weight = members.groupBy("node").agg(F.sum(F.log2("n")).alias("w"), F.min("ref").alias("ref"))
     texts = docs.select(F.xxhash64(doc_id, text).alias("ref"), F.col(text).cast("string").alias("t"))
     active = written(weight.select("node", "ref").join(texts, "ref").select("node", "t").dropDuplicates(["node"]))
-    roots = _linked(written(members.join(weight.select("node", "w"), "node").select("key", "n", "node", "w")), active, k, percent)
+    roots = written(_linked(members.join(weight.select("node", "w"), "node").select("key", "node", "w"), active, k, percent))
     least = classes.select("node", "first").join(roots, "node")
     names = least.groupBy("root").agg(F.min("first").alias("component"))
     of_node = least.join(names, "root").select("node", "component").unionByName(classes.join(roots, "node", "left_anti").select("node", F.col("first").alias("component")))
