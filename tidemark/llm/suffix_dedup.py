@@ -42,6 +42,7 @@ ANCHOR_SHARE = 0.68
 _U = np.uint64
 #: A suffix: leading bytes, fingerprint of the anchor (or window), of the run (or 0), document, place, windows (0: a key from another bucket).
 SUFFIX = np.dtype([("lead", "<u4"), ("key", "<u8"), ("whole", "<u8"), ("ref", "<i8"), ("at", "<u4"), ("n", "<u2")])
+PLACE = np.dtype([("ref", "<i8"), ("at", "<u4")])
 SEGMENT = 1 << 19
 SAMPLE_DOCS, SAMPLE_EACH = 2000, 64
 
@@ -239,7 +240,7 @@ def _covered(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
 _OUT = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"
 
 
-def _finished(rows: list, data: list[bytes], spans: list[list[tuple[int, int]]], want_text: bool) -> list[pa.Array]:
+def _finished(data: list[bytes], spans: list[list[tuple[int, int]]], want_text: bool) -> list[pa.Array]:
     kept = []
     for d, s in zip(data, spans, strict=True):
         edges = [0, *(x for a, b in s for x in (a, b)), len(d)]
@@ -294,7 +295,7 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, length: int
                     spans.append(_covered(at[full], at[full] + n[full] - 1 + length))
                     left.append((at[meets], n[meets]))
                 open_ = [len(a) > 0 for a, _ in left]
-                cols = _finished([], data, spans, want_text)
+                cols = _finished(data, spans, want_text)
                 text_left = pa.array([x if o else None for x, o in zip(batch.column(2).to_pylist(), open_, strict=True)], pa.string())
                 many = pa.list_(pa.int64())
                 extra = [pa.array([x if o else None for x, o in zip(v, open_, strict=True)], many) for v in ([a.tolist() for a, _ in left], [n.tolist() for _, n in left], [[x for x, _ in s] for s in spans], [[x for _, x in s] for s in spans])]
@@ -310,14 +311,28 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, length: int
         for r, x, at, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3), strict=True):
             yield from _windows(encode(x.as_py()), r, np.array(at.as_py()), np.array(n.as_py()), length)
 
+    n = parallelism(docs.sparkSession)
+    routes = _routes(docs.sparkSession, n)
+
     def repeated(records: np.ndarray, same: np.ndarray, whole: np.ndarray) -> pa.Table:
-        r = np.sort(records[same & (records["n"] > 0)][["ref", "at"]])
-        new = np.append(True, r["ref"][1:] != r["ref"][:-1]) if len(r) else np.zeros(0, bool)
+        """Repeated windows, packed by where their document is to be put together: a row a destination, not a document."""
+        r = records[same & (records["n"] > 0)][["ref", "at"]]
+        to = (mix(r["ref"].copy().view(_U)) % _U(n)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        ends = np.searchsorted(to[order], np.arange(n + 1))
+        full = [k for k in range(n) if ends[k + 1] > ends[k]]
+        place = np.zeros(len(r), PLACE)
+        place["ref"], place["at"] = r["ref"][order], r["at"][order]
+        return pa.table({"to": pa.array([routes[k] for k in full], pa.int64()), "s": pa.array([place[ends[k] : ends[k + 1]].tobytes() for k in full], pa.binary())})
+
+    def together(table: pa.Table) -> pa.Table:
+        r = np.sort(np.frombuffer(b"".join(table.column("s").to_pylist()), PLACE), order=("ref", "at"))
+        new = np.append(True, r["ref"][1:] != r["ref"][:-1])[: len(r)]
         starts = np.append(np.flatnonzero(new), len(r)).astype(np.int32)
         return pa.table({"ref": r["ref"][new].copy(), "found": pa.ListArray.from_arrays(pa.array(starts), pa.array(r["at"].astype(np.int32)))})
 
-    found = _sorted(windows, borders, few(borders, bordered.count()), "ref bigint, found array<int>", repeated)
-    found = found.groupBy("ref").agg(F.flatten(F.collect_list("found")).alias("found"))
+    found = _sorted(windows, borders, few(borders, bordered.count()), "to bigint, s binary", repeated)
+    found = found.groupBy("to").applyInArrow(together, "ref bigint, found array<int>")
     second = bordered.select("row", "ref", "t", "starts", "ends").join(found, "ref", "left").select("row", "t", "starts", "ends", "found")
 
     def last_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,7 +344,7 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, length: int
                 for starts, ends, more in zip(*(batch.column(c) for c in (2, 3, 4)), strict=True):
                     at = np.array(more.as_py() or [], np.int64)
                     spans.append(_covered(np.concatenate((np.array(starts.as_py(), np.int64), at)), np.concatenate((np.array(ends.as_py(), np.int64), at + length))))
-                yield pa.RecordBatch.from_arrays([batch.column(0), *_finished([], data, spans, want_text)], names=["row", *(x.split()[0] for x in _OUT.split(", "))])
+                yield pa.RecordBatch.from_arrays([batch.column(0), *_finished(data, spans, want_text)], names=["row", *(x.split()[0] for x in _OUT.split(", "))])
 
     done = first.where("not open").select("row", *(x.split()[0] for x in _OUT.split(", ")))
     return done.unionByName(second.mapInArrow(last_pass, f"row {kind}, {_OUT}"))
