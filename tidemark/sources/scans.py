@@ -28,16 +28,17 @@ def run_keys(df: DataFrame, file: str = "file") -> DataFrame:
     return df.withColumns({"lane": F.regexp_extract(file, r"([^/]+)/\d{8}_\d{6}/", 1), "run_id": F.regexp_extract(file, r"/(\d{8}_\d{6})/", 1)})
 
 
-def run_rows(spark: SparkSession, path: str, schema: StructType, recursive: bool = False) -> DataFrame:
+def run_rows(spark: SparkSession, path: str, schema: StructType | str, recursive: bool = False) -> DataFrame:
     """Rows of runs in order: lane, run_id, part, ord and the schema's columns. A malformed line fails the job."""
     own = run_keys(ordered_lines(spark, path, recursive))
     parsed = F.from_json("value", schema, {"mode": "FAILFAST"})
     return own.select("lane", "run_id", "part", "ord", parsed.alias("r")).select("lane", "run_id", "part", "ord", "r.*")
 
 
-def tolerant_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def tolerant_rows(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Rows of an index with `corrupt` (the line, where it is no object of this schema) and their order in the file."""
     own = ordered_lines(spark, path)
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     full = StructType(schema.fields).add("_corrupt", "string")
     read = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     bad = ~F.ltrim("value").startswith("{")
@@ -45,7 +46,7 @@ def tolerant_rows(spark: SparkSession, path: str, schema: StructType) -> DataFra
     return rows.select("file", "ord", F.when(bad, _C("value")).otherwise(_C("r._corrupt")).alias("corrupt"), *(F.when(~bad & _C("r._corrupt").isNull(), _C("r")[f.name]).alias(f.name) for f in schema.fields))
 
 
-def documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def documents(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """(file, doc): whole-file JSON objects; torn files and those that are no object are missing (null)."""
     whole = spark.read.option("wholetext", True).text(path).select(_C("_metadata.file_path").alias("file"), "value")
     ok = F.ltrim("value").startswith("{") & F.get_json_object("value", "$").isNotNull()
