@@ -1,4 +1,11 @@
 """Registered queries and their DuckDB SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from .curation_queries import ORACLES as _CO
+from .curation_queries import QUERIES as _CQ
+from .market_queries import ORACLES as _MO
+from .market_queries import QUERIES as _MQ
+from .stream_queries import ORACLES as _SO
+from .stream_queries import QUERIES as _SQ
+
+QUERIES = {**_MQ, **_CQ, **_SQ}
+ORACLES = {**_MO, **_CO, **_SO}
