@@ -1,2 +1,72 @@
-QUERIES: dict = {}
-ORACLES: dict = {}
+"""Queries of the streaming operators: the given events as a stream of frames, gated in micro-batches, read back as a table."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import gates
+from ..streaming import jobs
+from .inputs import table
+
+_C = F.col
+
+
+def _shared(spark: SparkSession) -> str:
+    """A new folder where all executors see it."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+
+
+def _event_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """events as a file stream of four files: two days' worth of hash groups each."""
+    e = table(spark, sf_dir, "events").select("event_id", _C("ts").cast("timestamp").alias("received_at"), "user_id", "event_type", "value")
+    e.repartition(4, _C("event_id") % 4).write.parquet(f"{folder}/in")
+    return spark.readStream.schema(spark.read.parquet(f"{folder}/in").schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+
+
+def streamed_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row-wise gate over the stream; accepted and rejected rows are written apart, once a batch, and read together."""
+    folder = _shared(spark)
+    events = jobs.with_run(_event_stream(spark, sf_dir, folder), "1 day")
+    gate = lambda df: gates.verdict(df, (_C("value") > 90, "too_high"), (_C("event_type") == "error", "error"))
+    jobs.gate_stream(events, gate, f"{folder}/clean", f"{folder}/quarantine", f"{folder}/checkpoint", f"{folder}/done").awaitTermination()
+    clean = spark.read.parquet(f"{folder}/clean").withColumn("reasons", F.lit(""))
+    held = spark.read.parquet(f"{folder}/quarantine").withColumn("reasons", F.array_join("reasons", ","))
+    return clean.unionByName(held).groupBy("run_id", "reasons").agg(F.count("*").alias("events"))
+
+
+def streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tumbling counts under a watermark, in complete mode at the end of the stream."""
+    folder = _shared(spark)
+    events = _event_stream(spark, sf_dir, folder).withWatermark("received_at", "40 days")
+    counts = events.groupBy(F.window("received_at", "6 hours"), "event_type").agg(F.count("*").alias("events"), F.round(F.max("value"), 4).alias("top"))
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.select(F.lit(batch_id).alias("batch"), F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "events", "top").write.mode("append").parquet(f"{folder}/out")
+
+    counts.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    out = spark.read.parquet(f"{folder}/out")
+    return out.groupBy("start", "event_type").agg(F.max_by("events", "batch").alias("events"), F.max_by("top", "batch").alias("top"))
+
+
+def streamed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly-once reading of a stream that delivers every third event twice."""
+    folder = _shared(spark)
+    e = table(spark, sf_dir, "events").select("event_id", _C("ts").cast("timestamp").alias("received_at"), "event_type")
+    e.unionByName(e.where("event_id % 3 = 0")).repartition(4).write.parquet(f"{folder}/in")
+    s = spark.readStream.schema(spark.read.parquet(f"{folder}/in").schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+    once = s.withWatermark("received_at", "40 days").dropDuplicatesWithinWatermark(["event_id"])
+    once.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out").groupBy("event_type").agg(F.count("*").alias("events"))
+
+
+QUERIES = {f.__name__: f for f in (streamed_gate, streamed_windows, streamed_dedup)}
+
+ORACLES = {
+    "streamed_gate": "select strftime(date_trunc('day', ts), '%Y%m%d') || '_000000' as run_id, concat_ws(',', case when value > 90 then 'too_high' end, case when event_type = 'error' then 'error' end) as reasons, count(*) as events from events group by all",
+    "streamed_windows": "select strftime(time_bucket(interval '6 hours', ts, timestamp '2000-01-01'), '%Y-%m-%d %H:%M') as start, event_type, count(*) as events, round(max(value), 4) as top from events group by all",
+    "streamed_dedup": "select event_type, count(*) as events from events group by event_type",
+}
