@@ -48,8 +48,8 @@ def tolerant_rows(spark: SparkSession, path: str, schema: StructType | str) -> D
 
 def documents(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """(file, doc): whole-file JSON objects; torn files and those that are no object are missing (null)."""
-    whole = spark.read.option("wholetext", True).text(path).select(_C("_metadata.file_path").alias("file"), "value")
-    ok = F.ltrim("value").startswith("{") & F.get_json_object("value", "$").isNotNull()
+    whole = spark.read.text(path, wholetext=True).select(_C("_metadata.file_path").alias("file"), "value")
+    ok = F.ltrim("value").startswith("{") & F.try_parse_json("value").isNotNull()
     return whole.select("file", F.when(ok, F.from_json("value", schema)).alias("doc"))
 
 

@@ -15,10 +15,11 @@ _C = F.col
 
 
 def frame_stream(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
-    """Frames of JSON-lines files as they arrive; `arrival` is their order in a file."""
+    """Frames of JSON-lines files as they arrive, with their file and block; a stream promises no order of lines, so frames
+    whose order matters carry a column for it (see `stateful_cursor`)."""
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).schema("value string").text(path)
-    own = lines.select(F.from_json("value", FRAME).alias("f"), _C("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("arrival"))
-    return own.where("f is not null").select("f.*", "file", "arrival")
+    own = lines.select(F.from_json("value", FRAME).alias("f"), _C("_metadata.file_path").alias("file"), _C("_metadata.file_block_start").alias("block"))
+    return own.where("f is not null").select("f.*", "file", "block")
 
 
 def with_run(events: DataFrame, length: str = "30 minutes", at: str = "received_at", late: str = "1 hour") -> DataFrame:
