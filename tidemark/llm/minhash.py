@@ -19,8 +19,8 @@ blocks that a large family needs.
 
 Defined results: null or word-less texts have empty sets, n_shingles 0, and are linked with nothing; repeated rows
 and equal texts belong together and each row is returned; component_id is the least id of the component, so ties do
-not arise; empty tables give empty results; extra columns pass through `keep_one` untouched, but rows of equal id
-are then all kept or all dropped.
+not arise; empty tables give empty results; extra columns pass through `keep_one` untouched, where rows of equal id
+are all kept or all dropped and rows without an id are kept.
 """
 
 from __future__ import annotations
@@ -242,7 +242,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     of_node = least.join(names, "root").select("node", "component").unionByName(classes.join(roots, "node", "left_anti").select("node", F.col("first").alias("component")))
     component = F.coalesce("component", "id")
     out = base.select("id", "n_shingles", "node").join(of_node, "node", "left")
-    return out.select(F.col("id").alias(doc_id), "n_shingles", component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    return out.select(F.col("id").alias(doc_id), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
