@@ -292,9 +292,8 @@ def pieces():
     return unigram.Pieces(piece_codec.MODEL)
 
 
-def plain_segmentation(pieces, word):
+def plain_segmentation(pieces, known, word):
     """One word's best pieces by a plain table."""
-    known = {pieces.bytes[i].decode(): (int(s), int(i)) for i, s in zip(pieces.ids, pieces.scores, strict=True)}
     best = [(0, None)] + [(None, None)] * len(word)
     for t in range(1, len(word) + 1):
         for n in range(min(pieces.longest, t), 0, -1):
@@ -317,8 +316,9 @@ def test_segmentation_counts_and_round_trip(spark, odd, none, pieces):
     coded = piece_codec.encode(short)
     assert coded.columns == [*odd.columns, "input_ids"]
     memo = {}
+    known = {pieces.bytes[i].decode(): (int(s), int(i)) for i, s in zip(pieces.ids, pieces.scores, strict=True)}
     for r in coded.collect():
-        want = [i for w in unigram.pre_tokens(r.text) for i in memo.setdefault(w, plain_segmentation(pieces, w))]
+        want = [i for w in unigram.pre_tokens(r.text) for i in (memo[w] if w in memo else memo.setdefault(w, plain_segmentation(pieces, known, w)))]
         assert r.input_ids == want
     assert piece_codec.decode(piece_codec.encode(odd)).where("coalesce(text, '') <> decoded").count() == 0
     counts = token_counts.count_tokens(odd).join(piece_codec.digest(odd).withColumnRenamed("n_tokens", "n"), "doc_id")
