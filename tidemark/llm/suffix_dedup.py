@@ -44,7 +44,8 @@ _U = np.uint64
 SUFFIX = np.dtype([("lead", "<u4"), ("key", "<u8"), ("whole", "<u8"), ("ref", "<i8"), ("at", "<u4"), ("n", "<u2")])
 PLACE = np.dtype([("ref", "<i8"), ("at", "<u4")])
 SEGMENT = 1 << 19
-SAMPLE_DOCS, SAMPLE_EACH = 2000, 64
+#: The driver sorts a sample of so many suffixes: documents (or two a bucket, if that is more), and of each.
+SAMPLE_DOCS, SAMPLE_EACH = 2000, 16
 
 
 def _pieces(values: list[tuple[int, bytes]], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
@@ -207,8 +208,11 @@ def _sorted(packed: Callable[[pa.RecordBatch], Iterator[np.ndarray]], source: Da
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [r[:: -(-len(r) // (SAMPLE_EACH * max(1, batch.num_rows)))].tobytes() for r in packed(batch) if len(r)]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["s"])
+            for a in range(0, batch.num_rows, 64):
+                part = batch.slice(a, 64)
+                # at most SAMPLE_EACH suffixes a document, wherever in these documents they stand
+                out = [r[:: -(-len(r) // (SAMPLE_EACH * part.num_rows))].tobytes() for r in [np.concatenate([np.zeros(0, SUFFIX), *packed(part)])] if len(r)]
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["s"])
 
     splitters = spark.sparkContext.broadcast((_splitters(sample.mapInArrow(some, "s binary"), n), _routes(spark, n)))
 
@@ -257,7 +261,7 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, length: int
     count = docs.count()
 
     def few(frame: DataFrame, n: int) -> DataFrame:
-        return frame.where(F.pmod(F.xxhash64("ref"), F.lit(max(1, n // SAMPLE_DOCS))) == 0)
+        return frame.sample(min(1.0, max(SAMPLE_DOCS, 2 * parallelism(docs.sparkSession)) / max(1, n)), seed=7)
 
     def anchors(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         values = [(r, encode(x.as_py())) for r, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)]
