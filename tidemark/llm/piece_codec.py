@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .unigram import Encoder, Pieces
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-_STEP = 128
+_STEP = 512
 
 
 def encode(docs: DataFrame, text: str = "text", ids: str = "input_ids", model: str = MODEL) -> DataFrame:
@@ -49,11 +49,18 @@ def decode(encoded: DataFrame, ids: str = "input_ids", text: str = "decoded", mo
     frame = encoded.select(F.struct(*(F.col(f"`{c}`") for c in encoded.columns)).alias("row"), F.col(ids).alias("i"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = shared.value.__getitem__
+        pieces = pa.array(shared.value, pa.binary())
         for batch in batches:
             for a in range(0, batch.num_rows, _STEP):
                 part = batch.slice(a, _STEP)
-                texts = [None if x is None else b"".join(map(piece, x))[1:].decode("utf-8", "replace") for x in part.column(1).to_pylist()]
+                lists = part.column(1)
+                spelt = pieces.take(lists.flatten())
+                ends = np.concatenate(([0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))))
+                at = np.frombuffer(spelt.buffers()[1], np.int32, len(spelt) + 1, spelt.offset * 4)[ends]
+                data = spelt.buffers()[2]
+                data = data.to_pybytes() if data is not None else b""
+                # the implied space goes
+                texts = [None if lost else data[a + 1 : b].decode("utf-8", "replace") for a, b, lost in zip(at[:-1].tolist(), at[1:].tolist(), lists.is_null().to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=["row", "t"])
 
     out = frame.mapInArrow(run, f"row {frame.schema['row'].dataType.simpleString()}, t string")

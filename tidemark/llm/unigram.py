@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 
@@ -129,34 +130,46 @@ def _sequential(pieces: Pieces, word: str) -> list[int]:
     return out[::-1]
 
 
+class _Numbers(dict):
+    """Numbers words as they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+def _numbered(numbers: _Numbers, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """The pre-tokens of texts as numbers, how many each text has, and the words that are new."""
+    known = len(numbers)
+    lists = [pre_tokens(t) for t in texts]
+    sizes = np.array([len(words) for words in lists], np.int64)
+    rows = np.fromiter(map(numbers.__getitem__, chain.from_iterable(lists)), np.int64, int(sizes.sum()))
+    return rows, sizes, list(islice(numbers, known, None))
+
+
 class Encoder:
     """Batched Viterbi: equal-length words advance together; a bounded memory of words spares repeats."""
 
-    def __init__(self, pieces: Pieces, remember: int = 200_000):
+    def __init__(self, pieces: Pieces, remember: int = 300_000):
         self.pieces, self.remember = pieces, remember
         self._forget()
 
     def _forget(self) -> None:
-        self.words: dict[str, int] = {}
+        self.words = _Numbers()
         self.flat, self.count, self.at = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one text after the other, and each text's number of ids."""
         if len(self.words) > self.remember:
             self._forget()
-        known, lists = len(self.words), [pre_tokens(t) for t in texts]
-        number = self.words
-        rows = np.array([number.setdefault(w, len(number)) for words in lists for w in words], np.int64)
-        if len(number) > known:
-            new = list(number)[known:] if known == 0 else [w for words in lists for w in words if number[w] >= known]
-            new = list(dict.fromkeys(new)) if known else new
+        rows, sizes, new = _numbered(self.words, texts)
+        if new:
             flat, count = self._segment(new)
             self.at = np.concatenate((self.at, len(self.flat) + np.cumsum(count) - count))
             self.flat, self.count = np.concatenate((self.flat, flat)), np.concatenate((self.count, count))
         count = self.count[rows]
         ends = np.cumsum(count)
         ids = self.flat[np.repeat(self.at[rows] - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)]
-        sizes = np.array([len(words) for words in lists], np.int64)
         return ids, np.diff(np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(sizes)))])
 
     def _segment(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -198,15 +211,18 @@ class Encoder:
         for size in np.unique(lengths).tolist():
             group = np.flatnonzero(lengths == size)
             begin, n = first[group], len(group)
+            # by length and start, a row over the group's words; most pairs of the two have no piece at all
+            own = np.ascontiguousarray(score[:, begin[:, None] + np.arange(size)].transpose(0, 2, 1))
+            some = (own > _NONE).any(2)
             best = np.full((size + 1, n), _NONE)
             came = np.zeros((size + 1, n), np.int8)
             best[0] = 0
             for t in range(1, size + 1):
                 for length in range(min(longest, t), 0, -1):  # of equal sums the longest last piece
-                    new = best[t - length] + score[length, begin + t - length]
-                    better = new > best[t]
-                    if better.any():
-                        best[t] = np.where(better, new, best[t])
+                    if some[length, t - length]:
+                        new = best[t - length] + own[length, t - length]
+                        better = new > best[t]
+                        np.copyto(best[t], new, where=better)
                         came[t][better] = length
             tokens, have = np.zeros((size, n), np.int32), np.zeros((size, n), bool)
             place, row = np.full(n, size), np.arange(n)
@@ -238,21 +254,18 @@ class Encoder:
 class Counter:
     """Token counts of words: forward scores over a trie of the distinct words, one for each shared prefix."""
 
-    def __init__(self, pieces: Pieces, remember: int = 200_000):
+    def __init__(self, pieces: Pieces, remember: int = 300_000):
         self.pieces, self.remember = pieces, remember
-        self.words: dict[str, int] = {}
+        self.words = _Numbers()
         self.tokens = np.zeros(0, np.int64)
 
     def counts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Tokens and pre-tokens of each text."""
         if len(self.words) > self.remember:
-            self.words, self.tokens = {}, np.zeros(0, np.int64)
-        known, lists, number = len(self.words), [pre_tokens(t) for t in texts], self.words
-        rows = np.array([number.setdefault(w, len(number)) for words in lists for w in words], np.int64)
-        if len(number) > known:
-            new = list(dict.fromkeys(w for words in lists for w in words if number[w] >= known))
+            self.words, self.tokens = _Numbers(), np.zeros(0, np.int64)
+        rows, sizes, new = _numbered(self.words, texts)
+        if new:
             self.tokens = np.concatenate((self.tokens, self._trie(new)))
-        sizes = np.array([len(words) for words in lists], np.int64)
         sums = np.concatenate(([0], np.cumsum(self.tokens[rows])))
         return np.diff(sums[np.concatenate(([0], np.cumsum(sizes)))]), sizes
 
