@@ -318,3 +318,61 @@ def test_as_of_and_bridge(spark):
     buffered = spark.createDataFrame([("a", 0, 90, 99), ("a", 1, 100, 105), ("b", 0, 120, 130), ("c", 0, 1, 2)], "run_id string, ord bigint, first_update_id bigint, final_update_id bigint")
     anchors = spark.createDataFrame([("a", 100), ("b", 100), ("c", 100)], "run_id string, snapshot_last_update_id bigint")
     assert {k: (r.kept, r.bridges) for k, r in by_run(book.bridges(buffered, anchors, ["run_id"], ["ord"])).items()} == {"a": (1, True), "b": (1, False), "c": (0, None)}
+
+
+def test_snapshot_and_polled_frames(spark):
+    snaps = spark.createDataFrame([("r", "binance", "BTCUSDT", T0, (7, [["1", "2"], ["x", "1"]], [["3", "4"]]))], "run_id string, " + schemas.SNAPSHOT)
+    row = normalizers.snapshot_rows(snaps).first()
+    assert (row.ord, row.event_type, row.first_update_id, row.final_update_id, row.event_time) == (0, "snapshot", 7, 7, None)
+    assert [tuple(x) for x in row.bids] == [(1, 2)] and [tuple(x) for x in row.asks] == [(3, 4)]
+    trades = frames(spark, "binance-futures", {"a": 5, "p": "1", "q": "2", "T": 1000, "m": False}).withColumn("symbol", F.lit("BTCUSDT"))
+    got = normalizers.binance_trades(normalizers.remap_rest(trades, "trades"), "perp").first()
+    assert (got.sequence, got.event_type, got.metadata.canonical_symbol) == (5, "aggTrade", "BTC/USDT-PERP")
+    page = frames(spark, "binance-futures", {"lastUpdateId": 9, "T": 1000, "bids": [["1", "2"]], "asks": []}).withColumn("symbol", F.lit("BTCUSDT"))
+    got = normalizers.binance_depth(normalizers.remap_rest(page, "depth"), "perp").first()
+    assert (got.first_update_id, got.final_update_id, got.event_time) == (None, 9, dt.datetime(1970, 1, 1, 0, 0, 1)) and [tuple(x) for x in got.bids] == [(1, 2)]
+
+
+def test_checksum_runs(spark, depth_schema):
+    rows = [depth("good", 0, None, None, [(100, 1)], [(101, 2)], event="snapshot"), depth("good", 1, None, None, [(99, 3)]), depth("bad", 0, None, None, [(100, 1)], [(101, 2)], event="snapshot"), depth("bare", 0, None, None, [(100, 1)], event="snapshot")]
+    u = book.sub_books(frame(spark, rows, depth_schema), ["run_id"], ["ord"])
+    states = book.fold(u, ["run_id"], "ord", depth=verdicts.CHECKSUM_DEPTH)
+    own = book.book_crc(F.col("top_bids"), F.col("top_asks"), *verdicts.CHECKSUM_DECIMALS["BTC/USD"])
+    said = states.withColumn("said", F.when(F.col("run_id") == "good", own).when(F.col("run_id") == "bad", own + 1))
+    got = by_run(verdicts.depth_stream(u, ["run_id"], ["ord"], checksums=book.checksum_counts(said, ["run_id"], "said", 1, 8)))
+    assert {k: (r.replayable, r.findings, r.gap_detection) for k, r in got.items()} == {"good": (True, [], "checksum"), "bad": (False, ["checksum_mismatch"], "checksum"), "bare": (False, ["missing_checksum"], "checksum")}
+
+
+def test_stream_modes_and_full_books(spark, depth_schema):
+    rows = [depth("k", 0, 1, 1, source="kraken", product="BTC/USD"), depth("k", 1, 1, 1, source="kraken", product="ETH/USD"), depth("e", 0, 1, 1, source="kraken", product="ETH/USD"), depth("y", 0, 1, 1, source="bybit_perp"), depth("o", 0, 1, 1, source="okx"), depth("m", 0, 1, 1, [(5, 1), (6, 0)], [(7, 1)], source="mexc")]
+    df = frame(spark, rows, depth_schema)
+    assert {k: r.stream_mode for k, r in by_run(verdicts.stream_mode(df, ["run_id"], ["ord"])).items()} == {"k": "checksum", "e": "structural", "y": "dense", "o": "chain", "m": "structural"}
+    best = by_run(book.snapshot_states(df))["m"]
+    assert (best.best_bid, best.best_ask) == (5, 7)
+
+
+def test_api_rows_and_items(spark):
+    r = quotes.api_errors(spark.createDataFrame([(True, 200), (False, 429), (None, 500)], "success boolean, http_status int")).collect()
+    assert [(x.event_type, x.rate_limited) for x in r] == [("api_error", True), ("api_error", False)]
+    import hashlib
+
+    items = spark.createDataFrame([("rss", "1", "t", None, "s", None, None), ("posts", "2", "t", None, None, "body", None), ("comments", None, None, None, None, None, "b")], "kind string, source_id string, title string, link string, summary string, selftext string, body string")
+    got = [x.content_hash for x in quotes.item_payloads(items).collect()]
+    sha = lambda *f: hashlib.sha256(json.dumps(f, separators=(",", ":")).encode()).hexdigest()
+    assert got == [sha("t", "", "s"), sha("t", "body"), None]
+    assert gates.text_gate(normalizers.text_items(frames(spark, "rss", {"row_type": "x"}))).first().reasons == ["missing_source_id", "missing_content_hash", "missing_raw_item", "unknown_event_type"]
+
+
+def test_reports_over_time(spark):
+    log = spark.createDataFrame([("a", "f", "ok", 600, 900, at(-9000)), ("b", "f", "failed", 600, 900, at(-60)), ("b", "f", "failed", 600, 900, at(-30)), ("a", "g", "failed", 1, 1, at(-10))], "job string, family string, status string, interval_seconds int, segment_seconds int, finished_at timestamp")
+    # the latest row of job a finished 10 s ago and promises one every second
+    assert {r.job: r.stale for r in health.job_freshness(log, F.lit(T0)).collect()} == {"a": True, "b": False}
+    assert [(r.family, r.failures) for r in health.recent_failures(log, F.lit(T0)).collect()] == [("f", 2)]
+    files = spark.createDataFrame([("d", "s", "x.parquet", at(1)), ("d", "s", "y.parquet", at(5)), ("d", "s", "z.txt", at(9))], "dataset string, source string, file string, modified timestamp")
+    assert health.partition_freshness(files, ["dataset", "source"]).first().latest == at(5)
+    counts = spark.createDataFrame([("l", 1, 5), ("l", 2, 12), ("l", 3, 12)], "lane string, reported_at int, stuck int")
+    assert [r.alert for r in curation.growth_alert(counts, 10).orderBy("reported_at").collect()] == [False, True, False]
+    src = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "file string, bytes bigint")
+    dst = spark.createDataFrame([("a", 1), ("b", 5), ("z", 1)], "file string, bytes bigint")
+    assert {r.file: r.problem for r in curation.copy_differences(src, dst).collect()} == {"b": "size", "c": "missing", "z": "extra"}
+    assert curation.empty_parquet(spark.createDataFrame([("a.parquet", 0), ("b.parquet", 1), ("c.txt", 0)], "file string, bytes bigint")).count() == 1
