@@ -90,7 +90,7 @@ def shingles(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out) if out else np.zeros(0, _U), sizes
 
 
-def blocks(texts: list[bytes], most: int = 1 << 21):
+def blocks(texts: list[bytes], most: int = 1 << 19):
     """Slices (first, last) of texts of about `most` bytes together; a longer text stands alone."""
     first = size = 0
     for i, t in enumerate(texts):

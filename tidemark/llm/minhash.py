@@ -81,18 +81,19 @@ def _binary(rows: np.ndarray) -> pa.Array:
 
 def _sets(texts: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """Blocks of a text column: first, last, elements, sizes, 128-bit digests of the sets (n, 2)."""
-    data = [encode(x.as_py()).translate(LOWER_ASCII) for x in texts]
-    for a, b in blocks(data):
-        elements, sizes = shingles(data[a:b], k)
-        at = np.cumsum(sizes) - sizes
-        both = np.zeros((b - a, 2), _U)
-        full = sizes > 0
-        for c in range(2):
-            if full.any():
-                both[full, c] = np.add.reduceat(mix(elements, 101 + c), at[full])
-        both[:, 1] ^= sizes.astype(_U)
-        both[~full] = 0
-        yield a, b, elements, sizes, both
+    for first in range(0, len(texts), 256):  # few texts in hand at a time
+        data = [encode(x.as_py()).translate(LOWER_ASCII) for x in texts.slice(first, 256)]
+        for a, b in blocks(data):
+            elements, sizes = shingles(data[a:b], k)
+            at = np.cumsum(sizes) - sizes
+            both = np.zeros((b - a, 2), _U)
+            full = sizes > 0
+            for c in range(2):
+                if full.any():
+                    both[full, c] = np.add.reduceat(mix(elements, 101 + c), at[full])
+            both[:, 1] ^= sizes.astype(_U)
+            both[~full] = 0
+            yield first + a, first + b, elements, sizes, both
 
 
 def sets_of(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:

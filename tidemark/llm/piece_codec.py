@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .unigram import Encoder, Pieces
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-_STEP = 512
+_STEP = 256
 
 
 def encode(docs: DataFrame, text: str = "text", ids: str = "input_ids", model: str = MODEL) -> DataFrame:

@@ -43,7 +43,7 @@ _U = np.uint64
 #: A suffix: leading bytes, fingerprint of the anchor (or window), of the run (or 0), document, place, windows (0: a key from another bucket).
 SUFFIX = np.dtype([("lead", "<u4"), ("key", "<u8"), ("whole", "<u8"), ("ref", "<i8"), ("at", "<u4"), ("n", "<u2")])
 PLACE = np.dtype([("ref", "<i8"), ("at", "<u4")])
-SEGMENT = 1 << 19
+SEGMENT = 1 << 18
 #: The driver sorts a sample of so many suffixes: documents (or two a bucket, if that is more), and of each.
 SAMPLE_DOCS, SAMPLE_EACH = 2000, 16
 
@@ -218,10 +218,10 @@ def _sorted(packed: Callable[[pa.RecordBatch], Iterator[np.ndarray]], source: Da
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts, routes = splitters.value
-        for batch in batches:
-            parts = list(packed(batch))
-            if parts:
-                rows = list(_dealt(np.concatenate(parts), cuts))
+        for part in (batch.slice(a, 1024) for batch in batches for a in range(0, batch.num_rows, 1024)):
+            made = list(packed(part))
+            if made:
+                rows = list(_dealt(np.concatenate(made), cuts))
                 yield pa.RecordBatch.from_arrays([pa.array([routes[b] for b, _ in rows], pa.int64()), pa.array([b for b, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], names=["route", "bucket", "s"])
 
     def sort(table: pa.Table) -> pa.Table:
@@ -264,9 +264,11 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, length: int
         return frame.sample(min(1.0, max(SAMPLE_DOCS, 2 * parallelism(docs.sparkSession)) / max(1, n)), seed=7)
 
     def anchors(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        values = [(r, encode(x.as_py())) for r, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)]
-        for block in _pieces(values, length):
-            yield _runs(block, length, anchor)
+        for first in range(0, batch.num_rows, 256):  # few texts in hand at a time
+            part = batch.slice(first, 256)
+            values = [(r, encode(x.as_py())) for r, x in zip(part.column(0).to_pylist(), part.column(1), strict=True)]
+            for block in _pieces(values, length):
+                yield _runs(block, length, anchor)
 
     def runs(records: np.ndarray, same: np.ndarray, whole: np.ndarray) -> pa.Table:
         """Runs whose anchor has an equal. Of a group with runs that are not repeated throughout, each text that is goes on too, once, for their windows to meet."""

@@ -150,7 +150,7 @@ def _numbered(numbers: _Numbers, texts: list[str | None]) -> tuple[np.ndarray, n
 class Encoder:
     """Batched Viterbi: equal-length words advance together; a bounded memory of words spares repeats."""
 
-    def __init__(self, pieces: Pieces, remember: int = 300_000):
+    def __init__(self, pieces: Pieces, remember: int = 200_000):
         self.pieces, self.remember = pieces, remember
         self._forget()
 
@@ -184,7 +184,7 @@ class Encoder:
         ends = np.cumsum(lengths[order])
         a = 0
         while a < len(order):
-            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + 300_000, side="right")))
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + 150_000, side="right")))
             results += self._block(order[a:b], [words[i] for i in order[a:b]], lengths[order[a:b]])
             a = b
         number = np.concatenate([r[0] for r in results])
@@ -254,7 +254,7 @@ class Encoder:
 class Counter:
     """Token counts of words: forward scores over a trie of the distinct words, one for each shared prefix."""
 
-    def __init__(self, pieces: Pieces, remember: int = 300_000):
+    def __init__(self, pieces: Pieces, remember: int = 200_000):
         self.pieces, self.remember = pieces, remember
         self.words = _Numbers()
         self.tokens = np.zeros(0, np.int64)
