@@ -1,7 +1,8 @@
 """The corpus pipeline: five operators in turn, each stage's result written as Parquet and read as the next one's documents.
 
-Null and empty texts go with the quality rules; documents emptied by a stage go with it; equal ids stay or go together;
-an empty table gives an empty result; columns beyond those of documents are carried to the last stage.
+Null and empty texts go with the quality rules; documents emptied by a stage go with it; of repeated rows one stays, and
+texts of one id and rows without an id are judged on their own; an empty table gives an empty result; columns beyond
+those of documents are carried to the last stage.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8."""
-    return minhash.keep_one(docs, k=5, percent=80)
+    """One row of each group of near copies, whatever its id: five-word shingles, similarity 0.8."""
+    return minhash.keep_one_row(docs, k=5, percent=80)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

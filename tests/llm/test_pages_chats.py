@@ -142,3 +142,18 @@ def test_stages_keep_columns_and_take_empty_tables(spark):
         out = stage(spark, docs.limit(0), sf)
         assert out.columns == docs.columns and out.count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), sf).count() == 0
+
+
+def test_pipeline_keeps_one_of_repeated_and_null_id_rows(spark):
+    """Repeated rows, null-id copies and two texts of one id, all of over 400 bytes, through near-dedup and passages."""
+    text = lambda seed: " ".join(f"{seed}{i}" for i in range(130))
+    made = [(1, "twice"), (1, "twice"), (2, "bare"), (None, "bare"), (None, "nameless"), (None, "nameless"), (3, "first"), (4, "first"), (4, "own")]
+    rows = [(i, text(t), "en", t) for i, t in made]
+    docs = spark.createDataFrame([*rows, (9, "", "en", "blank"), (9, "", "en", "blank")], "doc_id bigint, text string, lang string, source string")
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    assert kept.columns == docs.columns
+    want = [(1, "twice"), (2, "bare"), (3, "first"), (4, "own"), (None, "nameless")]
+    assert sorted(((r.doc_id, r.source) for r in kept.where("source <> 'blank'").collect()), key=str) == sorted(want, key=str)
+    assert kept.where("source = 'blank'").count() == 2
+    out = corpus_pipeline.passage_dedup(spark, kept, "").where("source <> 'blank'").collect()
+    assert sorted(((r.doc_id, r.text) for r in out), key=str) == sorted(((i, text(t)) for i, t in want), key=str)

@@ -19,8 +19,9 @@ blocks that a large family needs.
 
 Defined results: null or word-less texts have empty sets, n_shingles 0, and are linked with nothing; repeated rows
 and equal texts belong together and each row is returned; component_id is the least id of the component, so ties do
-not arise; empty tables give empty results; extra columns pass through `keep_one` untouched, where rows of equal id
-are all kept or all dropped and rows without an id are kept.
+not arise; empty tables give empty results; extra columns pass through `keep_one` and `keep_one_row` untouched. In
+`keep_one` rows of equal id are all kept or all dropped and rows without an id are kept; `keep_one_row` looks at rows,
+not ids, and keeps exactly one row of each component.
 """
 
 from __future__ import annotations
@@ -227,8 +228,8 @@ def _linked(members: DataFrame, active: DataFrame, k: int, percent: int) -> Data
     return components(more.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: its id, n_shingles, component_id (least id reachable), kept (it is that document)."""
+def _grouped(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows' sets, their classes (node, first), and (node, root) of the components of linked classes."""
     base = written(sets_of(docs, doc_id, text, k))
     classes = base.where("n_shingles > 0").groupBy("node").agg(F.min("id").alias("first"), F.min("ref").alias("ref"), F.min_by("bands", "ref").alias("bands"))
     rows = classes.select("node", "ref", F.explode("bands").alias("key"))
@@ -238,6 +239,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts = docs.select(F.xxhash64(doc_id, text).alias("ref"), F.col(text).cast("string").alias("t"))
     active = written(weight.select("node", "ref").join(texts, "ref").select("node", "t").dropDuplicates(["node"]))
     roots = written(_linked(members.join(weight.select("node", "w"), "node").select("key", "node", "w"), active, k, percent))
+    return base, classes, roots
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """One row per document: its id, n_shingles, component_id (least id reachable), kept (it is that document)."""
+    base, classes, roots = _grouped(docs, doc_id, text, k, percent)
     least = classes.select("node", "first").join(roots, "node")
     names = least.groupBy("root").agg(F.min("first").alias("component"))
     of_node = least.join(names, "root").select("node", "component").unionByName(classes.join(roots, "node", "left_anti").select("node", F.col("first").alias("component")))
@@ -250,3 +257,20 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
     """One document of each group, that of the least id, with all its columns."""
     dropped = near_duplicates(docs, doc_id, text, k, percent).where("not kept").select(F.col(doc_id).alias("__dropped"))
     return docs.join(dropped, docs[doc_id] == F.col("__dropped"), "left_anti")
+
+
+def keep_one_row(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """Exactly one row of each group, with all its columns: of the least id, rows without an id last; rows without words all stay.
+
+    Of texts of one id the one of the least hash stays, of repeated rows the one whose columns have the least hash.
+    """
+    base, _, roots = _grouped(docs, doc_id, text, k, percent)
+    worded = base.where("n_shingles > 0")
+    best = worded.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "ref")).alias("best"))
+    chosen = best.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best")).select(F.col("best.ref").alias("ref"))
+    rows = worded.groupBy("ref").agg(F.count("*").alias("n")).join(chosen.withColumn("chosen", F.lit(True)), "ref", "left")
+    rows = written(rows.where("chosen is null or n > 1").select(F.col("ref").alias("__ref"), F.col("chosen").isNotNull().alias("__chosen")))
+    own = docs.withColumn("__ref", F.xxhash64(doc_id, text))
+    again = own.join(rows.where("__chosen"), "__ref", "left_semi").select("__ref", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    again = again.groupBy("__ref").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")).select("row.*")
+    return own.join(rows, "__ref", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(again)
