@@ -30,7 +30,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that occur more than once."""
+    """Documents without the passages of over 50 words, or of 400 bytes and more, that occur more than once."""
     return _measured(suffix_dedup.without_repeats(docs))
 
 

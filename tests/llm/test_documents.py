@@ -210,6 +210,44 @@ def test_long_texts_in_pieces(monkeypatch):
     assert sorted(windows["at"].tolist()) == covered
 
 
+def brute_passages(texts, length, words):
+    """Texts without the strings of `length` bytes and of `words` words that start anywhere else too."""
+    data = [(t or "").encode() for t in texts]
+    places = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", d)] for d in data]
+    own = [[d[a:b] for a, b in p] for d, p in zip(data, places, strict=True)]
+    bytes_seen = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
+    words_seen = Counter(tuple(w[i : i + words]) for w in own for i in range(len(w) - words + 1))
+    out = []
+    for d, p, w in zip(data, places, own, strict=True):
+        gone = bytearray(len(d))
+        for i in range(len(d) - length + 1):
+            if bytes_seen[d[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        for i in range(len(w) - words + 1):
+            if words_seen[tuple(w[i : i + words])] > 1:
+                a, b = p[i][0] if i else 0, p[i + words - 1][1] if i + words < len(w) else len(d)
+                gone[a:b] = b"\1" * (b - a)
+        out.append((any(gone), bytes(x for x, g in zip(d, gone, strict=True) if not g).decode("utf-8", "ignore")))
+    return out
+
+
+def test_passages_of_over_50_words_go(spark):
+    """Planted passages of 51 short words, under 400 bytes, with other blanks between them; those of 50 words stay."""
+    rng = random.Random(12)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8))) for _ in range(n))
+    caught, short, wide = prose(51), prose(50), "é".join(prose(1) for _ in range(120))
+    assert len(caught) < 400 < len(wide.encode())
+    texts = [f"{prose(30)} {caught} {prose(40)}", f"{prose(9)}\n{caught.replace(' ', '  ')}\n{prose(70)}", f"{prose(30)} {short} {prose(40)}", f"{short} {prose(40)}", f"{prose(60)} {wide} x", f"{wide} {prose(60)}", f" {caught}\n", prose(300), "", None]
+    base = [prose(rng.randrange(20, 120)) for _ in range(8)]
+    for _ in range(60):
+        texts.append(rng.choice(" \n").join(" ".join(rng.choice(base).split()[rng.randrange(20) :][: rng.randrange(90)]) if rng.random() < 0.5 else prose(rng.randrange(60)) for _ in range(4)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in suffix_dedup.without_repeats(docs).collect()}
+    want = {i: t for i, (gone, t) in enumerate(brute_passages(texts, suffix_dedup.LENGTH, 51)) if not gone or t}
+    assert {i: t or "" for i, t in got.items()} == want
+    assert caught not in got[0] and short in got[2] and wide not in got[4] and 6 not in got and got[7] == texts[7]
+
+
 def test_multikey_order():
     rng = np.random.default_rng(0)
     for _ in range(100):

@@ -40,9 +40,9 @@ def _to(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def running(data: np.ndarray) -> np.ndarray:
-    """S for a block of bytes (length + 1)."""
+    """S for a block of bytes, or of words given by their hashes (length + 1)."""
     out = np.zeros(len(data) + 1, _U)
-    np.cumsum(_SYMBOLS[data] * _to(len(data) + 1)[0][: len(data)], out=out[1:])
+    np.cumsum((data if data.dtype == _U else _SYMBOLS[data]) * _to(len(data) + 1)[0][: len(data)], out=out[1:])
     return out
 
 
@@ -51,12 +51,17 @@ def ranges(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((sums[end] - sums[start]) * _to(len(sums))[1][start]) + (end - start).astype(_U) * _U(0xD6E8FEB86659FD93)
 
 
+def word_places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last byte (exclusive) of the words `[^\\x20\\x09-\\x0D]+` of a block of bytes that ends with a space."""
+    space = (data == 32) | ((data >= 9) & (data <= 13))
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], space)).view(np.int8)))
+    return edge[::2], edge[1::2]
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words `[^\\x20\\x09-\\x0D]+` of many texts, one text after the other, and each text's count."""
     data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
-    space = (data == 32) | ((data >= 9) & (data <= 13))
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], space)).view(np.int8)))
-    start, end = edge[::2], edge[1::2]
+    start, end = word_places(data)
     stops = np.cumsum([len(t) + 1 for t in texts]) if texts else np.zeros(0, np.int64)
     counts = np.diff(np.searchsorted(start, stops), prepend=0)
     return ranges(running(data), start, end), counts

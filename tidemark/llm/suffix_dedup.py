@@ -17,6 +17,10 @@ A full suffix array would sort every byte's suffix; this one is sparse, and lose
 A group of equals may lie across a boundary, as splitters cut anywhere, hot groups included: a mapper that holds such
 a record also sends its key, once, to the group's other buckets, so neighbours are compared across boundaries.
 
+`without_repeats` takes out repeated passages of `words` words beside those of `length` bytes, in the same sorts: words
+(`[^\\x20\\x09-\\x0D]+`) stand for bytes there, by their hashes, so what is between them does not count. A passage goes from its
+first word's first byte to its last word's last, and on to the edge of a text that it reaches. Both are judged on the input.
+
 Defined results: null and texts shorter than `length` have nothing removed; equal texts, repeated rows included, remove
 each other wholly if long enough (no copy is spared); ids are not compared, so ties do not arise; empty tables give empty
 results; extra columns pass through `without_repeats` untouched.
@@ -25,6 +29,7 @@ results; extra columns pass through `without_repeats` untouched.
 from __future__ import annotations
 
 import hashlib
+import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
@@ -34,9 +39,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import encode, parallelism, written
-from .hashing import _to, mix, ranges, running
+from .hashing import _to, blocks, mix, ranges, running, word_hashes, word_places
 
 LENGTH = 400
+#: Words of a repeated passage in `without_repeats`: all of over 50.
+WORDS = 51
+#: Added to the places that count words.
+BY_WORD = 1 << 31
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 #: Share of a window that its anchor takes: longer anchors mean more of them, but fewer windows at a border.
 ANCHOR_SHARE = 0.68
 _U = np.uint64
@@ -48,8 +58,31 @@ SEGMENT = 1 << 18
 SAMPLE_DOCS, SAMPLE_EACH = 2000, 16
 
 
-def _pieces(values: list[tuple[int, bytes]], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
-    """Blocks of (ref, offset, bytes); long texts in pieces that overlap by a window less one byte."""
+def _units(texts: list[bytes], flag: int) -> list[bytes | np.ndarray]:
+    """What the texts' places count: bytes, or the hashes of words; long texts are hashed in stretches between words."""
+    if not flag:
+        return texts
+    out = []
+    for first, last in blocks(texts, SEGMENT):
+        part = texts[first:last]
+        if last - first == 1:
+            cuts = [0]
+            while cuts[-1] < len(part[0]):
+                gap = _GAP.search(part[0], cuts[-1] + SEGMENT)
+                cuts.append(gap.start() if gap else len(part[0]))
+            out.append(np.concatenate([np.zeros(0, _U), *(word_hashes([part[0][a:b]])[0] for a, b in zip(cuts, cuts[1:], strict=False))]))
+        else:
+            hashes, counts = word_hashes(part)
+            out += np.split(hashes, np.cumsum(counts)[:-1])
+    return out
+
+
+def _array(data: bytes | np.ndarray) -> np.ndarray:
+    return np.frombuffer(data, np.uint8) if isinstance(data, bytes) else data
+
+
+def _pieces(values: list[tuple[int, bytes | np.ndarray]], length: int) -> Iterator[list[tuple[int, int, bytes | np.ndarray]]]:
+    """Blocks of (ref, offset, bytes or words); long texts in pieces that overlap by a window less one byte."""
     block, size = [], 0
     for ref, data in values:
         step = SEGMENT if len(data) > 2 * SEGMENT else len(data)
@@ -66,15 +99,17 @@ def _pieces(values: list[tuple[int, bytes]], length: int) -> Iterator[list[tuple
 
 
 def _lead(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    if data.dtype == _U:
+        return (mix(data[at] + mix(data[at + 1])) >> _U(32)).astype(np.uint32)
     out = np.zeros(len(at), np.uint32)
     for j in range(4):
         out = (out << np.uint32(8)) | data[at + j]
     return out
 
 
-def _runs(block: list[tuple[int, int, bytes]], length: int, anchor: int) -> np.ndarray:
+def _runs(block: list[tuple[int, int, bytes | np.ndarray]], length: int, anchor: int) -> np.ndarray:
     """The anchors' suffixes of a block."""
-    data = np.frombuffer(b"".join(p for _, _, p in block), np.uint8)
+    data = np.concatenate([_array(p) for _, _, p in block])
     sizes = np.array([len(p) for _, _, p in block])
     begin = np.cumsum(sizes) - sizes
     sums = running(data)
@@ -106,7 +141,7 @@ def _runs(block: list[tuple[int, int, bytes]], length: int, anchor: int) -> np.n
     return out
 
 
-def _windows(data: bytes, ref: int, at: np.ndarray, n: np.ndarray, length: int) -> Iterator[np.ndarray]:
+def _windows(data: bytes | np.ndarray, ref: int, at: np.ndarray, n: np.ndarray, length: int) -> Iterator[np.ndarray]:
     """The suffixes of the windows of these runs of a text, piece by piece."""
     for a in range(0, len(data) - length + 1, SEGMENT):
         inside = (at < a + SEGMENT) & (at + n > a)
@@ -114,7 +149,7 @@ def _windows(data: bytes, ref: int, at: np.ndarray, n: np.ndarray, length: int)
             continue
         lo, hi = np.maximum(at[inside], a), np.minimum((at + n)[inside], a + SEGMENT)
         starts = np.concatenate([np.arange(x, y) for x, y in zip(lo, hi, strict=True)])
-        part = np.frombuffer(data, np.uint8)[a : a + SEGMENT + length - 1]
+        part = _array(data)[a : a + SEGMENT + length - 1]
         out = np.zeros(len(starts), SUFFIX)
         out["lead"] = _lead(part, starts - a)
         out["key"] = ranges(running(part), starts - a, starts - a + length)
@@ -241,6 +276,19 @@ def _covered(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts[first].tolist(), reach[np.append(first[1:], len(starts)) - 1].tolist(), strict=True))
 
 
+def _byte_ranges(data: bytes, at: np.ndarray, n: np.ndarray, measures: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The bytes that n windows from each place cover."""
+    out = []
+    for length, flag in measures:
+        own = (at & BY_WORD) == flag
+        spans = _covered(at[own] - flag, at[own] - flag + n[own] - 1 + length)
+        if flag and spans:
+            first, last = word_places(np.frombuffer(data + b"\n", np.uint8))
+            spans = [(int(first[a]) if a else 0, int(last[b - 1]) if b < len(last) else len(data)) for a, b in spans]
+        out += spans
+    return out if len(measures) == 1 else _covered(*np.array(out, np.int64).reshape(-1, 2).T)
+
+
 _OUT = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"
 
 
@@ -253,9 +301,8 @@ def _finished(data: list[bytes], spans: list[list[tuple[int, int]]], want_text:
     return [pa.array([len(d) for d in data], pa.int64()), pa.array([len(d) - len(k) for d, k in zip(data, kept, strict=True)], pa.int64()), pa.array([len(s) for s in spans], pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()), pa.array(texts, pa.string())]
 
 
-def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, length: int, want_text: bool) -> DataFrame:
-    """(row: the kept columns, n_bytes, n_removed, n_spans, kept_sha256, kept: the text without repeats)."""
-    anchor = max(4, int(length * ANCHOR_SHARE))
+def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, measures: list[tuple[int, int]], want_text: bool) -> DataFrame:
+    """(row: the kept columns, n_bytes, n_removed, n_spans, kept_sha256, kept: the text without repeats). measures: (length, 0 or BY_WORD)."""
     ref = F.xxhash64(doc_id, text)
     texts = docs.select(ref.alias("ref"), F.col(text).cast("string").alias("t"))
     count = docs.count()
@@ -266,9 +313,12 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, length: int
     def anchors(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for first in range(0, batch.num_rows, 256):  # few texts in hand at a time
             part = batch.slice(first, 256)
-            values = [(r, encode(x.as_py())) for r, x in zip(part.column(0).to_pylist(), part.column(1), strict=True)]
-            for block in _pieces(values, length):
-                yield _runs(block, length, anchor)
+            refs, data = part.column(0).to_pylist(), [encode(x.as_py()) for x in part.column(1)]
+            for length, flag in measures:
+                for block in _pieces(list(zip(refs, _units(data, flag), strict=True)), length):
+                    out = _runs(block, length, max(4, int(length * ANCHOR_SHARE)))
+                    out["at"] += np.uint32(flag)
+                    yield out
 
     def runs(records: np.ndarray, same: np.ndarray, whole: np.ndarray) -> pa.Table:
         """Runs whose anchor has an equal. Of a group with runs that are not repeated throughout, each text that is goes on too, once, for their windows to meet."""
@@ -295,10 +345,10 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, length: int
                 batch = whole_batch.slice(i, 256)
                 data = [encode(x.as_py()) for x in batch.column(2)]
                 spans, left = [], []
-                for lists in zip(*(batch.column(c) for c in (3, 4, 5, 6)), strict=True):
+                for d, *lists in zip(data, *(batch.column(c) for c in (3, 4, 5, 6)), strict=True):
                     at, n, whole, meets = (np.array(x.as_py() or [], np.int64) for x in lists)
                     full, meets = whole > 0, meets > 0
-                    spans.append(_covered(at[full], at[full] + n[full] - 1 + length))
+                    spans.append(_byte_ranges(d, at[full], n[full], measures))
                     left.append((at[meets], n[meets]))
                 open_ = [len(a) > 0 for a, _ in left]
                 cols = _finished(data, spans, want_text)
@@ -315,7 +365,13 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, length: int
 
     def windows(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for r, x, at, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3), strict=True):
-            yield from _windows(encode(x.as_py()), r, np.array(at.as_py()), np.array(n.as_py()), length)
+            data, at, n = encode(x.as_py()), np.array(at.as_py(), np.int64), np.array(n.as_py(), np.int64)
+            for length, flag in measures:
+                own = (at & BY_WORD) == flag
+                if own.any():
+                    for out in _windows(_units([data], flag)[0], r, at[own] - flag, n[own], length):
+                        out["at"] += np.uint32(flag)
+                        yield out
 
     n = parallelism(docs.sparkSession)
     routes = _routes(docs.sparkSession, n)
@@ -335,10 +391,10 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, length: int
         r = np.sort(np.frombuffer(b"".join(table.column("s").to_pylist()), PLACE), order=("ref", "at"))
         new = np.append(True, r["ref"][1:] != r["ref"][:-1])[: len(r)]
         starts = np.append(np.flatnonzero(new), len(r)).astype(np.int32)
-        return pa.table({"ref": r["ref"][new].copy(), "found": pa.ListArray.from_arrays(pa.array(starts), pa.array(r["at"].astype(np.int32)))})
+        return pa.table({"ref": r["ref"][new].copy(), "found": pa.ListArray.from_arrays(pa.array(starts), pa.array(r["at"].astype(np.int64)))})
 
     found = _sorted(windows, borders, few(borders, bordered.count()), "to bigint, s binary", repeated)
-    found = found.groupBy("to").applyInArrow(together, "ref bigint, found array<int>")
+    found = found.groupBy("to").applyInArrow(together, "ref bigint, found array<bigint>")
     second = bordered.select("row", "ref", "t", "starts", "ends").join(found, "ref", "left").select("row", "t", "starts", "ends", "found")
 
     def last_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,9 +403,10 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, length: int
                 batch = whole_batch.slice(i, 256)
                 data = [encode(x.as_py()) for x in batch.column(1)]
                 spans = []
-                for starts, ends, more in zip(*(batch.column(c) for c in (2, 3, 4)), strict=True):
+                for d, starts, ends, more in zip(data, *(batch.column(c) for c in (2, 3, 4)), strict=True):
                     at = np.array(more.as_py() or [], np.int64)
-                    spans.append(_covered(np.concatenate((np.array(starts.as_py(), np.int64), at)), np.concatenate((np.array(ends.as_py(), np.int64), at + length))))
+                    found = np.array(_byte_ranges(d, at, np.ones(len(at), np.int64), measures), np.int64).reshape(-1, 2)
+                    spans.append(_covered(np.concatenate((np.array(starts.as_py(), np.int64), found[:, 0])), np.concatenate((np.array(ends.as_py(), np.int64), found[:, 1]))))
                 yield pa.RecordBatch.from_arrays([batch.column(0), *_finished(data, spans, want_text)], names=["row", *(x.split()[0] for x in _OUT.split(", "))])
 
     done = first.where("not open").select("row", *(x.split()[0] for x in _OUT.split(", ")))
@@ -358,11 +415,11 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, length: int
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """One row per document: its id, n_bytes, n_removed, n_spans, kept_sha256."""
-    out = _judge(docs, [doc_id], doc_id, text, length, want_text=False)
+    out = _judge(docs, [doc_id], doc_id, text, [(length, 0)], want_text=False)
     return out.select(F.col("row")[doc_id].alias(doc_id), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, words: int = WORDS) -> DataFrame:
     """The documents with all their columns, their texts without the removed bytes (and characters cut by them); documents left empty by it go."""
-    out = _judge(docs, [c for c in docs.columns if c != text], doc_id, text, length, want_text=True).where("n_removed = 0 or kept <> ''")
+    out = _judge(docs, [c for c in docs.columns if c != text], doc_id, text, [(length, 0), (words, BY_WORD)], want_text=True).where("n_removed = 0 or kept <> ''")
     return out.select(*(F.col("kept").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns))
