@@ -162,6 +162,30 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.find_hits(odd, bench.limit(0)).where("size(starts) > 0").count() == 0
 
 
+def test_items_without_an_id_hit_as_the_sql_says(spark, tmp_path):
+    """Their passages are hit and cut; they count as one item and stay out of the digest of ids."""
+    import duckdb
+
+    from tidemark.llm.queries import ORACLES
+
+    first, second, known = (" ".join(f"{c}{i}" for i in range(12)) for c in "xyz")
+    bench = spark.createDataFrame([(None, first), (None, second), (7, known), (None, "tiny"), (8, None)], "item_id int, text string")
+    texts = [f"some words {first} more words", f"{first} and {second} {'far ' * 40}", f"{known} then {second} {'far ' * 40}", f"{known} {'far ' * 40}", "a tiny text", "nothing", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    con = duckdb.connect()
+    for name, frame in (("documents", docs), ("benchmark", bench)):
+        frame.write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    columns = "doc_id, n_words, n_hit, n_items, items_sha256, contaminated"
+    want = sorted(con.execute(f"select {columns} from ({ORACLES['op3_decontamination']})").fetchall())
+    for most in (100_000, 20):
+        got = decontaminate.hit_digest(decontaminate.find_hits(docs, bench, max_shard_words=most))
+        assert sorted(tuple(r) for r in got.select(*columns.split(", ")).collect()) == want
+    assert [w[-1] for w in want] == [True, True, True, True, True, False, False]
+    clean = dict(texts_of(decontaminate.decontaminate(docs, bench)))
+    assert first not in clean[0] + clean[1] and second not in clean[2]
+
+
 def brute_removed(texts, length):
     data = [(t or "").encode() for t in texts]
     seen = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))

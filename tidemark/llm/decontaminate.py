@@ -11,7 +11,8 @@ Items are few beside the corpus but not assumed to be: they are cut into shards
 that what is broadcast is bounded. With one shard no row is shuffled.
 
 Defined results: null or word-less texts have no words and no hits; null or word-less items have no
-windows; repeated documents are judged one by one; repeated items count once per item_id; empty
+windows; repeated documents are judged one by one; repeated items count once per item_id;
+items without an id are hit as others are, count as one item together and have no id in the list's digest; empty
 tables give empty results (no items: nothing is hit); extra columns pass through untouched.
 """
 
@@ -38,16 +39,21 @@ def words_of(text: str | None) -> list[bytes]:
     return encode(text).translate(_FOLD).split()
 
 
+def _in_order(names: set[str | None]) -> list[str | None]:
+    """Sorted names, the missing one last."""
+    return sorted(names, key=lambda x: (x is None, x or ""))
+
+
 class ItemAutomaton:
     """Generalised suffix automaton over word numbers, with the items of each state."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int = WINDOW):
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
         ends: list[set[int]] = [set()]
-        self.names = sorted({name for name, _ in items})
+        self.names = _in_order({name for name, _ in items})
         number = {name: i for i, name in enumerate(self.names)}
         short: dict[int, set[int]] = {}
         self.shortest = window
@@ -151,10 +157,10 @@ def _shards(items: DataFrame, item_id: str, text: str, window: int, most: int) -
     """One automaton after the other, each of at most about `most` words: the driver holds one shard at a time."""
     chars = items.agg(F.sum(F.length(text))).first()[0] or 0
     n = max(1, -(-chars // (2 * most)))  # a word and its end take two characters at least
-    own = items.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).where("t is not null and i is not null")
+    own = items.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).where("t is not null")
     for k in range(n):
         rows = (own if n == 1 else own.where(F.pmod(F.xxhash64("i"), F.lit(n)) == k)).distinct().toLocalIterator()
-        part: list[tuple[str, list[bytes]]] = []
+        part: list[tuple[str | None, list[bytes]]] = []
         size = 0
         for row in rows:
             words = words_of(row.t)
@@ -188,7 +194,7 @@ def _scan(docs: DataFrame, keep: list[str], items: DataFrame, text: str, item_id
                     starts.append([x for x, _ in spans])
                     ends.append([x for _, x in spans])
                     names = {matcher.names[i] for i in found}
-                    items.append(sorted(names.union(before.as_py()) if len(before) else names))
+                    items.append(_in_order(names.union(before.as_py()) if len(before) else names))
                 many = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_words, pa.int64()), pa.array(starts, many), pa.array(ends, many), pa.array(items, pa.list_(pa.string()))], names=["row", "t", "n_words", "starts", "ends", "items"])
 
@@ -199,7 +205,7 @@ def _scan(docs: DataFrame, keep: list[str], items: DataFrame, text: str, item_id
 
 
 def find_hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, max_shard_words: int = 100_000) -> DataFrame:
-    """One row per document: its id, n_words, starts and ends (word ranges hit, in order), items (sorted ids found)."""
+    """One row per document: its id, n_words, starts and ends (word ranges hit, in order), items (sorted ids found, null last for items without one)."""
     found = _scan(docs, [doc_id], items, text, item_id, item_text, window, max_shard_words)
     return found.select(F.col("row")[doc_id].alias(doc_id), "n_words", "starts", "ends", "items")
 
