@@ -113,6 +113,19 @@ def test_classifier(spark, odd, none):
     assert {r.score for r in knn_quality.classify(odd, untaught).collect()} == {0.5}
 
 
+def test_classifier_reads_long_words_whole():
+    """What follows the first 64 bytes of a word, and the first 16 signs of its shape, changes its terms."""
+    reader = knn_quality.Terms()
+    start = "aB3" * 22
+    for tail in ("", "-x-1-", "日本語、9" * 50, "aB3" * 900 + "$"):
+        whole = knn_quality._RUNS.sub(rb"\1", (start + tail).encode().translate(knn_quality._SHAPE))
+        stretches = Counter(whole[i : i + 16] for i in range(0, len(whole), 16))
+        terms = reader.weights(start + tail)
+        assert {t: w for t, w in terms.items() if b" " not in t and t[:1] != b"\n"} == {t: np.log1p(100 * c / stretches.total()) for t, c in stretches.items()}
+    assert reader.weights(start + "-x-") != reader.weights(start + "$$1")
+    assert reader.weights("a.b.c.d.e.f.g.h.1") != reader.weights("a.b.c.d.e.f.g.h.X")
+
+
 def brute_hits(text, items, window=10):
     words = decontaminate.words_of(text)
     hit, found = set(), set()

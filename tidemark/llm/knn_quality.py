@@ -1,7 +1,7 @@
 """Quality classifier: nearest-neighbour voting among labelled documents in a latent-semantic space.
 
 Terms of a document: the shapes of its words (runs of lower case, capitals, digits as one sign; other characters as they
-are), pairs of neighbouring shapes, and how its words repeat (the word before again, a word seen before, a line seen
+are; a shape of over 16 signs counts as consecutive shapes of 16), pairs of neighbouring shapes, and how its words repeat (the word before again, a word seen before, a line seen
 before). Weights are log-scaled shares times inverse document frequencies; a truncated singular value decomposition of
 the labelled sample's term matrix spans the space. The sample is bounded: the first `max_labelled` rows by hash order of
 those that `learnable` allows, which bounds all that is broadcast (documents x dimensions, terms x dimensions).
@@ -36,17 +36,22 @@ _RUNS = re.compile(rb"(.)\1+", re.S)
 
 
 class Terms:
-    """Counts the terms of texts; remembers the shapes of a bounded number of words."""
+    """Counts the terms of texts; remembers the shapes of a bounded number of words of at most 64 bytes."""
 
     def __init__(self, remember: int = 100_000):
-        self.shapes: dict[bytes, bytes] = {}
+        self.shapes: dict[bytes, list[bytes]] = {}
         self.remember = remember
 
-    def shape(self, word: bytes) -> bytes:
+    def shape(self, word: bytes) -> list[bytes]:
+        """The whole word's shape, in stretches of 16 signs."""
         if (s := self.shapes.get(word)) is None:
+            whole = _RUNS.sub(rb"\1", word.translate(_SHAPE))
+            s = [whole[i : i + 16] for i in range(0, len(whole), 16)]
+            if len(word) > 64:
+                return s
             if len(self.shapes) >= self.remember:
                 self.shapes.clear()
-            s = self.shapes[word] = _RUNS.sub(rb"\1", word[:64].translate(_SHAPE))[:16]
+            self.shapes[word] = s
         return s
 
     def weights(self, text: str | None) -> dict[bytes, float]:
@@ -55,11 +60,11 @@ class Terms:
         if not words:
             return {}
         n = len(words)
-        shapes = list(map(self.shape, words))
+        shapes = [s for stretches in map(self.shape, words) for s in stretches]
         counts = Counter(shapes)
         pairs = Counter(zip(shapes, shapes[1:], strict=False))
-        out = {s: math.log1p(100 * c / n) for s, c in counts.items()}
-        out |= {a + b" " + b: math.log1p(100 * c / n) for (a, b), c in pairs.items()}
+        out = {s: math.log1p(100 * c / len(shapes)) for s, c in counts.items()}
+        out |= {a + b" " + b: math.log1p(100 * c / len(shapes)) for (a, b), c in pairs.items()}
         lines = data.split(b"\n")
         same = sum(a == b for a, b in zip(words, words[1:], strict=False))
         three = n - 2 - len(set(zip(words, words[1:], words[2:], strict=False))) if n > 2 else 0
