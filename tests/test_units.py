@@ -376,3 +376,16 @@ def test_reports_over_time(spark):
     dst = spark.createDataFrame([("a", 1), ("b", 5), ("z", 1)], "file string, bytes bigint")
     assert {r.file: r.problem for r in curation.copy_differences(src, dst).collect()} == {"b": "size", "c": "missing", "z": "extra"}
     assert curation.empty_parquet(spark.createDataFrame([("a.parquet", 0), ("b.parquet", 1), ("c.txt", 0)], "file string, bytes bigint")).count() == 1
+
+
+def test_content_hash_equals_plain_json(spark):
+    """Control characters, quotes and backslashes, also a backslash before what looks like an escape."""
+    import hashlib
+    import json
+
+    from tidemark.functions import scalars
+
+    texts = ["plain", "".join(map(chr, range(32))), "\x1b\x1b[0m \x0b", '"\\u001B" \\\x1f \\\\u000E', "é日本", "\x7f"]
+    rows = spark.createDataFrame([(t, None) for t in texts], "a string, b string").select("a", scalars.content_hash(F.col("a"), F.col("b")).alias("h")).collect()
+    for r in rows:
+        assert r.h == hashlib.sha256(json.dumps([r.a, ""], separators=(",", ":"), ensure_ascii=False).encode()).hexdigest(), r.a

@@ -110,7 +110,10 @@ def venue_name(c: Column) -> Column:
 
 def content_hash(*fields: Column) -> Column:
     """SHA-256 of a compact JSON array of the fields, null as empty text."""
-    return F.sha2(F.to_json(F.array(*(F.coalesce(f.cast("string"), F.lit("")) for f in fields))), 256)
+    out = F.to_json(F.array(*(F.coalesce(f.cast("string"), F.lit("")) for f in fields)))
+    for code in (0x0B, 0x0E, 0x0F, *range(0x1A, 0x20)):  # control escapes in small letters, as other JSON writers have them
+        out = F.regexp_replace(out, rf"(?<!\\)((?:\\\\)*)\\u{code:04X}", rf"$1\\u{code:04x}")
+    return F.sha2(out, 256)
 
 
 def fixed10(c: Column) -> Column:
