@@ -41,8 +41,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, input_ids, and the text that they decode to."""
-    coded = piece_codec.encode(docs.select("doc_id", "text"), ids="input_ids")
-    return piece_codec.decode(coded.select("doc_id", "input_ids"), text="text").select("doc_id", F.size("input_ids").cast("bigint").alias("n_tokens"), "input_ids", "text")
+    coded = piece_codec.recode(docs.select("doc_id", "text"))
+    return coded.select("doc_id", F.size("input_ids").cast("bigint").alias("n_tokens"), "input_ids", F.col("decoded").alias("text"))
 
 
 STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("passage_dedup", passage_dedup), ("benchmark_decontamination", benchmark_decontamination), ("pieces", pieces)]

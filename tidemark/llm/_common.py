@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: `bytes.split()` splits at exactly \x20 and \x09-\x0D, so it yields the words `[^\x20\x09-\x0D]+`.
@@ -35,3 +38,18 @@ def parallelism(spark: SparkSession) -> int:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches of a task in parts of few rows; when the task ends, memory that it freed goes back to the machine.
+
+    A worker process is used again and again, and would otherwise hold the most that any of its tasks ever needed.
+    """
+    try:
+        for batch in batches:
+            for a in range(0, batch.num_rows, rows):
+                yield batch.slice(a, rows)
+    finally:
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)

@@ -8,7 +8,8 @@ window's length marks the words and, through the automaton's item sets, the item
 
 Items are few beside the corpus but not assumed to be: they are cut into shards of at most
 `max_shard_words` words (long items overlap by a window less one word), one automaton a shard, so
-that what is broadcast is bounded. With one shard no row is shuffled.
+that what is broadcast is bounded. With one shard no row is shuffled; with several, each reads the texts in tasks of
+its own, and only hits are shuffled and joined back. A very long text is held as one list of words, in one task.
 
 Defined results: null or word-less texts have no words and no hits; null or word-less items have no
 windows; repeated documents are judged one by one; repeated items count once per item_id;
@@ -19,15 +20,16 @@ tables give empty results (no items: nothing is hit); extra columns pass through
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from itertools import repeat
+from collections.abc import Callable, Iterator
+from functools import reduce
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import encode, written
+from ._common import encode, slices
 
 WINDOW = 10
 _KEEP = set(b"0123456789abcdefghijklmnopqrstuvwxyz") | set(range(0x80, 0x100))
@@ -175,38 +177,69 @@ def _shards(items: DataFrame, item_id: str, text: str, window: int, most: int) -
             yield ItemAutomaton(part, window)
 
 
-def _scan(docs: DataFrame, keep: list[str], items: DataFrame, text: str, item_id: str, item_text: str, window: int, most: int) -> DataFrame:
-    """(row: the kept columns, t: the text, n_words, starts, ends, items), one automaton after the other and no shuffle."""
+def _scan(docs: DataFrame, keep: list[str], items: DataFrame, text: str, item_id: str, item_text: str, window: int, most: int, shape: str, finish: Callable[[pa.Array, pa.Array, list[int], list[list[tuple[int, int]]], list[list[str | None]]], pa.RecordBatch]) -> DataFrame:
+    """What `finish` makes of a batch's rows (the kept columns), texts, numbers of words, hit spans and items.
+
+    One automaton is met in the task that reads the texts, and nothing is shuffled. Of several, each reads the texts in
+    tasks of its own and tells the hits of distinct texts, which then join the documents by 128-bit hashes and length.
+    """
     spark = docs.sparkSession
-    frame = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col(text).cast("string").alias("t")).withColumns({"n_words": F.lit(0).cast("bigint"), "starts": F.expr("cast(array() as array<bigint>)"), "ends": F.expr("cast(array() as array<bigint>)"), "items": F.expr("cast(array() as array<string>)")})
-    for k, automaton in enumerate(_shards(items, item_id, item_text, window, most)):
+    frame = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col(text).cast("string").alias("t"))
+    shape = f"row {frame.schema['row'].dataType.simpleString()}, {shape}"
+    shards = _shards(items, item_id, item_text, window, most)
+    first, second = next(shards), next(shards, None)
+    if second is None:
+        shared = spark.sparkContext.broadcast(first)
+
+        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches):
+                texts = [words_of(x.as_py()) for x in batch.column(1)]
+                hits = [shared.value.read(words) for words in texts]
+                names = [_in_order({shared.value.names[i] for i in found}) for _, found in hits]
+                yield finish(batch.column(0), batch.column(1), [len(words) for words in texts], [spans for spans, _ in hits], names)
+
+        return frame.mapInArrow(read, shape)
+
+    keys = {"h1": F.xxhash64("t"), "h2": F.xxhash64(F.length("t"), "t"), "n": F.length("t")}
+    found = []
+    for automaton in chain([first, second], shards):
         shared = spark.sparkContext.broadcast(automaton)
 
-        def read(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = shared.value
-            for batch in batches:
-                n_words, starts, ends, items = [], [], [], []
-                for value, a, b, before in zip(*(batch.column(i) for i in (1, 3, 4, 5)), strict=True):
-                    words = words_of(value.as_py())
-                    spans, found = matcher.read(words)
-                    spans = _merged([*zip(a.as_py(), b.as_py(), strict=True), *spans]) if len(a) else spans
-                    n_words.append(len(words))
-                    starts.append([x for x, _ in spans])
-                    ends.append([x for _, x in spans])
-                    names = {matcher.names[i] for i in found}
-                    items.append(_in_order(names.union(before.as_py()) if len(before) else names))
+        def tell(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches):
+                rows = []
+                for i, value in enumerate(batch.column(3)):
+                    spans, names = shared.value.read(words_of(value.as_py()))
+                    if spans:
+                        rows.append((i, [a for a, _ in spans], [b for _, b in spans], _in_order({shared.value.names[x] for x in names})))
+                at, starts, ends, names = zip(*rows, strict=True) if rows else ([], [], [], [])
                 many = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_words, pa.int64()), pa.array(starts, many), pa.array(ends, many), pa.array(items, pa.list_(pa.string()))], names=["row", "t", "n_words", "starts", "ends", "items"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(at, pa.int64())) for c in range(3)), pa.array(starts, many), pa.array(ends, many), pa.array(names, pa.list_(pa.string()))], names=["h1", "h2", "n", "starts", "ends", "items"])
+
+        texts = frame.select(*(c.alias(k) for k, c in keys.items()), "t")
+        found.append(texts.mapInArrow(tell, "h1 bigint, h2 bigint, n int, starts array<bigint>, ends array<bigint>, items array<string>"))
+    hits = reduce(DataFrame.unionByName, found).distinct().groupBy(*keys).agg(F.collect_list(F.struct("starts", "ends", "items")).alias("hits"))
+    joined = frame.select("row", "t", *(c.alias(k) for k, c in keys.items())).join(hits, list(keys), "left").select("row", "t", "hits")
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            hits = [x or [] for x in batch.column(2).to_pylist()]
+            spans = [_merged([s for x in own for s in zip(x["starts"], x["ends"], strict=True)]) for own in hits]
+            names = [_in_order({name for x in own for name in x["items"]}) for own in hits]
+            yield finish(batch.column(0), batch.column(1), [len(words_of(x.as_py())) for x in batch.column(1)], spans, names)
 
-        if k and k % 4 == 0:  # a worker process holds one automaton: few at a time
-            frame = written(frame)
-        frame = frame.mapInArrow(read, frame.schema)
-    return frame
+    return joined.mapInArrow(gather, shape)
 
 
 def find_hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, max_shard_words: int = 100_000) -> DataFrame:
     """One row per document: its id, n_words, starts and ends (word ranges hit, in order), items (sorted ids found, null last for items without one)."""
-    found = _scan(docs, [doc_id], items, text, item_id, item_text, window, max_shard_words)
+
+    def finish(rows: pa.Array, texts: pa.Array, n_words: list[int], spans: list[list[tuple[int, int]]], names: list[list[str | None]]) -> pa.RecordBatch:
+        many = pa.list_(pa.int64())
+        cols = [pa.array(n_words, pa.int64()), *(pa.array([[x[k] for x in own] for own in spans], many) for k in (0, 1)), pa.array(names, pa.list_(pa.string()))]
+        return pa.RecordBatch.from_arrays([rows, *cols], names=["row", "n_words", "starts", "ends", "items"])
+
+    found = _scan(docs, [doc_id], items, text, item_id, item_text, window, max_shard_words, "n_words bigint, starts array<bigint>, ends array<bigint>, items array<string>", finish)
     return found.select(F.col("row")[doc_id].alias(doc_id), "n_words", "starts", "ends", "items")
 
 
@@ -222,16 +255,16 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     A span goes from its first word's first byte to its last word's last, a line end stays in its place. What
     then meets is not read again: the line end keeps it apart for readers, and no text is put together anew.
     """
-    found = _scan(docs, [c for c in docs.columns if c != text], items, text, item_id, item_text, window, max_shard_words)
-    n_hit = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("bigint"), lambda s, x: s + x)
-    kept = found.where(n_hit <= max_coverage * F.col("n_words")).select("row", "t", "starts", "ends")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [without(value.as_py(), a.as_py(), b.as_py()) if len(a) else value.as_py() for value, a, b in zip(*(batch.column(i) for i in (1, 2, 3)), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["row", "t"])
+    def finish(rows: pa.Array, texts: pa.Array, n_words: list[int], spans: list[list[tuple[int, int]]], names: list[list[str | None]]) -> pa.RecordBatch:
+        out = texts.to_pylist()
+        for i, own in enumerate(spans):
+            if own:
+                out[i] = without(out[i], [a for a, _ in own], [b for _, b in own])
+        keep = pa.array([sum(b - a for a, b in own) <= max_coverage * n for own, n in zip(spans, n_words, strict=True)], pa.bool_())
+        return pa.RecordBatch.from_arrays([rows, pa.array(out, pa.string())], names=["row", "t"]).filter(keep)
 
-    clean = kept.mapInArrow(cut, kept.select("row", "t").schema)
+    clean = _scan(docs, [c for c in docs.columns if c != text], items, text, item_id, item_text, window, max_shard_words, "t string", finish)
     return clean.select(*(F.col("t").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns))
 
 

@@ -22,7 +22,10 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_SYMBOLS = mix(np.arange(256), 77)
+#: Values of the bytes in two independent fingerprints.
+_SYMBOLS = mix(np.arange(256), 77), mix(np.arange(256), 78)
+#: Words are hashed in stretches of about so many bytes, so that a long text takes no more memory than a short one.
+STRETCH = 1 << 18
 
 
 def _to(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -39,10 +42,14 @@ def _to(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def running(data: np.ndarray) -> np.ndarray:
-    """S for a block of bytes, or of words given by their hashes (length + 1)."""
+def running(data: np.ndarray, second: bool = False) -> np.ndarray:
+    """S for a block of bytes, or of words given by their hashes (length + 1); second: of the other fingerprint."""
     out = np.zeros(len(data) + 1, _U)
-    np.cumsum((data if data.dtype == _U else _SYMBOLS[data]) * _to(len(data) + 1)[0][: len(data)], out=out[1:])
+    if data.dtype == _U:
+        values = mix(data, 78) if second else data
+    else:
+        values = _SYMBOLS[second][data]
+    np.cumsum(values * _to(len(data) + 1)[0][: len(data)], out=out[1:])
     return out
 
 
@@ -64,7 +71,13 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     start, end = word_places(data)
     stops = np.cumsum([len(t) + 1 for t in texts]) if texts else np.zeros(0, np.int64)
     counts = np.diff(np.searchsorted(start, stops), prepend=0)
-    return ranges(running(data), start, end), counts
+    out, a = np.empty(len(start), _U), 0
+    while a < len(start):
+        first = start[a]
+        b = max(a + 1, int(np.searchsorted(end, first + STRETCH, side="right")))
+        out[a:b] = ranges(running(data[first : end[b - 1]]), start[a:b] - first, end[a:b] - first)
+        a = b
+    return out, counts
 
 
 def shingles(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import encode
+from ._common import encode, slices
 
 _SHAPE = bytes(97 if 97 <= c <= 122 or c >= 128 else 65 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c for c in range(256))
 _RUNS = re.compile(rb"(.)\1+", re.S)
@@ -111,21 +111,22 @@ class Space:
 
 
 def train(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, doc_id: str = "doc_id", text: str = "text", quality: str = "quality", max_labelled: int = 4000, max_chars: int = 40_000, dims: int = 48, max_terms: int = 6000) -> Space:
-    """Fit on the first `max_labelled` allowed label rows by hash order, of documents of at most `max_chars` characters."""
+    """Fit on the first `max_labelled` allowed labelled ids by hash order, documents of at most `max_chars` characters; of texts of one id the least."""
     known = labels.where(F.col(quality).isin(0, 1) & F.col(doc_id).isNotNull())
     if learnable is not None:
         known = known.where(learnable)
-    chosen = known.select(F.col(doc_id).alias("id"), F.col(quality).cast("int").alias("q")).orderBy(F.xxhash64("id"), "id", "q").limit(max_labelled).dropDuplicates(["id"])
+    chosen = known.select(F.col(doc_id).alias("id"), F.col(quality).cast("int").alias("q")).groupBy("id").agg(F.min("q").alias("q")).orderBy(F.xxhash64("id"), "id").limit(max_labelled)
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t")).join(F.broadcast(chosen), "id").where(F.length("t") <= max_chars)
+    rows = rows.groupBy("id").agg(F.min("t").alias("t"), F.min("q").alias("q"))  # one text an id
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Terms()
-        for batch in batches:
+        for batch in slices(batches):
             found = [reader.weights(x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([pa.array([list(r) for r in found], pa.list_(pa.binary())), pa.array([list(r.values()) for r in found], pa.list_(pa.float32())), batch.column(2), batch.column(0)], names=["terms", "weights", "q", "h"])
 
     frame = rows.select(F.xxhash64("id").alias("h"), "t", "q")
-    taught = sorted(frame.mapInArrow(terms, "terms array<binary>, weights array<float>, q int, h bigint").limit(2 * max_labelled).collect(), key=lambda r: (r.h, r.q, r.terms))
+    taught = sorted(frame.mapInArrow(terms, "terms array<binary>, weights array<float>, q int, h bigint").collect(), key=lambda r: (r.h, r.q, r.terms))
     df = Counter(bytes(t) for r in taught for t in r.terms)
     kept = sorted((t for t, n in df.items() if n > 1), key=lambda t: (-df[t], t))[:max_terms]
     number = {t: i for i, t in enumerate(kept)}
@@ -155,11 +156,9 @@ def classify(docs: DataFrame, space: Space, doc_id: str = "doc_id", text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Terms()
-        for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                score = shared.value.score([reader.weights(x.as_py()) for x in part.column(1)], k, sharpness)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32))], names=["id", "score", "predicted"])
+        for part in slices(batches):
+            score = shared.value.score([reader.weights(x.as_py()) for x in part.column(1)], k, sharpness)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32))], names=["id", "score", "predicted"])
 
     frame = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t"))
     return frame.mapInArrow(run, f"id {docs.schema[doc_id].dataType.simpleString()}, score double, predicted int").withColumnRenamed("id", doc_id)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import encode
+from ._common import encode, slices
 
 SYMBOLS = b"#*$%&|<>"
 _SPACES = b" \t\n\v\f\r"
@@ -171,20 +171,21 @@ def fit(sequences: list[tuple[np.ndarray, int]], rounds: int = 60) -> LineCrf:
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", quality: str = "quality", max_docs: int = 2000, max_lines: int = 200) -> LineCrf:
-    """Fit on a bounded sample: the first `max_docs` labelled ids by hash, documents of at most `max_lines` lines."""
-    chosen = labels.where(F.col(quality).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("id"), F.col(quality).cast("int").alias("q")).orderBy(F.xxhash64("id"), "id", "q").limit(max_docs).dropDuplicates(["id"])
-    small = (F.length("t") < 400 * max_lines) & (F.length(F.regexp_replace("t", "[^\n]", "")) < max_lines)
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).join(F.broadcast(chosen), "id").where(small)
+    """Fit on a bounded sample: the first `max_docs` labelled ids by hash, documents of at most `max_lines` lines; of texts of one id the least."""
+    chosen = labels.where(F.col(quality).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("id"), F.col(quality).cast("int").alias("q")).groupBy("id").agg(F.min("q").alias("q")).orderBy(F.xxhash64("id"), "id").limit(max_docs)
+    small = F.length(F.regexp_replace("t", "[^\n]", "")) < max_lines
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t")).join(F.broadcast(chosen), "id").where(small)
+    rows = rows.groupBy("id").agg(F.min("t").alias("t"), F.min("q").alias("q"))  # one text an id
 
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             flat = []
             for value in batch.column(0):
                 rows, _, _ = line_features(value.as_py())
-                flat.append([x for row in rows[:max_lines] for x in row])
+                flat.append([x for row in rows for x in row])
             yield pa.RecordBatch.from_arrays([pa.array(flat, pa.list_(pa.float32())), batch.column(1)], names=["f", "q"])
 
-    taught = rows.select("t", "q").mapInArrow(sequences, "f array<float>, q int").limit(2 * max_docs).collect()
+    taught = rows.select("t", "q").mapInArrow(sequences, "f array<float>, q int").collect()
     return fit(sorted(((np.array(r.f, float).reshape(-1, len(FEATURES)), r.q) for r in taught), key=lambda s: (len(s[0]), s[1], s[0].tobytes())))
 
 
@@ -196,26 +197,24 @@ def _judged(frame: DataFrame, model: LineCrf, min_share: float) -> DataFrame:
     shared = frame.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):  # keeps the lines in hand few
-                batch = whole.slice(at, 512)
-                counts, rows, sizes, lengths = [], [], [], []
-                for value in batch.column(1):
-                    text = value.as_py()
-                    counts.append(base_counts(text))
-                    more, words, _ = line_features(text)
-                    rows += more
-                    sizes += words
-                    lengths.append(len(more))
-                labels = shared.value.viterbi(np.array(rows, float).reshape(-1, len(FEATURES)), np.array(lengths, np.int64))
-                content = np.concatenate(([0], np.cumsum(np.array(sizes, np.int64) * (labels == 0))))
-                ends = np.cumsum(lengths)
-                inside = content[ends] - content[ends - lengths]
-                n, chars, symbols, dup, repeat = np.array(counts, np.int64).reshape(-1, 5).T
-                failed = (n < MIN_WORDS) | (100 * repeat > MAX_REPEAT * n)
-                share = inside / np.maximum(n, 1)
-                cols = (n, chars, symbols, dup, repeat, failed, ~failed & (share >= min_share), inside, share)
-                yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, cols)], names=["row", *(x.split()[0] for x in _VERDICT.split(", "))])
+        for batch in slices(batches):  # keeps the lines in hand few
+            counts, rows, sizes, lengths = [], [], [], []
+            for value in batch.column(1):
+                text = value.as_py()
+                counts.append(base_counts(text))
+                more, words, _ = line_features(text)
+                rows += more
+                sizes += words
+                lengths.append(len(more))
+            labels = shared.value.viterbi(np.array(rows, float).reshape(-1, len(FEATURES)), np.array(lengths, np.int64))
+            content = np.concatenate(([0], np.cumsum(np.array(sizes, np.int64) * (labels == 0))))
+            ends = np.cumsum(lengths)
+            inside = content[ends] - content[ends - lengths]
+            n, chars, symbols, dup, repeat = np.array(counts, np.int64).reshape(-1, 5).T
+            failed = (n < MIN_WORDS) | (100 * repeat > MAX_REPEAT * n)
+            share = inside / np.maximum(n, 1)
+            cols = (n, chars, symbols, dup, repeat, failed, ~failed & (share >= min_share), inside, share)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, cols)], names=["row", *(x.split()[0] for x in _VERDICT.split(", "))])
 
     return frame.mapInArrow(judge, f"row {frame.schema['row'].dataType.simpleString()}, {_VERDICT}")
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import LOWER_ASCII, encode, parallelism, written
+from ._common import LOWER_ASCII, encode, parallelism, slices, written
 from .components import components
 from .hashing import blocks, mix, shingles
 
@@ -80,21 +80,24 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(np.arange(0, (len(rows) + 1) * width, width, dtype=np.int32)), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
-def _sets(texts: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Blocks of a text column: first, last, elements, sizes, 128-bit digests of the sets (n, 2)."""
-    for first in range(0, len(texts), 256):  # few texts in hand at a time
-        data = [encode(x.as_py()).translate(LOWER_ASCII) for x in texts.slice(first, 256)]
-        for a, b in blocks(data):
-            elements, sizes = shingles(data[a:b], k)
-            at = np.cumsum(sizes) - sizes
-            both = np.zeros((b - a, 2), _U)
-            full = sizes > 0
-            for c in range(2):
-                if full.any():
-                    both[full, c] = np.add.reduceat(mix(elements, 101 + c), at[full])
-            both[:, 1] ^= sizes.astype(_U)
-            both[~full] = 0
-            yield first + a, first + b, elements, sizes, both
+def _sets(texts: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Blocks of a text column: first, last, elements, sizes. Blocks are bounded by bytes, whatever the texts' lengths."""
+    data = [encode(x.as_py()).translate(LOWER_ASCII) for x in texts]
+    for a, b in blocks(data):
+        yield a, b, *shingles(data[a:b], k)
+
+
+def _digests(elements: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """128-bit digests of sets (n, 2)."""
+    at = np.cumsum(sizes) - sizes
+    both = np.zeros((len(sizes), 2), _U)
+    full = sizes > 0
+    for c in range(2):
+        if full.any():
+            both[full, c] = np.add.reduceat(mix(elements, 101 + c), at[full])
+    both[:, 1] ^= sizes.astype(_U)
+    both[~full] = 0
+    return both
 
 
 def sets_of(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
@@ -102,8 +105,8 @@ def sets_of(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
     frame = docs.select(F.col(doc_id).alias("id"), F.xxhash64(doc_id, text).alias("ref"), F.col(text).cast("string").alias("t"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, elements, sizes, digest in _sets(batch.column(2), k):
+        for batch in slices(batches):
+            for a, b, elements, sizes in _sets(batch.column(2), k):
                 part = batch.slice(a, b - a)
                 keys = np.zeros((b - a, SLOTS // ROWS), _U)
                 grouped = signatures(elements, sizes).reshape(b - a, SLOTS // ROWS, ROWS)
@@ -111,7 +114,7 @@ def sets_of(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
                     keys = mix(keys ^ grouped[:, :, r], r)
                 keys = mix(keys + np.arange(SLOTS // ROWS, dtype=_U)).view(np.int64)
                 offsets = np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sizes), _binary(digest), pa.ListArray.from_arrays(offsets, keys.ravel())], names=["id", "ref", "n_shingles", "node", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sizes), _binary(_digests(elements, sizes)), pa.ListArray.from_arrays(offsets, keys.ravel())], names=["id", "ref", "n_shingles", "node", "bands"])
 
     return frame.mapInArrow(read, f"id {docs.schema[doc_id].dataType.simpleString()}, ref bigint, n_shingles bigint, node binary, bands array<bigint>")
 
@@ -129,9 +132,9 @@ def _verified(pairs: DataFrame, active: DataFrame, k: int, percent: int) -> Data
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros(0, _U)
-        for batch in batches:
+        for batch in slices(batches):
             u, v = [], []
-            for first, last, elements, sizes, _ in _sets(batch.column(3), k):
+            for first, last, elements, sizes in _sets(batch.column(3), k):
                 part = batch.slice(first, last - first)
                 end = 0
                 for node, home, far, size in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), sizes.tolist(), strict=True):
@@ -177,9 +180,9 @@ def _met_in_blocks(family: DataFrame, active: DataFrame, k: int, percent: int) -
                 x = parent[x]
             return x
 
-        for batch in batches:
+        for batch in slices(batches):
             u, v = [], []
-            for first, last, elements, sizes, _ in _sets(batch.column(6), k):
+            for first, last, elements, sizes in _sets(batch.column(6), k):
                 part = batch.slice(first, last - first)
                 end = 0
                 columns = zip(*(part.column(c).to_pylist() for c in range(6)), sizes.tolist(), strict=True)
@@ -220,7 +223,7 @@ def _linked(members: DataFrame, active: DataFrame, k: int, percent: int) -> Data
     centre = members.groupBy("key").agg(F.max_by("node", F.struct("w", "node")).alias("home"))
     family = written(members.join(centre, "key").select("home", "node").distinct())
     stars = family.where("home <> node").select(F.col("home").alias("a"), F.col("node").alias("b"))
-    roots = written(components(_verified(stars, active, k, percent)))
+    roots = written(components(written(_verified(stars, active, k, percent))))
     placed = family.join(roots, "node", "left").select("home", "node", F.coalesce("root", "node").alias("root"))
     more = written(_met_in_blocks(placed, active, k, percent))
     if more.limit(1).count() == 0:

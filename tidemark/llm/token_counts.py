@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import slices
 from .piece_codec import MODEL
 from .unigram import Counter, Pieces
 
@@ -27,11 +28,9 @@ def count_tokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(shared.value)
-        for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                tokens, words = counter.counts(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(tokens, pa.int64()), pa.array(words, pa.int64())], names=["id", "n_tokens", "n_pre_tokens"])
+        for part in slices(batches):
+            tokens, words = counter.counts(part.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(tokens, pa.int64()), pa.array(words, pa.int64())], names=["id", "n_tokens", "n_pre_tokens"])
 
     frame = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t"))
     out = frame.mapInArrow(run, f"id {docs.schema[doc_id].dataType.simpleString()}, n_tokens bigint, n_pre_tokens bigint")
