@@ -240,10 +240,10 @@ def test_long_texts_in_pieces(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 300)
     rng = random.Random(9)
     data = bytes(rng.choice(b"abcd") for _ in range(4000))
-    runs = np.concatenate([suffix_dedup._runs(b, 60, 40) for b in suffix_dedup._pieces([(7, data)], 60)])
+    runs = np.concatenate([suffix_dedup._runs(b, 60, 40) for b in suffix_dedup._pieces([((7, 8), data)], 60)])
     covered = sorted(x for r in runs for x in range(r["at"], r["at"] + r["n"]))
     assert covered == list(range(len(data) - 59))
-    windows = np.concatenate(list(suffix_dedup._windows(data, 7, runs["at"].astype(int), runs["n"].astype(int), 60)))
+    windows = np.concatenate(list(suffix_dedup._windows(data, (7, 8), runs["at"].astype(int), runs["n"].astype(int), 60)))
     assert sorted(windows["at"].tolist()) == covered
 
 
@@ -285,14 +285,14 @@ def test_passages_of_over_50_words_go(spark):
     assert caught not in got[0] and short in got[2] and wide not in got[4] and 6 not in got and got[7] == texts[7]
 
 
-def test_multikey_order():
+def test_multikey_quicksort():
     rng = np.random.default_rng(0)
-    for _ in range(100):
-        columns = [rng.integers(0, 4, rng.integers(1, 40)) for _ in range(1)] * 3
-        columns = [rng.permutation(c) for c in columns]
-        order = suffix_dedup.multikey_order(columns)
-        rows = list(zip(*(c[order].tolist() for c in columns), strict=True))
-        assert rows == sorted(rows)
+    for _ in range(200):
+        keys = rng.integers(0, rng.integers(1, 9), (rng.integers(0, 60), 3)).astype(np.uint64)
+        assert keys[suffix_dedup.multikey_quicksort(keys)].tolist() == sorted(keys.tolist())
+    keys = np.zeros((5000, 4), np.uint64)
+    keys[:, 3] = rng.integers(0, 1 << 63, 5000)
+    assert keys[suffix_dedup.multikey_quicksort(keys)].tolist() == sorted(keys.tolist())
 
 
 def brute_groups(rows, k, percent):

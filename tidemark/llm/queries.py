@@ -47,7 +47,8 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+    """The contract's columns are of 400-byte strings; n_passage_bytes counts repeated passages of over 50 words as well."""
+    return suffix_dedup.repeats(table(spark, sf_dir, "documents"), words=suffix_dedup.WORDS)
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

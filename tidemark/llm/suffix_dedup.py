@@ -6,13 +6,17 @@ A full suffix array would sort every byte's suffix; this one is sparse, and lose
 1. Anchors. Of each `length`-byte window, the `ANCHOR`-byte string in it of the least fingerprint (the leftmost of
    equals) is its anchor: equal windows have equal anchors at equal places. Consecutive windows of one anchor are a
    *run*. The suffixes at the anchors, about one in `(length - ANCHOR) / 2` bytes, are sorted: sampled splitters
-   range-partition them by their leading bytes, each bucket is sorted by multikey passes (leading bytes, then the
-   fingerprint of the anchor, then that of the run's whole text; a pass touches only what is still tied), and
+   range-partition them by their leading bytes, each bucket is sorted by multikey quicksort (leading bytes, then what
+   stands for the bytes after them: the fingerprint of the anchor, then two of the run's whole text), and
    neighbours are compared. Runs whose whole text has an equal are repeated throughout; runs whose anchor has no
    equal have no repeated window.
 2. The rest, at the borders of repeated passages, sorts the suffix of each of its windows in the same way, by
-   leading bytes and the fingerprint of `length` bytes; windows with an equal neighbour are repeated. Of runs
-   repeated throughout that share an anchor with the rest, each text takes part once, to be met.
+   leading bytes and two independent fingerprints of `length` bytes; windows with an equal neighbour are repeated. Of
+   runs repeated throughout that share an anchor with the rest, each text takes part once, to be met.
+
+Texts are never sent beside their suffixes to be compared byte by byte, as that would shuffle a text's bytes many times.
+Equal means equal leading bytes and 128 bits (of a run beside its anchor: 96 bits) of independent fingerprints, and a
+document is known by 96 bits of its id and text: at 10^13 suffixes a false match has a chance of about 10^-12.
 
 A group of equals may lie across a boundary, as splitters cut anywhere, hot groups included: a mapper that holds such
 a record also sends its key, once, to the group's other buckets, so neighbours are compared across boundaries.
@@ -21,7 +25,7 @@ a record also sends its key, once, to the group's other buckets, so neighbours a
 (`[^\\x20\\x09-\\x0D]+`) stand for bytes there, by their hashes, so what is between them does not count. A passage goes from its
 first word's first byte to its last word's last, and on to the edge of a text that it reaches. Both are judged on the input.
 
-Defined results: null and texts shorter than `length` have nothing removed; equal texts, repeated rows included, remove
+Defined results: very long texts are read in overlapping pieces, as if whole; null and texts shorter than `length` have nothing removed; equal texts, repeated rows included, remove
 each other wholly if long enough (no copy is spared); ids are not compared, so ties do not arise; empty tables give empty
 results; extra columns pass through `without_repeats` untouched.
 """
@@ -29,16 +33,15 @@ results; extra columns pass through `without_repeats` untouched.
 from __future__ import annotations
 
 import hashlib
-import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import encode, parallelism, written
+from ._common import encode, parallelism, slices, written
 from .hashing import _to, blocks, mix, ranges, running, word_hashes, word_places
 
 LENGTH = 400
@@ -46,34 +49,28 @@ LENGTH = 400
 WORDS = 51
 #: Added to the places that count words.
 BY_WORD = 1 << 31
-_GAP = re.compile(rb"[\x20\x09-\x0D]")
 #: Share of a window that its anchor takes: longer anchors mean more of them, but fewer windows at a border.
 ANCHOR_SHARE = 0.68
 _U = np.uint64
-#: A suffix: leading bytes, fingerprint of the anchor (or window), of the run (or 0), document, place, windows (0: a key from another bucket).
-SUFFIX = np.dtype([("lead", "<u4"), ("key", "<u8"), ("whole", "<u8"), ("ref", "<i8"), ("at", "<u4"), ("n", "<u2")])
-PLACE = np.dtype([("ref", "<i8"), ("at", "<u4")])
+#: A suffix: leading bytes; fingerprints of the anchor and of the run, and half a second one of the run (of a window: both, and 0); document; place; windows (0: a key from another bucket).
+SUFFIX = np.dtype([("lead", "<u4"), ("key", "<u8"), ("whole", "<u8"), ("check", "<u4"), ("ref", "<i8"), ("tag", "<i4"), ("at", "<u4"), ("n", "<u2")])
+_KEYS = ("lead", "key", "whole", "check")
+PLACE = np.dtype([("ref", "<i8"), ("tag", "<i4"), ("at", "<u4")])
 SEGMENT = 1 << 18
 #: The driver sorts a sample of so many suffixes: documents (or two a bucket, if that is more), and of each.
 SAMPLE_DOCS, SAMPLE_EACH = 2000, 16
+#: Buckets of suffixes a partition: several small ones each, so that no partition has many more than another.
+BUCKETS = 4
 
 
 def _units(texts: list[bytes], flag: int) -> list[bytes | np.ndarray]:
-    """What the texts' places count: bytes, or the hashes of words; long texts are hashed in stretches between words."""
+    """What the texts' places count: bytes, or the hashes of words."""
     if not flag:
         return texts
     out = []
     for first, last in blocks(texts, SEGMENT):
-        part = texts[first:last]
-        if last - first == 1:
-            cuts = [0]
-            while cuts[-1] < len(part[0]):
-                gap = _GAP.search(part[0], cuts[-1] + SEGMENT)
-                cuts.append(gap.start() if gap else len(part[0]))
-            out.append(np.concatenate([np.zeros(0, _U), *(word_hashes([part[0][a:b]])[0] for a, b in zip(cuts, cuts[1:], strict=False))]))
-        else:
-            hashes, counts = word_hashes(part)
-            out += np.split(hashes, np.cumsum(counts)[:-1])
+        hashes, counts = word_hashes(texts[first:last])
+        out += np.split(hashes, np.cumsum(counts)[:-1])
     return out
 
 
@@ -81,7 +78,10 @@ def _array(data: bytes | np.ndarray) -> np.ndarray:
     return np.frombuffer(data, np.uint8) if isinstance(data, bytes) else data
 
 
-def _pieces(values: list[tuple[int, bytes | np.ndarray]], length: int) -> Iterator[list[tuple[int, int, bytes | np.ndarray]]]:
+Ref = tuple[int, int]
+
+
+def _pieces(values: list[tuple[Ref, bytes | np.ndarray]], length: int) -> Iterator[list[tuple[Ref, int, bytes | np.ndarray]]]:
     """Blocks of (ref, offset, bytes or words); long texts in pieces that overlap by a window less one byte."""
     block, size = [], 0
     for ref, data in values:
@@ -107,7 +107,7 @@ def _lead(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def _runs(block: list[tuple[int, int, bytes | np.ndarray]], length: int, anchor: int) -> np.ndarray:
+def _runs(block: list[tuple[Ref, int, bytes | np.ndarray]], length: int, anchor: int) -> np.ndarray:
     """The anchors' suffixes of a block."""
     data = np.concatenate([_array(p) for _, _, p in block])
     sizes = np.array([len(p) for _, _, p in block])
@@ -135,13 +135,14 @@ def _runs(block: list[tuple[int, int, bytes | np.ndarray]], length: int, anchor:
     own = piece[first]
     out["lead"], out["key"] = _lead(data, place[first]), prints[place[first]]
     out["whole"] = ranges(sums, first, last - 1 + length)
-    out["ref"] = np.array([r for r, _, _ in block])[own]
+    out["check"] = ranges(running(data, second=True), first, last - 1 + length) >> _U(32)
+    out["ref"], out["tag"] = np.array([r for r, _, _ in block], np.int64).T[:, own]
     out["at"] = first - begin[own] + np.array([a for _, a, _ in block])[own]
     out["n"] = last - first
     return out
 
 
-def _windows(data: bytes | np.ndarray, ref: int, at: np.ndarray, n: np.ndarray, length: int) -> Iterator[np.ndarray]:
+def _windows(data: bytes | np.ndarray, ref: Ref, at: np.ndarray, n: np.ndarray, length: int) -> Iterator[np.ndarray]:
     """The suffixes of the windows of these runs of a text, piece by piece."""
     for a in range(0, len(data) - length + 1, SEGMENT):
         inside = (at < a + SEGMENT) & (at + n > a)
@@ -153,12 +154,14 @@ def _windows(data: bytes | np.ndarray, ref: int, at: np.ndarray, n: np.ndarray,
         out = np.zeros(len(starts), SUFFIX)
         out["lead"] = _lead(part, starts - a)
         out["key"] = ranges(running(part), starts - a, starts - a + length)
-        out["ref"], out["at"], out["n"] = ref, starts, 1
+        out["whole"] = ranges(running(part, second=True), starts - a, starts - a + length)
+        out["ref"], out["tag"] = ref
+        out["at"], out["n"] = starts, 1
         yield out
 
 
 def _keys(records: np.ndarray) -> list[tuple]:
-    return list(zip(*(records[c].tolist() for c in ("lead", "key", "whole", "ref", "at")), strict=True))
+    return list(zip(*(records[c].tolist() for c in (*_KEYS, "ref", "tag", "at")), strict=True))
 
 
 def _splitters(sample: DataFrame, buckets: int) -> list[tuple]:
@@ -185,126 +188,126 @@ def _dealt(records: np.ndarray, splitters: list[tuple]) -> Iterator[tuple[int, b
             if key[:2] in cut:
                 for other in range(bisect_left(groups, key[:2]), bisect_right(groups, key[:2]) + 1):
                     if other != b:
-                        told.setdefault(other, set()).add(key[:3])
+                        told.setdefault(other, set()).add(key[: len(_KEYS)])
     order = np.argsort(bucket, kind="stable")
     ends = np.searchsorted(bucket[order], np.arange(len(splitters) + 2))
     for b in range(len(splitters) + 1):
         more = np.zeros(len(told.get(b, ())), SUFFIX)
         if len(more):
-            for c, values in zip(("lead", "key", "whole"), zip(*told[b], strict=True), strict=True):
+            for c, values in zip(_KEYS, zip(*told[b], strict=True), strict=True):
                 more[c] = np.array(values, SUFFIX[c])
         if ends[b + 1] > ends[b] or len(more):
             yield b, records[order[ends[b] : ends[b + 1]]].tobytes() + more.tobytes()
 
 
-def multikey_order(columns: list[np.ndarray]) -> np.ndarray:
-    """Order by several keys: a pass for each key, over those only that earlier keys left tied."""
-    order = np.argsort(columns[0], kind="stable")
-    tied_with = columns[0][order]
-    group = np.concatenate(([0], np.cumsum(tied_with[1:] != tied_with[:-1])))
-    for column in columns[1:]:
-        size = np.bincount(group)
-        open_ = np.flatnonzero(size[group] > 1)
-        if not len(open_):
-            break
-        values = column[order[open_]]
-        inner = np.lexsort((values, group[open_]))
-        order[open_] = order[open_[inner]]
-        values = values[inner]
-        step = np.zeros(len(order), np.int64)
-        step[1:] = group[1:] != group[:-1]
-        same = group[open_][1:] == group[open_][:-1]
-        step[open_[1:]] |= same & (values[1:] != values[:-1])
-        group = np.cumsum(step)
+def multikey_quicksort(keys: np.ndarray) -> np.ndarray:
+    """Order of rows by their columns, by multikey quicksort: a stretch is parted by a pivot's key at one depth into less,
+    equal and greater; the equal part goes on with the next key. All open stretches are parted together, round by round."""
+    n, depths = keys.shape
+    order = np.arange(n)
+    begin, size, depth = np.array([0]), np.array([n]), np.array([0])
+    while len(begin := begin[keep := (size > 1) & (depth < depths)]):
+        size, depth = size[keep], depth[keep]
+        first = np.cumsum(size) - size
+        own = np.repeat(np.arange(len(size)), size)
+        at = np.arange(len(own)) + (begin - first)[own]
+        value = keys[order[at], depth[own]]
+        low, mid, high = value[first], value[first + size // 2], value[first + size - 1]
+        pivot = np.maximum(np.minimum(low, mid), np.minimum(np.maximum(low, mid), high))[own]
+        side = (value >= pivot).astype(np.int8) + (value > pivot)
+        counts = np.bincount(own * 3 + side, minlength=3 * len(size)).reshape(-1, 3)
+        starts = begin[:, None] + np.cumsum(counts, 1) - counts
+        moved = order[at]
+        for s in range(3):
+            inside = np.flatnonzero(side == s)
+            done = np.cumsum(counts[:, s]) - counts[:, s]
+            order[starts[own[inside], s] + np.arange(len(inside)) - done[own[inside]]] = moved[inside]
+        begin, size, depth = starts.ravel(), counts.ravel(), (depth[:, None] + np.array([0, 1, 0])).ravel()
     return order
 
 
 def _neighbours(payload: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A bucket's suffixes in order; whether each one's key, and its key and whole, has an equal."""
+    """A bucket's suffixes in order; whether each one's lead and key, and all its keys, have an equal."""
     records = np.frombuffer(b"".join(payload), SUFFIX)
-    records = records[multikey_order([records["lead"].astype(np.uint32), records["key"], records["whole"]])]
-    same = (records["lead"][1:] == records["lead"][:-1]) & (records["key"][1:] == records["key"][:-1])
-    whole = same & (records["whole"][1:] == records["whole"][:-1])
+    keys = np.stack([records[c].astype(_U) for c in _KEYS], 1)
+    order = multikey_quicksort(keys)
+    equal = keys[order[1:]] == keys[order[:-1]]
     either = lambda x: np.append(x, False) | np.insert(x, 0, False)
-    return records, either(same), either(whole)
-
-
-def _routes(spark: SparkSession, n: int) -> list[int]:
-    """For each partition of a shuffle by a bigint column, a value that goes there."""
-    rows = spark.range(40 * n).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("p")).agg(F.min("id").alias("v")).collect()
-    found = {r.p: r.v for r in rows}
-    return [found.get(p, -1 - p) for p in range(n)]
+    return records[order], either(equal[:, :2].all(1)), either(equal.all(1))
 
 
 def _sorted(packed: Callable[[pa.RecordBatch], Iterator[np.ndarray]], source: DataFrame, sample: DataFrame, shape: str, judged: Callable[[np.ndarray, np.ndarray, np.ndarray], pa.Table]) -> DataFrame:
     """Suffixes that `packed` makes of source's batches, range-partitioned, sorted and judged bucket by bucket."""
     spark = source.sparkSession
-    n = parallelism(spark)
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a in range(0, batch.num_rows, 64):
-                part = batch.slice(a, 64)
-                # at most SAMPLE_EACH suffixes a document, wherever in these documents they stand
-                out = [r[:: -(-len(r) // (SAMPLE_EACH * part.num_rows))].tobytes() for r in [np.concatenate([np.zeros(0, SUFFIX), *packed(part)])] if len(r)]
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["s"])
+        for part in slices(batches, 64):
+            # at most SAMPLE_EACH suffixes a document, wherever in these documents they stand
+            out = [r[:: -(-len(r) // (SAMPLE_EACH * part.num_rows))].tobytes() for r in [np.concatenate([np.zeros(0, SUFFIX), *packed(part)])] if len(r)]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["s"])
 
-    splitters = spark.sparkContext.broadcast((_splitters(sample.mapInArrow(some, "s binary"), n), _routes(spark, n)))
+    splitters = spark.sparkContext.broadcast(_splitters(sample.mapInArrow(some, "s binary"), BUCKETS * parallelism(spark)))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cuts, routes = splitters.value
-        for part in (batch.slice(a, 1024) for batch in batches for a in range(0, batch.num_rows, 1024)):
+        for part in slices(batches, 1024):
             made = list(packed(part))
             if made:
-                rows = list(_dealt(np.concatenate(made), cuts))
-                yield pa.RecordBatch.from_arrays([pa.array([routes[b] for b, _ in rows], pa.int64()), pa.array([b for b, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], names=["route", "bucket", "s"])
+                rows = list(_dealt(np.concatenate(made), splitters.value))
+                yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], names=["bucket", "s"])
 
     def sort(table: pa.Table) -> pa.Table:
         return judged(*_neighbours(table.column("s").to_pylist()))
 
-    return source.mapInArrow(deal, "route bigint, bucket bigint, s binary").groupBy("route").applyInArrow(sort, shape)
+    return source.mapInArrow(deal, "bucket bigint, s binary").groupBy("bucket").applyInArrow(sort, shape)
 
 
-def _covered(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
-    """The union of ranges, in order, ranges that touch as one."""
+def _covered(starts: np.ndarray, ends: np.ndarray, touching: bool = True) -> list[tuple[int, int]]:
+    """The union of ranges, in order; ranges that only touch are one if `touching`."""
     if not len(starts):
         return []
     order = np.argsort(starts, kind="stable")
     starts, reach = starts[order], np.maximum.accumulate(ends[order])
-    new = np.append(True, starts[1:] > reach[:-1])
+    new = np.append(True, starts[1:] > reach[:-1] if touching else starts[1:] >= reach[:-1])
     first = np.flatnonzero(new)
     return list(zip(starts[first].tolist(), reach[np.append(first[1:], len(starts)) - 1].tolist(), strict=True))
 
 
-def _byte_ranges(data: bytes, at: np.ndarray, n: np.ndarray, measures: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The bytes that n windows from each place cover."""
-    out = []
-    for length, flag in measures:
-        own = (at & BY_WORD) == flag
-        spans = _covered(at[own] - flag, at[own] - flag + n[own] - 1 + length)
-        if flag and spans:
-            first, last = word_places(np.frombuffer(data + b"\n", np.uint8))
-            spans = [(int(first[a]) if a else 0, int(last[b - 1]) if b < len(last) else len(data)) for a, b in spans]
-        out += spans
-    return out if len(measures) == 1 else _covered(*np.array(out, np.int64).reshape(-1, 2).T)
+def _byte_ranges(data: bytes, at: np.ndarray, n: np.ndarray, length: int, flag: int) -> list[tuple[int, int]]:
+    """The bytes that n windows of one measure from each place cover, in order."""
+    own = (at & BY_WORD) == flag
+    spans = _covered(at[own] - flag, at[own] - flag + n[own] - 1 + length, touching=not flag)  # what is between words stays between passages
+    if flag and spans:
+        first, last = word_places(np.frombuffer(data + b"\n", np.uint8))
+        spans = [(int(first[a]) if a else 0, int(last[b - 1]) if b < len(last) else len(data)) for a, b in spans]
+    return spans
 
 
-_OUT = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"
+_OUT = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, n_passage_bytes bigint, kept string"
+_NAMES = [x.split()[0] for x in _OUT.split(", ")]
 
 
-def _finished(data: list[bytes], spans: list[list[tuple[int, int]]], want_text: bool) -> list[pa.Array]:
-    kept = []
-    for d, s in zip(data, spans, strict=True):
-        edges = [0, *(x for a, b in s for x in (a, b)), len(d)]
-        kept.append(b"".join(d[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)) if s else d)
-    texts = [x.decode("utf-8", "ignore") for x in kept] if want_text else [None] * len(kept)
-    return [pa.array([len(d) for d in data], pa.int64()), pa.array([len(d) - len(k) for d, k in zip(data, kept, strict=True)], pa.int64()), pa.array([len(s) for s in spans], pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()), pa.array(texts, pa.string())]
+def _finished(data: list[bytes], marks: list[tuple[np.ndarray, np.ndarray]], measures: list[tuple[int, int]], want_text: bool) -> list[pa.Array]:
+    """The columns of _OUT; marks: places and numbers of repeated windows. Counts and hash are of the first measure, n_passage_bytes and text of all."""
+    removed, passages, sums, texts, n_spans = [], [], [], [], []
+    for d, (at, n) in zip(data, marks, strict=True):
+        spans = [_byte_ranges(d, at, n, *m) for m in measures] if len(at) else [[]]
+        every = _covered(*np.array([x for s in spans for x in s], np.int64).reshape(-1, 2).T)
+        chosen = every if want_text else spans[0]
+        edges = [0, *(x for s in chosen for x in s), len(d)]
+        kept = b"".join(d[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)) if chosen else d
+        removed.append(sum(b - a for a, b in spans[0]))
+        passages.append(sum(b - a for a, b in every))
+        n_spans.append(len(spans[0]))
+        sums.append(None if want_text else hashlib.sha256(kept).hexdigest())
+        texts.append(kept.decode("utf-8", "ignore") if want_text else None)
+    whole = pa.int64()
+    return [pa.array([len(d) for d in data], whole), pa.array(removed, whole), pa.array(n_spans, whole), pa.array(sums, pa.string()), pa.array(passages, whole), pa.array(texts, pa.string())]
 
 
 def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, measures: list[tuple[int, int]], want_text: bool) -> DataFrame:
-    """(row: the kept columns, n_bytes, n_removed, n_spans, kept_sha256, kept: the text without repeats). measures: (length, 0 or BY_WORD)."""
-    ref = F.xxhash64(doc_id, text)
-    texts = docs.select(ref.alias("ref"), F.col(text).cast("string").alias("t"))
+    """(row: the kept columns, and _OUT's; a hash or else the text without repeats). measures: (length, 0 or BY_WORD)."""
+    ref, tag = F.xxhash64(doc_id, text).alias("ref"), F.hash(text, doc_id).alias("tag")
+    texts = docs.select(ref, tag, F.col(text).cast("string").alias("t"))
     count = docs.count()
 
     def few(frame: DataFrame, n: int) -> DataFrame:
@@ -313,7 +316,8 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, measures: l
     def anchors(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for first in range(0, batch.num_rows, 256):  # few texts in hand at a time
             part = batch.slice(first, 256)
-            refs, data = part.column(0).to_pylist(), [encode(x.as_py()) for x in part.column(1)]
+            refs = list(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True))
+            data = [encode(x.as_py()) for x in part.column(2)]
             for length, flag in measures:
                 for block in _pieces(list(zip(refs, _units(data, flag), strict=True)), length):
                     out = _runs(block, length, max(4, int(length * ANCHOR_SHARE)))
@@ -322,104 +326,97 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, measures: l
 
     def runs(records: np.ndarray, same: np.ndarray, whole: np.ndarray) -> pa.Table:
         """Runs whose anchor has an equal. Of a group with runs that are not repeated throughout, each text that is goes on too, once, for their windows to meet."""
-        fresh = np.append(True, (records["key"][1:] != records["key"][:-1]) | (records["lead"][1:] != records["lead"][:-1]))[: len(records)]
+        differs = lambda *names: np.append(True, np.any([records[c][1:] != records[c][:-1] for c in names], 0))[: len(records)]
+        fresh = differs("lead", "key")
         group = np.cumsum(fresh) - 1
         mixed = np.bincount(group, weights=~whole | (records["n"] == 0)) > 0
         real = np.flatnonzero(records["n"] > 0)
-        kind = np.cumsum(fresh | np.append(True, records["whole"][1:] != records["whole"][:-1])[: len(records)])
+        kind = np.cumsum(differs(*_KEYS))
         first = np.zeros(len(records), bool)
         first[real[np.append(True, kind[real][1:] != kind[real][:-1])[: len(real)]]] = True
         found = same & (records["n"] > 0)
         r = records[found]
-        return pa.table({"ref": r["ref"].copy(), "at": r["at"].astype(np.int64), "n": r["n"].astype(np.int64), "whole": whole[found], "meets": (~whole | (first & mixed[group]))[found]})
+        return pa.table({"ref": r["ref"].copy(), "tag": r["tag"].copy(), "at": r["at"].astype(np.int64), "n": r["n"].astype(np.int64), "whole": whole[found], "meets": (~whole | (first & mixed[group]))[found]})
 
-    marks = _sorted(anchors, texts, few(texts, count), "ref bigint, at bigint, n bigint, whole boolean, meets boolean", runs)
+    marks = _sorted(anchors, texts, few(texts, count), "ref bigint, tag int, at bigint, n bigint, whole boolean, meets boolean", runs)
     # a document's runs: in one list, as the document is in one row itself
-    marks = marks.distinct().groupBy("ref").agg(F.collect_list(F.struct("at", "n", "whole", "meets")).alias("m"))
+    marks = marks.distinct().groupBy("ref", "tag").agg(F.collect_list(F.struct("at", "n", "whole", "meets")).alias("m"))
     row = F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row")
-    joined = docs.select(row, ref.alias("ref"), F.col(text).cast("string").alias("t")).join(marks, "ref", "left").select("row", "ref", "t", "m.at", "m.n", "m.whole", "m.meets")
+    joined = docs.select(row, ref, tag, F.col(text).cast("string").alias("t")).join(marks, ["ref", "tag"], "left").select("row", "ref", "tag", "t", "m.at", "m.n", "m.whole", "m.meets")
+    lists = ("full_at", "full_n", "at", "n")  # windows known as repeated, and those that have yet to meet others
 
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole_batch in batches:
-            for i in range(0, whole_batch.num_rows, 256):
-                batch = whole_batch.slice(i, 256)
-                data = [encode(x.as_py()) for x in batch.column(2)]
-                spans, left = [], []
-                for d, *lists in zip(data, *(batch.column(c) for c in (3, 4, 5, 6)), strict=True):
-                    at, n, whole, meets = (np.array(x.as_py() or [], np.int64) for x in lists)
-                    full, meets = whole > 0, meets > 0
-                    spans.append(_byte_ranges(d, at[full], n[full], measures))
-                    left.append((at[meets], n[meets]))
-                open_ = [len(a) > 0 for a, _ in left]
-                cols = _finished(data, spans, want_text)
-                text_left = pa.array([x if o else None for x, o in zip(batch.column(2).to_pylist(), open_, strict=True)], pa.string())
-                many = pa.list_(pa.int64())
-                extra = [pa.array([x if o else None for x, o in zip(v, open_, strict=True)], many) for v in ([a.tolist() for a, _ in left], [n.tolist() for _, n in left], [[x for x, _ in s] for s in spans], [[x for _, x in s] for s in spans])]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols, pa.array(open_), text_left, *extra], names=["row", "ref", *(x.split()[0] for x in _OUT.split(", ")), "open", "t", "at", "n", "starts", "ends"])
+        for batch in slices(batches):
+            known, rest = [], []
+            for own in zip(*(batch.column(c) for c in ("at", "n", "whole", "meets")), strict=True):
+                at, n, whole, meets = (np.array(x.as_py() or [], np.int64) for x in own)
+                known.append((at[whole > 0], n[whole > 0]))
+                rest.append((at[meets > 0], n[meets > 0]))
+            done = pa.array([len(a) == 0 for a, _ in rest], pa.bool_())
+            data = [encode(x.as_py()) if d.as_py() else b"" for x, d in zip(batch.column(3), done, strict=True)]
+            cols = _finished(data, [k if len(a) == 0 else (a[:0], a[:0]) for k, (a, _) in zip(known, rest, strict=True)], measures, want_text)
+            many = [pa.array([None if d.as_py() else v.tolist() for v, d in zip(own, done, strict=True)], pa.list_(pa.int64())) for own in ([a for a, _ in known], [n for _, n in known], [a for a, _ in rest], [n for _, n in rest])]
+            texts = pa.array([None if d.as_py() else x for x, d in zip(batch.column(3).to_pylist(), done, strict=True)], pa.string())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(3)), *cols, done, texts, *many], names=["row", "ref", "tag", *_NAMES, "done", "t", *lists])
 
     kind = joined.schema["row"].dataType.simpleString()
-    lists = ", ".join(f"{c} array<bigint>" for c in ("at", "n", "starts", "ends"))
-    first = written(joined.mapInArrow(first_pass, f"row {kind}, ref bigint, {_OUT}, open boolean, t string, {lists}"))
-    bordered = first.where("open")
-    borders = bordered.select("ref", "t", "at", "n")
+    first = written(joined.mapInArrow(first_pass, f"row {kind}, ref bigint, tag int, {_OUT}, done boolean, t string, {', '.join(f'{c} array<bigint>' for c in lists)}"))
+    bordered = first.where("not done")
+    borders = bordered.select("ref", "tag", "t", "at", "n")
 
     def windows(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for r, x, at, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3), strict=True):
+        for ref, tag, x, at, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), *(batch.column(c) for c in (2, 3, 4)), strict=True):
             data, at, n = encode(x.as_py()), np.array(at.as_py(), np.int64), np.array(n.as_py(), np.int64)
             for length, flag in measures:
                 own = (at & BY_WORD) == flag
                 if own.any():
-                    for out in _windows(_units([data], flag)[0], r, at[own] - flag, n[own], length):
+                    for out in _windows(_units([data], flag)[0], (ref, tag), at[own] - flag, n[own], length):
                         out["at"] += np.uint32(flag)
                         yield out
 
-    n = parallelism(docs.sparkSession)
-    routes = _routes(docs.sparkSession, n)
+    places = BUCKETS * parallelism(docs.sparkSession)
 
     def repeated(records: np.ndarray, same: np.ndarray, whole: np.ndarray) -> pa.Table:
         """Repeated windows, packed by where their document is to be put together: a row a destination, not a document."""
-        r = records[same & (records["n"] > 0)][["ref", "at"]]
-        to = (mix(r["ref"].copy().view(_U)) % _U(n)).astype(np.int64)
+        r = records[whole & (records["n"] > 0)][["ref", "tag", "at"]]
+        to = (mix(r["ref"].copy().view(_U)) % _U(places)).astype(np.int64)
         order = np.argsort(to, kind="stable")
-        ends = np.searchsorted(to[order], np.arange(n + 1))
-        full = [k for k in range(n) if ends[k + 1] > ends[k]]
+        ends = np.searchsorted(to[order], np.arange(places + 1))
+        full = [k for k in range(places) if ends[k + 1] > ends[k]]
         place = np.zeros(len(r), PLACE)
-        place["ref"], place["at"] = r["ref"][order], r["at"][order]
-        return pa.table({"to": pa.array([routes[k] for k in full], pa.int64()), "s": pa.array([place[ends[k] : ends[k + 1]].tobytes() for k in full], pa.binary())})
+        for c in PLACE.names:
+            place[c] = r[c][order]
+        return pa.table({"to": pa.array(full, pa.int64()), "s": pa.array([place[ends[k] : ends[k + 1]].tobytes() for k in full], pa.binary())})
 
     def together(table: pa.Table) -> pa.Table:
-        r = np.sort(np.frombuffer(b"".join(table.column("s").to_pylist()), PLACE), order=("ref", "at"))
-        new = np.append(True, r["ref"][1:] != r["ref"][:-1])[: len(r)]
+        r = np.sort(np.frombuffer(b"".join(table.column("s").to_pylist()), PLACE), order=PLACE.names)
+        new = np.append(True, (r["ref"][1:] != r["ref"][:-1]) | (r["tag"][1:] != r["tag"][:-1]))[: len(r)]
         starts = np.append(np.flatnonzero(new), len(r)).astype(np.int32)
-        return pa.table({"ref": r["ref"][new].copy(), "found": pa.ListArray.from_arrays(pa.array(starts), pa.array(r["at"].astype(np.int64)))})
+        return pa.table({"ref": r["ref"][new].copy(), "tag": r["tag"][new].copy(), "found": pa.ListArray.from_arrays(pa.array(starts), pa.array(r["at"].astype(np.int64)))})
 
     found = _sorted(windows, borders, few(borders, bordered.count()), "to bigint, s binary", repeated)
-    found = found.groupBy("to").applyInArrow(together, "ref bigint, found array<bigint>")
-    second = bordered.select("row", "ref", "t", "starts", "ends").join(found, "ref", "left").select("row", "t", "starts", "ends", "found")
+    found = found.groupBy("to").applyInArrow(together, "ref bigint, tag int, found array<bigint>")
+    second = bordered.select("row", "ref", "tag", "t", "full_at", "full_n").join(found, ["ref", "tag"], "left").select("row", "t", "full_at", "full_n", "found")
 
     def last_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole_batch in batches:
-            for i in range(0, whole_batch.num_rows, 256):
-                batch = whole_batch.slice(i, 256)
-                data = [encode(x.as_py()) for x in batch.column(1)]
-                spans = []
-                for d, starts, ends, more in zip(data, *(batch.column(c) for c in (2, 3, 4)), strict=True):
-                    at = np.array(more.as_py() or [], np.int64)
-                    found = np.array(_byte_ranges(d, at, np.ones(len(at), np.int64), measures), np.int64).reshape(-1, 2)
-                    spans.append(_covered(np.concatenate((np.array(starts.as_py(), np.int64), found[:, 0])), np.concatenate((np.array(ends.as_py(), np.int64), found[:, 1]))))
-                yield pa.RecordBatch.from_arrays([batch.column(0), *_finished(data, spans, want_text)], names=["row", *(x.split()[0] for x in _OUT.split(", "))])
+        for batch in slices(batches):
+            marks = []
+            for own in zip(*(batch.column(c) for c in (2, 3, 4)), strict=True):
+                at, n, more = (np.array(x.as_py() or [], np.int64) for x in own)
+                marks.append((np.concatenate((at, more)), np.concatenate((n, np.ones(len(more), np.int64)))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *_finished([encode(x.as_py()) for x in batch.column(1)], marks, measures, want_text)], names=["row", *_NAMES])
 
-    done = first.where("not open").select("row", *(x.split()[0] for x in _OUT.split(", ")))
-    return done.unionByName(second.mapInArrow(last_pass, f"row {kind}, {_OUT}"))
+    return first.where("done").select("row", *_NAMES).unionByName(second.mapInArrow(last_pass, f"row {kind}, {_OUT}"))
 
 
-def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """One row per document: its id, n_bytes, n_removed, n_spans, kept_sha256."""
-    out = _judge(docs, [doc_id], doc_id, text, [(length, 0)], want_text=False)
-    return out.select(F.col("row")[doc_id].alias(doc_id), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, words: int | None = None) -> DataFrame:
+    """One row per document: its id, n_bytes, n_removed, n_spans, kept_sha256; with `words`, n_passage_bytes too: the bytes that `without_repeats` would take out."""
+    measures = [(length, 0)] + ([(words, BY_WORD)] if words else [])
+    out = _judge(docs, [doc_id], doc_id, text, measures, want_text=False)
+    return out.select(F.col("row")[doc_id].alias(doc_id), "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["n_passage_bytes"] if words else []))
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, words: int = WORDS) -> DataFrame:
     """The documents with all their columns, their texts without the removed bytes (and characters cut by them); documents left empty by it go."""
-    out = _judge(docs, [c for c in docs.columns if c != text], doc_id, text, [(length, 0), (words, BY_WORD)], want_text=True).where("n_removed = 0 or kept <> ''")
+    out = _judge(docs, [c for c in docs.columns if c != text], doc_id, text, [(length, 0), (words, BY_WORD)], want_text=True).where("n_passage_bytes = 0 or kept <> ''")
     return out.select(*(F.col("kept").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns))
