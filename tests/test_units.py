@@ -389,3 +389,19 @@ def test_content_hash_equals_plain_json(spark):
     rows = spark.createDataFrame([(t, None) for t in texts], "a string, b string").select("a", scalars.content_hash(F.col("a"), F.col("b")).alias("h")).collect()
     for r in rows:
         assert r.h == hashlib.sha256(json.dumps([r.a, ""], separators=(",", ":"), ensure_ascii=False).encode()).hexdigest(), r.a
+
+
+def test_runs_without_events(spark, trade_schema, depth_schema):
+    """A run that has no events at all is scored, and not replayable."""
+    runs = spark.createDataFrame([("empty",)], "run string")
+    trades = spark.createDataFrame([], trade_schema).withColumn("run", F.lit("x")).withColumn("n", F.lit(1))
+    updates = spark.createDataFrame([], depth_schema).withColumn("run", F.lit("x")).withColumn("n", F.lit(1)).withColumn("update_id", F.lit(1))
+    anchors = spark.createDataFrame([("empty", 5)], "run string, snapshot_last_update_id bigint")
+    made = {
+        "trades": verdicts.trades(trades, ["run"], ["n"], runs=runs), "timed": verdicts.trades_stream(trades, ["run"], ["n"], runs=runs), "funding": verdicts.funding(trades, ["run"], ["n"], runs=runs),
+        "depth": verdicts.depth(updates, ["run"], ["n"], anchors, runs=runs), "stream": verdicts.depth_stream(updates, ["run"], ["n"], "dense", runs=runs), "plain": verdicts.depth_stream(updates, ["run"], ["n"], runs=runs),
+    }
+    for name, out in made.items():
+        row = out.collect()[0]
+        assert (row.run, row.event_count, row.replayable) == ("empty", 0, False), name
+        assert row.findings == (["no_events", "no_snapshot_anchor"] if name in ("stream", "plain") else ["no_events"]), name

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import heapq
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,41 +41,86 @@ def top_levels(levels: DataFrame, keys: list[str], n: int = 5) -> DataFrame:
     return out.withColumn("spread", _C("best_ask") - _C("best_bid"))
 
 
-def fold(updates: DataFrame, keys: list[str], order: str, depth: int | None = None, top: int = 10) -> DataFrame:
+def _flat(table: pa.Table, column: str) -> tuple[list[int], list[float], list[float]]:
+    """Ends of each event's levels, and all prices and sizes in a row."""
+    lists = table.column(column)
+    levels = lists.combine_chunks().flatten() if lists.num_chunks != 1 else lists.chunk(0).flatten()
+    ends = np.cumsum(lists.combine_chunks().value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    return [0, *ends.tolist()], levels.field("price").to_pylist(), levels.field("size").to_pylist()
+
+
+def _events(table: pa.Table, order: list[str]):
+    """Each event in order: whether it is a snapshot, and its bids and asks as (price, size) pairs."""
+    table = table.sort_by([(c, "ascending") for c in order])
+    sides = [_flat(table, c) for c in ("bids", "asks")]
+    for i, event in enumerate(table.column("event_type").to_pylist()):
+        yield event == "snapshot", [list(zip(prices[ends[i] : ends[i + 1]], sizes[ends[i] : ends[i + 1]], strict=True)) for ends, prices, sizes in sides]
+
+
+def _apply(book: dict[float, float], snapshot: bool, levels: list[tuple[float, float]]) -> None:
+    if snapshot:
+        book.clear()
+        book.update((p, s) for p, s in levels if s > 0)
+        return
+    for p, s in levels:
+        if s == 0:
+            book.pop(p, None)
+        else:
+            book[p] = s
+
+
+def fold(updates: DataFrame, keys: list[str], order: str | list[str], depth: int | None = None, top: int = 10) -> DataFrame:
     """(keys, book, order, best_bid, best_ask, top_bids, top_asks) after every event, one sub-book a group.
 
     A depth bounds the book after each event: a level that falls out does not come back. updates: with `book`; a group is
-    one anchored sub-book of one run, which a run's length bounds.
+    one anchored sub-book of one run, which a run's length bounds. `best_prices` is cheaper where best prices are enough.
     """
-    kind = {c: updates.schema[c].dataType.simpleString() for c in [*keys, "book", order]}
+    order = [order] if isinstance(order, str) else order
+    kind = {c: updates.schema[c].dataType.simpleString() for c in [*keys, "book", *order]}
     level = "array<struct<price:double,size:double>>"
     shape = ", ".join(f"{c} {t}" for c, t in kind.items()) + f", best_bid double, best_ask double, top_bids {level}, top_asks {level}"
     pairs = pa.list_(pa.struct([("price", pa.float64()), ("size", pa.float64())]))
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by(order)
         books: tuple[dict, dict] = ({}, {})
-        rows: list[tuple] = []
-        for event, bids, asks in zip(*(table.column(c).to_pylist() for c in ("event_type", "bids", "asks")), strict=True):
-            for side, (book, levels) in enumerate(zip(books, (bids, asks), strict=True)):
-                if event == "snapshot":
-                    book.clear()
-                    book.update((x["price"], x["size"]) for x in levels or () if x["size"] > 0)
-                else:
-                    for x in levels or ():
-                        if x["size"] == 0:
-                            book.pop(x["price"], None)
-                        else:
-                            book[x["price"]] = x["size"]
+        tops: list[list] = [[], []]
+        for snapshot, sides in _events(table, order):
+            for side, (book, levels) in enumerate(zip(books, sides, strict=True)):
+                _apply(book, snapshot, levels)
                 if depth is not None and len(book) > depth:
                     for price in sorted(book, reverse=side == 0)[depth:]:
                         del book[price]
-            bid, ask = sorted(books[0], reverse=True)[:top], sorted(books[1])[:top]
-            rows.append((max(books[0], default=None), min(books[1], default=None), [(p, books[0][p]) for p in bid], [(p, books[1][p]) for p in ask]))
-        cols = list(zip(*rows, strict=True))
-        made = [pa.array(c, t) for c, t in zip(cols, (pa.float64(), pa.float64(), pairs, pairs), strict=True)]
-        return pa.Table.from_arrays([*(table.column(c).combine_chunks() for c in kind), *made], names=[*kind, "best_bid", "best_ask", "top_bids", "top_asks"])
+                best = heapq.nlargest(top, book) if side == 0 else heapq.nsmallest(top, book)
+                tops[side].append([(p, book[p]) for p in best])
+        table = table.sort_by([(c, "ascending") for c in order])
+        ends = [pa.array([x[0][0] if x else None for x in side], pa.float64()) for side in tops]
+        return pa.Table.from_arrays([*(table.column(c).combine_chunks() for c in kind), *ends, *(pa.array(side, pairs) for side in tops)], names=[*kind, "best_bid", "best_ask", "top_bids", "top_asks"])
+
+    return updates.select(*kind, "event_type", "bids", "asks").groupBy(*keys, "book").applyInArrow(run, shape)
 
+
+def best_prices(updates: DataFrame, keys: list[str], order: str | list[str]) -> DataFrame:
+    """(keys, book, order, best_bid, best_ask) after every event, one sub-book a group: a heap a side, whose dead prices go when they surface."""
+    order = [order] if isinstance(order, str) else order
+    kind = {c: updates.schema[c].dataType.simpleString() for c in [*keys, "book", *order]}
+
+    def run(table: pa.Table) -> pa.Table:
+        books, heaps, out = ({}, {}), ([], []), ([], [])
+        for snapshot, sides in _events(table, order):
+            for sign, book, heap, best, levels in zip((-1, 1), books, heaps, out, sides, strict=True):
+                if snapshot:
+                    heap.clear()
+                for p, _ in levels:
+                    if snapshot or p not in book:
+                        heapq.heappush(heap, sign * p)
+                _apply(book, snapshot, levels)
+                while heap and sign * heap[0] not in book:
+                    heapq.heappop(heap)
+                best.append(sign * heap[0] if heap else None)
+        table = table.sort_by([(c, "ascending") for c in order])
+        return pa.Table.from_arrays([*(table.column(c).combine_chunks() for c in kind), *(pa.array(x, pa.float64()) for x in out)], names=[*kind, "best_bid", "best_ask"])
+
+    shape = ", ".join(f"{c} {t}" for c, t in kind.items()) + ", best_bid double, best_ask double"
     return updates.select(*kind, "event_type", "bids", "asks").groupBy(*keys, "book").applyInArrow(run, shape)
 
 

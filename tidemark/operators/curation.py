@@ -120,6 +120,12 @@ def lane_views(days: DataFrame, lane: str = "lane", day: str = "day") -> DataFra
     return out.withColumn("gap_detection", F.coalesce(F.get(F.array(*map(F.lit, CLASSES)), _C("__w") - 1), F.lit("unknown"))).drop("__w")
 
 
+def ordered_lanes(lanes: DataFrame) -> DataFrame:
+    """Lanes (a row each, so few) by venue, dataset and instrument, those without one first, with their place in that order."""
+    order = ["venue", "dataset", F.coalesce("instrument", F.lit(""))]
+    return lanes.withColumn("place", F.row_number().over(Window.orderBy(*order)).cast("bigint")).orderBy("place")
+
+
 def lane_summary(lanes: DataFrame) -> DataFrame:
     """lanes: lane, venue, dataset and the columns of `lane_views` -> one row of totals."""
     total = lambda c: F.sum(c).cast("bigint").alias(c)

@@ -301,7 +301,9 @@ def text_items(frames: DataFrame) -> DataFrame:
     df = frames.withColumn("p", F.from_json("payload", schema))
     own = lambda k: F.when(~S.blank(_C(f"p.{k}")), _C(f"p.{k}"))
     missing = F.array_compact(F.array(F.when(own("source_id").isNull(), F.lit("missing_source_id")), F.when(own("content_hash").isNull(), F.lit("missing_content_hash")), F.when(_C("p.raw_item").isNull(), F.lit("missing_raw_item"))))
-    created = _C("p.created_utc").try_cast("double")
+    # a JSON number only: text that looks like one is no claim
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json("payload"), "$.created_utc", "variant"))
+    created = F.when(kind.rlike("^(BIGINT|DOUBLE|DECIMAL)"), _C("p.created_utc").try_cast("double"))
     claim = F.when(created.isNotNull(), F.timestamp_micros((created * 1e6).cast("bigint"))).otherwise(S.source_timestamp(own("source_ts_raw")))
     raw_claim = F.when(created.isNull(), own("source_ts_raw"))
     meta = F.struct(raw_claim.alias("source_ts_raw"), (raw_claim.isNotNull() & claim.isNull()).alias("source_ts_unparseable"), own("listing").alias("listing"), F.coalesce("p.poll", F.lit("{}")).alias("poll"), missing.alias("parse_errors"))

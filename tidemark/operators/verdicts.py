@@ -2,6 +2,7 @@
 
 keys: the run (such as lane and run_id); order: the columns that put its events in order. All windows of a verdict
 share one partitioning and order, so a run is exchanged and sorted once, and the aggregate reuses that exchange.
+With `runs` (all run keys) runs without events get a row too: counts of 0, the finding `no_events`, not replayable.
 """
 
 from __future__ import annotations
@@ -32,7 +33,12 @@ def _common(df: DataFrame, order: list[str]) -> list[Column]:
     return [_first(c, order).alias(c) for c in ("source", "product") if c in df.columns]
 
 
-def trades(events: DataFrame, keys: list[str], order: list[str], max_skew_ms: float = MAX_SKEW_MS) -> DataFrame:
+def _every_run(out: DataFrame, keys: list[str], runs: DataFrame | None) -> DataFrame:
+    counts = [c for c in out.columns if c.endswith("_count") or c.startswith("applied_") or c == "trade_id_gap_total_missing"]
+    return out if runs is None else runs.select(*keys).distinct().join(out, keys, "left").fillna(0, counts)
+
+
+def trades(events: DataFrame, keys: list[str], order: list[str], max_skew_ms: float = MAX_SKEW_MS, runs: DataFrame | None = None) -> DataFrame:
     """Runs with a dense trade id: gaps, order, duplicates (tolerated), prices, sizes, clock skew."""
     w = before(keys, order)
     e = events.withColumn("id", F.coalesce("sequence", _C("trade_id").try_cast("bigint")))
@@ -53,11 +59,12 @@ def trades(events: DataFrame, keys: list[str], order: list[str], max_skew_ms: fl
         F.count_if(_C("skew") > max_skew_ms).alias("excessive_clock_skew_count"),
         F.max("skew").alias("max_clock_skew_ms"),
     )
-    bad = _findings((_C("non_monotonic_count") > 0, "non_monotonic_trade_ids"), (_C("trade_id_gap_count") > 0, "trade_id_gaps"), (_C("invalid_price_count") > 0, "invalid_prices"), (_C("invalid_size_count") > 0, "invalid_sizes"), (_C("excessive_clock_skew_count") > 0, "excessive_clock_skew"), (_C("missing_trade_id_count") > 0, "missing_trade_ids"))
+    out = _every_run(out, keys, runs)
+    bad = _findings((_C("event_count") == 0, "no_events"), (_C("non_monotonic_count") > 0, "non_monotonic_trade_ids"), (_C("trade_id_gap_count") > 0, "trade_id_gaps"), (_C("invalid_price_count") > 0, "invalid_prices"), (_C("invalid_size_count") > 0, "invalid_sizes"), (_C("excessive_clock_skew_count") > 0, "excessive_clock_skew"), (_C("missing_trade_id_count") > 0, "missing_trade_ids"))
     return out.withColumns({"mode": F.lit("trade_stream"), "gap_detection": F.lit("sequence"), "findings": bad}).withColumn("replayable", F.size("findings") == 0)
 
 
-def _timed(events: DataFrame, keys: list[str], order: list[str], mode: str, price: str, sized: bool, max_skew_ms: float) -> DataFrame:
+def _timed(events: DataFrame, keys: list[str], order: list[str], mode: str, price: str, sized: bool, max_skew_ms: float, runs: DataFrame | None) -> DataFrame:
     w = before(keys, order)
     e = events.withColumns({"early": _C("exchange_time") < F.max("exchange_time").over(w), "skew": F.abs(skew_ms(_C("received_at"), _C("exchange_time")))})
     sizes = F.count_if(~finite_positive(_C("size"))) if sized else F.lit(0).cast("bigint")
@@ -71,21 +78,22 @@ def _timed(events: DataFrame, keys: list[str], order: list[str], mode: str, pric
         F.count_if(_C("skew") > max_skew_ms).alias("excessive_clock_skew_count"),
         F.max("skew").alias("max_clock_skew_ms"),
     )
-    bad = _findings((_C("non_monotonic_count") > 0, "non_monotonic_event_time"), (_C("invalid_price_count") > 0, price), (_C("invalid_size_count") > 0, "invalid_sizes"), (_C("excessive_clock_skew_count") > 0, "excessive_clock_skew"))
+    out = _every_run(out, keys, runs)
+    bad = _findings((_C("event_count") == 0, "no_events"), (_C("non_monotonic_count") > 0, "non_monotonic_event_time"), (_C("invalid_price_count") > 0, price), (_C("invalid_size_count") > 0, "invalid_sizes"), (_C("excessive_clock_skew_count") > 0, "excessive_clock_skew"))
     return out.withColumns({"mode": F.lit(mode), "gap_detection": F.lit("none_native"), "findings": bad}).withColumn("replayable", F.size("findings") == 0)
 
 
-def trades_stream(events: DataFrame, keys: list[str], order: list[str], max_skew_ms: float = MAX_SKEW_MS) -> DataFrame:
+def trades_stream(events: DataFrame, keys: list[str], order: list[str], max_skew_ms: float = MAX_SKEW_MS, runs: DataFrame | None = None) -> DataFrame:
     """Runs without ids: time against the running maximum, prices, sizes, skew."""
-    return _timed(events, keys, order, "trade_stream_none_native", "invalid_prices", True, max_skew_ms)
+    return _timed(events, keys, order, "trade_stream_none_native", "invalid_prices", True, max_skew_ms, runs)
 
 
-def funding(events: DataFrame, keys: list[str], order: list[str], max_skew_ms: float = MAX_SKEW_MS) -> DataFrame:
+def funding(events: DataFrame, keys: list[str], order: list[str], max_skew_ms: float = MAX_SKEW_MS, runs: DataFrame | None = None) -> DataFrame:
     """Funding runs: as those without ids, and sizes do not matter."""
-    return _timed(events, keys, order, "funding_none_native", "invalid_mark_price", False, max_skew_ms)
+    return _timed(events, keys, order, "funding_none_native", "invalid_mark_price", False, max_skew_ms, runs)
 
 
-def depth(updates: DataFrame, keys: list[str], order: list[str], anchors: DataFrame | None = None, crossed: DataFrame | None = None) -> DataFrame:
+def depth(updates: DataFrame, keys: list[str], order: list[str], anchors: DataFrame | None = None, crossed: DataFrame | None = None, runs: DataFrame | None = None) -> DataFrame:
     """Runs of update windows [first, final], with an optional anchor (keys, snapshot_last_update_id) a run.
 
     Valid windows up to the anchor are skipped; the first beyond it must reach back to it. From then on the cursor is the
@@ -114,6 +122,7 @@ def depth(updates: DataFrame, keys: list[str], order: list[str], anchors: DataFr
         F.max(F.when(_C("live"), hi)).alias("last_update_id"),
         *levels,
     )
+    out = _every_run(out, keys, runs)
     out = out.join(crossed, keys, "left").fillna(0, ["crossed_book_count"]) if crossed is not None else out.withColumn("crossed_book_count", F.lit(0).cast("bigint"))
     gating = {"gaps_detected": "gap_count", "snapshot_anchor_gap": "snapshot_gap_count", "reordered_or_duplicate_updates": "reordered_count", "invalid_update_ranges": "invalid_range_count"}
     bad = _findings(*((_C(c) > 0, n) for n, c in gating.items()), (_C("crossed_book_count") > 0, "crossed_book_states"), (_C("event_count") == 0, "no_events"))
@@ -121,7 +130,7 @@ def depth(updates: DataFrame, keys: list[str], order: list[str], anchors: DataFr
     return out.withColumns({"mode": F.lit("delta_only"), "gap_detection": F.lit("sequence"), "findings": bad, "replayable": clean})
 
 
-def depth_stream(updates: DataFrame, keys: list[str], order: list[str], ids: str | None = None, update_id: str = "update_id", crossed: DataFrame | None = None, checksums: DataFrame | None = None) -> DataFrame:
+def depth_stream(updates: DataFrame, keys: list[str], order: list[str], ids: str | None = None, update_id: str = "update_id", crossed: DataFrame | None = None, checksums: DataFrame | None = None, runs: DataFrame | None = None) -> DataFrame:
     """Runs whose snapshots come in the stream. ids: None, dense (`update_id` + 1) or chain (first id equals the id before).
 
     checksums: (keys, checksum_checked_count, checksum_mismatch_count, checksum_missing_count), see `book`.
@@ -149,11 +158,12 @@ def depth_stream(updates: DataFrame, keys: list[str], order: list[str], ids: str
         _first("uid", order).alias("first_update_id"),
         F.max_by("uid", F.when(_C("uid").isNotNull(), F.struct(*order))).alias("last_update_id"),
     )
+    out = _every_run(out, keys, runs).fillna(False, ["starts_with_snapshot"])
     out = out.join(crossed, keys, "left").fillna(0, ["crossed_book_count"]) if crossed is not None else out.withColumn("crossed_book_count", F.lit(0).cast("bigint"))
     sums = ("checksum_checked_count", "checksum_mismatch_count", "checksum_missing_count")
     out = out.join(checksums, keys, "left").fillna(0, list(sums)) if checksums is not None else out
     summed = checksums is not None
-    pairs = [(_C("snapshot_count") == 0, "no_snapshot_anchor"), ((_C("snapshot_count") > 0) & ~_C("starts_with_snapshot"), "run_does_not_start_with_snapshot"), (_C("non_monotonic_time_count") > 0, "non_monotonic_event_time"), (_C("crossed_book_count") > 0, "crossed_book_states")]
+    pairs = [(_C("event_count") == 0, "no_events"), (_C("snapshot_count") == 0, "no_snapshot_anchor"), ((_C("snapshot_count") > 0) & ~_C("starts_with_snapshot"), "run_does_not_start_with_snapshot"), (_C("non_monotonic_time_count") > 0, "non_monotonic_event_time"), (_C("crossed_book_count") > 0, "crossed_book_states")]
     if linked:
         pairs += [(_C("missing_update_id_count") > 0, "missing_update_id"), (_C("gap_count") > 0, "update_id_gaps"), (_C("reordered_count") > 0, "non_monotonic_update_id")]
     clean = (_C("snapshot_count") > 0) & _C("starts_with_snapshot") & (_C("non_monotonic_time_count") == 0) & (_C("missing_update_id_count") + _C("gap_count") + _C("reordered_count") == 0)

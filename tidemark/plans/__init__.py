@@ -1,11 +1,7 @@
 """Registered queries and their DuckDB SQL."""
 
-from .curation_queries import ORACLES as _CO
-from .curation_queries import QUERIES as _CQ
-from .market_queries import ORACLES as _MO
-from .market_queries import QUERIES as _MQ
-from .stream_queries import ORACLES as _SO
-from .stream_queries import QUERIES as _SQ
+from . import curation_queries, frame_queries, market_queries, source_queries, stream_queries
 
-QUERIES = {**_MQ, **_CQ, **_SQ}
-ORACLES = {**_MO, **_CO, **_SO}
+_PARTS = (market_queries, frame_queries, curation_queries, source_queries, stream_queries)
+QUERIES = {k: v for part in _PARTS for k, v in part.QUERIES.items()}
+ORACLES = {k: v for part in _PARTS for k, v in part.ORACLES.items()}

@@ -157,7 +157,7 @@ def market_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", S.content_hash(_C("lang"), _C("source"), F.when(_C("doc_id") % 3 == 0, None).otherwise(_C("doc_id"))).alias("content_hash"))
+    return d.select("doc_id", S.content_hash(_C("lang"), _C("text"), F.when(_C("doc_id") % 3 == 0, None).otherwise(_C("source"))).alias("content_hash"))
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,12 +179,12 @@ def text_read_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_new_edit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "conversations").withColumn("content_hash", F.sha2("role", 256))
+    c = table(spark, sf_dir, "conversations").withColumn("content_hash", S.content_hash(_C("text")))
     return quotes.new_or_edit(c, ["conv_id"], ["turn"]).select("conv_id", "turn", "row_type")
 
 
 def seen_state_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("source", (_C("doc_id") % 400).alias("item"), "doc_id", F.sha2("lang", 256).alias("content_hash"))
+    d = table(spark, sf_dir, "documents").select("source", (_C("doc_id") % 400).alias("item"), "doc_id", S.content_hash(_C("text")).alias("content_hash"))
     return quotes.seen_state(d, "source", "item", "doc_id", cap=10).select("source", "item", "doc_id", "content_hash", _C("recency").cast("bigint").alias("recency"))
 
 
@@ -283,13 +283,18 @@ def resume_high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pages as feeds: an RSS item, or an Atom entry for every third page."""
-    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    """pages as feeds: an RSS item whose description is the page's HTML, or an Atom entry for every third page, with prefixed tags for every ninth."""
     k = _C("page_id")
-    rss = F.concat(F.lit('<?xml version="1.0"?><rss><channel><item><title>t'), k.cast("string"), F.lit("</title><link>"), "url", F.lit("</link><description><![CDATA[d]]></description></item></channel></rss>"))
-    atom = F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><entry><id>e'), k.cast("string"), F.lit('</id><title>t</title><link href="'), "url", F.lit('"/><updated>2026</updated></entry></feed>'))
+    text = lambda c: F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    p = table(spark, sf_dir, "pages").select("page_id", text(F.replace(_C("url"), F.lit('"'), F.lit(""))).alias("url"), text(F.regexp_replace("html", r"[\x00-\x20\x7F-\x9F\x{FFFE}\x{FFFF}]+", " ")).alias("html"))
+    rss = F.concat(F.lit('<?xml version="1.0"?><rss><channel><item><title>t &amp; '), k.cast("string"), F.lit("</title><link>"), "url", F.lit("</link><description>"), "html", F.lit("</description></item></channel></rss>"))
+    tag = lambda name: F.concat(F.when(k % 9 == 0, "a:").otherwise(""), F.lit(name))
+    near = lambda name, *inner: F.concat(F.lit("<"), tag(name), F.lit(">"), *inner, F.lit("</"), tag(name), F.lit(">"))
+    entry = near("entry", near("id", F.lit("e"), k.cast("string")), near("title", F.lit("<![CDATA[a < b]]>")), F.lit("<"), tag("link"), F.lit(' href="'), _C("url"), F.lit('"/>'), near("summary", _C("html")), near("updated", F.lit("2026")))
+    atom = F.concat(F.lit("<"), tag("feed"), F.when(k % 9 == 0, F.lit(' xmlns:a="http://www.w3.org/2005/Atom">')).otherwise(' xmlns="http://www.w3.org/2005/Atom">'), entry, F.lit("</"), tag("feed"), F.lit(">"))
     bodies = p.select("page_id", F.when(k % 3 == 0, atom).otherwise(rss).alias("body"))
-    return scans.feed_items(bodies).select("page_id", "dialect", "source_id", "title", "link", "summary", "source_ts_raw")
+    out = scans.feed_items(bodies)
+    return out.select("page_id", "dialect", "source_id", "title", "link", F.sha2(F.coalesce("summary", F.lit("")), 256).alias("summary_sha256"), "source_ts_raw")
 
 
 def listing_children(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -377,15 +382,15 @@ select lane, finding, count(*) as runs from f where finding is not null group by
 select symbol, cast(bid as double) as bid, cast(ask as double) as ask, round((1 - ask) / ask, 6) as payout_ratio, sha256(symbol || '|' || coalesce(printf('%.10f', cast(bid as double)), '') || '|' || printf('%.10f', cast(ask as double)) || '|' || z || '|') as quote_id from s""",
     "market_discovery": f"""with {_MARKET}, s as (select distinct p_partkey % 20 as k from part), c as (select series, count(*) as n, count(*) filter (yes_ask is null and not (no_ask > 0)) as e from m where is_open group by series)
 select 's' || k as ticker, ([3600, 86400, 604800, 900])[k % 4 + 1] as frequency_seconds, coalesce(n, 0) as open_markets, coalesce(e, 0) as empty_best_asks, {_named(("coalesce(n, 0) = 0", "no_open_markets"), ("e > 0", "empty_best_ask"))} as findings from s left join c on series = 's' || k where k % 3 = 0 and k % 4 <> 3""",
-    "text_content_hash": """select doc_id, sha256('["' || lang || '","' || source || '","' || case when doc_id % 3 = 0 then '' else cast(doc_id as varchar) end || '"]') as content_hash from documents""",
+    "text_content_hash": """select doc_id, sha256(cast(to_json([coalesce(lang, ''), coalesce(text, ''), case when doc_id % 3 = 0 then '' else coalesce(source, '') end]) as varchar)) as content_hash from documents""",
     "text_verdict": f"""with i as (select source as lane, doc_id as ord, lang as source, doc_id % 4 = 0 as edit, case when doc_id % 59 <> 0 then sha256(coalesce(text, '')) end as sid, 1700000000 + doc_id * 60 - case when doc_id % 113 = 0 then 600 else 0 end as seen, case when doc_id % 10 <> 0 then 1700000000 + doc_id * 60 - doc_id % 5000 + 400 end as claim, doc_id % 20 = 0 as unread from documents),
 w as (select *, seen < max(seen) over (partition by lane order by ord rows between unbounded preceding and 1 preceding) as early, sid is not null and row_number() over (partition by lane, source, sid order by ord) > 1 as again, seen - claim as lag from i),
 a as (select lane, count(*) as event_count, count(*) filter (not edit) as new_count, count(*) filter (edit) as edit_count, count(*) filter (early) as non_monotonic_ingestion_count, count(*) filter (sid is null) as missing_envelope_count, count(*) filter (again) as duplicate_key_count,
  count(*) filter (claim is null and not unread) as missing_source_ts_count, count(*) filter (claim is null and unread) as unparseable_source_ts_count, count(*) filter (lag > 3600) as stale_source_ts_count, count(*) filter (lag < -300) as future_source_ts_count, cast(max(lag) as bigint) as max_source_lag_seconds from w group by lane)
 select *, {_named(("missing_envelope_count > 0", "missing_envelope_fields"), ("non_monotonic_ingestion_count > 0", "non_monotonic_ingestion_ts"), ("duplicate_key_count > 0", "duplicate_envelope_keys"), ("missing_source_ts_count > 0", "missing_source_ts"), ("unparseable_source_ts_count > 0", "unparseable_source_ts"), ("stale_source_ts_count > 0", "stale_source_ts"), ("future_source_ts_count > 0", "future_source_ts"))} as findings, missing_envelope_count + non_monotonic_ingestion_count = 0 as replayable from a""",
     "text_read_once": """with i as (select doc_id as ord, lang as source, coalesce(text, '') as t, 1700000000 + doc_id * 60 - case when doc_id % 113 = 0 then 600 else 0 end as seen from documents where doc_id % 59 <> 0), n as (select *, row_number() over (partition by source, t order by seen desc, ord) as n from i) select ord, source from n where n = 1""",
-    "text_new_edit": "with p as (select *, lag(role) over (partition by conv_id order by turn) as q from conversations) select conv_id, turn, case when q is null then 'new' else 'edit' end as row_type from p where q is null or q <> role",
-    "seen_state_cap": "with l as (select source, doc_id % 400 as item, max(doc_id) as doc_id, sha256(arg_max(lang, doc_id)) as content_hash from documents group by all), n as (select *, row_number() over (partition by source order by doc_id desc, item) as recency from l) select * from n where recency <= 10",
+    "text_new_edit": "with p as (select *, coalesce(text, '') as t, lag(coalesce(text, '')) over (partition by conv_id order by turn) as q from conversations) select conv_id, turn, case when q is null then 'new' else 'edit' end as row_type from p where q is null or q <> t",
+    "seen_state_cap": "with l as (select source, doc_id % 400 as item, max(doc_id) as doc_id, sha256(cast(to_json([arg_max(coalesce(text, ''), doc_id)]) as varchar)) as content_hash from documents group by all), n as (select *, row_number() over (partition by source order by doc_id desc, item) as recency from l) select * from n where recency <= 10",
     "clean_ratio_streak": f"""with {_METRICS}, n as (select *, row_number() over (partition by lane order by run_id desc) as n, clean_events / raw_events as ratio, day(run_id) % 2 = 0 as ok from m),
 a as (select lane, count(*) as runs, cast(sum(raw_events) as bigint) as raw_events, cast(sum(clean_events) as bigint) as clean_events, cast(sum(quarantined_events) as bigint) as quarantined_events, arg_max(ok, run_id) as latest_replayable, max(run_id) as last, max(ratio) filter (n <= 3) as hi, count(*) filter (n <= 3) as k from n where n <= 20 group by lane)
 select lane, runs, raw_events, clean_events, quarantined_events, latest_replayable, round(clean_events / raw_events, 6) as clean_ratio, k = 3 and hi < 0.25 as low_streak, {_named(("not latest_replayable", "latest_run_unreplayable"), ("date_diff('second', cast(last as timestamp), timestamp '2024-01-30 12:00:00') > 36000", "verdict_too_old"), ("k = 3 and hi < 0.25", "low_clean_ratio"))} as findings from a""",
@@ -402,7 +407,8 @@ select lane, runs, raw_events, clean_events, quarantined_events, latest_replayab
     "partition_layout": "select p_partkey, 'v2' as schema_version, 'src-' || (p_partkey % 3) as source, regexp_replace(replace(trim(p_name), '/', '-'), '[^A-Za-z0-9_.-]', '_', 'g') as instrument, cast(to_timestamp(p_partkey * 86400) as date) as event_date from part",
     "resume_high_water": """with t as (select user_id, max(event_id) as hw, max(ts) as u, user_id % 5 as k from events group by user_id), x as (select *, case when k = 0 then null when k = 1 then 'cursor_reset_symbol_mismatch' when date_diff('microsecond', u, timestamp '2024-01-30 23:59:59') / 1e6 > 43200 then 'cursor_reset_stale_gap' end as reset from t)
 select user_id, case when k > 1 and reset is null then case when k = 3 then hw + 1 else hw - 4 end end as next_id, reset from x""",
-    "feed_items": "select page_id, case when page_id % 3 = 0 then 'atom' else 'rss' end as dialect, case when page_id % 3 = 0 then 'e' || page_id else replace(url, '&amp;', '&') end as source_id, case when page_id % 3 = 0 then 't' else 't' || page_id end as title, url as link, case when page_id % 3 <> 0 then 'd' end as summary, case when page_id % 3 = 0 then '2026' end as source_ts_raw from pages",
+    "feed_items": r"""with p as (select page_id, replace(coalesce(url, ''), '"', '') as u, trim(regexp_replace(coalesce(html, ''), '[\x00-\x20\x7F-\x{9F}\x{FFFE}\x{FFFF}]+', ' ', 'g'), ' ') as h from pages)
+select page_id, case when page_id % 3 = 0 then 'atom' else 'rss' end as dialect, case when page_id % 3 = 0 then 'e' || page_id else u end as source_id, case when page_id % 3 = 0 then 'a < b' else 't & ' || page_id end as title, u as link, sha256(h) as summary_sha256, case when page_id % 3 = 0 then '2026' end as source_ts_raw from p""",
     "listing_children": "select l_orderkey, count(*) as items, cast(sum(l_partkey) as bigint) as parts from lineitem where l_linenumber <> 6 group by l_orderkey",
     "page_cap": "with n as (select o_custkey, o_orderkey as k, row_number() over (partition by o_custkey order by o_orderkey % 4, o_orderkey) as n from orders) select o_custkey, k from n where n <= 5",
     "lane_names": "select s_suppkey, case when s_suppkey % 7 <> 0 then 'v' || (s_suppkey % 5) || case when s_suppkey % 2 = 0 then '_perp' else '' end end as venue, case when s_suppkey % 7 <> 0 then 'depth' end as dataset, case when s_suppkey % 7 <> 0 and s_suppkey % 3 = 0 then 'btc_usd' end as instrument from supplier",

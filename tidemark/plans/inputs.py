@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the one that all executors share; on a cluster that is `spark.checkpoint.dir`, never a machine's own."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{(base or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+
+
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as prints: runs of a user and day, received up to 80 s after and 10 s before they happened."""
     e = table(spark, sf_dir, "events")
@@ -51,6 +61,14 @@ frame as (select distinct run, ord, ord % 40 = 0 as snap from lv),
 bk as (select *, sum(case when snap then 1 else 0 end) over (partition by run order by ord) as book from frame)"""
 
 
+#: Events after which the best bid is not below the best ask: a level lives from its write to the next one of its price in its sub-book.
+CROSSED = f"""with {DEPTH},
+w as (select lv.*, book, snap, lead(ord) over (partition by run, book, side, price order by ord) as nxt from lv join bk using (run, ord)),
+alive as (select f.run, f.ord, w.side, w.price from bk f join w on w.run = f.run and w.book = f.book and w.ord <= f.ord and (w.nxt is null or f.ord < w.nxt) where w.size > 0 or (w.size < 0 and not w.snap)),
+best as (select run, ord, max(price) filter (side = 'bid') as bid, min(price) filter (side = 'ask') as ask from alive group by run, ord)
+select run, count(*) filter (bid >= ask) as crossed_book_count from bk left join best using (run, ord) group by run"""
+
+
 def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders as update windows of 20 runs: a window goes from its key to one beyond; some run backwards or leave gaps."""
     o = table(spark, sf_dir, "orders")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import book, gates, instruments, normalizers, verdicts
-from .inputs import DEPTH, TRADES, depth, table, trades, windows
+from .inputs import CROSSED, DEPTH, TRADES, depth, table, trades, windows
 
 _C = F.col
 _RUN = ["user_id", "day"]
@@ -114,7 +114,7 @@ def final_book_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def crossed_book_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = book.sub_books(depth(spark, sf_dir), ["run"], ["ord"])
-    return book.crossed_counts(book.fold(u, ["run"], "ord", top=1), ["run"])
+    return book.crossed_counts(book.best_prices(u, ["run"], "ord"), ["run"])
 
 
 def book_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,6 +253,7 @@ select *, {_named(("gap_count > 0", "gaps_detected"), ("snapshot_gap_count > 0",
 t as (select *, row_number() over (partition by run, side order by case side when 'bid' then -price else price end) as n, cast(cast(price as bigint) as varchar) || 'x' || cast(cast(size as bigint) as varchar) as p from fin where size <> 0)
 select run, max(price) filter (side = 'bid') as best_bid, min(price) filter (side = 'ask') as best_ask, min(price) filter (side = 'ask') - max(price) filter (side = 'bid') as spread, count(*) filter (side = 'bid') as bid_levels, count(*) filter (side = 'ask') as ask_levels,
  coalesce(string_agg(p, ',' order by n) filter (side = 'bid' and n <= 3), '') as top_bids, coalesce(string_agg(p, ',' order by n) filter (side = 'ask' and n <= 3), '') as top_asks from t group by run""",
+    "crossed_book_count": CROSSED,
     "instrument_resolution": """with p as (select p_partkey, (['btc','ETH','XBT','sol','ABC','DOGE'])[p_partkey % 6 + 1] as b, (['USDT','/usd','USDC','BTC','EUR'])[p_partkey % 5 + 1] as q from part),
 s as (select *, case upper(b) when 'XBT' then 'BTC' when 'ABC' then null else upper(b) end as base, case when q = 'EUR' then null else upper(replace(q, '/', '')) end as quote from p)
 select p_partkey, b || q as symbol, case when base is not null and quote is not null then 'spot:venue:' || upper(b) || quote end as instrument_id, case when base is not null and quote is not null then base || '/' || quote end as canonical_symbol from s""",

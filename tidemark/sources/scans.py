@@ -9,13 +9,13 @@ from pyspark.sql.types import StructType
 _C = F.col
 
 
-def ordered_lines(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+def ordered_lines(spark: SparkSession, path: str, recursive: bool = False, pattern: str = "*.jsonl") -> DataFrame:
     """(file, part, ord, value): the non-blank lines of each file, in file order.
 
     Order is fixed in the scan, by block and by row in the block, before any filter or shuffle. `part` is the number of
     a rotated file (`messages.N.jsonl`); the active file, without one, is the newest.
     """
-    lines = spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.jsonl").text(path)
+    lines = spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", pattern).text(path)
     lines = lines.select("value", _C("_metadata.file_path").alias("file"), _C("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("mid"))
     lines = lines.where(F.trim("value") != "")
     part = F.regexp_extract("file", r"\.(\d+)\.jsonl$", 1)
@@ -24,20 +24,20 @@ def ordered_lines(spark: SparkSession, path: str, recursive: bool = False) -> Da
 
 
 def run_keys(df: DataFrame, file: str = "file") -> DataFrame:
-    """Adds lane and run_id, the run folder's name and its parent's."""
-    return df.withColumns({"lane": F.regexp_extract(file, r"([^/]+)/\d{8}_\d{6}/", 1), "run_id": F.regexp_extract(file, r"/(\d{8}_\d{6})/", 1)})
+    """Adds lane and run_id, the run folder's name and its parent's (`lane=` and `run_id=` before them are left out)."""
+    return df.withColumns({"lane": F.regexp_extract(file, r"/(?:lane=)?([^/]+)/(?:run_id=)?\d{8}_\d{6}/", 1), "run_id": F.regexp_extract(file, r"/(?:run_id=)?(\d{8}_\d{6})/", 1)})
 
 
-def run_rows(spark: SparkSession, path: str, schema: StructType | str, recursive: bool = False) -> DataFrame:
+def run_rows(spark: SparkSession, path: str, schema: StructType | str, recursive: bool = False, pattern: str = "*.jsonl") -> DataFrame:
     """Rows of runs in order: lane, run_id, part, ord and the schema's columns. A malformed line fails the job."""
-    own = run_keys(ordered_lines(spark, path, recursive))
+    own = run_keys(ordered_lines(spark, path, recursive, pattern))
     parsed = F.from_json("value", schema, {"mode": "FAILFAST"})
     return own.select("lane", "run_id", "part", "ord", parsed.alias("r")).select("lane", "run_id", "part", "ord", "r.*")
 
 
-def tolerant_rows(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+def tolerant_rows(spark: SparkSession, path: str, schema: StructType | str, pattern: str = "*.jsonl") -> DataFrame:
     """Rows of an index with `corrupt` (the line, where it is no object of this schema) and their order in the file."""
-    own = ordered_lines(spark, path)
+    own = ordered_lines(spark, path, pattern=pattern)
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     full = StructType(schema.fields).add("_corrupt", "string")
     read = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
@@ -79,20 +79,24 @@ def partition_files(listing: DataFrame) -> DataFrame:
     return own.where("event_date is not null").groupBy("event_date").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
 
 
-_ITEM = "guid string, title string, link string, description string, pubDate string"
+_TAGS = ("guid", "title", "description", "pubDate", "id", "summary", "content", "published", "updated")
+_ITEM = f"array<struct<link:struct<_VALUE:string,_href:string>,{','.join(f'{t}:struct<_VALUE:string>' for t in _TAGS)}>>"
 
 
 def feed_items(bodies: DataFrame, body: str = "body") -> DataFrame:
-    """XML feed bodies (with `feed`) to items: RSS items; Atom entries of bodies that have no RSS item."""
-    own = bodies.withColumn("xml", F.regexp_replace(body, r"^\s*<\?xml[^>]*\?>|\sxmlns(:\w+)?=\"[^\"]*\"", ""))
-    piece = lambda tag: F.regexp_extract_all("xml", F.lit(rf"(?s)(<{tag}[ >].*?</{tag}>)"), F.lit(1))
-    own = own.withColumns({"rss": piece("item"), "atom": piece("entry")})
-    own = own.withColumn("x", F.explode(F.when(F.size("rss") > 0, F.transform("rss", lambda t: F.struct(F.lit("rss").alias("dialect"), t.alias("t")))).otherwise(F.transform("atom", lambda t: F.struct(F.lit("atom").alias("dialect"), t.alias("t"))))))
-    text = lambda tag: F.nullif(F.trim(F.regexp_replace(F.regexp_replace(F.regexp_extract("x.t", rf"(?s)<{tag}[^>]*>(.*?)</{tag}>", 1), r"(?s)^\s*<!\[CDATA\[(.*)\]\]>\s*$", "$1"), "&amp;", "&")), F.lit(""))
-    href = F.nullif(F.regexp_extract("x.t", r"<link[^>]*href=\"([^\"]*)\"", 1), F.lit(""))
-    rss = _C("x.dialect") == "rss"
-    link = F.when(rss, text("link")).otherwise(F.coalesce(href, text("link")))
-    return own.select(*(c for c in bodies.columns if c != body), _C("x.dialect").alias("dialect"), F.coalesce(F.when(rss, text("guid")).otherwise(text("id")), link).alias("source_id"), text("title").alias("title"), link.alias("link"), F.when(rss, text("description")).otherwise(F.coalesce(text("summary"), text("content"))).alias("summary"), F.when(rss, text("pubDate")).otherwise(F.coalesce(text("published"), text("updated"))).alias("source_ts_raw"))
+    """XML feed bodies (with `feed`) to items: RSS items; Atom entries of bodies that have no RSS item. Bodies that are no XML have none.
+
+    Elements are known by their local names, whatever their prefix; entities and CDATA are read as XML has them.
+    """
+    own = bodies.withColumn("x", F.from_xml(body, f"channel struct<item:{_ITEM}>, item {_ITEM}, entry {_ITEM}", {"ignoreNamespace": "true"}))
+    none = F.array().cast(_ITEM)
+    rss = F.concat(F.coalesce("x.channel.item", none), F.coalesce("x.item", none))
+    tagged = lambda items, dialect: F.transform(items, lambda i: F.struct(F.lit(dialect).alias("dialect"), i.alias("i")))
+    own = own.withColumn("x", F.explode(F.when(F.size(rss) > 0, tagged(rss, "rss")).otherwise(tagged(F.coalesce("x.entry", none), "atom"))))
+    text = lambda tag: F.nullif(F.trim(_C(f"x.i.{tag}._VALUE")), F.lit(""))
+    href, is_rss = F.nullif(_C("x.i.link._href"), F.lit("")), _C("x.dialect") == "rss"
+    link = F.when(is_rss, text("link")).otherwise(F.coalesce(href, text("link")))
+    return own.select(*(c for c in bodies.columns if c != body), _C("x.dialect").alias("dialect"), F.coalesce(F.when(is_rss, text("guid")).otherwise(text("id")), link).alias("source_id"), text("title").alias("title"), link.alias("link"), F.when(is_rss, text("description")).otherwise(F.coalesce(text("summary"), text("content"))).alias("summary"), F.when(is_rss, text("pubDate")).otherwise(F.coalesce(text("published"), text("updated"))).alias("source_ts_raw"))
 
 
 def listing_children(bodies: DataFrame, body: str = "body") -> DataFrame:

@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from ..functions.scalars import partition_value
 
 _C = F.col
 
 
-def with_partitions(df: DataFrame, version: str = "v2") -> DataFrame:
+def with_partitions(df: DataFrame, version: str = "v2", written: str | None = None) -> DataFrame:
     """Adds schema_version, source, event_date and (v2) instrument; a nested instrument becomes instrument_ref.
 
-    event_date is the UTC day of the first of event_time, exchange_time and received_at that is there; rows without any
-    have no partition and are left out. There is no wall clock.
+    event_date is the UTC day of the first of event_time, exchange_time and received_at that is there. Rows without any
+    are kept under `written`, the day of writing, which is a parameter as there is no wall clock; without it in the null partition.
     """
     times = [_C(c) for c in ("event_time", "exchange_time", "received_at") if c in df.columns]
-    out = df.withColumn("event_date", F.to_date(F.coalesce(*times))).where("event_date is not null")
+    out = df.withColumn("event_date", F.to_date(F.coalesce(*times, F.lit(written).cast("timestamp"))))
     if version == "v2":
         canonical = [_C("instrument.canonical_symbol")] if "instrument" in df.columns else [_C("metadata.canonical_symbol")] if "metadata" in df.columns and "canonical_symbol" in df.schema["metadata"].dataType.fieldNames() else []
         value = partition_value(F.coalesce(*canonical, _C("product")))
@@ -26,16 +27,27 @@ def with_partitions(df: DataFrame, version: str = "v2") -> DataFrame:
     return out.withColumns({"schema_version": F.lit(version), "source": partition_value(_C("source"))})
 
 
+def _compact(c: Column, kind: DataType) -> Column:
+    if isinstance(kind, ArrayType):
+        return F.transform(F.filter(c, lambda x: x.isNotNull()), lambda x: _compact(x, kind.elementType))
+    if isinstance(kind, MapType):
+        inner = F.transform_values(c, lambda _, v: _compact(v, kind.valueType)) if isinstance(kind.valueType, (ArrayType, MapType, StructType)) else c
+        return F.when(F.size(c) > 0, inner)
+    if isinstance(kind, StructType):
+        return F.when(c.isNotNull(), F.struct(*(_compact(c[f.name], f.dataType).alias(f.name) for f in kind)))
+    return c
+
+
 def compact(df: DataFrame) -> DataFrame:
-    """Arrays without null items, empty maps as null."""
-    cols = {f.name: F.filter(f.name, lambda x: x.isNotNull()) if f.dataType.typeName() == "array" else F.when(F.size(f.name) > 0, _C(f.name)) for f in df.schema if f.dataType.typeName() in ("array", "map")}
+    """Arrays without null items, empty maps as null, at every depth."""
+    cols = {f.name: _compact(_C(f"`{f.name}`"), f.dataType) for f in df.schema if isinstance(f.dataType, (ArrayType, MapType, StructType))}
     return df.withColumns(cols) if cols else df
 
 
-def append_dataset(df: DataFrame, path: str, version: str = "v2") -> None:
+def append_dataset(df: DataFrame, path: str, version: str = "v2", written: str | None = None) -> None:
     """Append to a partitioned dataset; rows of one partition meet in few files."""
     folders = ["schema_version", "source", *(["instrument"] if version == "v2" else []), "event_date"]
-    compact(with_partitions(df, version)).repartition(*folders).write.mode("append").partitionBy(*folders).parquet(path)
+    compact(with_partitions(df, version, written)).repartition(*folders).write.mode("append").partitionBy(*folders).parquet(path)
 
 
 def read_dataset(spark: SparkSession, path: str, where: str | None = None, legacy: str | None = None) -> DataFrame:
@@ -46,12 +58,17 @@ def read_dataset(spark: SparkSession, path: str, where: str | None = None, legac
     return own.where(where) if where else own
 
 
-def split(gated: DataFrame, clean: str, quarantine: str) -> None:
-    """Accepted rows to clean, others with their reasons to quarantine; the gate is computed once."""
+def split(gated: DataFrame, clean: str, quarantine: str, batch: int | None = None) -> None:
+    """Accepted rows to clean, others with their reasons to quarantine; the gate is computed once.
+
+    With a batch number each write replaces that batch's own folder (`batch=<n>`), so a batch that is written again, after
+    a crash between the two writes or later, stands once in both. Without one rows are appended.
+    """
     held = gated.persist()
+    mode, folder = ("append", "") if batch is None else ("overwrite", f"/batch={batch}")
     try:
-        held.where("accepted").drop("accepted", "reasons").write.mode("append").parquet(clean)
-        held.where("not accepted").drop("accepted").write.mode("append").parquet(quarantine)
+        held.where("accepted").drop("accepted", "reasons").write.mode(mode).parquet(clean + folder)
+        held.where("not accepted").drop("accepted").write.mode(mode).parquet(quarantine + folder)
     finally:
         held.unpersist()
 

@@ -1,4 +1,4 @@
-"""Structured Streaming: the same gates over streams of frames, run windows, stateful cursor and dedup, idempotent sinks."""
+"""Structured Streaming: the same gates over streams of frames, run windows, stateful cursor, dedup, book and timers, idempotent sinks."""
 
 from __future__ import annotations
 
@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..functions.scalars import skew_ms
+from ..operators import gates
 from ..schemas import FRAME
 
 _C = F.col
 
+# Stateful processors are classes of functions, so that they travel by value: the process that readies them on the driver
+# need not find this package.
 
 def frame_stream(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
     """Frames of JSON-lines files as they arrive, with their file and block; a stream promises no order of lines, so frames
@@ -28,80 +32,90 @@ def with_run(events: DataFrame, length: str = "30 minutes", at: str = "received_
     return out.withColumn("run_id", F.date_format(F.window(at, length)["start"], "yyyyMMdd_HHmmss"))
 
 
-class _Cursor(StatefulProcessor):
-    """Highest sequence per stream and run; rows of a batch are put in their own order first."""
+def _cursor(keys: list[str], order: list[str], columns: list[str]) -> StatefulProcessor:
+    class Cursor(StatefulProcessor):
+        """Highest sequence per stream and run; rows of a batch are put in their own order first."""
 
-    def __init__(self, keys: list[str], order: list[str], columns: list[str]):
-        self.keys, self.order, self.columns = keys, order, columns
+        def __init__(self, keys: list[str], order: list[str], columns: list[str]):
+            self.keys, self.order, self.columns = keys, order, columns
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.cursor = handle.getValueState("cursor", "sequence bigint")
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.cursor = handle.getValueState("cursor", "sequence bigint")
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(self.order, kind="stable")
-        cursor = self.cursor.get()[0] if self.cursor.exists() else None
-        reasons = []
-        for seq, again in zip(batch["sequence"], batch["subscribe_replay"], strict=True):
-            again = bool(again) if again is not None and again == again else False
-            seq = None if seq is None or seq != seq else int(seq)
-            if again and (seq is None or cursor is None or seq <= cursor):
-                reasons.append("subscribe_replay")
-                continue
-            if not again and seq is not None and cursor is not None and seq < cursor:
-                reasons.append("non_monotonic_sequence")
-                continue
-            reasons.append(None)
-            if seq is not None and (cursor is None or seq > cursor):
-                cursor = seq
-        if cursor is not None:
-            self.cursor.update((cursor,))
-        yield batch.assign(sequence_reason=pd.Series(reasons, index=batch.index, dtype=object))[[*self.columns, "sequence_reason"]]
+        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+            batch = pd.concat(list(rows)).sort_values(self.order, kind="stable")
+            cursor = self.cursor.get()[0] if self.cursor.exists() else None
+            reasons = []
+            for seq, again in zip(batch["sequence"], batch["subscribe_replay"], strict=True):
+                again = bool(again) if again is not None and again == again else False
+                seq = None if seq is None or seq != seq else int(seq)
+                if again and (seq is None or cursor is None or seq <= cursor):
+                    reasons.append("subscribe_replay")
+                    continue
+                if not again and seq is not None and cursor is not None and seq < cursor:
+                    reasons.append("non_monotonic_sequence")
+                    continue
+                reasons.append(None)
+                if seq is not None and (cursor is None or seq > cursor):
+                    cursor = seq
+            if cursor is not None:
+                self.cursor.update((cursor,))
+            yield batch.assign(sequence_reason=pd.Series(reasons, index=batch.index, dtype=object))[[*self.columns, "sequence_reason"]]
 
-    def close(self) -> None:
-        pass
+        def close(self) -> None:
+            pass
+
+    return Cursor(keys, order, columns)
 
 
 def stateful_cursor(events: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
     """The gate's sequence rule over a stream: the cursor lives across micro-batches. columns: what to keep, `sequence` and `subscribe_replay` among them."""
     kept = list(dict.fromkeys([*columns, "sequence", "subscribe_replay"]))
     shape = ", ".join(f"`{c}` {events.schema[c].dataType.simpleString()}" for c in kept) + ", sequence_reason string"
-    return events.groupBy(*keys).transformWithStateInPandas(statefulProcessor=_Cursor(keys, order, kept), outputStructType=shape, outputMode="Append", timeMode="None")
+    return events.groupBy(*keys).transformWithStateInPandas(statefulProcessor=_cursor(keys, order, kept), outputStructType=shape, outputMode="Append", timeMode="None")
+
 
+def _seen(order: list[str], columns: list[str], ttl_ms: int | None) -> StatefulProcessor:
+    class Seen(StatefulProcessor):
+        """The last hash of an item; unchanged polls emit nothing. State expires after a time without polls."""
 
-class _Seen(StatefulProcessor):
-    """The last hash of an item; unchanged polls emit nothing. State expires after a time without polls."""
+        def __init__(self, order: list[str], columns: list[str], ttl_ms: int | None):
+            self.order, self.columns, self.ttl = order, columns, ttl_ms
 
-    def __init__(self, order: list[str], columns: list[str], ttl_ms: int | None):
-        self.order, self.columns, self.ttl = order, columns, ttl_ms
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.last = handle.getValueState("hash", "hash string", self.ttl)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("hash", "hash string", self.ttl)
+        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+            batch = pd.concat(list(rows)).sort_values(self.order, kind="stable")
+            last = self.last.get()[0] if self.last.exists() else None
+            kinds = []
+            for value in batch["content_hash"]:
+                kinds.append("new" if last is None else "edit" if value != last else None)
+                last = value
+            if last is not None:
+                self.last.update((last,))
+            out = batch.assign(row_type=pd.Series(kinds, index=batch.index, dtype=object))
+            yield out[out["row_type"].notna()][[*self.columns, "row_type"]]
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(self.order, kind="stable")
-        last = self.last.get()[0] if self.last.exists() else None
-        kinds = []
-        for value in batch["content_hash"]:
-            kinds.append("new" if last is None else "edit" if value != last else None)
-            last = value
-        if last is not None:
-            self.last.update((last,))
-        out = batch.assign(row_type=pd.Series(kinds, index=batch.index, dtype=object))
-        yield out[out["row_type"].notna()][[*self.columns, "row_type"]]
+        def close(self) -> None:
+            pass
 
-    def close(self) -> None:
-        pass
+    return Seen(order, columns, ttl_ms)
 
 
 def stateful_new_or_edit(items: DataFrame, keys: list[str], order: list[str], columns: list[str], ttl_ms: int | None = 30 * 86_400_000) -> DataFrame:
     """New and edited items of a stream of polls, by key; state is bounded by its time to live."""
     kept = list(dict.fromkeys([*columns, "content_hash"]))
     shape = ", ".join(f"`{c}` {items.schema[c].dataType.simpleString()}" for c in kept) + ", row_type string"
-    return items.groupBy(*keys).transformWithStateInPandas(statefulProcessor=_Seen(order, kept, ttl_ms), outputStructType=shape, outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None")
+    return items.groupBy(*keys).transformWithStateInPandas(statefulProcessor=_seen(order, kept, ttl_ms), outputStructType=shape, outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None")
 
 
 def once_per_batch(write: Callable[[DataFrame, int], None], done: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that does nothing for a batch whose id its folder of markers already has."""
+    """A foreachBatch function that does nothing for a batch whose id its folder of markers already has.
+
+    The marker follows the write, so a crash between them writes a batch again: `write` must replace what it wrote for an
+    id (as `split` with a batch number does), and then each batch stands once.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -119,13 +133,123 @@ def once_per_batch(write: Callable[[DataFrame, int], None], done: str) -> Callab
 
 
 def gate_stream(events: DataFrame, gate: Callable[[DataFrame], DataFrame], clean: str, quarantine: str, checkpoint: str, done: str):
-    """Gate a stream by a row-wise gate and split it; available-now, exactly once by checkpoint and batch markers."""
+    """Gate a stream by a row-wise gate and split it, available-now. A batch's rows stand in a folder of its number, so a
+    batch that is delivered again replaces itself."""
     from ..sources.sinks import split
 
-    work = once_per_batch(lambda batch, _: split(gate(batch), clean, quarantine), done)
+    work = once_per_batch(lambda batch, n: split(gate(batch), clean, quarantine, n), done)
     return events.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def delay_gate(events: DataFrame, received: str = "received_at", claimed: str = "exchange_time") -> DataFrame:
+    """The row-wise rules of the event gate that need no state: late and early claims, sides, prices, sizes, parse errors.
+
+    Late rows are rejected with a reason, never dropped, so no watermark decides about them.
+    """
+    delay = skew_ms(_C(received), _C(claimed))
+    rules = [((delay > gates.MAX_DELAY_MS) | (delay < -gates.MAX_FUTURE_MS), "stale_or_clock_skew")]
+    return gates.verdict(events, *rules)
+
+
+def _silence(at: str, timeout_ms: int) -> StatefulProcessor:
+    class Silence(StatefulProcessor):
+        """The time of a key's last frame; a timer ends a run that stays silent, and a new frame restarts it."""
+
+        def __init__(self, at: str, timeout_ms: int):
+            self.at, self.timeout = at, timeout_ms
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.last = handle.getValueState("last", "ms bigint")
+
+        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+            times = sorted(int(x.value // 1_000_000) for part in rows for x in part[self.at])
+            last = self.last.get()[0] if self.last.exists() else None
+            ended = [(a, b) for a, b in zip([last, *times] if last is not None else times, times if last is not None else times[1:]) if b - a > self.timeout]
+            latest = max([*times, *([last] if last is not None else [])])
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(latest + self.timeout)
+            self.last.update((latest,))
+            yield pd.DataFrame({"key": [str(key[0])] * len(ended), "silent_since": pd.to_datetime([a for a, _ in ended], unit="ms", utc=True), "by_timer": [False] * len(ended)})
+
+        def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
+            last = self.last.get()[0]
+            self.last.clear()
+            yield pd.DataFrame({"key": [str(key[0])], "silent_since": pd.to_datetime([last], unit="ms", utc=True), "by_timer": [True]})
+
+        def close(self) -> None:
+            pass
+
+    return Silence(at, timeout_ms)
+
+
+def silence_timer(events: DataFrame, key: str, at: str = "received_at", seconds: float = 300) -> DataFrame:
+    """(key, silent_since, by_timer): each time a key fell silent, told when its next frame comes or, by event time, when the timer ends.
+
+    events: with a watermark on `at`, which moves the timers.
+    """
+    return events.select(key, at).groupBy(key).transformWithStateInPandas(statefulProcessor=_silence(at, int(seconds * 1000)), outputStructType="key string, silent_since timestamp, by_timer boolean", outputMode="Append", timeMode="EventTime")
+
+
+def _book(order: str) -> StatefulProcessor:
+    class Book(StatefulProcessor):
+        """A book's levels as state: a map a side from price to size; best prices after every event."""
+
+        def __init__(self, order: str):
+            self.order = order
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.sides = [handle.getMapState(s, "price double", "size double") for s in ("bids", "asks")]
+
+        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+            batch = pd.concat(list(rows)).sort_values(self.order, kind="stable")
+            books = [{k[0]: v[0] for k, v in s.iterator()} for s in self.sides]
+            before = [set(b) for b in books]
+            out = []
+            for event, at, *levels in zip(batch["event_type"], batch[self.order], batch["bids"], batch["asks"], strict=True):
+                for book, own in zip(books, levels, strict=True):
+                    if event == "snapshot":
+                        book.clear()
+                    for x in own if own is not None else ():
+                        if x["size"] == 0 or (event == "snapshot" and x["size"] < 0):
+                            book.pop(x["price"], None)
+                        else:
+                            book[x["price"]] = x["size"]
+                out.append((str(key[0]), at, max(books[0], default=None), min(books[1], default=None)))
+            for state, book, old in zip(self.sides, books, before, strict=True):
+                for price in old - set(book):
+                    state.removeKey((price,))
+                for price, size in book.items():
+                    state.updateValue((price,), (size,))
+            yield pd.DataFrame(out, columns=["key", "ord", "best_bid", "best_ask"]).astype({"best_bid": float, "best_ask": float})
+
+        def close(self) -> None:
+            pass
+
+    return Book(order)
+
+
+def stateful_book(updates: DataFrame, key: str, order: str) -> DataFrame:
+    """(key, ord, best_bid, best_ask) after every update of a stream: the book lives across micro-batches, a row of state a level."""
+    rows = updates.select(key, _C(order).cast("bigint").alias(order), "event_type", "bids", "asks")
+    return rows.groupBy(key).transformWithStateInPandas(statefulProcessor=_book(order), outputStructType="key string, ord bigint, best_bid double, best_ask double", outputMode="Append", timeMode="None")
+
+
 def observed(events: DataFrame, name: str = "progress") -> DataFrame:
     """Counters of each micro-batch, for a listener: rows, accepted, quarantined."""
     return events.observe(name, F.count(F.lit(1)).alias("rows"), F.count_if("accepted").alias("accepted"), F.count_if(~_C("accepted")).alias("quarantined"))
+
+
+def with_metrics(write: Callable[[DataFrame, int], None], path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that also leaves a metrics row per key and batch (partial: more may follow), replaced if the batch comes again.
+
+    The batch is gated: `accepted` says what became of each row.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        rows = gates.run_counters(batch, keys).withColumn("partial", F.lit(True))
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return run
