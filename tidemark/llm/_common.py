@@ -19,8 +19,11 @@ def encode(text: str | None) -> bytes:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below the one that the cluster shares (`spark.checkpoint.dir`); the warehouse's where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A new folder below the one that the cluster shares (`spark.checkpoint.dir`); the warehouse's where that is unset, on one machine only."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    base = base or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
 
 
