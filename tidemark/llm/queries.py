@@ -34,7 +34,9 @@ TOOLS = [("reply", {"prompt": "string", "chars": "integer"}, {}), ("instruct", {
 def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, results = tool_calls.calls_of_chat(table(spark, sf_dir, "conversations"))
     schemas = spark.createDataFrame(TOOLS, "name string, required map<string,string>, optional map<string,string>")
-    return tool_calls.link(calls, results, schemas).withColumn("problems", F.array_join("problems", ","))
+    linked = tool_calls.link(calls, results, schemas).withColumn("problems", F.array_join("problems", ","))
+    lost = tool_calls.orphans(calls, results).select("conv_id", "call_id", "content", F.lit("orphan").alias("problems"), F.lit(False).alias("valid"))
+    return linked.unionByName(lost, allowMissingColumns=True)
 
 
 #: verdict, host, path
@@ -89,13 +91,27 @@ _WORDS1 = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQR
 
 ORACLES: dict[str, str] = {
     "op4_tool_calls": """
-with asks as (select conv_id, turn, case role when 'user' then 'reply' else 'instruct' end name, coalesce(text, '') prompt, coalesce(length(text), 0) chars from conversations where role in ('user', 'system')),
-back as (select conv_id, turn - 1 turn, min(text) content, count(*) n from conversations where role = 'assistant' group by conv_id, turn)
-select cast(conv_id as varchar) conv_id, 'call-' || turn call_id, cast(turn as bigint) as "position", cast(null as integer) as "level", name,
- cast(to_json({'chars': chars, 'prompt': prompt}) as varchar) arguments, content, coalesce(n, 0) n_results,
- case when n is null then 'no_result' else '' end problems, n is not null valid,
- cast(to_json({'arguments': {'chars': chars, 'prompt': prompt}, 'id': 'call-' || turn, 'name': name, 'result': content, 'valid': n is not null}) as varchar) message
-from asks left join back using (conv_id, turn)""",
+with recursive sized as (select conv_id, turn, role, text, coalesce(text, '') prompt, cast(coalesce(length(text), 0) as integer) chars from conversations),
+ask as materialized (select *, 'call-' || turn call_id, (3 * conv_id + turn) % 8 kind, chars % 10 form,
+ case when turn >= 2 then ['call-' || (turn - 2)] when turn = 1 then ['call-0'] else [] end before from sized where role in ('user', 'system')),
+needs as (select conv_id, call_id, unnest(list_distinct(case when kind <= 2 then before when kind = 3 then list_concat(before, case when turn >= 4 then ['call-' || (turn - 4)] else [] end)
+ when kind = 4 then ['call-' || (turn + 2)] when kind = 5 then list_concat(['call-' || (turn + 2)], before) when kind = 7 then list_concat(before, ['call-none']) else [] end)) need from ask),
+edge as materialized (select n.conv_id, n.call_id, need from needs n join ask a on a.conv_id = n.conv_id and a.call_id = need),
+lost as (select conv_id, call_id from needs n where not exists (from ask a where a.conv_id = n.conv_id and a.call_id = need) group by all),
+many as (select conv_id, count(*) most from ask group by 1),
+walk(conv_id, call_id, d) as (select conv_id, call_id, 0 from ask union select e.conv_id, e.call_id, w.d + 1 from walk w join edge e on e.conv_id = w.conv_id and e.need = w.call_id join many m on m.conv_id = w.conv_id where w.d < m.most),
+lev as (select conv_id, call_id, case when max(d) < any_value(most) then max(d) end lev from walk join many using (conv_id) group by 1, 2),
+given as (select conv_id, case when chars % 12 = 5 then 'lost-' || turn else 'call-' || (turn - 1) end call_id, text content, unnest(range(case when chars % 12 = 7 then 2 else 1 end)) from sized where role = 'assistant'),
+back as (select conv_id, call_id, min(content) content, count(*) n from given group by 1, 2),
+named as (select ask.*, case when form = 9 then 'shout' when role = 'user' then 'reply' else 'instruct' end name,
+ case form when 0 then to_json({'chars': chars}) when 1 then to_json({'chars': cast(chars as varchar), 'prompt': prompt}) when 2 then to_json({'chars': chars, 'loud': true, 'prompt': prompt}) when 3 then null else to_json({'chars': chars, 'prompt': prompt}) end args,
+ case form when 0 then 'missing:prompt' when 1 then 'type:chars' when 2 then 'unexpected:loud' when 3 then 'bad_json' when 9 then 'unknown_tool' end problem from ask),
+judged as (select named.*, lev, content, coalesce(n, 0) n, concat_ws(',', problem, case when lost.call_id is not null then 'unknown_dependency' end, case when lev is null then 'cycle' end, case when n is null then 'no_result' end) problems
+ from named join lev using (conv_id, call_id) left join back using (conv_id, call_id) left join lost using (conv_id, call_id))
+select cast(conv_id as varchar) conv_id, call_id, cast(turn as bigint) as "position", cast(lev as integer) as "level", name, cast(args as varchar) arguments, content, n n_results, problems, problems = '' valid,
+ '{"arguments":' || coalesce(cast(args as varchar), 'null') || ',"id":"' || call_id || '","name":"' || name || '","result":' || coalesce(cast(to_json(content) as varchar), 'null') || ',"valid":' || case when problems = '' then 'true' else 'false' end || '}' message from judged
+union all
+select cast(conv_id as varchar), call_id, null, null, null, null, content, null, 'orphan', false, null from given g where not exists (from ask a where a.conv_id = g.conv_id and a.call_id = g.call_id)""",
     "op5_url_rules": f"""
 with rule(v, h, p) as (values {", ".join(str(r) for r in URL_RULES)}),
 u as (select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end r from pages),

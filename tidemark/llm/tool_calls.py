@@ -1,13 +1,17 @@
 """Chat formatting: tool calls meet their results, are put in dependency order, checked and written as canonical JSON.
 
 Calls (conv_id, call_id, position, name, arguments: JSON text, depends_on: array of call ids) join results (conv_id,
-call_id, content) by identifier, a hash-partitioned equi-join that Spark may split where an identifier is hot. Schemas
-(name, required: map of argument -> JSON type, optional: the same) are a table too and join by tool name.
+call_id, content) by identifier in a shuffled hash join: both sides hold an identifier once by then, so no hash bucket is
+hot. Schemas (name, required: map of argument -> JSON type, optional: the same) are a table too and join by tool name.
 
-Order: a call's rank in its conversation is a topological order. Where every dependency stands at an earlier position,
-positions already are one. Only conversations with a dependency that points ahead are levelled, in rounds: a call
-whose dependencies all have levels gets the next one, until nothing changes; calls of a cycle never get one and are marked.
-Position breaks ties.
+Order: a call's `level` is the length of the longest chain of dependencies behind it, so (level, position) is a
+topological order of its conversation. Levels are found for all conversations at once, by joins, however long one is:
+
+1. Calls with one dependency point at it; pointers are doubled until each reaches a call with none or several.
+2. Calls with several dependencies, joined to the ends of such chains, get levels in rounds: when all that they wait for
+   have one. Chains take no rounds of their own, so rounds are as many as such calls follow each other.
+
+Calls of a cycle, and those that wait for one, get no level and are marked.
 
 Checks, each a name in `problems`: bad_json (arguments are not one JSON object), unknown_tool, missing:<argument>,
 type:<argument>, unexpected:<argument>, unknown_dependency, cycle, no_result. Canonical JSON: keys sorted by code point,
@@ -15,8 +19,9 @@ no blanks, non-ASCII kept, numbers as Python's json reads and writes them.
 
 Defined results: rows with a null conv_id or call_id are left out; a repeated call (equal conv_id and call_id) counts
 once, the row of the least position, name and arguments; of several results of a call the least content stands, and
-`n_results` tells how many there were; results without a call are listed by `orphans`; null arguments are bad_json;
-empty tables give empty results; extra columns are left out.
+`n_results` tells how many there were; results without a call are listed by `orphans`; null arguments are bad_json; null
+dependencies are none; very long arguments are parsed whole, one call at a time; empty tables give empty results; extra
+columns are left out.
 """
 
 from __future__ import annotations
@@ -28,9 +33,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import written
+from ._common import slices, written
 
 _KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list, "object": dict}
+KEY = ["conv_id", "call_id"]
 
 
 def canonical(value: object) -> str:
@@ -62,45 +68,56 @@ def check_arguments(arguments: str | None, known: bool, required: dict[str, str]
     return text, out
 
 
-def _levels(calls: DataFrame) -> DataFrame:
-    """(conv_id, call_id, level) of the calls of conversations in which a dependency points ahead; level null in a cycle."""
-    edges = calls.select("conv_id", "call_id", "position", F.explode("depends_on").alias("needs"))
-    at = calls.select("conv_id", F.col("call_id").alias("needs"), F.col("position").alias("there"))
-    known = edges.join(at, ["conv_id", "needs"]).select("conv_id", "call_id", "position", "needs", "there").distinct()
-    ahead = known.where("there >= position").select("conv_id").distinct()
-    edges = written(known.join(ahead, "conv_id", "left_semi").select("conv_id", "call_id", "needs"))
-    if not edges.limit(1).count():  # positions are in order everywhere
-        return calls.where("false").select("conv_id", "call_id", F.lit(None).cast("int").alias("level"))
-    nodes = written(calls.join(ahead, "conv_id", "left_semi").select("conv_id", "call_id"))
-    done = written(nodes.join(edges, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0)))
-    before, level = -1, 0
-    while (count := done.count()) != before:
-        before, level = count, level + 1
-        open_ = edges.join(done.select("conv_id", "call_id"), ["conv_id", "call_id"], "left_anti")
-        met = open_.join(done.select("conv_id", F.col("call_id").alias("needs"), F.lit(1).alias("met")), ["conv_id", "needs"], "left")
-        ready = met.groupBy("conv_id", "call_id").agg(F.count("*").alias("n"), F.count("met").alias("m")).where("n = m")
-        done = written(done.unionByName(ready.select("conv_id", "call_id", F.lit(level).alias("level"))))
-    return nodes.join(done, ["conv_id", "call_id"], "left")
+def levels(calls: DataFrame) -> DataFrame:
+    """calls (conv_id, call_id, depends_on) -> conv_id, call_id, level (null: on or behind a cycle), n_known (dependencies that are calls)."""
+    named = lambda frame, name: frame.withColumnRenamed("call_id", name)
+    edges = calls.select(*KEY, F.explode(F.array_distinct("depends_on")).alias("needs"))
+    edges = written(edges.join(named(calls.select(*KEY), "needs"), ["conv_id", "needs"], "left_semi").select(*KEY, "needs"))
+    degree = written(edges.groupBy(*KEY).agg(F.count("*").alias("n"), F.min("needs").alias("up")))
+
+    ups = written(degree.where("n = 1").select(*KEY, "up", F.lit(1).cast("bigint").alias("dist"), F.lit(True).alias("open")))
+    longest = calls.groupBy("conv_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    for _ in range(longest.bit_length() + 1):  # what is open then goes round in a cycle
+        far = ups.select("conv_id", F.col("call_id").alias("up"), F.col("up").alias("next"), F.col("dist").alias("more"))
+        met = ups.join(far, ["conv_id", "up"], "left")
+        ups = written(met.select(*KEY, F.coalesce("next", "up").alias("up"), (F.col("dist") + F.coalesce("more", F.lit(0))).alias("dist"), F.col("next").isNotNull().alias("open")))
+        if not ups.where("open").limit(1).count():
+            break
+    chains = ups.where("not open").select(*KEY, "up", "dist")
+
+    has_needs = degree.select(*KEY, F.lit(True).alias("waits"))
+    several = edges.join(degree.where("n > 1").select(*KEY), KEY, "left_semi")
+    steps = several.join(named(chains, "needs"), ["conv_id", "needs"], "left").select(*KEY, F.coalesce("up", "needs").alias("base"), (F.coalesce("dist", F.lit(0)) + 1).alias("plus"))
+    steps = written(steps.join(named(has_needs, "base"), ["conv_id", "base"], "left").select(*KEY, "base", "plus", F.coalesce("waits", F.lit(False)).alias("waits")))
+    done, before, count = steps.where("false").select(*KEY, F.col("plus").alias("level")), -1, 0
+    while count != before:
+        met = steps.join(named(done, "base"), ["conv_id", "base"], "left").withColumn("value", F.when(F.col("waits"), F.col("level") + F.col("plus")).otherwise(F.col("plus")))
+        done = written(met.groupBy(*KEY).agg(F.max("value").alias("level"), F.count("value").alias("m"), F.count("*").alias("n")).where("m = n").select(*KEY, "level"))
+        before, count = count, done.count()
+
+    ends = chains.join(named(has_needs, "up"), ["conv_id", "up"], "left").join(named(done, "up"), ["conv_id", "up"], "left")
+    ends = ends.select(*KEY, (F.when(F.col("waits"), F.col("level")).otherwise(F.lit(0)) + F.col("dist")).alias("level"))
+    rows = calls.select(*KEY).join(degree.select(*KEY, "n"), KEY, "left").join(ends.unionByName(done), KEY, "left")
+    return rows.select(*KEY, F.when(F.col("n").isNull(), F.lit(0)).otherwise(F.col("level")).cast("int").alias("level"), F.coalesce("n", F.lit(0)).alias("n_known"))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     """One row per call: conv_id, call_id, position, level, name, arguments (canonical), content, n_results, problems, valid, message (canonical JSON)."""
-    own = calls.where("conv_id is not null and call_id is not null").select("conv_id", "call_id", F.col("position").cast("bigint").alias("position"), "name", "arguments", F.coalesce("depends_on", F.array().cast("array<string>")).alias("depends_on"))
-    own = own.groupBy("conv_id", "call_id").agg(F.min(F.struct("position", "name", "arguments", "depends_on")).alias("c")).select("conv_id", "call_id", "c.*")
-    back = results.where("conv_id is not null and call_id is not null").groupBy("conv_id", "call_id").agg(F.min("content").alias("content"), F.count("*").alias("n_results"))
-    levels = _levels(own)
-    needs = own.select("conv_id", "call_id", F.explode("depends_on").alias("needs"))
-    lost = needs.join(own.select("conv_id", F.col("call_id").alias("needs")), ["conv_id", "needs"], "left_anti").select("conv_id", "call_id").distinct().withColumn("lost", F.lit(True))
-    key = ["conv_id", "call_id"]
-    rows = own.join(back, key, "left").join(levels.withColumn("levelled", F.lit(True)), key, "left").join(lost, key, "left")
+    named = "conv_id is not null and call_id is not null"
+    needs = F.array_compact(F.coalesce("depends_on", F.array().cast("array<string>"))).alias("depends_on")
+    own = calls.where(named).select(*KEY, F.col("position").cast("bigint").alias("position"), "name", "arguments", needs)
+    own = written(own.groupBy(*KEY).agg(F.min(F.struct("position", "name", "arguments", "depends_on")).alias("c")).select(*KEY, "c.*"))
+    back = results.where(named).groupBy(*KEY).agg(F.min("content").alias("content"), F.count("*").alias("n_results"))
+    rows = own.join(back.hint("shuffle_hash"), KEY, "left").join(levels(own).hint("shuffle_hash"), KEY, "left")
     tools = schemas.where("name is not null").groupBy("name").agg(F.min_by("required", F.to_json("required")).alias("required"), F.min_by("optional", F.to_json("optional")).alias("optional")).withColumn("known", F.lit(True))
     rows = rows.join(tools, "name", "left")
-    more = F.array_compact(F.array(F.when(F.col("lost"), F.lit("unknown_dependency")), F.when(F.col("levelled") & F.col("level").isNull(), F.lit("cycle")), F.when(F.col("n_results").isNull(), F.lit("no_result"))))
+    lost = F.size(F.array_distinct("depends_on")) > F.col("n_known")
+    more = F.array_compact(F.array(F.when(lost, F.lit("unknown_dependency")), F.when(F.col("level").isNull(), F.lit("cycle")), F.when(F.col("n_results").isNull(), F.lit("no_result"))))
     empty = F.create_map().cast("map<string,string>")
-    frame = rows.select("conv_id", "call_id", "position", "level", "name", "arguments", "content", F.coalesce("n_results", F.lit(0)).alias("n_results"), more.alias("more"), F.coalesce("known", F.lit(False)).alias("known"), F.coalesce("required", empty).alias("required"), F.coalesce("optional", empty).alias("optional"))
+    frame = rows.select(*KEY, "position", "level", "name", "arguments", "content", F.coalesce("n_results", F.lit(0)).alias("n_results"), more.alias("more"), F.coalesce("known", F.lit(False)).alias("known"), F.coalesce("required", empty).alias("required"), F.coalesce("optional", empty).alias("optional"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = batch.to_pylist(maps_as_pydicts="lossy")
             texts, problems, messages = [], [], []
             for r in rows:
@@ -110,7 +127,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
                 texts.append(text)
                 problems.append(found)
                 messages.append(canonical(message))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("conv_id", "call_id", "position", "level", "name")), pa.array(texts, pa.string()), batch.column("content"), batch.column("n_results"), pa.array(problems, pa.list_(pa.string())), pa.array([not p for p in problems]), pa.array(messages, pa.string())], names=["conv_id", "call_id", "position", "level", "name", "arguments", "content", "n_results", "problems", "valid", "message"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*KEY, "position", "level", "name")), pa.array(texts, pa.string()), batch.column("content"), batch.column("n_results"), pa.array(problems, pa.list_(pa.string())), pa.array([not p for p in problems]), pa.array(messages, pa.string())], names=[*KEY, "position", "level", "name", "arguments", "content", "n_results", "problems", "valid", "message"])
 
     kinds = {c: frame.schema[c].dataType.simpleString() for c in ("conv_id", "call_id", "name", "content")}
     return frame.mapInArrow(check, f"conv_id {kinds['conv_id']}, call_id {kinds['call_id']}, position bigint, level int, name {kinds['name']}, arguments string, content {kinds['content']}, n_results bigint, problems array<string>, valid boolean, message string")
@@ -118,21 +135,42 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
 
 def orphans(calls: DataFrame, results: DataFrame) -> DataFrame:
     """Results whose identifier no call has."""
-    return results.join(calls.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti")
+    return results.join(calls.select(*KEY).distinct().hint("shuffle_hash"), KEY, "left_anti")
 
 
 def calls_of_chat(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Chat turns (conv_id, turn, role, text) as calls and results.
+    """Chat turns (conv_id, turn, role, text) as calls and results, in fixed shares as they should be and as they should not.
 
     A user turn is a call of the tool `reply`, a system turn one of `instruct`; an assistant turn is the result of the
-    call at the turn before it. A call depends on the turn two before it if that is a call (the question before).
+    call at the turn before it. What a call needs, by (3 * conv_id + turn) modulo 8: 0-2 the ask before; 3 the two before;
+    4 the ask after; 5 the one after and the one before; 6 nothing; 7 the one before and a call that there is not. Arguments, by
+    the text's length modulo 10: 0 no prompt, 1 chars as text, 2 one argument too many, 3 cut JSON, 9 a tool that there is not. Results,
+    by their length modulo 12: 5 under an identifier that no call has, 7 twice.
     """
-    conv, at = F.col("conv_id"), F.col("turn")
+    conv, at, text = F.col("conv_id"), F.col("turn").cast("bigint"), F.coalesce("text", F.lit(""))
     name = lambda turn: F.concat(F.lit("call-"), turn.cast("string"))
-    asks = turns.where(F.col("role").isin("user", "system"))
-    arguments = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("prompt"), F.coalesce(F.length("text"), F.lit(0)).alias("chars")))
-    calls = asks.select(conv.cast("string").alias("conv_id"), name(at).alias("call_id"), at.cast("bigint").alias("position"), F.when(F.col("role") == "user", "reply").otherwise("instruct").alias("name"), arguments.alias("arguments"))
-    prior = calls.select("conv_id", F.col("call_id").alias("before")).distinct()
-    calls = calls.withColumn("before", name(F.col("position") - 2)).join(prior.withColumn("there", F.lit(True)), ["conv_id", "before"], "left").withColumn("depends_on", F.when(F.col("there"), F.array("before")).otherwise(F.array().cast("array<string>"))).drop("before", "there")
-    results = turns.where("role = 'assistant'").select(conv.cast("string").alias("conv_id"), name(at - 1).alias("call_id"), F.col("text").alias("content"))
-    return calls, results
+    size = F.length(text)
+    kind, form, fate = F.pmod(conv * 3 + at, F.lit(8)), size % 10, size % 12
+    none = F.array().cast("array<string>")
+    before = F.when(at >= 2, F.array(name(at - 2))).when(at == 1, F.array(F.lit("call-0"))).otherwise(none)
+    needs = (
+        F.when(kind <= 2, before)
+        .when(kind == 3, F.concat(before, F.when(at >= 4, F.array(name(at - 4))).otherwise(none)))
+        .when(kind == 4, F.array(name(at + 2)))
+        .when(kind == 5, F.concat(F.array(name(at + 2)), before))
+        .when(kind == 7, F.concat(before, F.array(F.lit("call-none"))))
+        .otherwise(none)
+    )
+    prompt, chars = text.alias("prompt"), size.alias("chars")
+    arguments = (
+        F.when(form == 0, F.to_json(F.struct(chars)))
+        .when(form == 1, F.to_json(F.struct(prompt, size.cast("string").alias("chars"))))
+        .when(form == 2, F.to_json(F.struct(prompt, chars, F.lit(True).alias("loud"))))
+        .when(form == 3, F.lit('{"prompt":'))
+        .otherwise(F.to_json(F.struct(prompt, chars)))
+    )
+    tool = F.when(form == 9, "shout").when(F.col("role") == "user", "reply").otherwise("instruct")
+    calls = turns.where(F.col("role").isin("user", "system")).select(conv.cast("string").alias("conv_id"), name(at).alias("call_id"), at.alias("position"), tool.alias("name"), arguments.alias("arguments"), needs.alias("depends_on"))
+    own = F.when(fate == 5, F.concat(F.lit("lost-"), at.cast("string"))).otherwise(name(at - 1))
+    results = turns.where("role = 'assistant'").select(conv.cast("string").alias("conv_id"), own.alias("call_id"), F.col("text").alias("content"), F.when(fate == 7, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))).alias("times"))
+    return calls, results.withColumn("time", F.explode("times")).drop("times", "time")
