@@ -24,7 +24,10 @@ SPACE = "▁"
 PRE_TOKEN = re.compile(r" ?[^ \n\t\r\v\f]+|[ \n\t\r\v\f]")
 #: No character has this number; it stands for a U+2581 of the text.
 _LITERAL = 0x110000
-LONG = 64
+#: Stands for no character at all, beyond a word's ends.
+_PAD = 0x110001
+#: Characters that words are read in at a time; longer ones go on from stretch to stretch.
+STRETCH = 64
 _NONE = np.iinfo(np.int64).min // 4
 _BITS = 20
 
@@ -102,32 +105,89 @@ def pre_tokens(text: str | None) -> list[str]:
     return PRE_TOKEN.findall(" " + text) if text else []
 
 
-def _sequential(pieces: Pieces, word: str) -> list[int]:
-    """Best segmentation of one long word; each position's matches come from vectorised probes of a stretch of it."""
-    codes = codes_of([word])
-    n, step = len(codes), 1 << 16
-    best, came, via = [0] + [_NONE] * n, np.zeros(n + 1, np.int32), np.zeros(n + 1, np.int32)
-    for a in range(0, n, step):
-        part = codes[a : a + step + pieces.longest - 1]
-        sums = running(part)
-        starts = min(step, len(part))
-        lists: list[list[tuple[int, int, int]]] = [[(1, int(s), -1)] for s in pieces.fallback_scores(part[:starts])]
-        for length in range(1, pieces.longest + 1):
-            found, at = pieces.probe(sums, np.arange(max(0, min(starts, len(part) - length + 1))), length)
-            for i, s, v in zip(found.tolist(), pieces.scores[at].tolist(), pieces.ids[at].tolist(), strict=True):
-                lists[i].append((length, s, v))
-        for i, options in enumerate(lists, a):
-            here = best[i]
-            for length, s, v in options:
-                # of equal sums the longest last piece: the earliest start gets to a place first
-                if here + s > best[i + length]:
-                    best[i + length], came[i + length], via[i + length] = here + s, length, v
-    out, i = [], n
-    while i:
-        v = int(via[i])
-        out += [v] if v >= 0 else pieces.spelt(int(codes[i - 1]))[::-1]
-        i -= int(came[i])
-    return out[::-1]
+def _long_words(pieces: Pieces, words: list[str], spell: bool) -> list[np.ndarray]:
+    """Best segmentations of words of more than STRETCH characters: their ids, or else only (the number of ids,).
+
+    Words are read in stretches of STRETCH characters, and equal-length stretches of all words advance together. A stretch
+    maps the best scores at the last places before it to those at its end, whatever comes before, so these maps need no
+    order; applied in turn, they give each stretch the scores that it starts from. For counts, words meet in a trie of
+    stretches, and a shared prefix is scored once. For ids, a second pass from known scores stores backpointers.
+    """
+    deep, step = pieces.longest, STRETCH
+    codes = [codes_of([w]) for w in words]
+    origin = np.full(deep, _NONE)
+    origin[0] = 0
+    front = [(origin, np.zeros(deep, np.int64)) for _ in words]  # of each word: score and number of ids at its last `deep` places
+    node, nodes = [0] * len(words), {}
+    came = [np.zeros(len(c) + 1 if spell else 0, np.int8) for c in codes]
+    via = [np.zeros(len(c) + 1 if spell else 0, np.int32) for c in codes]
+    places = sorted((i, w) for w, c in enumerate(codes) for i in range(-(-len(c) // step)))
+    for a in range(0, len(places), 512):
+        part = places[a : a + 512]
+        rows = np.full((len(part), deep - 1 + step), _PAD)
+        for r, (i, w) in enumerate(part):
+            left = i * step - (deep - 1)
+            own = codes[w][max(0, left) : (i + 1) * step]
+            rows[r, max(0, -left) : max(0, -left) + len(own)] = own
+        lanes, of = np.unique(rows, axis=0, return_inverse=True)
+        of = of.ravel()
+        width = lanes.shape[1]
+        sums, flat = running(lanes.ravel()), np.arange(lanes.size)
+        score = np.full((deep + 1, lanes.size), _NONE)
+        ids = np.full((deep + 1, lanes.size), -1, np.int32)
+        score[1] = np.where(lanes.ravel() == _PAD, _NONE, pieces.fallback_scores(lanes.ravel()))
+        for length in range(1, deep + 1):
+            start = flat[flat % width <= width - length]
+            found, at = pieces.probe(sums, start, length)
+            score[length, start[found]], ids[length, start[found]] = pieces.scores[at], pieces.ids[at]
+        score, ids = (np.ascontiguousarray(x.reshape(deep + 1, len(lanes), width).transpose(0, 2, 1)) for x in (score, ids))
+        some = (score > _NONE).any(2)
+        best = np.full((deep + step, deep, len(lanes)), _NONE)
+        for e in range(deep):
+            best[deep - 1 - e, e] = 0
+        for t in range(deep, deep + step):
+            for length in range(1, deep + 1):
+                if some[length, t - length]:
+                    np.maximum(best[t], best[t - length] + score[length, t - length], out=best[t])
+        entry = np.full((deep + step, len(part)), _NONE)
+        for r, (i, w) in enumerate(part):
+            scores, counts = front[w]
+            entry[deep - 1 :: -1, r] = scores
+            n = min(step, len(codes[w]) - i * step)
+            key = node[w], lanes[of[r]].tobytes(), n
+            if key not in nodes:
+                through = best[n : n + deep, :, of[r]][::-1]  # by place before the end, and place before the start
+                total = scores + through
+                pick = total.argmax(1)
+                nodes[key] = len(nodes) + 1, (np.maximum(total.max(1), _NONE), counts[pick] + (-through[np.arange(deep), pick] & 1023))
+            node[w], front[w] = nodes[key]
+        if not spell:
+            continue
+        last = np.zeros((deep + step, len(part)), np.int8)
+        for t in range(deep, deep + step):
+            for length in range(deep, 0, -1):  # of equal sums the longest last piece
+                if some[length, t - length]:
+                    new = entry[t - length] + score[length, t - length, of]
+                    better = new > entry[t]
+                    np.copyto(entry[t], new, where=better)
+                    last[t][better] = length
+        for r, (i, w) in enumerate(part):
+            n = min(step, len(codes[w]) - i * step)
+            back = last[deep : deep + n, r].astype(np.int64)
+            came[w][i * step + 1 : i * step + n + 1] = back
+            via[w][i * step + 1 : i * step + n + 1] = ids[back, np.arange(deep, deep + n) - back, of[r]]
+    if not spell:
+        return [counts[:1] for _, counts in front]
+    out = []
+    for own, steps, last_ids in zip(codes, came, via, strict=True):
+        i, found = len(own), []
+        steps, last_ids = steps.tolist(), last_ids.tolist()
+        while i:
+            v = last_ids[i]
+            found += [v] if v >= 0 else pieces.spelt(int(own[i - 1]))[::-1]
+            i -= steps[i]
+        out.append(np.array(found[::-1], np.int32))
+    return out
 
 
 class _Numbers(dict):
@@ -176,15 +236,15 @@ class Encoder:
         """Ids of words, in order, and each word's number of ids."""
         lengths = np.array([len(w) for w in words])
         results: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # word numbers, ids flat, counts
-        for i in np.flatnonzero(lengths > LONG).tolist():
-            ids = _sequential(self.pieces, words[i])
-            results.append((np.array([i]), np.array(ids, np.int32), np.array([len(ids)])))
+        long = np.flatnonzero(lengths > STRETCH).tolist()
+        for i, ids in zip(long, _long_words(self.pieces, [words[i] for i in long], spell=True), strict=True):
+            results.append((np.array([i]), ids, np.array([len(ids)])))
         order = np.argsort(lengths, kind="stable")
-        order = order[lengths[order] <= LONG]
+        order = order[lengths[order] <= STRETCH]
         ends = np.cumsum(lengths[order])
         a = 0
         while a < len(order):
-            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + 150_000, side="right")))
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + 60_000, side="right")))
             results += self._block(order[a:b], [words[i] for i in order[a:b]], lengths[order[a:b]])
             a = b
         number = np.concatenate([r[0] for r in results])
@@ -273,9 +333,9 @@ class Counter:
         pieces = self.pieces
         out = np.zeros(len(words), np.int64)
         lengths = np.array([len(w) for w in words])
-        for i in np.flatnonzero(lengths > LONG).tolist():
-            out[i] = len(_sequential(pieces, words[i]))
-        short = sorted(np.flatnonzero(lengths <= LONG).tolist(), key=words.__getitem__)
+        long = np.flatnonzero(lengths > STRETCH)
+        out[long] = np.concatenate([np.zeros(0, np.int64), *_long_words(pieces, [words[i] for i in long.tolist()], spell=False)])
+        short = sorted(np.flatnonzero(lengths <= STRETCH).tolist(), key=words.__getitem__)
         for a in range(0, len(short), 20_000):
             number = np.array(short[a : a + 20_000])
             size = lengths[number]
