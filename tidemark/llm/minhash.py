@@ -39,8 +39,8 @@ from .hashing import blocks, mix, shingles
 
 SLOTS, ROWS = 180, 5
 _U = np.uint64
-#: Sets that a task holds while others stream past.
-CHUNK = 1024
+#: Sets that a task holds while as many others stream past: at least, and at most.
+CHUNK, MOST = 128, 2048
 
 
 def signatures(elements: np.ndarray, sizes: np.ndarray, slots: int = SLOTS) -> np.ndarray:
@@ -156,13 +156,15 @@ def _verified(pairs: DataFrame, active: DataFrame, k: int, percent: int) -> Data
 def _met_in_blocks(family: DataFrame, active: DataFrame, k: int, percent: int) -> DataFrame:
     """family (home, node, root) -> links (u, v) that join all components of each home that have a link between them.
 
-    Members outside a home's main component are held in chunks of about CHUNK, as one sorted list of shingles with their
-    owners; every member of the home streams past and gets its exact intersection with all of them at once. A task
-    tells only links that join components that it has not joined yet.
+    Members outside a home's main component are held in chunks, as one sorted list of shingles with their
+    owners; every member of the home streams past and gets its exact intersection with all of them at once. Both sides
+    are cut at a 16th of the home, but for MOST at most, so no unit of work holds more than an eighth of a home of over
+    16 CHUNK members, whatever its size. A unit tells only links that join components that it has not joined yet.
     """
     sizes = family.groupBy("home", "root").agg(F.count("*").alias("c"))
     main = sizes.groupBy("home").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("n"), F.count("*").alias("roots"), F.max("c").alias("most")).where("roots > 1 and n > 2")
-    main = main.select("home", "main", F.ceil((F.col("n") - F.col("most")) / CHUNK).cast("int").alias("chunks"), F.ceil(F.col("n") / (8 * CHUNK)).cast("int").alias("salts"))
+    side = F.least(F.lit(MOST), F.greatest(F.lit(CHUNK), F.ceil(F.col("n") / 16)))
+    main = main.select("home", "main", F.ceil((F.col("n") - F.col("most")) / side).cast("int").alias("chunks"), F.ceil(F.col("n") / side).cast("int").alias("salts"))
     open_ = written(family.join(main, "home"))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
