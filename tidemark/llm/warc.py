@@ -31,7 +31,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import parallelism, shared_dir, written
+from ._common import parallelism, shared_dir, slices, written
 from .url_rules import host_of, reversed_host
 
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
@@ -140,7 +140,7 @@ def write(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload:
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Writer(folder, "archive", ".warc.gz", most)
-        for batch in batches:
+        for batch in slices(batches, 512):
             files, offsets, lengths = [], [], []
             for id_, where, size, digest, refers, text in zip(*(batch.column(c) for c in ("id", "url", "size", "digest", "refers_to", "body")), strict=True):
                 body = (text.as_py() or "").encode()
@@ -236,7 +236,7 @@ def read(archive: Archive, captures: DataFrame) -> DataFrame:
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(folder)
-        for batch in batches:
+        for batch in slices(batches, 512):  # few payloads in hand at a time
             rows = []
             for file, offset, length in zip(*(batch.column(c).to_pylist() for c in ("file", "offset", "length")), strict=True):
                 warc, http, payload = parse(zlib.decompress(reader.range(file, offset, length), 31))
@@ -251,5 +251,5 @@ def read(archive: Archive, captures: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()), strict=True)], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"])
 
     # few ranges of a file together, in the file's order
-    near = captures.withColumn("stretch", F.floor(F.col("offset") / (1 << 22))).repartition("file", "stretch").sortWithinPartitions("file", "offset")
+    near = captures.withColumn("stretch", F.floor(F.col("offset") / (1 << 22))).repartition(parallelism(captures.sparkSession), "file", "stretch").sortWithinPartitions("file", "offset")
     return near.select("file", "offset", "length").mapInArrow(load, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, url string, payload binary")
