@@ -116,8 +116,8 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, d
     if learnable is not None:
         known = known.where(learnable)
     chosen = known.select(F.col(doc_id).alias("id"), F.col(quality).cast("int").alias("q")).groupBy("id").agg(F.min("q").alias("q")).orderBy(F.xxhash64("id"), "id").limit(max_labelled)
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t")).join(F.broadcast(chosen), "id").where(F.length("t") <= max_chars)
-    rows = rows.groupBy("id").agg(F.min("t").alias("t"), F.min("q").alias("q"))  # one text an id
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t")).join(F.broadcast(chosen), "id")
+    rows = rows.groupBy("id").agg(F.min("t").alias("t"), F.min("q").alias("q")).where(F.length("t") <= max_chars)  # one text an id
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Terms()

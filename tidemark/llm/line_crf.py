@@ -174,8 +174,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     """Fit on a bounded sample: the first `max_docs` labelled ids by hash, documents of at most `max_lines` lines; of texts of one id the least."""
     chosen = labels.where(F.col(quality).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("id"), F.col(quality).cast("int").alias("q")).groupBy("id").agg(F.min("q").alias("q")).orderBy(F.xxhash64("id"), "id").limit(max_docs)
     small = F.length(F.regexp_replace("t", "[^\n]", "")) < max_lines
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t")).join(F.broadcast(chosen), "id").where(small)
-    rows = rows.groupBy("id").agg(F.min("t").alias("t"), F.min("q").alias("q"))  # one text an id
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t")).join(F.broadcast(chosen), "id")
+    rows = rows.groupBy("id").agg(F.min("t").alias("t"), F.min("q").alias("q")).where(small)  # one text an id
 
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
