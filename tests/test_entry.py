@@ -28,7 +28,7 @@ def duck():
 def market_names():
     from tidemark.plans import ORACLES, QUERIES
 
-    return [n for n in QUERIES if n in ORACLES and not n.startswith("streamed")]
+    return [n for n in QUERIES if n in ORACLES]
 
 
 @pytest.mark.parametrize("name", market_names())

@@ -66,6 +66,10 @@ def test_feeds(spark):
     atom = '<feed xmlns="http://www.w3.org/2005/Atom"><entry><id>e</id><link href="h"/><summary>s</summary><published>p</published></entry></feed>'
     got = scans.feed_items(spark.createDataFrame([("r", rss), ("a", atom), ("n", "no xml")], "feed string, body string")).collect()
     assert {(r.feed, r.source_id, r.title, r.link, r.source_ts_raw) for r in got} == {("r", "g", "A & B", "l", "d"), ("r", "m", "t", "m", None), ("a", "e", None, "h", "p")}
+    prefixed = '<a:feed xmlns:a="http://www.w3.org/2005/Atom"><a:entry><a:id>e</a:id><a:title type="html">&lt;b&gt; &#233; &amp; &quot;</a:title><a:link>x</a:link></a:entry></a:feed>'
+    rdf = '<rdf:RDF xmlns:rdf="r"><item><guid isPermaLink="false">g</guid><title>q</title></item></rdf:RDF>'
+    got = scans.feed_items(spark.createDataFrame([("p", prefixed), ("d", rdf), ("torn", "<rss><channel><item><title>x</title>"), ("null", None)], "feed string, body string")).collect()
+    assert {(r.feed, r.dialect, r.source_id, r.title) for r in got} == {("p", "atom", "e", '<b> é & "'), ("d", "rss", "g", "q")}
 
 
 def stream_of(spark, folder, batches, schema):
@@ -120,3 +124,70 @@ def test_frames_and_batch_markers(spark, tmp_path):
     gated = spark.range(4).withColumns({"accepted": F.col("id") > 0, "reasons": F.array(F.lit("r"))})
     sinks.split(gated, str(tmp_path / "clean"), str(tmp_path / "held"))
     assert spark.read.parquet(str(tmp_path / "clean")).count() == 3 and spark.read.parquet(str(tmp_path / "held")).columns == ["id", "reasons"]
+
+
+def test_a_batch_that_comes_again_replaces_itself(spark, tmp_path):
+    """A crash between the two writes, and one between the writes and the marker: every row stands once."""
+    gated = spark.range(6).withColumns({"accepted": F.col("id") > 1, "reasons": F.array(F.lit("r"))})
+    paths = [str(tmp_path / x) for x in ("clean", "held", "done")]
+    work = jobs.once_per_batch(lambda batch, n: sinks.split(batch, *paths[:2], n), paths[2])
+
+    class Crash(Exception):
+        pass
+
+    def failing(clean, held, crash_at):
+        def write(batch, n):
+            if crash_at == "between":
+                batch.where("accepted").drop("accepted", "reasons").write.mode("overwrite").parquet(f"{clean}/batch={n}")
+            else:
+                sinks.split(batch, clean, held, n)
+            raise Crash
+
+        return write
+
+    for n, crash_at in enumerate(("between", "before the marker")):
+        with pytest.raises(Crash):
+            jobs.once_per_batch(failing(*paths[:2], crash_at), paths[2])(gated, n)
+        work(gated, n)
+        work(gated, n)
+    for path, ids in zip(paths, ([2, 3, 4, 5], [0, 1]), strict=False):
+        assert sorted(r.id for r in spark.read.parquet(path).collect()) == sorted(2 * ids)
+
+
+def test_rows_without_a_time_and_nested_nulls(spark):
+    df = spark.createDataFrame([("s", "P", None, [[("a", [None, "b"])], None], {"k": [None, "v"]}), ("s", "P", T0, None, {})], "source string, product string, received_at timestamp, deep array<array<struct<n:string,l:array<string>>>>, bag map<string,array<string>>")
+    got = {str(r.event_date): r for r in sinks.compact(sinks.with_partitions(df, written="2026-05-01")).collect()}
+    assert set(got) == {"2026-05-01", "2026-04-06"}
+    assert [[tuple(x) for x in y] for y in got["2026-05-01"].deep] == [[("a", ["b"])]] and got["2026-05-01"].bag == {"k": ["v"]} and got["2026-04-06"].bag is None
+    assert sinks.with_partitions(df).where("event_date is null").count() == 1
+
+
+def test_silence_timer(spark, tmp_path, rocks):
+    """Silences are told by the next frame or by the timer, once each; the timer ends the last one too."""
+    at = lambda s: T0 + dt.timedelta(seconds=s)
+    batches = [[("a", at(0)), ("a", at(5)), ("b", at(1))], [("a", at(100)), ("b", at(8))], [("c", at(1000))]]
+    s = stream_of(spark, tmp_path, batches, "stream string, received_at timestamp")
+    out = run_to_table(jobs.silence_timer(s.withWatermark("received_at", "1 second"), "stream", seconds=10), spark, tmp_path, "silence_out").collect()
+    assert sorted((r.key, int((r.silent_since - T0).total_seconds())) for r in out) == [("a", 5), ("a", 100), ("b", 8)]
+
+
+def test_stateful_book_equals_the_batch_one(spark, tmp_path, rocks):
+    from tidemark.operators import book
+
+    rng = random.Random(4)
+    level = lambda: [(float(rng.randrange(90, 110)), float(rng.randrange(3))) for _ in range(rng.randrange(3))]
+    rows = [(rng.choice("ab"), i, "snapshot" if rng.random() < 0.1 else "delta", level(), level()) for i in range(120)]
+    schema = f"run string, ord bigint, event_type string, bids {schemas.LEVELS}, asks {schemas.LEVELS}"
+    s = stream_of(spark, tmp_path, [rows[:40], rows[40:80], rows[80:]], schema)
+    got = {(r.key, r.ord): (r.best_bid, r.best_ask) for r in run_to_table(jobs.stateful_book(s, "run", "ord"), spark, tmp_path, "book_out").collect()}
+    batch = book.sub_books(spark.createDataFrame(rows, schema), ["run"], ["ord"])
+    for states in (book.fold(batch, ["run"], "ord"), book.best_prices(batch, ["run"], ["ord"])):
+        assert got == {(r.run, r.ord): (r.best_bid, r.best_ask) for r in states.collect()}
+
+
+def test_metrics_rows_of_batches(spark, tmp_path):
+    gated = spark.range(10).withColumns({"day": F.col("id") % 2, "accepted": F.col("id") > 3})
+    work = jobs.with_metrics(lambda *_: None, str(tmp_path), ["day"])
+    for n in (0, 1, 1):
+        work(gated, n)
+    assert {(r.batch, r.day, r.raw_events, r.quarantined_events) for r in spark.read.parquet(str(tmp_path)).collect()} == {(b, d, 5, 2) for b in (0, 1) for d in (0, 1)}

@@ -405,3 +405,20 @@ def test_runs_without_events(spark, trade_schema, depth_schema):
         row = out.collect()[0]
         assert (row.run, row.event_count, row.replayable) == ("empty", 0, False), name
         assert row.findings == (["no_events", "no_snapshot_anchor"] if name in ("stream", "plain") else ["no_events"]), name
+
+
+def test_a_claimed_time_is_a_number(spark):
+    """A JSON number is a claim in epoch seconds; text that looks like one is not."""
+    rows = [(1, '{"created_utc": 1700000000.5}'), (2, '{"created_utc": "1700000000"}'), (3, '{"created_utc": null, "source_ts_raw": "soon"}'), (4, "torn")]
+    frames = spark.createDataFrame(rows, "k int, payload string").withColumns({"source": F.lit("s"), "received_at": F.lit("2026-01-01").cast("timestamp")})
+    got = {r.k: (r.source_ts and r.source_ts.replace(tzinfo=None), r.metadata.source_ts_unparseable) for r in normalizers.text_items(frames).collect()}
+    assert got == {1: (dt.datetime(2023, 11, 14, 22, 13, 20, 500000), False), 2: (None, False), 3: (None, True), 4: (None, False)}
+
+
+def test_instruments_by_constants_equal_those_by_joins(spark):
+    symbols = ["BTCUSDT", "btc-perpetual", "ETH_PERP", "SOL-USDT", "ABC-PERPETUAL", "XRP/USDTPERP", "DOGEUSD", "BTC/USD", " xbtusd ", "USDTUSD", "", "ETHBTC", "BITCOINUSD", "USD COINUSDT", "EURUSD", "BTCUSDTETH"]
+    df = spark.createDataFrame([(s, v) for s in symbols for v in ("Binance_Futures", "deribit", " OKX ", "binance-futures")], "symbol string, source string")
+    for kind in ("spot", "perp", None):
+        got = {(r.symbol, r.source): r.instrument for r in instruments.with_instrument(df, kind).collect()}
+        assert got == {(r.symbol, r.venue): r.instrument for r in instruments.resolve(df.withColumnRenamed("source", "venue"), kind).collect()}
+        assert None in got.values() and len(set(map(str, got.values()))) > 20

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import venue_name
+from ..schemas import ASSET
 
 # Assets, their aliases (alias, type, venue), the instruments with explicit entries, quotes in order of trial.
 ASSETS = [
@@ -22,6 +23,7 @@ ASSETS = [
 ]
 PERPS = [("binance-futures", "BTCUSDT", "BTC", "USDT", "USDT"), ("binance-futures", "ETHUSDT", "ETH", "USDT", "USDT"), ("deribit", "BTC-PERPETUAL", "BTC", "USD", "BTC"), ("deribit", "ETH-PERPETUAL", "ETH", "USD", "ETH")]
 QUOTES = ("USDT", "USDC", "USD", "BTC", "ETH")
+_PAIR = f"struct<base_asset:{ASSET},quote_asset:{ASSET}>"
 
 
 def asset_aliases(spark: SparkSession, asset_id: str | None = None) -> DataFrame:
@@ -80,16 +82,36 @@ def resolve(symbols: DataFrame, kind: str | None = None, aliases: DataFrame | No
     explicit = explicit.where((F.lit(kind).isNull()) | (F.col("instrument_type") == F.lit(kind))).groupBy(F.col("venue").alias("v"), F.upper("venue_symbol").alias("s")).agg(F.first(F.struct("instrument_id", "venue", "venue_symbol", "canonical_symbol", "instrument_type", F.col("base").alias("base_asset"), F.col("quote").alias("quote_asset"))).alias("explicit"))
     rows = pairs.join(own, ["spot_value", "v"], "left").join(like, ["perp_value", "v"], "left").join(F.broadcast(explicit), ["v", "s"], "left")
     rows = resolve_assets(resolve_assets(rows.withColumns({"b": F.substring_index("s", "-", 1), "q": F.lit("USD")}), aliases, "b", "deribit_base"), aliases, "q", "deribit_quote")
+    found = _found(F.col("v"), F.col("s"), F.col("spot_value"), F.col("as_spot"), F.col("as_perp"), F.col("explicit"), F.col("deribit_base"), F.col("deribit_quote"), kind)
+    return rows.select("symbol", "venue", found.alias("instrument"))
+
+
+def _found(v: Column, s: Column, spot_value: Column, as_spot: Column, as_perp: Column, explicit: Column, deribit_base: Column, deribit_quote: Column, kind: str | None) -> Column:
+    """The instrument of an upper-cased symbol, from its candidates; null for an empty symbol."""
     slash = lambda b, q, tail="": F.concat(b["symbol"], F.lit("/"), q["symbol"], F.lit(tail))
-    sb, sq = F.col("as_spot.base_asset"), F.col("as_spot.quote_asset")
-    pb, pq = F.col("as_perp.base_asset"), F.col("as_perp.quote_asset")
-    db, dq = F.col("deribit_base"), F.col("deribit_quote")
-    spot_ref = F.when(F.col("as_spot").isNotNull(), _ref(F.concat(F.lit("spot:"), "v", F.lit(":"), "spot_value"), F.col("v"), F.col("spot_value"), slash(sb, sq), "spot", sb, sq))
-    perp_id = F.concat(F.lit("perp:"), "v", F.lit(":"), "s")
-    deribit = (F.col("v") == "deribit") & F.col("s").endswith("-PERPETUAL")
-    perp_ref = F.when(deribit & db.isNotNull(), _ref(perp_id, F.col("v"), F.col("s"), slash(db, dq, "-PERP"), "perp", db, dq)).when(~deribit & F.col("as_perp").isNotNull(), _ref(perp_id, F.col("v"), F.col("s"), slash(pb, pq, "-PERP"), "perp", pb, pq))
-    found = {"spot": spot_ref, "perp": F.coalesce(F.col("explicit"), perp_ref), None: F.coalesce(F.col("explicit"), spot_ref, perp_ref)}[kind]
-    return rows.select("symbol", "venue", F.when(F.col("s") != "", found).alias("instrument"))
+    sb, sq, pb, pq = as_spot["base_asset"], as_spot["quote_asset"], as_perp["base_asset"], as_perp["quote_asset"]
+    spot_ref = F.when(as_spot.isNotNull(), _ref(F.concat(F.lit("spot:"), v, F.lit(":"), spot_value), v, spot_value, slash(sb, sq), "spot", sb, sq))
+    perp_id = F.concat(F.lit("perp:"), v, F.lit(":"), s)
+    deribit = (v == "deribit") & s.endswith("-PERPETUAL")
+    perp_ref = F.when(deribit & deribit_base.isNotNull(), _ref(perp_id, v, s, slash(deribit_base, deribit_quote, "-PERP"), "perp", deribit_base, deribit_quote)).when(~deribit & as_perp.isNotNull(), _ref(perp_id, v, s, slash(pb, pq, "-PERP"), "perp", pb, pq))
+    return F.when(s != "", {"spot": spot_ref, "perp": F.coalesce(explicit, perp_ref), None: F.coalesce(explicit, spot_ref, perp_ref)}[kind])
+
+
+def _asset(asset_id: str, symbol: str, name: str) -> Column:
+    return F.struct(F.lit(symbol).alias("symbol"), F.lit(asset_id).alias("asset_id"), F.lit(symbol).alias("canonical_symbol"), F.lit(name).alias("name"))
+
+
+def with_instrument(df: DataFrame, kind: str | None = None, symbol: str = "symbol", venue: str = "source") -> DataFrame:
+    """Adds `instrument` by the fixed dimension alone: its few dozen rows are constants, so rows are neither joined nor read twice."""
+    assets = {s: _asset(a, s, name) for a, s, name, _ in ASSETS}
+    known = F.create_map(*(x for _, s, _, aliases in ASSETS for alias, _, _ in aliases for x in (F.lit(alias), assets[s])))
+    listed = F.create_map(*(x for v, s, b, q, _ in PERPS for x in (F.lit(f"{v} {s}"), _ref(F.lit(f"perp:{v}:{s}"), F.lit(v), F.lit(s), F.lit(f"{b}/{q}-PERP"), "perp", assets[b], assets[q]))))
+    pair = lambda value: F.coalesce(*(F.when(value.endswith(q) & (F.length(value) > len(q)) & known[F.rtrim(F.left(value, F.length(value) - len(q)))].isNotNull(), F.struct(known[F.rtrim(F.left(value, F.length(value) - len(q)))].alias("base_asset"), assets[q].alias("quote_asset"))) for q in QUOTES))
+    rows = df.withColumns({"__v": venue_name(F.col(venue)), "__s": F.upper(F.trim(F.col(symbol)))})
+    spot_value, perp_value = F.translate("__s", "/", ""), F.translate(F.regexp_replace(F.regexp_replace("__s", "_PERP$", ""), "PERP$", ""), "-_/", "")
+    rows = rows.withColumns({"__spot": pair(spot_value) if kind != "perp" else F.lit(None).cast(_PAIR), "__perp": pair(perp_value) if kind != "spot" else F.lit(None).cast(_PAIR)})
+    found = _found(F.col("__v"), F.col("__s"), spot_value, F.col("__spot"), F.col("__perp"), listed[F.concat("__v", F.lit(" "), "__s")], known[F.trim(F.substring_index("__s", "-", 1))], assets["USD"], kind)
+    return rows.withColumn("instrument", found).drop("__v", "__s", "__spot", "__perp")
 
 
 def legacy_asset_id(c: Column) -> Column:

@@ -2,7 +2,7 @@
 
 A payload is read once by a fixed schema whose leaves are text, so a value's own spelling reaches the tolerant parsers;
 unreadable fields are null and leave `invalid_<field>` in metadata.parse_errors. Frames that batch several events are
-exploded, with `pos` for their order in the frame. Instruments are resolved on distinct symbols and joined back.
+exploded, with `pos` for their order in the frame. Instruments come from the fixed dimension, as constants: no join.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from .instruments import resolve
+from .instruments import with_instrument
 
 _C = F.col
 
@@ -34,12 +34,6 @@ def _text(c: Column, default: str) -> Column:
     return F.when(S.blank(c), default).otherwise(c)
 
 
-def _with_instrument(df: DataFrame, kind: str) -> DataFrame:
-    """Adds `instrument` of (`symbol`, source)."""
-    refs = resolve(df.select("symbol", _C("source").alias("venue")), kind)
-    return df.join(refs.select("symbol", _C("venue").alias("source"), "instrument"), ["symbol", "source"], "left")
-
-
 def _finish(df: DataFrame, carried: list[str], columns: dict[str, Column]) -> DataFrame:
     keep = [c for c in carried if c not in ("payload", *columns)] + (["pos"] if "pos" in df.columns else [])
     return df.select(*keep, *(v.alias(k) for k, v in columns.items()))
@@ -53,7 +47,7 @@ def _meta(errors: Column, flag: Column | None = None, replay: Column | None = No
 
 
 def _event(df: DataFrame, carried: list[str], kind: str, product: Column, symbol: Callable[[Column], Column], columns: Callable[[], dict[str, Column]], channel: str = "trades") -> DataFrame:
-    df = _with_instrument(df.withColumn("product", product).withColumn("symbol", symbol(_C("product"))), kind)
+    df = with_instrument(df.withColumn("product", product).withColumn("symbol", symbol(_C("product"))), kind)
     null = {c: F.lit(None).cast(t) for c, t in (("side", "string"), ("price", "double"), ("size", "double"), ("order_id", "string"), ("trade_id", "string"), ("sequence", "bigint"))}
     base = {"source": _C("source"), "product": _C("product"), "channel": F.lit(channel), "event_type": F.lit("trade"), "exchange_time": F.lit(None).cast("timestamp"), "received_at": _C("received_at"), **null, "raw_type": F.lit("trade")}
     return _finish(df, carried, {**base, **columns()})
@@ -160,7 +154,7 @@ _OBJECTS = {"qty": "array<struct<price:string,qty:string>>", "quantity": "array<
 
 
 def _depth(df: DataFrame, carried: list[str], kind: str, product: Column, symbol: Callable, columns: Callable[[], dict[str, Column]]) -> DataFrame:
-    df = _with_instrument(df.withColumn("product", product).withColumn("symbol", symbol(_C("product"))), kind)
+    df = with_instrument(df.withColumn("product", product).withColumn("symbol", symbol(_C("product"))), kind)
     base = {"source": _C("source"), "product": _C("product"), "channel": F.lit("depth"), "event_type": F.lit("delta"), "event_time": F.lit(None).cast("timestamp"), "received_at": _C("received_at"), "first_update_id": F.lit(None).cast("bigint"), "final_update_id": F.lit(None).cast("bigint"), "instrument": _C("instrument")}
     return _finish(df, carried, {**base, **columns()})
 
