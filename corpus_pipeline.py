@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, line_crf, minhash, piece_codec, suffix_dedup
-from tidemark.llm._common import table, written
+from tidemark.llm._common import discard, table, written
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -54,5 +54,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+        before, docs = docs, written(stage(spark, docs, sf_dir))
+        discard(before)  # the given table is none of those that `written` made, and stays
     return STAGES[-1][1](spark, docs, sf_dir)

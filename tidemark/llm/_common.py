@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: `bytes.split()` splits at exactly \x20 and \x09-\x0D, so it yields the words `[^\x20\x09-\x0D]+`.
 LOWER_ASCII = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
+#: Names of the folders that this process made.
+_made: set[str] = set()
+
 
 def encode(text: str | None) -> bytes:
     """UTF-8 bytes of a text; null gives none, lone surrogates become '?'."""
@@ -24,7 +27,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not base and not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     base = base or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+    name = f"tidemark-{uuid.uuid4().hex}"
+    _made.add(name)
+    return f"{base.rstrip('/')}/{name}"
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -34,6 +39,16 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete the tables that `written` made for these frames. Nothing that is still to be computed may read them."""
+    for frame in frames:
+        hadoop = frame.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
+            if folder.rsplit("/", 1)[-1] in _made:
+                path = frame.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(hadoop).delete(path, True)
+
+
 def parallelism(spark: SparkSession) -> int:
     """Partitions for a shuffle of the size that the session is set for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import written
+from ._common import discard, written
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,8 +62,9 @@ def components(links: DataFrame) -> DataFrame:
         new = written(small)
         stars = new.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").limit(1).count() == 0
         roots_are_leaves = stars and new.select("v").distinct().join(new.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count() == 0
+        discard(edges)
+        edges = new
         if roots_are_leaves:
-            done = new
             break
-        edges = new
+    done = edges
     return done.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(done.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import LOWER_ASCII, encode, parallelism, slices, written
+from ._common import LOWER_ASCII, discard, encode, parallelism, slices, written
 from .components import components
 from .hashing import blocks, mix, shingles
 
@@ -217,7 +217,9 @@ def _met_in_blocks(family: DataFrame, active: DataFrame, k: int, percent: int) -
                             v.append(node)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
 
-    return dealt.mapInArrow(compare, "u binary, v binary")
+    out = written(dealt.mapInArrow(compare, "u binary, v binary"))
+    discard(open_)
+    return out
 
 
 def _linked(members: DataFrame, active: DataFrame, k: int, percent: int) -> DataFrame:
@@ -225,12 +227,17 @@ def _linked(members: DataFrame, active: DataFrame, k: int, percent: int) -> Data
     centre = members.groupBy("key").agg(F.max_by("node", F.struct("w", "node")).alias("home"))
     family = written(members.join(centre, "key").select("home", "node").distinct())
     stars = family.where("home <> node").select(F.col("home").alias("a"), F.col("node").alias("b"))
-    roots = written(components(written(_verified(stars, active, k, percent))))
+    verified = written(_verified(stars, active, k, percent))
+    found = components(verified)
+    roots = written(found)
+    discard(verified, found)
     placed = family.join(roots, "node", "left").select("home", "node", F.coalesce("root", "node").alias("root"))
-    more = written(_met_in_blocks(placed, active, k, percent))
-    if more.limit(1).count() == 0:
-        return roots
-    return components(more.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+    more = _met_in_blocks(placed, active, k, percent)
+    if more.limit(1).count():
+        known, roots = roots, components(more.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+        discard(known)
+    discard(family, more)
+    return roots
 
 
 def _grouped(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -243,7 +250,8 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -> t
     weight = members.groupBy("node").agg(F.sum(F.log2("n")).alias("w"), F.min("ref").alias("ref"))
     texts = docs.select(F.xxhash64(doc_id, text).alias("ref"), F.col(text).cast("string").alias("t"))
     active = written(weight.select("node", "ref").join(texts, "ref").select("node", "t").dropDuplicates(["node"]))
-    roots = written(_linked(members.join(weight.select("node", "w"), "node").select("key", "node", "w"), active, k, percent))
+    roots = _linked(members.join(weight.select("node", "w"), "node").select("key", "node", "w"), active, k, percent)
+    discard(members, active)
     return base, classes, roots
 
 
