@@ -5,8 +5,8 @@ hand hold merge ranks, not probabilities). Scores are integers: 1024 * round(2^2
 equal sums have equally many tokens, and that number is the sum's negative modulo 1024. A character that no piece
 covers costs as much as 20 units of log share and becomes its UTF-8 bytes, a token each.
 
-Pre-tokens: a space and the non-blank characters that follow it, or one blank character; a text starts with an implied
-space. The model's sign for a space is U+2581; a U+2581 of the text itself is spelt in bytes, so decoding is exact.
+Pre-tokens: a run of spaces with the non-blank characters that follow it, or one other blank character; a text starts with
+an implied space. The model's sign for a space is U+2581; a U+2581 of the text itself is spelt in bytes, so decoding is exact.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from .hashing import _to, mix
 
 _U = np.uint64
 SPACE = "▁"
-PRE_TOKEN = re.compile(r" ?[^ \n\t\r\v\f]+|[ \n\t\r\v\f]")
+PRE_TOKEN = re.compile(r" *[^ \n\t\r\v\f]+| +|[\n\t\r\v\f]")
 #: No character has this number; it stands for a U+2581 of the text.
 _LITERAL = 0x110000
 #: Stands for no character at all, beyond a word's ends.
