@@ -91,6 +91,38 @@ def test_quality_rules_on_odd_input(spark, odd, none):
     assert line_crf.label_lines(odd, line_crf.LineCrf()).where("doc_id = 13 and boilerplate").count() == 1
 
 
+def plain_verdict(text, model, min_share=0.7):
+    """kept, by a plain count, a plain Viterbi over each document alone, and the share of words in content lines."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = list(zip(words, words[1:], words[2:], strict=False))
+    often = {w for w, n in Counter(windows).items() if n > 1}
+    marked = {j for i, w in enumerate(windows) if w in often for j in (i, i + 1, i + 2)}
+    failed = len(words) < 50 or 100 * len(marked) > 50 * len(words)
+    features, sizes, _ = line_crf.line_features(text)
+    paths = {0: (0.0, []), 1: (0.0, [])}
+    for n, f in enumerate(features):
+        score = {y: sum(a * b for a, b in zip(model.emission[y], f, strict=True)) for y in (0, 1)}
+        if not n:
+            paths = {y: (model.start[y] + score[y], [y]) for y in (0, 1)}
+        else:
+            paths = {y: max(((paths[x][0] + model.transition[x][y] + score[y], -x), [*paths[x][1], y]) for x in (0, 1)) for y in (0, 1)}
+            paths = {y: (v[0], p) for y, (v, p) in paths.items()}
+    best = paths[1] if paths[1][0] > paths[0][0] else paths[0]
+    content = sum(s for s, y in zip(sizes, best[1], strict=True) if y == 0)
+    return failed, not failed and content >= min_share * len(words) - 1e-9
+
+
+def test_kept_equals_a_plain_verdict(spark, odd):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = line_crf.train(docs, labels)
+    rows = [r.text for r in docs.collect()] + [t for _, t in texts_of(odd)]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.base_failed, r.kept) for r in line_crf.judge(frame, model).collect()}
+    assert got == {i: plain_verdict(t, model) for i, t in enumerate(rows)}
+    assert {k for _, k in got.values()} == {True, False}
+
+
 def test_quality_rules_keep_good_and_drop_poor(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
@@ -113,6 +145,29 @@ def test_classifier(spark, odd, none):
     assert {r.score for r in knn_quality.classify(odd, untaught).collect()} == {0.5}
 
 
+def test_votes_equal_a_plain_vote(spark, odd):
+    """Scores against a neighbour search by single products, over texts of every kind."""
+    sf = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    space = knn_quality.train(docs, labels)
+    reader, k, sharpness = knn_quality.Terms(), 15, 8.0
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + texts_of(odd)
+    frame = spark.createDataFrame(list(enumerate(t for _, t in rows)), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in knn_quality.classify(frame, space, k=k, sharpness=sharpness).collect()}
+    assert len(got) == len(rows)
+    for i, (_, text) in enumerate(rows):
+        own = np.zeros(space.to_space.shape[1])
+        for term, weight in reader.weights(text).items():
+            if term in space.terms:
+                own = own + weight * space.to_space[space.terms[term]].astype(float)
+        size = float(np.sqrt((own * own).sum()))
+        near = sorted(((float(sum(own * v)) / size if size else 0.0, float(y)) for v, y in zip(space.vectors.astype(float), space.labels, strict=True)), reverse=True)[:k]
+        weights = [max(c, 0) ** sharpness for c, _ in near]
+        want = sum(w * y for w, (_, y) in zip(weights, near, strict=True)) / sum(weights) if sum(weights) > 1e-6 else float(space.labels.mean())
+        assert abs(got[i].score - want) < 2e-3, (i, got[i].score, want)
+        assert got[i].predicted == int(got[i].score >= 0.3)
+
+
 def test_classifier_reads_long_words_whole():
     """What follows the first 64 bytes of a word, and the first 16 signs of its shape, changes its terms."""
     reader = knn_quality.Terms()
@@ -225,9 +280,9 @@ def test_suffix_dedup_equals_brute_force(spark, odd, none):
             at = rng.randrange(len(b))
             parts.append(text(rng.randrange(120)) if rng.random() < 0.4 else b[at : at + rng.randrange(200)])
         made.append((1000 + i, "".join(parts)))
-    docs = odd.where("doc_id <> 8").unionByName(spark.createDataFrame(made, "doc_id bigint, text string"), allowMissingColumns=True)
+    docs = odd.unionByName(spark.createDataFrame(made, "doc_id bigint, text string"), allowMissingColumns=True)  # a text of 20,000 words, twice, is among them
     rows = texts_of(docs)
-    for length in (40, 90):
+    for length in (40, 90, 400):
         want = Counter(zip([i for i, _ in rows], brute_removed([t for _, t in rows], length), strict=True))
         got = Counter((r.doc_id, (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in suffix_dedup.repeats(docs, length=length).collect())
         assert got == want
@@ -387,8 +442,11 @@ def plain_segmentation(pieces, known, word):
 
 
 def test_segmentation_counts_and_round_trip(spark, odd, none, pieces):
-    short = odd.where("coalesce(doc_id, -1) <> 8")
-    coded = piece_codec.encode(short)
+    rng = random.Random(6)
+    bare = "".join(rng.choice("abcdeno éß日本語の▁🎉.,/-_0123".replace(" ", "")) for _ in range(5000))
+    more = spark.createDataFrame([(50, bare), (51, f"{bare[:700]} {bare[:900]} x"), (52, "the" * 2000)], "doc_id bigint, text string")  # words of thousands of characters
+    odd = odd.unionByName(more, allowMissingColumns=True)
+    coded = piece_codec.encode(odd)
     assert coded.columns == [*odd.columns, "input_ids"]
     memo = {}
     known = {pieces.bytes[i].decode(): (int(s), int(i)) for i, s in zip(pieces.ids, pieces.scores, strict=True)}
@@ -396,6 +454,9 @@ def test_segmentation_counts_and_round_trip(spark, odd, none, pieces):
         want = [i for w in unigram.pre_tokens(r.text) for i in (memo[w] if w in memo else memo.setdefault(w, plain_segmentation(pieces, known, w)))]
         assert r.input_ids == want
     assert piece_codec.decode(piece_codec.encode(odd)).where("coalesce(text, '') <> decoded").count() == 0
+    both = piece_codec.recode(odd, decoded="back")
+    assert both.columns == [*odd.columns, "input_ids", "back"] and both.where("coalesce(text, '') <> back").count() == 0
+    assert sorted(map(str, (r.input_ids for r in both.collect()))) == sorted(map(str, (r.input_ids for r in coded.collect())))
     counts = token_counts.count_tokens(odd).join(piece_codec.digest(odd).withColumnRenamed("n_tokens", "n"), "doc_id")
     assert counts.where("n_tokens <> n or not round_trip").count() == 0
     assert token_counts.count_tokens(odd).where("doc_id in (0, 1) and n_tokens <> 0").count() == 0

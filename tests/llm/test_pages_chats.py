@@ -106,6 +106,64 @@ def test_tool_calls(spark):
     assert linked["1", "call-0"].content == "b" and json.loads(linked["1", "call-2"].arguments) == {"chars": 0, "prompt": ""}
 
 
+def brute_levels(needs):
+    """needs: call -> calls. The longest chain of known dependencies; None on or behind a cycle."""
+    known = {c: [n for n in own if n in needs] for c, own in needs.items()}
+    out = {}
+    while ready := {c: 1 + max((out[n] for n in own), default=-1) for c, own in known.items() if c not in out and all(n in out for n in own)}:
+        out |= ready
+    return {c: out.get(c) for c in needs}
+
+
+def test_levels_equal_brute_force(spark):
+    """Random graphs, long chains, forks, joins, cycles of one, two and many calls, calls behind them; one conversation far larger than the others."""
+    rng = random.Random(7)
+    graphs = {}
+    for g in range(30):
+        n = rng.randrange(1, 14)
+        graphs[f"r{g}"] = {f"c{i}": [f"c{rng.randrange(n + 1)}" for _ in range(rng.choice([0, 1, 1, 1, 2, 3]))] for i in range(n)}
+    graphs["chain"] = {f"c{i}": [f"c{i - 1}"] if i else [] for i in range(700)}
+    graphs["ahead"] = {f"c{i}": [f"c{i + 1}"] if i < 60 else [] for i in range(61)}
+    graphs["ring"] = {f"c{i}": [f"c{(i + 1) % 40}"] for i in range(40)} | {"behind": ["c3"], "farther": ["behind", "free"], "free": []}
+    graphs["braid"] = {f"c{i}": [f"c{i - 1}", f"c{i - 2}"] if i > 1 else [] for i in range(8)}
+    rows = [(g, c, needs) for g, graph in graphs.items() for c, needs in graph.items()]
+    got = {(r.conv_id, r.call_id): r.level for r in tool_calls.levels(spark.createDataFrame(rows, "conv_id string, call_id string, depends_on array<string>")).collect()}
+    assert got == {(g, c): v for g, graph in graphs.items() for c, v in brute_levels(graph).items()}
+    assert got["chain", "c699"] == 699 and got["ring", "farther"] is None and got["ring", "free"] == 0
+
+
+def test_tool_calls_with_odd_columns_and_long_arguments(spark):
+    """Columns that operators use inside, very long arguments, nulls in every column."""
+    long = json.dumps({"a": 1, "b": 2.5, "c": "é" * 300_000})
+    calls = spark.createDataFrame([("c", "1", 0, "add", long, None, "x", 1, "u"), ("c", "2", None, None, None, [None, "1"], None, None, None)], "conv_id string, call_id string, position int, name string, arguments string, depends_on array<string>, level string, n int, up string")
+    results = spark.createDataFrame([("c", "1", "r", "z", 3)], "conv_id string, call_id string, content string, level string, n_results int")
+    schemas = spark.createDataFrame([("add", {"a": "integer", "b": "number"}, {"c": "string"}, True)], "name string, required map<string,string>, optional map<string,string>, known boolean")
+    got = {r.call_id: r for r in tool_calls.link(calls, results, schemas).collect()}
+    assert got["1"].valid and len(got["1"].arguments) == len(json.dumps(json.loads(long), ensure_ascii=False, separators=(",", ":"))) and got["1"].level == 0
+    assert got["2"].level == 1 and got["2"].problems == ["bad_json", "unknown_tool", "no_result"]
+
+
+@pytest.mark.parametrize("name", ["op3_decontamination", "op4_tool_calls", "op5_url_rules", "op8_warc"])
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    from tidemark.llm.queries import ORACLES, QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "conversations", "pages"):
+        con.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
+    out = QUERIES[name](spark, sf)
+    columns = ", ".join(f'"{c}"' for c in out.columns)
+    want = con.execute(f"select {columns} from ({ORACLES[name]})").fetchall()
+    got = [tuple(r) for r in out.collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    if name == "op4_tool_calls":
+        seen = {p for r in out.collect() for p in r.problems.split(",")}
+        assert seen >= {"", "cycle", "unknown_dependency", "no_result", "bad_json", "unknown_tool", "missing:prompt", "type:chars", "unexpected:loud", "orphan"}
+        assert len({r.level for r in out.collect()}) > 3
+
+
 def test_pipeline_equals_its_parts_by_brute_force(spark, tmp_path):
     """The pipeline over the smallest tables against plain Python over its own verdicts."""
     from test_documents import brute_groups, brute_removed
@@ -157,3 +215,22 @@ def test_pipeline_keeps_one_of_repeated_and_null_id_rows(spark):
     assert kept.where("source = 'blank'").count() == 2
     out = corpus_pipeline.passage_dedup(spark, kept, "").where("source <> 'blank'").collect()
     assert sorted(((r.doc_id, r.text) for r in out), key=str) == sorted(((i, text(t)) for i, t in want), key=str)
+
+
+def test_stages_take_odd_rows(spark):
+    """Nulls in any column, empty and very long texts, repeated rows and clashing columns pass through every stage."""
+    rng = random.Random(2)
+    prose = " ".join("".join(rng.choice("abcdefg") for _ in range(rng.randrange(2, 9))) for _ in range(15_000))
+    rows = [(1, prose, "en", None, None, "r", "t", 1), (2, None, None, None, None, None, None, None), (None, "", "en", "s", 0, None, None, None), (3, "x" * 5000, "en", "s", 5000, "r", "t", 2), (4, prose[:900], None, "s", 900, "r", "t", 3), (4, prose[:900], None, "s", 900, "r", "t", 3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, row string, t string, ref int")
+    sf = "/root/testdata/sf0.001"
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns, name
+        got = {r.doc_id: r for r in out.collect()}
+        if name == "near_dedup":
+            assert sorted(got, key=str) == [1, 2, 3, 4, None] and out.count() == 5
+        if name == "benchmark_decontamination":
+            assert out.count() == docs.count() and got[1].text == prose
+    coded = {r.doc_id: r for r in corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()}
+    assert coded[1].text == prose and coded[3].text == "x" * 5000 and coded[2].n_tokens == 0
