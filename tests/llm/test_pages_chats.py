@@ -164,32 +164,46 @@ def test_queries_equal_their_sql(spark, name):
         assert len({r.level for r in out.collect()}) > 3
 
 
-def test_pipeline_equals_its_parts_by_brute_force(spark, tmp_path):
-    """The pipeline over the smallest tables against plain Python over its own verdicts."""
-    from test_documents import brute_groups, brute_removed
+def brute_clean(text, items, window=10):
+    """The text without the words of any item's window, a line end in place of each run of them; None if over 0.8 of its words go."""
+    data = text.encode()
+    fold = data.translate(decontaminate._FOLD)
+    places = [m.span() for m in re.finditer(rb"[^ ]+", fold)]
+    words = [fold[a:b] for a, b in places]
+    hit = set()
+    for own in items:
+        k = min(window, len(own))
+        patterns = {tuple(own[i : i + k]) for i in range(len(own) - k + 1)} if k else set()
+        for i in range(len(words) - k + 1) if k else ():
+            if tuple(words[i : i + k]) in patterns:
+                hit |= set(range(i, i + k))
+    if len(hit) > 0.8 * len(words):
+        return None
+    out, at = b"", 0
+    for i in sorted(hit):
+        if i - 1 not in hit:
+            out += data[at : places[i][0]] + b"\n"
+        at = places[i][1]
+    return (out + data[at:]).decode()
+
+
+def test_pipeline_equals_plain_python(spark):
+    """The pipeline over the smallest tables against plain versions of its stages; only the field's weights are the operator's."""
+    from test_documents import brute_groups, brute_passages, plain_verdict
 
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     model = line_crf.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
-    kept = {r.doc_id: r.text for r in line_crf.keep_content(docs, model).collect()}
+    kept = {r.doc_id: r.text for r in docs.collect() if plain_verdict(r.text, model)[1]}
     groups = brute_groups(list(kept.items()), 5, 80)
     kept = {d: kept[d] for d, _, first in groups if first in (None, d)}
-    out = {}
-    sums = dict(zip(kept, brute_removed(list(kept.values()), suffix_dedup.LENGTH), strict=True))
-    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
-    matcher = decontaminate.ItemAutomaton([(str(i), decontaminate.words_of(t)) for i, t in items])
-    passages = {r.doc_id: r.text for r in suffix_dedup.without_repeats(spark.createDataFrame(list(kept.items()), "doc_id bigint, text string")).collect()}
-    for d in kept:
-        if sums[d][1] == sums[d][0] and sums[d][1]:
-            assert d not in passages
-            continue
-        assert len(passages[d].encode()) <= sums[d][0] - sums[d][1]
-        words = decontaminate.words_of(passages[d])
-        spans, _ = matcher.read(words)
-        if sum(b - a for a, b in spans) <= 0.8 * len(words):
-            out[d] = decontaminate.without(passages[d], [a for a, _ in spans], [b for _, b in spans]) if spans else passages[d]
-    got = corpus_pipeline.run(spark, sf)
-    assert {r.doc_id: r.text for r in got.collect()} == out
+    passages = brute_passages(list(kept.values()), suffix_dedup.LENGTH, 51)
+    items = [decontaminate.words_of(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    want = {d: brute_clean(t, items) for d, (gone, t) in zip(kept, passages, strict=True) if not gone or t}
+    want = {d: t for d, t in want.items() if t is not None}
+    got = corpus_pipeline.run(spark, sf).collect()
+    assert {r.doc_id: r.text for r in got} == want
+    assert len(got) == len(want) and any(t != docs_text for t, docs_text in zip(want.values(), kept.values(), strict=False))
     assert minhash.ROWS * 36 == minhash.SLOTS
 
 

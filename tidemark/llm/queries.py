@@ -104,8 +104,8 @@ lev as (select conv_id, call_id, case when max(d) < any_value(most) then max(d)
 given as (select conv_id, case when chars % 12 = 5 then 'lost-' || turn else 'call-' || (turn - 1) end call_id, text content, unnest(range(case when chars % 12 = 7 then 2 else 1 end)) from sized where role = 'assistant'),
 back as (select conv_id, call_id, min(content) content, count(*) n from given group by 1, 2),
 named as (select ask.*, case when form = 9 then 'shout' when role = 'user' then 'reply' else 'instruct' end name,
- case form when 0 then to_json({'chars': chars}) when 1 then to_json({'chars': cast(chars as varchar), 'prompt': prompt}) when 2 then to_json({'chars': chars, 'loud': true, 'prompt': prompt}) when 3 then null else to_json({'chars': chars, 'prompt': prompt}) end args,
- case form when 0 then 'missing:prompt' when 1 then 'type:chars' when 2 then 'unexpected:loud' when 3 then 'bad_json' when 9 then 'unknown_tool' end problem from ask),
+ case form when 4 then to_json({'chars': chars}) when 1 then to_json({'chars': cast(chars as varchar), 'prompt': prompt}) when 2 then to_json({'chars': chars, 'loud': true, 'prompt': prompt}) when 3 then null else to_json({'chars': chars, 'prompt': prompt}) end args,
+ case form when 4 then 'missing:prompt' when 1 then 'type:chars' when 2 then 'unexpected:loud' when 3 then 'bad_json' when 9 then 'unknown_tool' end problem from ask),
 judged as (select named.*, lev, content, coalesce(n, 0) n, concat_ws(',', problem, case when lost.call_id is not null then 'unknown_dependency' end, case when lev is null then 'cycle' end, case when n is null then 'no_result' end) problems
  from named join lev using (conv_id, call_id) left join back using (conv_id, call_id) left join lost using (conv_id, call_id))
 select cast(conv_id as varchar) conv_id, call_id, cast(turn as bigint) as "position", cast(lev as integer) as "level", name, cast(args as varchar) arguments, content, n n_results, problems, problems = '' valid,

@@ -144,7 +144,7 @@ def calls_of_chat(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     A user turn is a call of the tool `reply`, a system turn one of `instruct`; an assistant turn is the result of the
     call at the turn before it. What a call needs, by (3 * conv_id + turn) modulo 8: 0-2 the ask before; 3 the two before;
     4 the ask after; 5 the one after and the one before; 6 nothing; 7 the one before and a call that there is not. Arguments, by
-    the text's length modulo 10: 0 no prompt, 1 chars as text, 2 one argument too many, 3 cut JSON, 9 a tool that there is not. Results,
+    the text's length modulo 10: 1 chars as text, 2 one argument too many, 3 cut JSON, 4 no prompt, 9 a tool that there is not. Results,
     by their length modulo 12: 5 under an identifier that no call has, 7 twice.
     """
     conv, at, text = F.col("conv_id"), F.col("turn").cast("bigint"), F.coalesce("text", F.lit(""))
@@ -163,7 +163,7 @@ def calls_of_chat(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     prompt, chars = text.alias("prompt"), size.alias("chars")
     arguments = (
-        F.when(form == 0, F.to_json(F.struct(chars)))
+        F.when(form == 4, F.to_json(F.struct(chars)))
         .when(form == 1, F.to_json(F.struct(prompt, size.cast("string").alias("chars"))))
         .when(form == 2, F.to_json(F.struct(prompt, chars, F.lit(True).alias("loud"))))
         .when(form == 3, F.lit('{"prompt":'))
