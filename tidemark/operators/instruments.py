@@ -48,7 +48,7 @@ def resolve_assets(df: DataFrame, aliases: DataFrame, symbol: str, out: str) ->
     """Adds `out`: struct(symbol, asset_id, canonical_symbol, name), or null; aliases are not bound to venues."""
     asset = F.struct(F.col("canonical_symbol").alias("symbol"), "asset_id", "canonical_symbol", "name")
     small = aliases.groupBy(F.upper(F.trim("alias")).alias("__alias")).agg(F.first(asset).alias(out))
-    return df.withColumn("__alias", F.upper(F.trim(F.col(symbol)))).join(F.broadcast(small), "__alias", "left").drop("__alias")
+    return df.withColumn("__alias", F.upper(F.trim(F.col(symbol)))).join(small, "__alias", "left").drop("__alias")
 
 
 def _spot(distinct: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -78,9 +78,9 @@ def resolve(symbols: DataFrame, kind: str | None = None, aliases: DataFrame | No
     ids = aliases.where("upper(alias) = canonical_symbol")
     asset = F.struct(F.col("canonical_symbol").alias("symbol"), "asset_id", "canonical_symbol", "name")
     named = ids.groupBy("asset_id").agg(F.first(asset).alias("asset"))
-    explicit = instruments.join(F.broadcast(named.select(F.col("asset_id").alias("base_asset_id"), F.col("asset").alias("base"))), "base_asset_id").join(F.broadcast(named.select(F.col("asset_id").alias("quote_asset_id"), F.col("asset").alias("quote"))), "quote_asset_id", "left")
+    explicit = instruments.join(named.select(F.col("asset_id").alias("base_asset_id"), F.col("asset").alias("base")), "base_asset_id").join(named.select(F.col("asset_id").alias("quote_asset_id"), F.col("asset").alias("quote")), "quote_asset_id", "left")
     explicit = explicit.where((F.lit(kind).isNull()) | (F.col("instrument_type") == F.lit(kind))).groupBy(F.col("venue").alias("v"), F.upper("venue_symbol").alias("s")).agg(F.first(F.struct("instrument_id", "venue", "venue_symbol", "canonical_symbol", "instrument_type", F.col("base").alias("base_asset"), F.col("quote").alias("quote_asset"))).alias("explicit"))
-    rows = pairs.join(own, ["spot_value", "v"], "left").join(like, ["perp_value", "v"], "left").join(F.broadcast(explicit), ["v", "s"], "left")
+    rows = pairs.join(own, ["spot_value", "v"], "left").join(like, ["perp_value", "v"], "left").join(explicit, ["v", "s"], "left")
     rows = resolve_assets(resolve_assets(rows.withColumns({"b": F.substring_index("s", "-", 1), "q": F.lit("USD")}), aliases, "b", "deribit_base"), aliases, "q", "deribit_quote")
     found = _found(F.col("v"), F.col("s"), F.col("spot_value"), F.col("as_spot"), F.col("as_perp"), F.col("explicit"), F.col("deribit_base"), F.col("deribit_quote"), kind)
     return rows.select("symbol", "venue", found.alias("instrument"))
