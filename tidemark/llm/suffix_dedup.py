@@ -7,7 +7,7 @@ A full suffix array would sort every byte's suffix; this one is sparse, and lose
    equals) is its anchor: equal windows have equal anchors at equal places. Consecutive windows of one anchor are a
    *run*. The suffixes at the anchors, about one in `(length - ANCHOR) / 2` bytes, are sorted: sampled splitters
    range-partition them by their leading bytes, each bucket is sorted by multikey quicksort (leading bytes, then what
-   stands for the bytes after them: the fingerprint of the anchor, then two of the run's whole text), and
+   stands for the bytes after them: the fingerprint of the anchor, then that of the run's whole text), and
    neighbours are compared. Runs whose whole text has an equal are repeated throughout; runs whose anchor has no
    equal have no repeated window.
 2. The rest, at the borders of repeated passages, sorts the suffix of each of its windows in the same way, by
@@ -15,8 +15,9 @@ A full suffix array would sort every byte's suffix; this one is sparse, and lose
    runs repeated throughout that share an anchor with the rest, each text takes part once, to be met.
 
 Texts are never sent beside their suffixes to be compared byte by byte, as that would shuffle a text's bytes many times.
-Equal means equal leading bytes and 128 bits (of a run beside its anchor: 96 bits) of independent fingerprints, and a
-document is known by 96 bits of its id and text: at 10^13 suffixes a false match has a chance of about 10^-12.
+Equal means equal leading bytes and 128 bits of independent fingerprints; runs that share their anchor are told apart by
+64 bits, of which some two among 10^9 such runs would agree falsely with a chance of 3 %. A document is known by 80
+bits of its id and text, of which some two among 10^10 agree with a chance of 0.004 %.
 
 A group of equals may lie across a boundary, as splitters cut anywhere, hot groups included: a mapper that holds such
 a record also sends its key, once, to the group's other buckets, so neighbours are compared across boundaries.
@@ -52,15 +53,15 @@ BY_WORD = 1 << 31
 #: Share of a window that its anchor takes: longer anchors mean more of them, but fewer windows at a border.
 ANCHOR_SHARE = 0.68
 _U = np.uint64
-#: A suffix: leading bytes; fingerprints of the anchor and of the run, and half a second one of the run (of a window: both, and 0); document; place; windows (0: a key from another bucket).
-SUFFIX = np.dtype([("lead", "<u4"), ("key", "<u8"), ("whole", "<u8"), ("check", "<u4"), ("ref", "<i8"), ("tag", "<i4"), ("at", "<u4"), ("n", "<u2")])
-_KEYS = ("lead", "key", "whole", "check")
-PLACE = np.dtype([("ref", "<i8"), ("tag", "<i4"), ("at", "<u4")])
+#: A suffix: leading bytes; fingerprints of the anchor and, of the other kind, of the run (of a window: both of it); document; place; windows (0: a key from another bucket).
+SUFFIX = np.dtype([("lead", "<u4"), ("key", "<u8"), ("whole", "<u8"), ("ref", "<i8"), ("tag", "<u2"), ("at", "<u4"), ("n", "<u2")])
+_KEYS = ("lead", "key", "whole")
+PLACE = np.dtype([("ref", "<i8"), ("tag", "<u2"), ("at", "<u4")])
 SEGMENT = 1 << 18
 #: The driver sorts a sample of so many suffixes: documents (or two a bucket, if that is more), and of each.
 SAMPLE_DOCS, SAMPLE_EACH = 2000, 16
 #: Buckets of suffixes a partition: several small ones each, so that no partition has many more than another.
-BUCKETS = 4
+BUCKETS = 2
 
 
 def _units(texts: list[bytes], flag: int) -> list[bytes | np.ndarray]:
@@ -134,8 +135,7 @@ def _runs(block: list[tuple[Ref, int, bytes | np.ndarray]], length: int, anchor:
     out = np.zeros(len(first), SUFFIX)
     own = piece[first]
     out["lead"], out["key"] = _lead(data, place[first]), prints[place[first]]
-    out["whole"] = ranges(sums, first, last - 1 + length)
-    out["check"] = ranges(running(data, second=True), first, last - 1 + length) >> _U(32)
+    out["whole"] = ranges(running(data, second=True), first, last - 1 + length)
     out["ref"], out["tag"] = np.array([r for r, _, _ in block], np.int64).T[:, own]
     out["at"] = first - begin[own] + np.array([a for _, a, _ in block])[own]
     out["n"] = last - first
@@ -306,7 +306,7 @@ def _finished(data: list[bytes], marks: list[tuple[np.ndarray, np.ndarray]], mea
 
 def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, measures: list[tuple[int, int]], want_text: bool) -> DataFrame:
     """(row: the kept columns, and _OUT's; a hash or else the text without repeats). measures: (length, 0 or BY_WORD)."""
-    ref, tag = F.xxhash64(doc_id, text).alias("ref"), F.hash(text, doc_id).alias("tag")
+    ref, tag = F.xxhash64(doc_id, text).alias("ref"), F.hash(text, doc_id).bitwiseAND(0xFFFF).alias("tag")
     texts = docs.select(ref, tag, F.col(text).cast("string").alias("t"))
     count = docs.count()
 
@@ -336,7 +336,7 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, measures: l
         first[real[np.append(True, kind[real][1:] != kind[real][:-1])[: len(real)]]] = True
         found = same & (records["n"] > 0)
         r = records[found]
-        return pa.table({"ref": r["ref"].copy(), "tag": r["tag"].copy(), "at": r["at"].astype(np.int64), "n": r["n"].astype(np.int64), "whole": whole[found], "meets": (~whole | (first & mixed[group]))[found]})
+        return pa.table({"ref": r["ref"].copy(), "tag": r["tag"].astype(np.int32), "at": r["at"].astype(np.int64), "n": r["n"].astype(np.int64), "whole": whole[found], "meets": (~whole | (first & mixed[group]))[found]})
 
     marks = _sorted(anchors, texts, few(texts, count), "ref bigint, tag int, at bigint, n bigint, whole boolean, meets boolean", runs)
     # a document's runs: in one list, as the document is in one row itself
@@ -374,7 +374,7 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, measures: l
                         out["at"] += np.uint32(flag)
                         yield out
 
-    places = BUCKETS * parallelism(docs.sparkSession)
+    places = parallelism(docs.sparkSession)
 
     def repeated(records: np.ndarray, same: np.ndarray, whole: np.ndarray) -> pa.Table:
         """Repeated windows, packed by where their document is to be put together: a row a destination, not a document."""
@@ -392,7 +392,7 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, measures: l
         r = np.sort(np.frombuffer(b"".join(table.column("s").to_pylist()), PLACE), order=PLACE.names)
         new = np.append(True, (r["ref"][1:] != r["ref"][:-1]) | (r["tag"][1:] != r["tag"][:-1]))[: len(r)]
         starts = np.append(np.flatnonzero(new), len(r)).astype(np.int32)
-        return pa.table({"ref": r["ref"][new].copy(), "tag": r["tag"][new].copy(), "found": pa.ListArray.from_arrays(pa.array(starts), pa.array(r["at"].astype(np.int64)))})
+        return pa.table({"ref": r["ref"][new].copy(), "tag": r["tag"][new].astype(np.int32), "found": pa.ListArray.from_arrays(pa.array(starts), pa.array(r["at"].astype(np.int64)))})
 
     found = _sorted(windows, borders, few(borders, bordered.count()), "to bigint, s binary", repeated)
     found = found.groupBy("to").applyInArrow(together, "ref bigint, tag int, found array<bigint>")
