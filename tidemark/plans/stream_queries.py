@@ -133,7 +133,7 @@ def streamed_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = spark.read.parquet(f"{folder}/clean").groupBy("day").agg(F.count("*").alias("clean"), F.sum("ord").alias("clean_ids"))
     held = spark.read.parquet(f"{folder}/held").groupBy("day").agg(F.count_if(F.array_join("reasons", ",") == "stale_or_clock_skew").alias("held"))
     metrics = spark.read.parquet(f"{folder}/metrics").groupBy("day").agg(F.sum("raw_events").alias("raw_events"), F.sum("quarantined_events").alias("quarantined_events"))
-    return metrics.join(clean, "day", "left").join(held, "day", "left")
+    return metrics.join(clean, "day", "left").join(held, "day", "left").fillna(0, ["clean", "held"])
 
 
 QUERIES = {f.__name__: f for f in (streamed_gate, streamed_windows, streamed_dedup, streamed_cursor, streamed_edits, streamed_book, streamed_silence, streamed_late)}

@@ -171,12 +171,13 @@ def _silence(at: str, timeout_ms: int) -> StatefulProcessor:
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(latest + self.timeout)
             self.last.update((latest,))
-            yield pd.DataFrame({"key": [str(key[0])] * len(ended), "silent_since": pd.to_datetime([a for a, _ in ended], unit="ms", utc=True), "by_timer": [False] * len(ended)})
+            if ended:
+                yield pd.DataFrame({"key": pd.Series([str(key[0])] * len(ended), dtype=object), "silent_since": pd.to_datetime([a for a, _ in ended], unit="ms", utc=True), "by_timer": False})
 
         def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
             last = self.last.get()[0]
             self.last.clear()
-            yield pd.DataFrame({"key": [str(key[0])], "silent_since": pd.to_datetime([last], unit="ms", utc=True), "by_timer": [True]})
+            yield pd.DataFrame({"key": pd.Series([str(key[0])], dtype=object), "silent_since": pd.to_datetime([last], unit="ms", utc=True), "by_timer": True})
 
         def close(self) -> None:
             pass
@@ -222,7 +223,7 @@ def _book(order: str) -> StatefulProcessor:
                     state.removeKey((price,))
                 for price, size in book.items():
                     state.updateValue((price,), (size,))
-            yield pd.DataFrame(out, columns=["key", "ord", "best_bid", "best_ask"]).astype({"best_bid": float, "best_ask": float})
+            yield pd.DataFrame(out, columns=["key", "ord", "best_bid", "best_ask"]).astype({"key": object, "best_bid": float, "best_ask": float})
 
         def close(self) -> None:
             pass
