@@ -164,8 +164,10 @@ def _met_in_blocks(family: DataFrame, active: DataFrame, k: int, percent: int) -
     sizes = family.groupBy("home", "root").agg(F.count("*").alias("c"))
     main = sizes.groupBy("home").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("n"), F.count("*").alias("roots"), F.max("c").alias("most")).where("roots > 1 and n > 2")
     side = F.least(F.lit(MOST), F.greatest(F.lit(CHUNK), F.ceil(F.col("n") / 16)))
-    main = main.select("home", "main", F.ceil((F.col("n") - F.col("most")) / side).cast("int").alias("chunks"), F.ceil(F.col("n") / side).cast("int").alias("salts"))
+    # a table of its own, so that this is a join of two plain shuffles, which Spark splits where a home is hot
+    main = written(main.select("home", "main", F.ceil((F.col("n") - F.col("most")) / side).cast("int").alias("chunks"), F.ceil(F.col("n") / side).cast("int").alias("salts")))
     open_ = written(family.join(main, "home"))
+    discard(main)
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
     held = open_.where("root <> main").select("home", own("chunks", 1).alias("chunk"), spread("salts").alias("salt"), F.lit(0).alias("streams"), "node", "root")
