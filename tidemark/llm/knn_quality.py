@@ -10,7 +10,7 @@ A document's score: of its `k` labelled neighbours with the highest cosine (exac
 of them), the share of label 1, each weighted by its similarity to the power of `sharpness`. Ids, languages and sources
 are never looked at.
 
-Defined results: texts without words, null ones included, and texts that share no direction with any neighbour score
+Defined results: very long texts are scored whole (the sample to learn from leaves out those of over `max_chars`); texts without words, null ones included, and texts that share no direction with any neighbour score
 the sample's share of label 1; with no labels the score is 0.5; ties of similarity go to the earlier row in hash order;
 repeated rows score alike; labels for absent documents and null labels are not learnt from; empty tables give empty
 results; extra columns are left out.

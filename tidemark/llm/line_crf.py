@@ -9,7 +9,7 @@ label, first marks the boilerplate lines of the poor documents (all lines of goo
 field is then fitted to those marks by its exact likelihood (forward-backward). The sample is bounded:
 `max_docs` labelled documents by hash order, of at most `max_lines` lines each.
 
-Defined results: null, empty or word-less texts have no words and fail the base rules; a document is judged
+Defined results: very long texts are judged whole, line by line; null, empty or word-less texts have no words and fail the base rules; a document is judged
 by itself, so ties, repeated rows and row order change nothing; labels that are null or for absent documents
 are not learnt from; with no or one-sided labels a fixed field (symbols and repetition are boilerplate) stands
 in; empty tables give empty results; extra columns pass through `keep_content` untouched.

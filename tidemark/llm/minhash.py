@@ -17,7 +17,7 @@ size and every member streams past them, with exact intersections from the block
 bucket is in one component already or has been compared, no pairs are written, and rows grow with members, times the
 blocks that a large family needs.
 
-Defined results: null or word-less texts have empty sets, n_shingles 0, and are linked with nothing; repeated rows
+Defined results: very long texts are hashed in stretches, their sets are whole; null or word-less texts have empty sets, n_shingles 0, and are linked with nothing; repeated rows
 and equal texts belong together and each row is returned; component_id is the least id of the component, so ties do
 not arise; empty tables give empty results; extra columns pass through `keep_one` and `keep_one_row` untouched. In
 `keep_one` rows of equal id are all kept or all dropped and rows without an id are kept; `keep_one_row` looks at rows,

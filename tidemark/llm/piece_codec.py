@@ -4,7 +4,7 @@ See `unigram` for scores, pre-tokens and spelling. Equal-length words advance to
 sorted piece keys; maxima over the last piece's length are vectorised and store backpointers. The vocabulary (bounded:
 a model's pieces) is read on the driver and broadcast; each document is encoded by itself, so nothing is shuffled.
 
-Defined results: null and empty texts have no ids; null ids decode to null; every text decodes to itself, a lone
+Defined results: very long texts are encoded whole, very long words stretch by stretch; null and empty texts have no ids; null ids decode to null; every text decodes to itself, a lone
 surrogate excepted, which Spark strings can't hold; equal sums prefer the longest last piece; repeated rows are
 encoded alike; empty tables give empty results; extra columns pass through untouched.
 """

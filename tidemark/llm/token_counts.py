@@ -5,7 +5,7 @@ distinct pre-tokens of a block of documents are sorted into a trie; a node's for
 words that share the prefix, level by level; a word's count stands at its terminal node. Blocks and the words kept
 between them are bounded; each document is counted by itself, so nothing is shuffled.
 
-Defined results: null and empty texts have 0 tokens; ties of scores have equal counts; repeated rows are counted
+Defined results: very long texts are counted whole, very long words stretch by stretch; null and empty texts have 0 tokens; ties of scores have equal counts; repeated rows are counted
 alike; empty tables give empty results; extra columns are left out.
 """
 

@@ -12,7 +12,7 @@ neither they nor the URLs are broadcast. The sample and the splitters are bounde
 
 Host: after the first `://` up to `/`, `?`, `#` or the end, A-Z lower-cased; path: from there up to `?`, `#` or the end.
 
-Defined results: null URLs and those without `://` have an empty host and path, fit no rule, and get the default verdict;
+Defined results: very long URLs are compared whole; null URLs and those without `://` have an empty host and path, fit no rule, and get the default verdict;
 repeated URLs are judged one by one; equal rules count once; null rules are left out; empty tables give empty results
 (no rules: the default verdict); extra columns pass through.
 """

@@ -11,7 +11,7 @@ binary-searches its lines; `read` then reads each record's byte range.
 Files are named by the task's attempt and only those count that the written tables name, so a lost executor's leftovers
 are never read. The folder may be anywhere that pyarrow's file systems reach and all executors share.
 
-Defined results: null payloads are empty, null URLs have the empty key; repeated rows are written and found one by one
+Defined results: a very long payload is one record, in the hands of one task; null payloads are empty, null URLs have the empty key; repeated rows are written and found one by one
 (lookups give each stored capture once per query row that asks for its key and id); of equal payloads and equal ids each
 row is a response; empty tables make an archive without files; extra columns are left out.
 """
