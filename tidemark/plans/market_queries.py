@@ -23,19 +23,19 @@ def trades_verdict_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trades_verdict_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs of a day without one type: real gaps; every 17th id is sent again, every 31st comes late."""
+    """A user's runs of a day without one type: real gaps; every 17th id is sent again, every 31st comes late."""
     e = trades(spark, sf_dir).where("event_type <> 'view'")
     again = e.where("ord % 17 = 0").withColumn("n", F.lit(1))
     late = e.withColumn("n", F.lit(0)).withColumn("place", F.when(_C("ord") % 31 == 0, _C("ord") + 3).otherwise(_C("ord")))
     rows = late.unionByName(again.withColumn("place", _C("ord")))
-    out = verdicts.trades(rows, ["day"], ["place", "ord", "n"])
-    return out.select("day", "event_count", "non_monotonic_count", "duplicate_trade_id_count", "trade_id_gap_count", "trade_id_gap_total_missing", "replayable")
+    out = verdicts.trades(rows, _RUN, ["place", "ord", "n"])
+    return out.select(*_RUN, "event_count", "non_monotonic_count", "duplicate_trade_id_count", "trade_id_gap_count", "trade_id_gap_total_missing", "replayable")
 
 
 def none_native_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrival order is a permutation inside the day, so times run backwards against their maximum."""
     e = trades(spark, sf_dir).withColumn("place", (_C("ord") * 7919) % 1009)
-    return _joined(verdicts.trades_stream(e, ["day"], ["place", "ord"])).select("day", "event_count", "non_monotonic_count", "invalid_price_count", "invalid_size_count", "findings", "replayable")
+    return _joined(verdicts.trades_stream(e, _RUN, ["place", "ord"])).select(*_RUN, "event_count", "non_monotonic_count", "invalid_price_count", "invalid_size_count", "findings", "replayable")
 
 
 def funding_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,8 +61,8 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gate_sequence_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = trades(spark, sf_dir).select("day", "ord", "sequence", _C("metadata.subscribe_replay").alias("subscribe_replay")).withColumn("place", (_C("ord") * 31) % 257)
-    return gates.sequence_cursor(e, ["day"], ["place", "ord"]).select(_C("ord").alias("event_id"), F.coalesce("sequence_reason", F.lit("")).alias("reason"))
+    e = trades(spark, sf_dir).select(*_RUN, "ord", "sequence", _C("metadata.subscribe_replay").alias("subscribe_replay")).withColumn("place", (_C("ord") * 31) % 257)
+    return gates.sequence_cursor(e, _RUN, ["place", "ord"]).select(_C("ord").alias("event_id"), F.coalesce("sequence_reason", F.lit("")).alias("reason"))
 
 
 def range_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,7 +199,7 @@ select *, {_named(("snapshot_count = 0", "no_snapshot_anchor"), ("snapshot_count
  snapshot_count > 0 and starts_with_snapshot and missing_update_id_count + gap_count + reordered_count = 0 as replayable from a"""
 
 
-_WINDOWS = "w as (select o_custkey % 20 as run, o_orderkey as ord, o_orderkey * 2 + case when o_orderkey % 97 = 0 then 5 else 0 end as lo, o_orderkey * 2 + case when o_orderkey % 89 = 0 then -3 else 1 end as hi from orders)"
+_WINDOWS = "w as (select o_custkey as run, o_orderkey as ord, o_orderkey * 2 + case when o_orderkey % 97 = 0 then 5 else 0 end as lo, o_orderkey * 2 + case when o_orderkey % 89 = 0 then -3 else 1 end as hi from orders)"
 
 _FINAL = f"""with {DEPTH},
 keep as (select run, max(book) as book from bk group by run),
@@ -215,14 +215,14 @@ select *, {_named(("trade_id_gap_count > 0", "trade_id_gaps"), ("invalid_price_c
  trade_id_gap_count + invalid_price_count + invalid_size_count + excessive_clock_skew_count = 0 as replayable from a""",
     "trades_verdict_dense": f"""with {TRADES},
 x as (select *, 0 as n, case when ord % 31 = 0 then ord + 3 else ord end as place from e where event_type <> 'view' union all select *, 1 as n, ord as place from e where event_type <> 'view' and ord % 17 = 0),
-v as (select *, sequence - lag(sequence) over (partition by day order by place, ord, n) as step from x),
-a as (select day, count(*) as event_count, count(*) filter (step < 0) as non_monotonic_count, count(*) filter (step = 0) as duplicate_trade_id_count, count(*) filter (step > 1) as trade_id_gap_count, cast(coalesce(sum(step - 1) filter (step > 1), 0) as bigint) as trade_id_gap_total_missing,
- count(*) filter (not (price > 0) or not (size > 0) or abs(delay) > 60) as poor from v group by day)
-select day, event_count, non_monotonic_count, duplicate_trade_id_count, trade_id_gap_count, trade_id_gap_total_missing, non_monotonic_count + trade_id_gap_count + poor = 0 as replayable from a""",
+v as (select *, sequence - lag(sequence) over (partition by user_id, day order by place, ord, n) as step from x),
+a as (select user_id, day, count(*) as event_count, count(*) filter (step < 0) as non_monotonic_count, count(*) filter (step = 0) as duplicate_trade_id_count, count(*) filter (step > 1) as trade_id_gap_count, cast(coalesce(sum(step - 1) filter (step > 1), 0) as bigint) as trade_id_gap_total_missing,
+ count(*) filter (not (price > 0) or not (size > 0) or abs(delay) > 60) as poor from v group by user_id, day)
+select user_id, day, event_count, non_monotonic_count, duplicate_trade_id_count, trade_id_gap_count, trade_id_gap_total_missing, non_monotonic_count + trade_id_gap_count + poor = 0 as replayable from a""",
     "none_native_verdict": f"""with {TRADES},
-v as (select *, exchange_time < max(exchange_time) over (partition by day order by (ord * 7919) % 1009, ord rows between unbounded preceding and 1 preceding) as early from e),
-a as (select day, count(*) as event_count, count(*) filter (early) as non_monotonic_count, count(*) filter (not (price > 0)) as invalid_price_count, count(*) filter (not (size > 0)) as invalid_size_count, count(*) filter (abs(delay) > 60) as skewed from v group by day)
-select day, event_count, non_monotonic_count, invalid_price_count, invalid_size_count, {_named(("non_monotonic_count > 0", "non_monotonic_event_time"), ("invalid_price_count > 0", "invalid_prices"), ("invalid_size_count > 0", "invalid_sizes"), ("skewed > 0", "excessive_clock_skew"))} as findings,
+v as (select *, exchange_time < max(exchange_time) over (partition by user_id, day order by (ord * 7919) % 1009, ord rows between unbounded preceding and 1 preceding) as early from e),
+a as (select user_id, day, count(*) as event_count, count(*) filter (early) as non_monotonic_count, count(*) filter (not (price > 0)) as invalid_price_count, count(*) filter (not (size > 0)) as invalid_size_count, count(*) filter (abs(delay) > 60) as skewed from v group by user_id, day)
+select user_id, day, event_count, non_monotonic_count, invalid_price_count, invalid_size_count, {_named(("non_monotonic_count > 0", "non_monotonic_event_time"), ("invalid_price_count > 0", "invalid_prices"), ("invalid_size_count > 0", "invalid_sizes"), ("skewed > 0", "excessive_clock_skew"))} as findings,
  non_monotonic_count + invalid_price_count + invalid_size_count + skewed = 0 as replayable from a""",
     "funding_verdict": f"""with {TRADES},
 a as (select product, day, count(*) as event_count, count(*) filter (not (price > 0)) as invalid_price_count, count(*) filter (abs(delay) > 60) as excessive_clock_skew_count from e where channel = 'funding' group by all)
@@ -232,8 +232,8 @@ select *, {_named(("invalid_price_count > 0", "invalid_mark_price"), ("excessive
     "run_counters": _GATE + " select day, count(*) as raw_events, count(*) filter (reasons = '') as clean_events, count(*) filter (reasons <> '') as quarantined_events from g group by day",
     "gate_sequence_cursor": f"""with {TRADES},
 p as (select *, (ord * 31) % 257 as place from e),
-s as (select *, count(*) filter (not again) over (partition by day order by place, ord rows between unbounded preceding and 1 preceding) > 0 as seen from p),
-c as (select *, max(case when not again or seen then sequence end) over (partition by day order by place, ord rows between unbounded preceding and 1 preceding) as cur from s)
+s as (select *, count(*) filter (not again) over (partition by user_id, day order by place, ord rows between unbounded preceding and 1 preceding) > 0 as seen from p),
+c as (select *, max(case when not again or seen then sequence end) over (partition by user_id, day order by place, ord rows between unbounded preceding and 1 preceding) as cur from s)
 select ord as event_id, case when again and not coalesce(sequence > cur, false) then 'subscribe_replay' when not again and sequence < cur then 'non_monotonic_sequence' else '' end as reason from c""",
     "range_gate": f"with {_WINDOWS} select ord, {_named(('ord % 13 = 0', 'invalid_bids'), ('hi < lo', 'invalid_update_range'))} as reasons, ord % 13 <> 0 and hi >= lo as accepted from w",
     "depth_anchor_verdict": f"""with {_WINDOWS},

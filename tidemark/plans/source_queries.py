@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -30,6 +30,16 @@ def run_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.run_rows(spark, path, "event_id bigint, event_type string", recursive=True, pattern="*.txt").select("lane", "run_id", "ord", "event_id", "event_type")
 
 
+def rotated_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lane's lines in two rotated parts and the active one, read back in one order."""
+    path = shared_folder(spark)
+    e = table(spark, sf_dir, "events").withColumns({"lane": F.concat(F.lit("l"), (_C("user_id") % 4).cast("string")), "run_id": F.lit("20240101_000000"), "ord": _C("event_id"), "value": F.to_json(F.struct("event_id"))})
+    for name, when in (("messages.1.jsonl", "ts < '2024-01-11'"), ("messages.2.jsonl", "ts >= '2024-01-11' and ts < '2024-01-21'"), ("messages.jsonl", "ts >= '2024-01-21'")):
+        _lines(e.where(when), f"{path}/{name}", "lane", "run_id")
+    rows = scans.run_rows(spark, path, "event_id bigint", recursive=True, pattern="*.txt")
+    return rows.select("lane", "event_id", F.row_number().over(Window.partitionBy("lane", "run_id").orderBy("part", "ord")).cast("bigint").alias("place"))
+
+
 def index_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as lines of an index, some torn, some no objects."""
     path = f"{shared_folder(spark)}/index"
@@ -175,7 +185,7 @@ def stream_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def empty_run_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdicts of the runs of all customers on the first day, most of which have no event; of runs by nation for books."""
+    """Verdicts of the runs of all customers on the first day, most of which have no event; of 25 customers' runs for books."""
     e = trades(spark, sf_dir).where("day = '2024-01-01'")
     runs = table(spark, sf_dir, "customer").select(_C("c_custkey").alias("user_id"))
     u = e.select("user_id", "ord", F.when(_C("event_type") == "signup", "snapshot").otherwise("delta").alias("event_type"), _C("exchange_time").alias("event_time"))
@@ -215,12 +225,13 @@ def run_day_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.groupBy("lane", S.run_day(_C("name")).alias("day")).agg(F.count("*").alias("runs"))
 
 
-QUERIES = {f.__name__: f for f in (run_scan, index_scan, json_documents, latest_metrics, dataset_roundtrip, partition_stats, manifest_files, api_error_rows, item_hashes, scalar_times, scalar_values, perp_resolution, dimension_counts, structural_verdict, checksum_verdict, stream_modes, empty_run_verdicts, ordered_lanes, shortest_frequency, run_day_units)}
+QUERIES = {f.__name__: f for f in (run_scan, rotated_parts, index_scan, json_documents, latest_metrics, dataset_roundtrip, partition_stats, manifest_files, api_error_rows, item_hashes, scalar_times, scalar_values, perp_resolution, dimension_counts, structural_verdict, checksum_verdict, stream_modes, empty_run_verdicts, ordered_lanes, shortest_frequency, run_day_units)}
 
 _EVENT_DAY = "strftime(cast(ts as date), '%Y%m%d') || '_000000'"
 
 ORACLES = {
     "run_scan": f"select 'l' || (user_id % 4) as lane, {_EVENT_DAY} as run_id, row_number() over (partition by user_id % 4, cast(ts as date) order by event_id) as ord, event_id, event_type from events",
+    "rotated_parts": "select 'l' || (user_id % 4) as lane, event_id, row_number() over (partition by user_id % 4 order by event_id) as place from events",
     "index_scan": """with b as (select o_orderkey as k, o_custkey as c, '{"run_path":"' || o_orderkey || '","promoted_rows":' || o_custkey || '}' as body from orders)
 select case when k % 13 <> 0 and k % 17 <> 0 then cast(k as varchar) end as run_path, case when k % 13 <> 0 and k % 17 <> 0 then c end as promoted_rows, case when k % 13 = 0 then left(body, length(body) - 3) when k % 17 = 0 then '[' || k || ']' end as line, count(*) as n from b group by all""",
     "json_documents": f"with d as (select {_EVENT_DAY} as file_day, count(*) as events, max(event_id) as last from events group by 1) select file_day, case when last % 2 = 0 then events end as events, case when last % 2 = 0 then last end as last, last % 2 = 1 as missing from d",
@@ -257,7 +268,7 @@ v as (select *, sequence - lag(sequence) over (partition by user_id order by ord
 t as (select user_id, count(*) as n, bool_and(price > 0 and size > 0 and abs(delay) <= 60) as fine, bool_and(step is null or step = 1) as dense from v group by 1),
 f as (select user_id, count(*) as n, bool_and(price > 0 and abs(delay) <= 60) as fine from d where channel = 'funding' group by 1),
 s as (select user_id, count(*) as n, count(*) filter (again) as snaps, arg_min(again, ord) as opens from d group by 1),
-w as (select o_custkey % 20 as run, o_orderkey as ord, o_orderkey * 2 + case when o_orderkey % 97 = 0 then 5 else 0 end as lo, o_orderkey * 2 + case when o_orderkey % 89 = 0 then -3 else 1 end as hi from orders),
+w as (select o_custkey as run, o_orderkey as ord, o_orderkey * 2 + case when o_orderkey % 97 = 0 then 5 else 0 end as lo, o_orderkey * 2 + case when o_orderkey % 89 = 0 then -3 else 1 end as hi from orders),
 w1 as (select *, lo <= hi as valid, lo <= hi and hi > 0 as past from w), w2 as (select *, count(*) filter (past) over (partition by run order by ord rows between unbounded preceding and 1 preceding) as k from w1),
 w3 as (select *, valid and k = 0 and not past as skipped, valid and (k > 0 or past) as live, past and k = 0 as anch from w2), w4 as (select *, max(case when live then hi end) over (partition by run order by ord rows between unbounded preceding and 1 preceding) as prev from w3),
 b as (select run, count(*) filter (not skipped) as n, count(*) filter (not valid or live and not anch and (hi <= prev or lo > prev + 1) or anch and lo > 1) as poor from w4 group by run)

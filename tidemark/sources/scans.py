@@ -18,7 +18,7 @@ def ordered_lines(spark: SparkSession, path: str, recursive: bool = False, patte
     lines = spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", pattern).text(path)
     lines = lines.select("value", _C("_metadata.file_path").alias("file"), _C("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("mid"))
     lines = lines.where(F.trim("value") != "")
-    part = F.regexp_extract("file", r"\.(\d+)\.jsonl$", 1)
+    part = F.regexp_extract("file", r"\.(\d+)\.jsonl(?:/|$)", 1)  # of the file, or of the folder that Spark wrote as one
     lines = lines.withColumn("part", F.when(part == "", F.lit(2**62)).otherwise(part.try_cast("bigint")))
     return lines.select("file", "part", F.row_number().over(Window.partitionBy("file").orderBy("block", "mid")).cast("bigint").alias("ord"), "value")
 
