@@ -166,17 +166,23 @@ def offload_plan(runs: DataFrame, promoted: DataFrame, quarantined: DataFrame, p
     may = old.where("ok").groupBy("lane", "lane_rank").agg(F.count("*").alias("n"))
     # a lane's place in the budget: eligible runs of the lanes before it (a row a lane), then its own by age
     ahead = may.withColumn("ahead", F.coalesce(F.sum("n").over(Window.orderBy("lane_rank", "lane").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("lane", "ahead")
-    place = F.row_number().over(Window.partitionBy("lane", "ok").orderBy("started_at", key))
-    out = old.withColumn("place", place).join(ahead, "lane", "left")
+    # a run's place in its lane: those of earlier days, by their counts, and those before it on its own day
+    own = old.withColumn("__day", F.to_date("started_at"))
+    days = own.groupBy("lane", "ok", "__day").agg(F.count("*").alias("__c"))
+    earlier = F.coalesce(F.sum("__c").over(Window.partitionBy("lane", "ok").orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    days = days.select("lane", "ok", "__day", earlier.alias("__earlier"))
+    place = F.row_number().over(Window.partitionBy("lane", "ok", "__day").orderBy("started_at", key)) + _C("__earlier")
+    out = own.join(days, ["lane", "ok", "__day"]).withColumn("place", place).drop("__day", "__earlier").join(ahead, "lane", "left")
     state = F.when(~_C("ok"), "stuck").when(_C("ahead") + _C("place") <= budget, "move").otherwise("wait")
     return out.withColumn("state", state).drop("ok", "place", "ahead")
 
 
 def stuck_by_lane(plan: DataFrame, key: str = "run_path", n: int = 5) -> DataFrame:
-    """Stuck runs per lane: the exact count, and the first few as examples."""
-    own = plan.where("state = 'stuck'")
-    first = own.withColumn("__n", F.row_number().over(Window.partitionBy("lane").orderBy(key)))
-    return first.groupBy("lane").agg(F.count("*").alias("stuck"), F.array_sort(F.collect_list(F.when(_C("__n") <= n, _C(key)))).alias("examples"))
+    """Stuck runs per lane: the exact count, and the first few as examples, found in parts of a lane first."""
+    own = plan.where("state = 'stuck'").select("lane", key, F.pmod(F.xxhash64(key), F.lit(64)).alias("__part"))
+    first = own.withColumn("__n", F.row_number().over(Window.partitionBy("lane", "__part").orderBy(key))).where(_C("__n") <= n)
+    examples = first.groupBy("lane").agg(F.slice(F.array_sort(F.collect_list(key)), 1, n).alias("examples"))
+    return own.groupBy("lane").agg(F.count("*").alias("stuck")).join(examples, "lane")
 
 
 def lane_differences(on_disk: DataFrame, configured: DataFrame) -> DataFrame:

@@ -161,16 +161,16 @@ def text_content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents as text items: a source is a lane; equal texts have equal keys."""
+    """documents as text items: a source is a lane, 500 ids a run of each; equal texts have equal keys."""
     d = table(spark, sf_dir, "documents")
     t = lambda s: F.timestamp_seconds(s)
     seen = t(1_700_000_000 + _C("doc_id") * 60 - F.when(_C("doc_id") % 113 == 0, 600).otherwise(0))
-    return d.select(_C("source").alias("lane"), _C("doc_id").alias("ord"), _C("lang").alias("source"), F.when(_C("doc_id") % 4 == 0, "edit").otherwise("new").alias("event_type"), F.when(_C("doc_id") % 59 != 0, F.sha2(F.coalesce("text", F.lit("")), 256)).alias("source_id"), seen.alias("ingestion_ts"), seen.alias("received_at"), F.when(_C("doc_id") % 10 != 0, t(1_700_000_000 + _C("doc_id") * 60 - (_C("doc_id") % 5000) + 400)).alias("source_ts"), F.lit("h").alias("content_hash"), F.struct((_C("doc_id") % 20 == 0).alias("source_ts_unparseable")).alias("metadata"))
+    return d.select(_C("source").alias("lane"), F.floor(_C("doc_id") / 500).alias("run"), _C("doc_id").alias("ord"), _C("lang").alias("source"), F.when(_C("doc_id") % 4 == 0, "edit").otherwise("new").alias("event_type"), F.when(_C("doc_id") % 59 != 0, F.sha2(F.coalesce("text", F.lit("")), 256)).alias("source_id"), seen.alias("ingestion_ts"), seen.alias("received_at"), F.when(_C("doc_id") % 10 != 0, t(1_700_000_000 + _C("doc_id") * 60 - (_C("doc_id") % 5000) + 400)).alias("source_ts"), F.lit("h").alias("content_hash"), F.struct((_C("doc_id") % 20 == 0).alias("source_ts_unparseable")).alias("metadata"))
 
 
 def text_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = verdicts.text(_items(spark, sf_dir), ["lane"], ["ord"])
-    return v.select("lane", "event_count", "new_count", "edit_count", "non_monotonic_ingestion_count", "missing_envelope_count", "duplicate_key_count", "missing_source_ts_count", "unparseable_source_ts_count", "stale_source_ts_count", "future_source_ts_count", _C("max_source_lag_seconds").cast("bigint").alias("max_source_lag_seconds"), F.array_join("findings", ",").alias("findings"), "replayable")
+    v = verdicts.text(_items(spark, sf_dir), ["lane", "run"], ["ord"])
+    return v.select("lane", "run", "event_count", "new_count", "edit_count", "non_monotonic_ingestion_count", "missing_envelope_count", "duplicate_key_count", "missing_source_ts_count", "unparseable_source_ts_count", "stale_source_ts_count", "future_source_ts_count", _C("max_source_lag_seconds").cast("bigint").alias("max_source_lag_seconds"), F.array_join("findings", ",").alias("findings"), "replayable")
 
 
 def text_read_once(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -383,10 +383,10 @@ select symbol, cast(bid as double) as bid, cast(ask as double) as ask, round((1
     "market_discovery": f"""with {_MARKET}, s as (select distinct p_partkey % 20 as k from part), c as (select series, count(*) as n, count(*) filter (yes_ask is null and not (no_ask > 0)) as e from m where is_open group by series)
 select 's' || k as ticker, ([3600, 86400, 604800, 900])[k % 4 + 1] as frequency_seconds, coalesce(n, 0) as open_markets, coalesce(e, 0) as empty_best_asks, {_named(("coalesce(n, 0) = 0", "no_open_markets"), ("e > 0", "empty_best_ask"))} as findings from s left join c on series = 's' || k where k % 3 = 0 and k % 4 <> 3""",
     "text_content_hash": """select doc_id, sha256(cast(to_json([coalesce(lang, ''), coalesce(text, ''), case when doc_id % 3 = 0 then '' else coalesce(source, '') end]) as varchar)) as content_hash from documents""",
-    "text_verdict": f"""with i as (select source as lane, doc_id as ord, lang as source, doc_id % 4 = 0 as edit, case when doc_id % 59 <> 0 then sha256(coalesce(text, '')) end as sid, 1700000000 + doc_id * 60 - case when doc_id % 113 = 0 then 600 else 0 end as seen, case when doc_id % 10 <> 0 then 1700000000 + doc_id * 60 - doc_id % 5000 + 400 end as claim, doc_id % 20 = 0 as unread from documents),
-w as (select *, seen < max(seen) over (partition by lane order by ord rows between unbounded preceding and 1 preceding) as early, sid is not null and row_number() over (partition by lane, source, sid order by ord) > 1 as again, seen - claim as lag from i),
-a as (select lane, count(*) as event_count, count(*) filter (not edit) as new_count, count(*) filter (edit) as edit_count, count(*) filter (early) as non_monotonic_ingestion_count, count(*) filter (sid is null) as missing_envelope_count, count(*) filter (again) as duplicate_key_count,
- count(*) filter (claim is null and not unread) as missing_source_ts_count, count(*) filter (claim is null and unread) as unparseable_source_ts_count, count(*) filter (lag > 3600) as stale_source_ts_count, count(*) filter (lag < -300) as future_source_ts_count, cast(max(lag) as bigint) as max_source_lag_seconds from w group by lane)
+    "text_verdict": f"""with i as (select source as lane, doc_id // 500 as run, doc_id as ord, lang as source, doc_id % 4 = 0 as edit, case when doc_id % 59 <> 0 then sha256(coalesce(text, '')) end as sid, 1700000000 + doc_id * 60 - case when doc_id % 113 = 0 then 600 else 0 end as seen, case when doc_id % 10 <> 0 then 1700000000 + doc_id * 60 - doc_id % 5000 + 400 end as claim, doc_id % 20 = 0 as unread from documents),
+w as (select *, seen < max(seen) over (partition by lane, run order by ord rows between unbounded preceding and 1 preceding) as early, sid is not null and row_number() over (partition by lane, run, source, sid order by ord) > 1 as again, seen - claim as lag from i),
+a as (select lane, run, count(*) as event_count, count(*) filter (not edit) as new_count, count(*) filter (edit) as edit_count, count(*) filter (early) as non_monotonic_ingestion_count, count(*) filter (sid is null) as missing_envelope_count, count(*) filter (again) as duplicate_key_count,
+ count(*) filter (claim is null and not unread) as missing_source_ts_count, count(*) filter (claim is null and unread) as unparseable_source_ts_count, count(*) filter (lag > 3600) as stale_source_ts_count, count(*) filter (lag < -300) as future_source_ts_count, cast(max(lag) as bigint) as max_source_lag_seconds from w group by lane, run)
 select *, {_named(("missing_envelope_count > 0", "missing_envelope_fields"), ("non_monotonic_ingestion_count > 0", "non_monotonic_ingestion_ts"), ("duplicate_key_count > 0", "duplicate_envelope_keys"), ("missing_source_ts_count > 0", "missing_source_ts"), ("unparseable_source_ts_count > 0", "unparseable_source_ts"), ("stale_source_ts_count > 0", "stale_source_ts"), ("future_source_ts_count > 0", "future_source_ts"))} as findings, missing_envelope_count + non_monotonic_ingestion_count = 0 as replayable from a""",
     "text_read_once": """with i as (select doc_id as ord, lang as source, coalesce(text, '') as t, 1700000000 + doc_id * 60 - case when doc_id % 113 = 0 then 600 else 0 end as seen from documents where doc_id % 59 <> 0), n as (select *, row_number() over (partition by source, t order by seen desc, ord) as n from i) select ord, source from n where n = 1""",
     "text_new_edit": "with p as (select *, coalesce(text, '') as t, lag(coalesce(text, '')) over (partition by conv_id order by turn) as q from conversations) select conv_id, turn, case when q is null then 'new' else 'edit' end as row_type from p where q is null or q <> t",
