@@ -254,6 +254,17 @@ t as (select *, row_number() over (partition by run, side order by case side whe
 select run, max(price) filter (side = 'bid') as best_bid, min(price) filter (side = 'ask') as best_ask, min(price) filter (side = 'ask') - max(price) filter (side = 'bid') as spread, count(*) filter (side = 'bid') as bid_levels, count(*) filter (side = 'ask') as ask_levels,
  coalesce(string_agg(p, ',' order by n) filter (side = 'bid' and n <= 3), '') as top_bids, coalesce(string_agg(p, ',' order by n) filter (side = 'ask' and n <= 3), '') as top_asks from t group by run""",
     "crossed_book_count": CROSSED,
+    # each book is carried from frame to frame; the checksum's table comes from its polynomial
+    "book_checksum": f"""with recursive {DEPTH},
+own as (select run, ord, list({{'p': price, 's': size}}) filter (side = 'bid') as b, list({{'p': price, 's': size}}) filter (side = 'ask') as a from lv group by run, ord),
+g as materialized (select run, ord, snap, coalesce(b, []) as b, coalesce(a, []) as a, row_number() over (partition by run order by ord) as n from frame join own using (run, ord)),
+step(run, n, ord, bids, asks) as (
+ select run, n, ord, list_sort(list_filter(b, lambda x: x.s > 0), 'DESC')[1:10], list_sort(list_filter(a, lambda x: x.s > 0))[1:10] from g where n = 1 union all
+ select g.run, g.n, g.ord, list_sort(list_concat(case when g.snap then [] else list_filter(s.bids, lambda x: not list_contains(list_transform(g.b, lambda y: y.p), x.p)) end, list_filter(g.b, lambda x: x.s > 0)), 'DESC')[1:10],
+  list_sort(list_concat(case when g.snap then [] else list_filter(s.asks, lambda x: not list_contains(list_transform(g.a, lambda y: y.p), x.p)) end, list_filter(g.a, lambda x: x.s > 0)))[1:10] from step s join g on g.run = s.run and g.n = s.n + 1),
+tab as (select list(c order by i) as t from (select i, list_reduce([cast(i as ubigint), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: case when c & 1 = 1 then xor(c >> 1, cast(3988292384 as ubigint)) else c >> 1 end) as c from range(256) r(i))),
+txt as (select run, ord, list_aggregate(list_transform(list_concat(asks, bids), lambda x: coalesce(nullif(ltrim(replace(printf('%.1f', x.p), '.', ''), '0'), ''), '0') || coalesce(nullif(ltrim(replace(printf('%.8f', x.s), '.', ''), '0'), ''), '0')), 'string_agg', '') as d from step)
+select run, ord, cast(xor(list_reduce(list_concat([cast(4294967295 as ubigint)], list_transform(list_filter(string_split(coalesce(d, ''), ''), lambda x: x <> ''), lambda x: cast(ascii(x) as ubigint))), lambda c, b: xor(c >> 8, t[cast(xor(c & 255, b) as bigint) + 1])), cast(4294967295 as ubigint)) as bigint) as crc from txt, tab""",
     "instrument_resolution": """with p as (select p_partkey, (['btc','ETH','XBT','sol','ABC','DOGE'])[p_partkey % 6 + 1] as b, (['USDT','/usd','USDC','BTC','EUR'])[p_partkey % 5 + 1] as q from part),
 s as (select *, case upper(b) when 'XBT' then 'BTC' when 'ABC' then null else upper(b) end as base, case when q = 'EUR' then null else upper(replace(q, '/', '')) end as quote from p)
 select p_partkey, b || q as symbol, case when base is not null and quote is not null then 'spot:venue:' || upper(b) || quote end as instrument_id, case when base is not null and quote is not null then base || '/' || quote end as canonical_symbol from s""",
