@@ -1,8 +1,10 @@
-"""Order books: final state by last write, per-event best prices and checksums by a fold of each anchored sub-book."""
+"""Order books: final state by last write, per-event best prices and checksums by a fold over each anchored sub-book."""
 
 from __future__ import annotations
 
 import heapq
+from collections import deque
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,20 +43,41 @@ def top_levels(levels: DataFrame, keys: list[str], n: int = 5) -> DataFrame:
     return out.withColumn("spread", _C("best_ask") - _C("best_bid"))
 
 
-def _flat(table: pa.Table, column: str) -> tuple[list[int], list[float], list[float]]:
+def _flat(lists: pa.Array) -> tuple[list[int], list[float], list[float]]:
     """Ends of each event's levels, and all prices and sizes in a row."""
-    lists = table.column(column)
-    levels = lists.combine_chunks().flatten() if lists.num_chunks != 1 else lists.chunk(0).flatten()
-    ends = np.cumsum(lists.combine_chunks().value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    levels = lists.flatten()
+    ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
     return [0, *ends.tolist()], levels.field("price").to_pylist(), levels.field("size").to_pylist()
 
 
-def _events(table: pa.Table, order: list[str]):
-    """Each event in order: whether it is a snapshot, and its bids and asks as (price, size) pairs."""
-    table = table.sort_by([(c, "ascending") for c in order])
-    sides = [_flat(table, c) for c in ("bids", "asks")]
-    for i, event in enumerate(table.column("event_type").to_pylist()):
-        yield event == "snapshot", [list(zip(prices[ends[i] : ends[i + 1]], sizes[ends[i] : ends[i + 1]], strict=True)) for ends, prices, sizes in sides]
+def _folded(updates: DataFrame, keys: list[str], order: list[str], made: str, fold: Callable[[Iterator], Iterator[tuple]]) -> DataFrame:
+    """(keys, book, order and `made`) of every event: `fold` is given (whether the sub-book is new, a snapshot, bids, asks) in order.
+
+    Sub-books stand sorted in a partition and stream past, so none is held whole and each costs no call of its own.
+    """
+    kind = {c: updates.schema[c].dataType.simpleString() for c in [*keys, "book", *order]}
+    rows = updates.select(*kind, "event_type", "bids", "asks").repartition(*keys, "book").sortWithinPartitions(*keys, "book", *order)
+    levels = pa.list_(pa.struct([("price", pa.float64()), ("size", pa.float64())]))
+    types = [levels if "array" in x else pa.float64() for x in made.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []  # the batch's events, for the one fold that goes on from batch to batch
+        feed: deque = deque()
+        results = fold(feed.popleft() for _ in iter(int, 1))
+        last = None
+        for batch in batches:
+            names = list(zip(*(batch.column(c).to_pylist() for c in (*keys, "book")), strict=True))
+            sides = [_flat(batch.column(c)) for c in ("bids", "asks")]
+            held.clear()
+            for n, (name, event) in enumerate(zip(names, batch.column("event_type").to_pylist(), strict=True)):
+                own = [list(zip(prices[ends[n] : ends[n + 1]], sizes[ends[n] : ends[n + 1]], strict=True)) for ends, prices, sizes in sides]
+                feed.append((name != last, event == "snapshot", own))
+                last = name
+                held.append(next(results))
+            columns = list(zip(*held, strict=True)) or [()] * len(types)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kind), *(pa.array(list(c), t) for c, t in zip(columns, types, strict=True))], names=[*kind, *(x.split()[0] for x in made.split(", "))])
+
+    return rows.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in kind.items()) + ", " + made)
 
 
 def _apply(book: dict[float, float], snapshot: bool, levels: list[tuple[float, float]]) -> None:
@@ -70,45 +93,43 @@ def _apply(book: dict[float, float], snapshot: bool, levels: list[tuple[float, f
 
 
 def fold(updates: DataFrame, keys: list[str], order: str | list[str], depth: int | None = None, top: int = 10) -> DataFrame:
-    """(keys, book, order, best_bid, best_ask, top_bids, top_asks) after every event, one sub-book a group.
+    """(keys, book, order, best_bid, best_ask, top_bids, top_asks) after every event of each sub-book.
 
-    A depth bounds the book after each event: a level that falls out does not come back. updates: with `book`; a group is
-    one anchored sub-book of one run, which a run's length bounds. `best_prices` is cheaper where best prices are enough.
+    A depth bounds the book after each event: a level that falls out does not come back. updates: with `book`.
+    `best_prices` is cheaper where best prices are enough.
     """
-    order = [order] if isinstance(order, str) else order
-    kind = {c: updates.schema[c].dataType.simpleString() for c in [*keys, "book", *order]}
-    level = "array<struct<price:double,size:double>>"
-    shape = ", ".join(f"{c} {t}" for c, t in kind.items()) + f", best_bid double, best_ask double, top_bids {level}, top_asks {level}"
-    pairs = pa.list_(pa.struct([("price", pa.float64()), ("size", pa.float64())]))
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(events: Iterator[tuple]) -> Iterator[tuple]:
         books: tuple[dict, dict] = ({}, {})
-        tops: list[list] = [[], []]
-        for snapshot, sides in _events(table, order):
+        for new, snapshot, sides in events:
+            tops = []
             for side, (book, levels) in enumerate(zip(books, sides, strict=True)):
+                if new:
+                    book.clear()
                 _apply(book, snapshot, levels)
                 if depth is not None and len(book) > depth:
                     for price in sorted(book, reverse=side == 0)[depth:]:
                         del book[price]
                 best = heapq.nlargest(top, book) if side == 0 else heapq.nsmallest(top, book)
-                tops[side].append([(p, book[p]) for p in best])
-        table = table.sort_by([(c, "ascending") for c in order])
-        ends = [pa.array([x[0][0] if x else None for x in side], pa.float64()) for side in tops]
-        return pa.Table.from_arrays([*(table.column(c).combine_chunks() for c in kind), *ends, *(pa.array(side, pairs) for side in tops)], names=[*kind, "best_bid", "best_ask", "top_bids", "top_asks"])
+                tops.append([(p, book[p]) for p in best])
+            yield *(x[0][0] if x else None for x in tops), *tops
 
-    return updates.select(*kind, "event_type", "bids", "asks").groupBy(*keys, "book").applyInArrow(run, shape)
+    level = "array<struct<price:double,size:double>>"
+    made = f"best_bid double, best_ask double, top_bids {level}, top_asks {level}"
+    return _folded(updates, keys, [order] if isinstance(order, str) else order, made, run)
 
 
 def best_prices(updates: DataFrame, keys: list[str], order: str | list[str]) -> DataFrame:
-    """(keys, book, order, best_bid, best_ask) after every event, one sub-book a group: a heap a side, whose dead prices go when they surface."""
-    order = [order] if isinstance(order, str) else order
-    kind = {c: updates.schema[c].dataType.simpleString() for c in [*keys, "book", *order]}
-
-    def run(table: pa.Table) -> pa.Table:
-        books, heaps, out = ({}, {}), ([], []), ([], [])
-        for snapshot, sides in _events(table, order):
-            for sign, book, heap, best, levels in zip((-1, 1), books, heaps, out, sides, strict=True):
-                if snapshot:
+    """(keys, book, order, best_bid, best_ask) after every event of each sub-book: a heap a side, whose dead prices go when they surface."""
+
+    def run(events: Iterator[tuple]) -> Iterator[tuple]:
+        books, heaps = ({}, {}), ([], [])
+        for new, snapshot, sides in events:
+            best = []
+            for sign, book, heap, levels in zip((-1, 1), books, heaps, sides, strict=True):
+                if new:
+                    book.clear()
+                if new or snapshot:
                     heap.clear()
                 for p, _ in levels:
                     if snapshot or p not in book:
@@ -117,11 +138,9 @@ def best_prices(updates: DataFrame, keys: list[str], order: str | list[str]) ->
                 while heap and sign * heap[0] not in book:
                     heapq.heappop(heap)
                 best.append(sign * heap[0] if heap else None)
-        table = table.sort_by([(c, "ascending") for c in order])
-        return pa.Table.from_arrays([*(table.column(c).combine_chunks() for c in kind), *(pa.array(x, pa.float64()) for x in out)], names=[*kind, "best_bid", "best_ask"])
+            yield tuple(best)
 
-    shape = ", ".join(f"{c} {t}" for c, t in kind.items()) + ", best_bid double, best_ask double"
-    return updates.select(*kind, "event_type", "bids", "asks").groupBy(*keys, "book").applyInArrow(run, shape)
+    return _folded(updates, keys, [order] if isinstance(order, str) else order, "best_bid double, best_ask double", run)
 
 
 def crossed_counts(states: DataFrame, keys: list[str]) -> DataFrame:
