@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 #: `bytes.split()` splits at exactly \x20 and \x09-\x0D, so it yields the words `[^\x20\x09-\x0D]+`.
 LOWER_ASCII = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -49,6 +50,15 @@ def discard(*frames: DataFrame) -> None:
                 path.getFileSystem(hadoop).delete(path, True)
 
 
+_KINDS = {"bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "float": T.FloatType(), "boolean": T.BooleanType(), "string": T.StringType(), "binary": T.BinaryType()}
+
+
+def shape(*fields: tuple[str, T.DataType | str]) -> T.StructType:
+    """The type of rows with these fields (name; a type, or the name of a plain one or of an array of it), whatever characters names hold."""
+    kind = lambda k: k if isinstance(k, T.DataType) else T.ArrayType(kind(k[6:-1])) if k.startswith("array<") else _KINDS[k]
+    return T.StructType([T.StructField(name, kind(k)) for name, k in fields])
+
+
 def parallelism(spark: SparkSession) -> int:
     """Partitions for a shuffle of the size that the session is set for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -65,19 +65,24 @@ def word_places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
+def prints(data: np.ndarray, start: np.ndarray, end: np.ndarray, second: bool = False) -> np.ndarray:
+    """Fingerprints of ranges of a block of bytes, in ascending order, stretch by stretch."""
+    out, a = np.empty(len(start), _U), 0
+    while a < len(start):
+        first = start[a]
+        b = max(a + 1, int(np.searchsorted(end, first + STRETCH, side="right")))
+        out[a:b] = ranges(running(data[first : end[b - 1]], second), start[a:b] - first, end[a:b] - first)
+        a = b
+    return out
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words `[^\\x20\\x09-\\x0D]+` of many texts, one text after the other, and each text's count."""
     data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
     start, end = word_places(data)
     stops = np.cumsum([len(t) + 1 for t in texts]) if texts else np.zeros(0, np.int64)
     counts = np.diff(np.searchsorted(start, stops), prepend=0)
-    out, a = np.empty(len(start), _U), 0
-    while a < len(start):
-        first = start[a]
-        b = max(a + 1, int(np.searchsorted(end, first + STRETCH, side="right")))
-        out[a:b] = ranges(running(data[first : end[b - 1]]), start[a:b] - first, end[a:b] - first)
-        a = b
-    return out, counts
+    return prints(data, start, end), counts
 
 
 def shingles(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:

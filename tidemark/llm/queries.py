@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, knn_quality, line_crf, minhash, piece_codec, suffix_dedup, token_counts, tool_calls, url_rules, warc
+from . import bpe_codec, collocations, conversation_repair, decontaminate, knn_quality, line_crf, minhash, piece_codec, suffix_dedup, token_counts, tool_calls, url_rules, warc
 from ._common import table
 
 
@@ -72,6 +72,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    damaged = conversation_repair.damage(turns)
+    return conversation_repair.digest(turns, conversation_repair.repair(damaged.where("alive")))
+
+
+def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_knn_quality": op2_knn_quality,
@@ -83,13 +97,75 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_piece_codec": op9_piece_codec,
     "op10_token_counts": op10_token_counts,
+    "op11_collocations": op11_collocations,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_bpe_codec": op13_bpe_codec,
 }
 
+#: CRC-32 of a text in DuckDB, by a table made from the polynomial.
+_CRC_TABLE = "select list(v order by i) crcs from (select i, list_reduce(list_prepend(i, range(8)), lambda c, _: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) v from range(256) r(i))"
+_CRC = "xor(list_reduce(list_prepend(4294967295, list_transform(range(1, strlen({0}) + 1), lambda i: ascii(substr({0}, i, 1)))), lambda c, b: xor(crcs[xor(c % 256, b) + 1], c // 256)), 4294967295)"
+
 _WORDS3 = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 _WORDS1 = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 
+
+
+def _line(before: str, role: str, text: str) -> str:
+    return f"{before} || case when {before} = '' then '' else chr(10) end || {role} || ':' || {text}"
+
+
+def _more(way: str, role: str) -> str:
+    """A way (cost, audit, repaired text) of the conversation repair after one insertion."""
+    return f"{{'c': ({way}).c + 5, 'a': ({way}).a || 'I', 'r': {_line(f'({way}).r', repr(role), repr(''))}}}"
+
+
+def _way(way: str, edit: str, initial: str = "") -> str:
+    """After one row is deleted, kept or changed; ways that do not stand cost too much ever to be chosen."""
+    if edit == "D":
+        return f"{{'c': {way}.c + 2, 'a': {way}.a || 'D', 'r': {way}.r}}"
+    role, closed = ("role", f"must or i <> '{initial}'") if edit == "K" else (repr("user" if initial == "u" else "assistant"), "must")
+    return f"{{'c': {way}.c + more + {int(edit == 'R')} + case when {closed} then 1000000000 else 0 end, 'a': {way}.a || '{edit}', 'r': {_line(f'{way}.r', role, 'x')}}}"
+
+
 ORACLES: dict[str, str] = {
+    "op11_collocations": r"""
+with piece as (select coalesce(lang, 'und') lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) p from documents where text is not null),
+w as materialized (select lang, regexp_extract_all(p, '[^\x20\x09]+') w from piece),
+gram as (select lang, k, array_to_string(w[s:s + k - 1], ' ') phrase from (select lang, w, k, unnest(range(1, len(w) - k + 2)) s from w, (values (1), (2), (3)) x(k) where len(w) >= k)),
+f as materialized (select lang, k, phrase, count(*) f from gram group by all),
+total as (select lang, sum(f) n from f where k = 1 group by 1),
+cand as materialized (select lang, k, phrase, string_split(phrase, ' ') w, f a from f where k > 1 and f >= 10),
+cut as (select lang, phrase, c.k size, c.a, x.cut, array_to_string(w[1:x.cut], ' ') head, array_to_string(w[x.cut + 1:], ' ') tail from cand c, (values (1), (2)) x(cut) where x.cut < c.k),
+scored as (select cut.lang, cut.phrase, size, a, h.f l, t.f r, cut, cast((1000000 * cast(a as hugeint) * a) // (cast(h.f as hugeint) * t.f) as bigint) score
+ from cut join f h on h.lang = cut.lang and h.phrase = head and h.k = cut join f t on t.lang = cut.lang and t.phrase = tail and t.k = size - cut),
+best as (select lang, phrase, size, a, arg_min(l, (score, cut)) l, arg_min(r, (score, cut)) r, min(score) score from scored group by all),
+longer as (select lang, sub, max(a) most from (select lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) sub from cand where k = 3) group by all),
+kept as (select best.* from best left join longer on longer.lang = best.lang and sub = phrase and size = 2 where most is null or 100 * most < 50 * a),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) rank from kept)
+select lang, rank, phrase, a, l, r, cast(n as bigint) n, score from ranked join total using (lang) where rank <= 2000""",
+    "op12_conversation_repair": f"""
+with recursive crc as ({_CRC_TABLE}),
+src as (select conv_id, turn, coalesce(role, ' ') role, coalesce(text, ' ') t, coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') k from conversations),
+fated as materialized (select src.* exclude (k), {_CRC.format("k")} % 20 fate from src, crc),
+alive as (select conv_id, turn, case when fate = 4 then 'user' else role end role, case fate when 1 then '' when 2 then regexp_replace(t, '[.!?]', '', 'g') else t end x, unnest(range(case when fate = 3 then 2 else 1 end)) time from fated where fate <> 0),
+placed as (select conv_id, turn, role, x, row_number() over (partition by conv_id order by turn nulls first, role, x) n from alive),
+judged as (select *, row_number() over (partition by conv_id, role, x order by n) again, regexp_extract(x, '[^\\x20\\x09-\\x0D]([\\x20\\x09-\\x0D]*)$') tail from placed),
+rows as materialized (select conv_id, turn, role, x, n, substr(role, 1, 1) i, case when tail = '' then 'blank' when again > 1 then 'duplicate' when substr(tail, 1, 1) not in ('.', '!', '?') then 'truncated' end fault from judged),
+counts as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count(*) filter (fault = 'blank') blank, count(*) filter (fault = 'duplicate') duplicate, count(*) filter (fault = 'truncated') truncated,
+ count(*) filter (bad) illegal, max(n) n from (select *, lag(i) over (partition by conv_id order by n) || i not in ('su', 'ua', 'au') bad from rows) group by 1),
+walk(conv_id, n, s0, s1, s2, s3) as (
+ select conv_id, cast(0 as bigint), {{'c': 0, 'a': '', 'r': ''}}, {{'c': 1000000000, 'a': '', 'r': ''}}, {{'c': 1000000000, 'a': '', 'r': ''}}, {{'c': 1000000000, 'a': '', 'r': ''}} from counts
+ union all
+ select conv_id, n, {_way("e0", "D")}, least({_way("e1", "D")}, {_way("e0", "K", "s")}),
+  least({_way("e2", "D")}, {", ".join(_way(e, k, "u") for e in ("e0", "e1", "e3") for k in "KR")}), least({_way("e3", "D")}, {_way("e2", "K", "a")}, {_way("e2", "R", "a")})
+ from (select r.conv_id, r.n, r.role, r.i, r.x, fault in ('blank', 'duplicate') and fault is not null must, case when fault = 'truncated' then 5 else 0 end more,
+   w.s0 e0, w.s1 e1, least(w.s2, {_more("w.s0", "user")}, {_more("w.s1", "user")}, {_more("w.s3", "user")}) e2, least(w.s3, {_more("w.s2", "assistant")}, {_more(_more("w.s0", "user"), "assistant")}, {_more(_more("w.s1", "user"), "assistant")}) e3
+  from walk w join rows r on r.conv_id is not distinct from w.conv_id and r.n = w.n + 1)),
+ended as (select w.conv_id, least(s0, s3, {_more("s2", "assistant")}, {_more(_more("s1", "user"), "assistant")}) z from walk w join counts c on c.conv_id is not distinct from w.conv_id and c.n = w.n)
+select o.conv_id, coalesce(gaps, 0) gaps, coalesce(blank, 0) blank, coalesce(duplicate, 0) duplicate, coalesce(truncated, 0) truncated, coalesce(illegal, 0) illegal, cast(coalesce(z.c, 0) as bigint) "cost", coalesce(z.a, '') audit, sha256(coalesce(z.r, '')) repaired_sha256
+from (select distinct conv_id from conversations) o left join counts c on c.conv_id is not distinct from o.conv_id left join ended e on e.conv_id is not distinct from o.conv_id""",
     "op4_tool_calls": """
 with recursive sized as (select conv_id, turn, role, text, coalesce(text, '') prompt, cast(coalesce(length(text), 0) as integer) chars from conversations),
 ask as materialized (select *, 'call-' || turn call_id, (3 * conv_id + turn) % 8 kind, chars % 10 form,
