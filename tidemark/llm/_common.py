@@ -68,16 +68,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """The batches of a task in parts of few rows; when the task ends, memory that it freed goes back to the machine.
+def give_back() -> None:
+    """Memory that a worker process has freed goes back to the machine; it would otherwise hold the most that any of its tasks ever needed."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
 
-    A worker process is used again and again, and would otherwise hold the most that any of its tasks ever needed.
-    """
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches of a task in parts of few rows; when the task ends, memory that it freed is given back."""
     try:
         for batch in batches:
             for a in range(0, batch.num_rows, rows):
                 yield batch.slice(a, rows)
     finally:
-        pa.default_memory_pool().release_unused()
-        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
-            trim(0)
+        give_back()

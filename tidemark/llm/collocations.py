@@ -30,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import LOWER_ASCII, discard, encode, parallelism, shape, slices, written
+from ._common import LOWER_ASCII, discard, encode, give_back, parallelism, shape, slices, written
 from .hashing import mix, prints
 
 _U = np.uint64
 #: Bytes of text in a block.
-BLOCK = 12 << 20
+BLOCK = 8 << 20
 #: 2: ends a piece, 1: ends a word.
 _KIND = np.zeros(256, np.int8)
 _KIND[list(b" \t")] = 1
@@ -133,8 +133,8 @@ def counted(relation: DataFrame, least: int) -> DataFrame:
     buckets = parallelism(relation.sparkSession)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
+        for part in slices(batches, 1):
+            for row in part.to_pylist():
                 a, b, count = unpacked(row["own"], _U, _U, np.uint32)
                 to = (mix(a ^ mix(b, 3), 11) % _U(buckets)).astype(np.int64)
                 order = np.argsort(to, kind="stable")
@@ -179,6 +179,8 @@ def counted(relation: DataFrame, least: int) -> DataFrame:
         for lang in sorted(set(langs)):
             s = np.flatnonzero(langs == lang)
             rows.append((None, None, id_of[often[s]], a[at[s]].view(np.int64), b[at[s]].view(np.int64), total[often[s]], lang, None if words is None else words[s].tolist()))
+        del a, b, n, own, order, mine, parts
+        give_back()
         kinds = (pa.binary(), pa.binary(), *[pa.list_(pa.int64())] * 4, pa.string(), pa.list_(pa.string()))
         return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * len(kinds), kinds, strict=True)], names=_COUNTED.names)
 
@@ -192,8 +194,8 @@ def longer(relation: DataFrame, told: DataFrame) -> DataFrame:
     backs = told.where("block is not null").groupBy("block").agg(F.collect_list("back").alias("backs"))
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, lang, step, phrase, backs in zip(*(batch.column(c) for c in range(5)), strict=True):
+        for part in slices(batches, 1):
+            for block, lang, step, phrase, backs in zip(*(part.column(c) for c in range(5)), strict=True):
                 (step,), (phrase,) = unpacked(step.as_py(), np.uint8), unpacked(phrase.as_py(), np.uint32)
                 own, ids = (np.concatenate(c) for c in zip(*(unpacked(x, *_BACK) for x in backs.as_py()), strict=True))
                 number = np.full(int(phrase.max()) + 1, -1, np.int64)
