@@ -8,10 +8,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from .gates import up_to
+from .segments import PIECE, cut, last_values
 
 _C = F.col
 
@@ -50,34 +52,61 @@ def _flat(lists: pa.Array) -> tuple[list[int], list[float], list[float]]:
     return [0, *ends.tolist()], levels.field("price").to_pylist(), levels.field("size").to_pylist()
 
 
+def with_starts(updates: DataFrame, keys: list[str], order: list[str], pieces: int | None = None) -> DataFrame:
+    """The updates in pieces (see `segments`), and before each piece that goes on with a sub-book an event `start` with the book's levels then.
+
+    Last writes compose: the last write of each price in each piece (aggregated before the shuffle) stands until a later piece's.
+    So every piece has its starting book and can be folded by itself. updates: with `book`.
+    """
+    names = [*keys, "book"]
+    rows = cut(updates.select(*names, *order, "event_type", "bids", "asks"), names, order, pieces)
+    sides = F.explode(F.array(*(F.struct(F.lit(s).alias("side"), F.col(c).alias("levels")) for s, c in (("bid", "bids"), ("ask", "asks")))))
+    flat = rows.select(PIECE, *names, *order, "event_type", sides.alias("x")).select(PIECE, *names, *order, "event_type", "x.side", F.posexplode("x.levels").alias("pos", "level"))
+    flat = flat.where((_C("event_type") != "snapshot") | _C("event_type").isNull() | (_C("level.size") > 0))
+    span = rows.groupBy(*names).agg(F.min(PIECE).alias("first"), F.max(PIECE).alias("last")).where("first < last")  # sub-books of several pieces
+    writes = flat.groupBy(PIECE, *names, "side", _C("level.price").alias("price")).agg(F.max_by("level.size", F.struct(*order, "pos")).alias("size"))
+    writes = writes.join(span, names)
+    later = F.lead(PIECE).over(Window.partitionBy(*names, "side", "price").orderBy(PIECE))
+    until = writes.withColumn("until", F.coalesce(later, "last")).where((_C("size") != 0) & (_C(PIECE) < _C("until")))
+    held = until.select(*names, "side", "price", "size", F.explode(F.sequence(_C(PIECE) + 1, "until")).alias(PIECE))
+    levels = lambda s: F.collect_list(F.when(_C("side") == s, F.struct("price", "size")))
+    books = held.groupBy(PIECE, *names).agg(levels("bid").alias("bids"), levels("ask").alias("asks"))
+    return rows.unionByName(books.withColumn("event_type", F.lit("start")), allowMissingColumns=True)
+
+
 def _folded(updates: DataFrame, keys: list[str], order: list[str], made: str, fold: Callable[[Iterator], Iterator[tuple]]) -> DataFrame:
     """(keys, book, order and `made`) of every event: `fold` is given (whether the sub-book is new, a snapshot, bids, asks) in order.
 
-    Sub-books stand sorted in a partition and stream past, so none is held whole and each costs no call of its own.
+    Sub-books, or their pieces with a starting book each, stand sorted in a partition and stream past, so none is held whole
+    and each costs no call of its own.
     """
-    kind = {c: updates.schema[c].dataType.simpleString() for c in [*keys, "book", *order]}
-    rows = updates.select(*kind, "event_type", "bids", "asks").repartition(*keys, "book").sortWithinPartitions(*keys, "book", *order)
+    names = [PIECE] if PIECE in updates.columns else []
+    kind = {c: updates.schema[c].dataType for c in [*keys, "book", *order]}
+    first = F.when(_C("event_type") == "start", 0).otherwise(1)  # before its piece's events
+    rows = updates.select(*kind, "event_type", "bids", "asks", *names).repartition(*names, *keys, "book").sortWithinPartitions(*names, *keys, "book", first, *order)
     levels = pa.list_(pa.struct([("price", pa.float64()), ("size", pa.float64())]))
     types = [levels if "array" in x else pa.float64() for x in made.split(", ")]
+    shape = StructType([StructField(c, t) for c, t in kind.items()] + list(StructType.fromDDL(made)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []  # the batch's events, for the one fold that goes on from batch to batch
         feed: deque = deque()
-        results = fold(feed.popleft() for _ in iter(int, 1))
+        results = fold(feed.popleft() for _ in iter(int, 1))  # one fold that goes on from batch to batch
         last = None
         for batch in batches:
-            names = list(zip(*(batch.column(c).to_pylist() for c in (*keys, "book")), strict=True))
+            of = list(zip(*(batch.column(c).to_pylist() for c in (*names, *keys, "book")), strict=True))
             sides = [_flat(batch.column(c)) for c in ("bids", "asks")]
-            held.clear()
-            for n, (name, event) in enumerate(zip(names, batch.column("event_type").to_pylist(), strict=True)):
+            events = batch.column("event_type").to_pylist()
+            held = []
+            for n, (name, event) in enumerate(zip(of, events, strict=True)):
                 own = [list(zip(prices[ends[n] : ends[n + 1]], sizes[ends[n] : ends[n + 1]], strict=True)) for ends, prices, sizes in sides]
                 feed.append((name != last, event == "snapshot", own))
                 last = name
                 held.append(next(results))
             columns = list(zip(*held, strict=True)) or [()] * len(types)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kind), *(pa.array(list(c), t) for c, t in zip(columns, types, strict=True))], names=[*kind, *(x.split()[0] for x in made.split(", "))])
+            out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in kind), *(pa.array(list(c), t) for c, t in zip(columns, types, strict=True))], names=shape.names)
+            yield out.filter(pa.array([e != "start" for e in events], pa.bool_()))
 
-    return rows.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in kind.items()) + ", " + made)
+    return rows.mapInArrow(run, shape)
 
 
 def _apply(book: dict[float, float], snapshot: bool, levels: list[tuple[float, float]]) -> None:
@@ -95,9 +124,11 @@ def _apply(book: dict[float, float], snapshot: bool, levels: list[tuple[float, f
 def fold(updates: DataFrame, keys: list[str], order: str | list[str], depth: int | None = None, top: int = 10) -> DataFrame:
     """(keys, book, order, best_bid, best_ask, top_bids, top_asks) after every event of each sub-book.
 
-    A depth bounds the book after each event: a level that falls out does not come back. updates: with `book`.
-    `best_prices` is cheaper where best prices are enough.
+    Long sub-books are cut into pieces that start from their book then (`with_starts`). A depth bounds the book after each event: a
+    level that falls out does not come back, which no last write tells, so with a depth a sub-book is folded in one go,
+    streaming. updates: with `book`. `best_prices` is cheaper where best prices are enough.
     """
+    order = [order] if isinstance(order, str) else order
 
     def run(events: Iterator[tuple]) -> Iterator[tuple]:
         books: tuple[dict, dict] = ({}, {})
@@ -108,7 +139,7 @@ def fold(updates: DataFrame, keys: list[str], order: str | list[str], depth: int
                     book.clear()
                 _apply(book, snapshot, levels)
                 if depth is not None and len(book) > depth:
-                    for price in sorted(book, reverse=side == 0)[depth:]:
+                    for price in (heapq.nsmallest if side == 0 else heapq.nlargest)(len(book) - depth, book):
                         del book[price]
                 best = heapq.nlargest(top, book) if side == 0 else heapq.nsmallest(top, book)
                 tops.append([(p, book[p]) for p in best])
@@ -116,11 +147,15 @@ def fold(updates: DataFrame, keys: list[str], order: str | list[str], depth: int
 
     level = "array<struct<price:double,size:double>>"
     made = f"best_bid double, best_ask double, top_bids {level}, top_asks {level}"
-    return _folded(updates, keys, [order] if isinstance(order, str) else order, made, run)
+    return _folded(updates if depth is not None else with_starts(updates, keys, order), keys, order, made, run)
 
 
 def best_prices(updates: DataFrame, keys: list[str], order: str | list[str]) -> DataFrame:
-    """(keys, book, order, best_bid, best_ask) after every event of each sub-book: a heap a side, whose dead prices go when they surface."""
+    """(keys, book, order, best_bid, best_ask) after every event of each sub-book: a heap a side, whose dead prices go when they surface.
+
+    Long sub-books are cut into pieces that start from their book then (`with_starts`).
+    """
+    order = [order] if isinstance(order, str) else order
 
     def run(events: Iterator[tuple]) -> Iterator[tuple]:
         books, heaps = ({}, {}), ([], [])
@@ -140,7 +175,7 @@ def best_prices(updates: DataFrame, keys: list[str], order: str | list[str]) ->
                 best.append(sign * heap[0] if heap else None)
             yield tuple(best)
 
-    return _folded(updates, keys, [order] if isinstance(order, str) else order, "best_bid double, best_ask double", run)
+    return _folded(with_starts(updates, keys, order), keys, order, "best_bid double, best_ask double", run)
 
 
 def crossed_counts(states: DataFrame, keys: list[str]) -> DataFrame:
@@ -172,11 +207,15 @@ def checksum_counts(states: DataFrame, keys: list[str], expected: str, price_dec
 
 
 def as_of(left: DataFrame, right: DataFrame, keys: list[str], on: str, values: list[str]) -> DataFrame:
-    """Each left row with the values of the last right row of its key at or before it: a union and one window, no range join."""
+    """Each left row with the values of the last right row of its key at or before it: a union and a segmented scan, no range join.
+
+    A key with a large share of all rows is cut by time into pieces, so no task holds it.
+    """
     extra = [c for c in left.columns if c not in (*keys, on)]
     both = left.withColumns({"__r": F.lit(1), "__v": F.lit(None).cast(right.select(F.struct(*values)).schema[0].dataType)}).unionByName(right.select(*keys, on, F.lit(0).alias("__r"), F.struct(*values).alias("__v")), allowMissingColumns=True)
-    found = F.last("__v", ignorenulls=True).over(up_to(keys, [on, "__r"]))
-    return both.withColumn("__v", found).where("__r = 1").select(*keys, on, *extra, *(_C("__v")[v].alias(v) for v in values))
+    order = [on, "__r"]
+    found = last_values(cut(both, keys, order), keys, order, {"__found": _C("__v")}, current=True)
+    return found.where("__r = 1").select(*keys, on, *extra, *(_C("__found")[v].alias(v) for v in values))
 
 
 def bridges(buffered: DataFrame, anchors: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

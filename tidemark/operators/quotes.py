@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from .gates import before, up_to
+from .segments import PIECE, cut, first_rows, last_values
 
 _C = F.col
 
@@ -22,9 +22,13 @@ def market_candidates(items: DataFrame, now: Column, item: str = "item") -> Data
 
 
 def open_markets(markets: DataFrame) -> DataFrame:
-    """Open markets with an ask, nearest close first."""
+    """Open markets with an ask. `market_order` is their order, nearest close first, for whoever shows them."""
     has = F.coalesce(_C("yes_ask") > 0, F.lit(False)) | F.coalesce(_C("no_ask") > 0, F.lit(False))
-    return markets.where(_C("status").isin("active", "open") & has).orderBy(F.asc_nulls_last("seconds_to_close"), "ticker")
+    return markets.where(_C("status").isin("active", "open") & has)
+
+
+def market_order() -> list[Column]:
+    return [F.asc_nulls_last("seconds_to_close"), F.asc("ticker")]
 
 
 def series_candidates(items: DataFrame, assets: list[str], item: str = "item") -> DataFrame:
@@ -45,22 +49,25 @@ def quote_rows(markets: DataFrame, sampled_at: str = "sampled_at") -> DataFrame:
 
 
 def quote_states(quotes: DataFrame, order: list[str], symbol: str = "symbol", at: str = "sampled_at", stale_seconds: float = 60) -> DataFrame:
-    """Adds first_observed, changed, repeated, age since the state began, and stale."""
-    w = Window.partitionBy(symbol).orderBy(*order)
-    prior = F.lag("quote_id").over(w)
-    out = quotes.withColumns({"quote_first_observed": prior.isNull(), "quote_changed": prior.isNotNull() & (prior != _C("quote_id")), "quote_repeated": F.coalesce(prior == _C("quote_id"), F.lit(False))})
-    since = F.last(F.when(~_C("quote_repeated"), _C(at)), ignorenulls=True).over(up_to([symbol], order))
-    out = out.withColumn("quote_age_ms", S.skew_ms(_C(at), since))
+    """Adds first_observed, changed, repeated, age since the state began, and stale. A symbol's quotes are scanned in pieces."""
+    keys = [symbol]
+    rows = last_values(cut(quotes, keys, order), keys, order, {"__prior": F.struct("quote_id")})
+    prior = _C("__prior.quote_id")
+    rows = rows.withColumns({"quote_first_observed": prior.isNull(), "quote_changed": prior.isNotNull() & (prior != _C("quote_id")), "quote_repeated": F.coalesce(prior == _C("quote_id"), F.lit(False))})
+    out = last_values(rows, keys, order, {"__since": F.when(~_C("quote_repeated"), _C(at))}, current=True)
+    out = out.withColumn("quote_age_ms", S.skew_ms(_C(at), _C("__since"))).drop("__prior", "__since", PIECE)
     return out.withColumn("quote_stale", _C("quote_age_ms") > stale_seconds * 1000)
 
 
 def quote_summary(quotes: DataFrame, order: list[str]) -> DataFrame:
     """One row: quotes, symbols, first sights, updates, repeats, stale ones; rows without symbol or id count as quotes only."""
     has = ~S.blank(_C("symbol")) & ~S.blank(_C("quote_id"))
-    w = before(["symbol", "has"], order)
-    rows = quotes.withColumn("has", has)
-    rows = rows.withColumn("prior", F.when(_C("has"), F.last("quote_id").over(w)))
-    return rows.agg(F.count("*").alias("quote_count"), F.countDistinct(F.when(_C("has"), _C("symbol"))).alias("side_symbol_count"), F.count_if(_C("prior") != _C("quote_id")).alias("quote_update_count"), F.count_if(_C("has") & _C("prior").isNull()).alias("first_observed_quote_count"), F.count_if("quote_repeated").alias("repeated_quote_count"), F.count_if("quote_stale").alias("stale_quote_count"))
+    keyed = quotes.where(has).select("symbol", "quote_id", *order)
+    met = last_values(cut(keyed, ["symbol"], order), ["symbol"], order, {"prior": _C("quote_id")})
+    own = met.agg(F.countDistinct("symbol").alias("side_symbol_count"), F.count_if(_C("prior") != _C("quote_id")).alias("quote_update_count"), F.count_if(_C("prior").isNull()).alias("first_observed_quote_count"))
+    every = quotes.agg(F.count("*").alias("quote_count"), F.count_if("quote_repeated").alias("repeated_quote_count"), F.count_if("quote_stale").alias("stale_quote_count"))
+    names = ("quote_count", "side_symbol_count", "quote_update_count", "first_observed_quote_count", "repeated_quote_count", "stale_quote_count")
+    return every.unionByName(own, allowMissingColumns=True).agg(*(F.max(n).alias(n) for n in names))  # a row each
 
 
 def quote_counters(quotes: DataFrame, keys: list[str]) -> DataFrame:
@@ -97,11 +104,16 @@ def item_payloads(items: DataFrame) -> DataFrame:
 
 
 def new_or_edit(polls: DataFrame, keys: list[str], order: list[str], hash_: str = "content_hash") -> DataFrame:
-    """Polled items that are new or edited since the poll before; unchanged ones go, those without an id pass as new."""
-    last, id_ = F.lag(hash_).over(Window.partitionBy(*keys).orderBy(*order)), _C(keys[-1])
-    kind = F.when(id_.isNull() | last.isNull(), "new").when(last != _C(hash_), "edit")
-    out = polls.withColumn("row_type", kind).where("row_type is not null")
-    return out.withColumn(hash_, F.when(id_.isNotNull(), _C(hash_)))
+    """Polled items that are new or edited since the poll before; unchanged ones go, those without an id pass as new.
+
+    Items without an id are scanned with no others; an item's polls are scanned in pieces.
+    """
+    id_ = _C(keys[-1])
+    met = last_values(cut(polls.where(id_.isNotNull()), keys, order), keys, order, {"__prior": F.struct(hash_)})
+    last = _C(f"__prior.{hash_}")
+    kept = met.withColumn("row_type", F.when(last.isNull(), "new").when(last != _C(hash_), "edit")).where("row_type is not null").drop("__prior", PIECE)
+    none = polls.where(id_.isNull()).withColumns({"row_type": F.lit("new"), hash_: F.lit(None).cast(polls.schema[hash_].dataType)})
+    return kept.unionByName(none)
 
 
 def read_once(items: DataFrame, keys: tuple[str, ...] = ("source", "source_id", "content_hash"), at: str = "ingestion_ts", tie: list[str] | None = None) -> DataFrame:
@@ -110,8 +122,19 @@ def read_once(items: DataFrame, keys: tuple[str, ...] = ("source", "source_id",
     return items.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
 
 
-def seen_state(items: DataFrame, feed: str, key: str, order: str, cap: int = 5000, hash_: str = "content_hash") -> DataFrame:
-    """The last hash of each key, the most recent `cap` keys of a feed (the state's stated bound)."""
-    last = items.where(_C(key).isNotNull()).groupBy(feed, key).agg(F.max_by(hash_, order).alias(hash_), F.max(order).alias(order))
-    w = Window.partitionBy(feed).orderBy(F.desc(order), key)
-    return last.withColumn("recency", F.row_number().over(w)).where(_C("recency") <= cap)
+def seen_state(items: DataFrame, feed: str, key: str, order: str, cap: int = 5000, hash_: str = "content_hash", start: DataFrame | None = None) -> DataFrame:
+    """The last hash of each key, the most recent `cap` keys of a feed (the state's stated bound), found in parts of a feed first.
+
+    start: the state (feed, key, hash, order) from before; what the items say since goes before it. Its rows count as older than all items.
+    """
+    own = items.where(_C(key).isNotNull()).select(feed, key, hash_, order, F.lit(1).alias("__later"))
+    if start is not None:
+        own = own.unionByName(start.select(feed, key, hash_, order, F.lit(0).alias("__later")))
+    at = F.struct("__later", order)
+    last = own.groupBy(feed, key).agg(F.max_by(hash_, at).alias(hash_), F.max(at).alias("__at")).select(feed, key, hash_, _C(f"__at.{order}").alias(order), _C("__at.__later").alias("__later"))
+    return first_rows(last, [feed], [F.desc("__later"), F.desc(order), key], cap, name="recency").drop("__later")
+
+
+def proven_state(state: DataFrame, clean: DataFrame, feed: str, key: str, hash_: str = "content_hash") -> DataFrame:
+    """The part of a state whose rows stand in clean: an item that was seen but not written is new again."""
+    return state.join(clean.select(feed, key, hash_).distinct(), [feed, key, hash_], "left_semi")

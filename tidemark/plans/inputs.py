@@ -2,26 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import shared_folder
+
 _C = F.col
+__all__ = ["shared_folder"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one that all executors share; on a cluster that is `spark.checkpoint.dir`, never a machine's own."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{(base or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
-
-
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as prints: runs of a user and day, received up to 80 s after and 10 s before they happened."""
     e = table(spark, sf_dir, "events")

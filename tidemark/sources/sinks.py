@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from ..functions.scalars import partition_value
+from . import tables
 
 _C = F.col
 
@@ -44,10 +45,36 @@ def compact(df: DataFrame) -> DataFrame:
     return df.withColumns(cols) if cols else df
 
 
-def append_dataset(df: DataFrame, path: str, version: str = "v2", written: str | None = None) -> None:
-    """Append to a partitioned dataset; rows of one partition meet in few files."""
+def append_dataset(df: DataFrame, path: str, version: str = "v2", written: str | None = None, rows_per_file: int = 5_000_000) -> None:
+    """Append to a partitioned dataset; a partition's rows meet, by an adaptive rebalance.
+
+    Cold partitions share a task, so each has one file; a hot one is split over tasks at Spark's advisory partition size,
+    and no file has more than `rows_per_file` rows.
+    """
     folders = ["schema_version", "source", *(["instrument"] if version == "v2" else []), "event_date"]
-    compact(with_partitions(df, version, written)).repartition(*folders).write.mode("append").partitionBy(*folders).parquet(path)
+    rows = compact(with_partitions(df, version, written)).hint("rebalance", *folders)
+    rows.write.mode("append").option("maxRecordsPerFile", rows_per_file).partitionBy(*folders).parquet(path)
+
+
+def upsert(rows: DataFrame, path: str, keys: list[str], partition: str) -> None:
+    """Rows by key into a table partitioned by one column: partitions that the rows name are written anew, no other is touched.
+
+    A row replaces the one of its key, so a second delivery changes nothing. Two writers of one partition must not run at once.
+    """
+    spark = rows.sparkSession
+    new = tables.written(rows)
+    touched = new.select(partition).distinct()
+    merged = new
+    try:
+        old = spark.read.schema(new.schema).option("basePath", path).parquet(path)
+        kept = old.join(touched, partition, "left_semi").join(new.select(*keys), keys, "left_anti")
+        merged = new.unionByName(kept)
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+    merged = tables.written(merged)  # a partition can't be read and replaced in one job
+    merged.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    tables.discard(new, merged)
 
 
 def read_dataset(spark: SparkSession, path: str, where: str | None = None, legacy: str | None = None) -> DataFrame:
