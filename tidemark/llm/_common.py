@@ -6,6 +6,7 @@ import ctypes
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -59,6 +60,21 @@ def shape(*fields: tuple[str, T.DataType | str]) -> T.StructType:
     return T.StructType([T.StructField(name, kind(k)) for name, k in fields])
 
 
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of equal length as bytes, plane by plane, so that leading zeros stand together and compress."""
+    return b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.dtype.itemsize).T.tobytes() for c in columns)
+
+
+def unpacked(data: bytes, *kinds: type | np.dtype) -> list[np.ndarray]:
+    widths = [np.dtype(k).itemsize for k in kinds]
+    n, at, out = len(data) // sum(widths), 0, []
+    for kind, width in zip(kinds, widths, strict=True):
+        planes = np.frombuffer(data, np.uint8, n * width, at).reshape(width, n)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += n * width
+    return out
+
+
 def parallelism(spark: SparkSession) -> int:
     """Partitions for a shuffle of the size that the session is set for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

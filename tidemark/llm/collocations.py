@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import LOWER_ASCII, discard, encode, give_back, parallelism, shape, slices, written
+from ._common import LOWER_ASCII, discard, encode, give_back, packed, parallelism, shape, slices, unpacked, written
 from .hashing import mix, prints
 
 _U = np.uint64
@@ -46,21 +46,6 @@ _TOLD, _BACK = (_U, _U, np.uint32, np.uint32), (np.uint32, np.int64)
 _SHIFT = 40
 
 
-def packed(*columns: np.ndarray) -> bytes:
-    """Columns of equal length as bytes, plane by plane, so that leading zeros stand together and compress."""
-    return b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.dtype.itemsize).T.tobytes() for c in columns)
-
-
-def unpacked(data: bytes, *kinds: type) -> list[np.ndarray]:
-    widths = [np.dtype(k).itemsize for k in kinds]
-    n, at, out = len(data) // sum(widths), 0, []
-    for kind, width in zip(kinds, widths, strict=True):
-        planes = np.frombuffer(data, np.uint8, n * width, at).reshape(width, n)
-        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
-        at += n * width
-    return out
-
-
 _RELATION = shape(("block", "binary"), ("lang", "string"), ("n", "bigint"), ("step", "binary"), ("phrase", "binary"), ("own", "binary"), ("spelt", "array<string>"))
 
 

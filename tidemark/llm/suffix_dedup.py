@@ -7,7 +7,7 @@ A full suffix array would sort every byte's suffix; this one is sparse, and lose
    equals) is its anchor: equal windows have equal anchors at equal places. Consecutive windows of one anchor are a
    *run*. The suffixes at the anchors, about one in `(length - ANCHOR) / 2` bytes, are sorted: sampled splitters
    range-partition them by their leading bytes, each bucket is sorted by multikey quicksort (leading bytes, then what
-   stands for the bytes after them: the fingerprint of the anchor, then that of the run's whole text), and
+   stands for the bytes after them: the fingerprint of the anchor, then one and a half of the run's whole text), and
    neighbours are compared. Runs whose whole text has an equal are repeated throughout; runs whose anchor has no
    equal have no repeated window.
 2. The rest, at the borders of repeated passages, sorts the suffix of each of its windows in the same way, by
@@ -15,9 +15,9 @@ A full suffix array would sort every byte's suffix; this one is sparse, and lose
    runs repeated throughout that share an anchor with the rest, each text takes part once, to be met.
 
 Texts are never sent beside their suffixes to be compared byte by byte, as that would shuffle a text's bytes many times.
-Equal means equal leading bytes and 128 bits of independent fingerprints; runs that share their anchor are told apart by
-64 bits, of which some two among 10^9 such runs would agree falsely with a chance of 3 %. A document is known by 80
-bits of its id and text, of which some two among 10^10 agree with a chance of 0.004 %.
+Equal means equal leading bytes and 128 bits of independent fingerprints (of a run beside its anchor: 96 bits), and a
+document is known by 96 bits of its id and text: at 10^13 suffixes a false match has a chance of about 10^-12. Records
+travel plane by plane, sorted by leading bytes, so that what those of a bucket share takes no room.
 
 A group of equals may lie across a boundary, as splitters cut anywhere, hot groups included: a mapper that holds such
 a record also sends its key, once, to the group's other buckets, so neighbours are compared across boundaries.
@@ -41,8 +41,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ._common import encode, parallelism, slices, written
+from ._common import encode, packed, parallelism, shape, slices, unpacked, written
 from .hashing import _to, blocks, mix, ranges, running, word_hashes, word_places
 
 LENGTH = 400
@@ -51,12 +52,12 @@ WORDS = 51
 #: Added to the places that count words.
 BY_WORD = 1 << 31
 #: Share of a window that its anchor takes: longer anchors mean more of them, but fewer windows at a border.
-ANCHOR_SHARE = 0.68
+ANCHOR_SHARE = 0.6
 _U = np.uint64
-#: A suffix: leading bytes; fingerprints of the anchor and, of the other kind, of the run (of a window: both of it); document; place; windows (0: a key from another bucket).
-SUFFIX = np.dtype([("lead", "<u4"), ("key", "<u8"), ("whole", "<u8"), ("ref", "<i8"), ("tag", "<u2"), ("at", "<u4"), ("n", "<u2")])
-_KEYS = ("lead", "key", "whole")
-PLACE = np.dtype([("ref", "<i8"), ("tag", "<u2"), ("at", "<u4")])
+#: A suffix: leading bytes; fingerprints of the anchor and, of the other kind, of the run, and half a first one of the run (of a window: both, and 0); document; place; windows (0: a key from another bucket).
+SUFFIX = np.dtype([("lead", "<u4"), ("key", "<u8"), ("whole", "<u8"), ("check", "<u4"), ("ref", "<i8"), ("tag", "<i4"), ("at", "<u4"), ("n", "<u2")])
+_KEYS = ("lead", "key", "whole", "check")
+PLACE = np.dtype([("ref", "<i8"), ("tag", "<i4"), ("at", "<u4")])
 SEGMENT = 1 << 18
 #: The driver sorts a sample of so many suffixes: documents (or two a bucket, if that is more), and of each.
 SAMPLE_DOCS, SAMPLE_EACH = 2000, 16
@@ -136,6 +137,7 @@ def _runs(block: list[tuple[Ref, int, bytes | np.ndarray]], length: int, anchor:
     own = piece[first]
     out["lead"], out["key"] = _lead(data, place[first]), prints[place[first]]
     out["whole"] = ranges(running(data, second=True), first, last - 1 + length)
+    out["check"] = ranges(sums, first, last - 1 + length) >> _U(32)
     out["ref"], out["tag"] = np.array([r for r, _, _ in block], np.int64).T[:, own]
     out["at"] = first - begin[own] + np.array([a for _, a, _ in block])[own]
     out["n"] = last - first
@@ -189,7 +191,7 @@ def _dealt(records: np.ndarray, splitters: list[tuple]) -> Iterator[tuple[int, b
                 for other in range(bisect_left(groups, key[:2]), bisect_right(groups, key[:2]) + 1):
                     if other != b:
                         told.setdefault(other, set()).add(key[: len(_KEYS)])
-    order = np.argsort(bucket, kind="stable")
+    order = np.lexsort((lead, bucket))
     ends = np.searchsorted(bucket[order], np.arange(len(splitters) + 2))
     for b in range(len(splitters) + 1):
         more = np.zeros(len(told.get(b, ())), SUFFIX)
@@ -197,7 +199,8 @@ def _dealt(records: np.ndarray, splitters: list[tuple]) -> Iterator[tuple[int, b
             for c, values in zip(_KEYS, zip(*told[b], strict=True), strict=True):
                 more[c] = np.array(values, SUFFIX[c])
         if ends[b + 1] > ends[b] or len(more):
-            yield b, records[order[ends[b] : ends[b + 1]]].tobytes() + more.tobytes()
+            own = np.concatenate((records[order[ends[b] : ends[b + 1]]], more))
+            yield b, packed(*(own[c] for c in SUFFIX.names))
 
 
 def multikey_quicksort(keys: np.ndarray) -> np.ndarray:
@@ -228,7 +231,13 @@ def multikey_quicksort(keys: np.ndarray) -> np.ndarray:
 
 def _neighbours(payload: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A bucket's suffixes in order; whether each one's lead and key, and all its keys, have an equal."""
-    records = np.frombuffer(b"".join(payload), SUFFIX)
+    records = np.empty(sum(map(len, payload)) // SUFFIX.itemsize, SUFFIX)
+    at = 0
+    for part in payload:
+        n = len(part) // SUFFIX.itemsize
+        for c, values in zip(SUFFIX.names, unpacked(part, *(SUFFIX[c] for c in SUFFIX.names)), strict=True):
+            records[c][at : at + n] = values
+        at += n
     keys = np.stack([records[c].astype(_U) for c in _KEYS], 1)
     order = multikey_quicksort(keys)
     equal = keys[order[1:]] == keys[order[:-1]]
@@ -236,7 +245,7 @@ def _neighbours(payload: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return records[order], either(equal[:, :2].all(1)), either(equal.all(1))
 
 
-def _sorted(packed: Callable[[pa.RecordBatch], Iterator[np.ndarray]], source: DataFrame, sample: DataFrame, shape: str, judged: Callable[[np.ndarray, np.ndarray, np.ndarray], pa.Table]) -> DataFrame:
+def _sorted(packed: Callable[[pa.RecordBatch], Iterator[np.ndarray]], source: DataFrame, sample: DataFrame, kinds: T.StructType, judged: Callable[[np.ndarray, np.ndarray, np.ndarray], pa.Table]) -> DataFrame:
     """Suffixes that `packed` makes of source's batches, range-partitioned, sorted and judged bucket by bucket."""
     spark = source.sparkSession
 
@@ -258,7 +267,7 @@ def _sorted(packed: Callable[[pa.RecordBatch], Iterator[np.ndarray]], source: Da
     def sort(table: pa.Table) -> pa.Table:
         return judged(*_neighbours(table.column("s").to_pylist()))
 
-    return source.mapInArrow(deal, "bucket bigint, s binary").groupBy("bucket").applyInArrow(sort, shape)
+    return source.mapInArrow(deal, shape(("bucket", "bigint"), ("s", "binary"))).groupBy("bucket").applyInArrow(sort, kinds)
 
 
 def _covered(starts: np.ndarray, ends: np.ndarray, touching: bool = True) -> list[tuple[int, int]]:
@@ -282,8 +291,8 @@ def _byte_ranges(data: bytes, at: np.ndarray, n: np.ndarray, length: int, flag:
     return spans
 
 
-_OUT = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, n_passage_bytes bigint, kept string"
-_NAMES = [x.split()[0] for x in _OUT.split(", ")]
+_OUT = [("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("kept_sha256", "string"), ("n_passage_bytes", "bigint"), ("kept", "string")]
+_NAMES = [name for name, _ in _OUT]
 
 
 def _finished(data: list[bytes], marks: list[tuple[np.ndarray, np.ndarray]], measures: list[tuple[int, int]], want_text: bool) -> list[pa.Array]:
@@ -306,7 +315,7 @@ def _finished(data: list[bytes], marks: list[tuple[np.ndarray, np.ndarray]], mea
 
 def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, measures: list[tuple[int, int]], want_text: bool) -> DataFrame:
     """(row: the kept columns, and _OUT's; a hash or else the text without repeats). measures: (length, 0 or BY_WORD)."""
-    ref, tag = F.xxhash64(doc_id, text).alias("ref"), F.hash(text, doc_id).bitwiseAND(0xFFFF).alias("tag")
+    ref, tag = F.xxhash64(doc_id, text).alias("ref"), F.hash(text, doc_id).alias("tag")
     texts = docs.select(ref, tag, F.col(text).cast("string").alias("t"))
     count = docs.count()
 
@@ -336,9 +345,9 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, measures: l
         first[real[np.append(True, kind[real][1:] != kind[real][:-1])[: len(real)]]] = True
         found = same & (records["n"] > 0)
         r = records[found]
-        return pa.table({"ref": r["ref"].copy(), "tag": r["tag"].astype(np.int32), "at": r["at"].astype(np.int64), "n": r["n"].astype(np.int64), "whole": whole[found], "meets": (~whole | (first & mixed[group]))[found]})
+        return pa.table({"ref": r["ref"].copy(), "tag": r["tag"].copy(), "at": r["at"].astype(np.int64), "n": r["n"].astype(np.int64), "whole": whole[found], "meets": (~whole | (first & mixed[group]))[found]})
 
-    marks = _sorted(anchors, texts, few(texts, count), "ref bigint, tag int, at bigint, n bigint, whole boolean, meets boolean", runs)
+    marks = _sorted(anchors, texts, few(texts, count), shape(("ref", "bigint"), ("tag", "int"), ("at", "bigint"), ("n", "bigint"), ("whole", "boolean"), ("meets", "boolean")), runs)
     # a document's runs: in one list, as the document is in one row itself
     marks = marks.distinct().groupBy("ref", "tag").agg(F.collect_list(F.struct("at", "n", "whole", "meets")).alias("m"))
     row = F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row")
@@ -359,8 +368,8 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, measures: l
             texts = pa.array([None if d.as_py() else x for x, d in zip(batch.column(3).to_pylist(), done, strict=True)], pa.string())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(3)), *cols, done, texts, *many], names=["row", "ref", "tag", *_NAMES, "done", "t", *lists])
 
-    kind = joined.schema["row"].dataType.simpleString()
-    first = written(joined.mapInArrow(first_pass, f"row {kind}, ref bigint, tag int, {_OUT}, done boolean, t string, {', '.join(f'{c} array<bigint>' for c in lists)}"))
+    kind = ("row", joined.schema["row"].dataType)
+    first = written(joined.mapInArrow(first_pass, shape(kind, ("ref", "bigint"), ("tag", "int"), *_OUT, ("done", "boolean"), ("t", "string"), *((c, "array<bigint>") for c in lists))))
     bordered = first.where("not done")
     borders = bordered.select("ref", "tag", "t", "at", "n")
 
@@ -392,9 +401,9 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, measures: l
         r = np.sort(np.frombuffer(b"".join(table.column("s").to_pylist()), PLACE), order=PLACE.names)
         new = np.append(True, (r["ref"][1:] != r["ref"][:-1]) | (r["tag"][1:] != r["tag"][:-1]))[: len(r)]
         starts = np.append(np.flatnonzero(new), len(r)).astype(np.int32)
-        return pa.table({"ref": r["ref"][new].copy(), "tag": r["tag"][new].astype(np.int32), "found": pa.ListArray.from_arrays(pa.array(starts), pa.array(r["at"].astype(np.int64)))})
+        return pa.table({"ref": r["ref"][new].copy(), "tag": r["tag"][new].copy(), "found": pa.ListArray.from_arrays(pa.array(starts), pa.array(r["at"].astype(np.int64)))})
 
-    found = _sorted(windows, borders, few(borders, bordered.count()), "to bigint, s binary", repeated)
+    found = _sorted(windows, borders, few(borders, bordered.count()), shape(("to", "bigint"), ("s", "binary")), repeated)
     found = found.groupBy("to").applyInArrow(together, "ref bigint, tag int, found array<bigint>")
     second = bordered.select("row", "ref", "tag", "t", "full_at", "full_n").join(found, ["ref", "tag"], "left").select("row", "t", "full_at", "full_n", "found")
 
@@ -406,17 +415,17 @@ def _judge(docs: DataFrame, keep: list[str], doc_id: str, text: str, measures: l
                 marks.append((np.concatenate((at, more)), np.concatenate((n, np.ones(len(more), np.int64)))))
             yield pa.RecordBatch.from_arrays([batch.column(0), *_finished([encode(x.as_py()) for x in batch.column(1)], marks, measures, want_text)], names=["row", *_NAMES])
 
-    return first.where("done").select("row", *_NAMES).unionByName(second.mapInArrow(last_pass, f"row {kind}, {_OUT}"))
+    return first.where("done").select("row", *_NAMES).unionByName(second.mapInArrow(last_pass, shape(kind, *_OUT)))
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, words: int | None = None) -> DataFrame:
     """One row per document: its id, n_bytes, n_removed, n_spans, kept_sha256; with `words`, n_passage_bytes too: the bytes that `without_repeats` would take out."""
     measures = [(length, 0)] + ([(words, BY_WORD)] if words else [])
     out = _judge(docs, [doc_id], doc_id, text, measures, want_text=False)
-    return out.select(F.col("row")[doc_id].alias(doc_id), "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["n_passage_bytes"] if words else []))
+    return out.select(F.col("row").getField(doc_id).alias(doc_id), "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["n_passage_bytes"] if words else []))
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, words: int = WORDS) -> DataFrame:
     """The documents with all their columns, their texts without the removed bytes (and characters cut by them); documents left empty by it go."""
     out = _judge(docs, [c for c in docs.columns if c != text], doc_id, text, [(length, 0), (words, BY_WORD)], want_text=True).where("n_passage_bytes = 0 or kept <> ''")
-    return out.select(*(F.col("kept").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns))
+    return out.select(*(F.col("kept").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns))
