@@ -5,7 +5,8 @@ call_id, content) by identifier in a shuffled hash join: both sides hold an iden
 hot. Schemas (name, required: map of argument -> JSON type, optional: the same) are a table too and join by tool name.
 
 Order: a call's `level` is the length of the longest chain of dependencies behind it, so (level, position) is a
-topological order of its conversation. Levels are found for all conversations at once, by joins, however long one is:
+topological order of its conversation. Conversations of up to `most` calls and dependencies stream past, sorted, and
+each is ordered when it ends (Kahn's algorithm), in one job. Longer ones, which no task may hold, are ordered by joins:
 
 1. Calls with one dependency point at it; pointers are doubled until each reaches a call with none or several.
 2. Calls with several dependencies, joined to the ends of such chains, get levels in rounds: when all that they wait for
@@ -19,7 +20,7 @@ no blanks, non-ASCII kept, numbers as Python's json reads and writes them.
 
 Defined results: rows with a null conv_id or call_id are left out; a repeated call (equal conv_id and call_id) counts
 once, the row of the least position, name and arguments; of several results of a call the least content stands, and
-`n_results` tells how many there were; results without a call are listed by `orphans`; null arguments are bad_json; null
+`n_results` tells how many there were; results without a call are listed by `orphans`; null arguments are bad_json, and so are those nested deeper than Python's parser goes; null
 dependencies are none; very long arguments are parsed whole, one call at a time; empty tables give empty results; extra
 columns are left out.
 """
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import slices, written
+from ._common import discard, fields, parallelism, shape, slices, written
 
 _KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list, "object": dict}
 KEY = ["conv_id", "call_id"]
@@ -68,8 +69,63 @@ def check_arguments(arguments: str | None, known: bool, required: dict[str, str]
     return text, out
 
 
-def levels(calls: DataFrame) -> DataFrame:
+def ordered(needs: dict[str, list[str]]) -> dict[str, int]:
+    """The levels of a conversation's calls by what each needs (calls only, each once); calls on or behind a cycle have none."""
+    waits = {c: len(n) for c, n in needs.items()}
+    after: dict[str, list[str]] = {}
+    for c, own in needs.items():
+        for n in own:
+            after.setdefault(n, []).append(c)
+    level = {c: 0 for c, n in waits.items() if not n}
+    ready = list(level)
+    for c in ready:  # grows as calls get ready; what makes one ready last has the highest level
+        for later in after.get(c, ()):
+            waits[later] -= 1
+            if not waits[later]:
+                level[later] = level[c] + 1
+                ready.append(later)
+    return level
+
+
+#: A task holds one conversation of so many calls and dependencies, at most.
+MOST = 100_000
+
+
+def levels(calls: DataFrame, most: int = MOST) -> DataFrame:
     """calls (conv_id, call_id, depends_on) -> conv_id, call_id, level (null: on or behind a cycle), n_known (dependencies that are calls)."""
+    calls = calls.select(*KEY, "depends_on")
+    weight = F.sum(F.greatest(F.size("depends_on"), F.lit(0)) + 1)
+    large = written(calls.groupBy("conv_id").agg(weight.alias("n")).where(F.col("n") > most).select("conv_id"))
+    kinds = shape(*((c, calls.schema[c].dataType) for c in KEY), ("level", "int"), ("n_known", "bigint"))
+
+    def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        conv, held = None, {}
+
+        def finished() -> pa.RecordBatch:
+            needs = {c: [n for n in dict.fromkeys(own or ()) if n in held] for c, own in held.items()}
+            level = ordered(needs)
+            columns = [[conv] * len(held), list(held), [level.get(c) for c in held], [len(needs[c]) for c in held]]
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=kinds.names)
+
+        for part in slices(batches, 1024):
+            types = [part.schema.field(0).type, part.schema.field(1).type, pa.int32(), pa.int64()]
+            for c, call, needs in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
+                if c != conv:
+                    if held:
+                        yield finished()
+                    conv, held = c, {}
+                held[call] = needs
+        if held:
+            yield finished()
+
+    small = calls.join(large, "conv_id", "left_anti").repartition(parallelism(calls.sparkSession), "conv_id").sortWithinPartitions(*KEY).mapInArrow(order, kinds)
+    if not large.limit(1).count():
+        return small
+    return small.unionByName(_levels_by_joins(calls.join(large, "conv_id", "left_semi")))
+
+
+def _levels_by_joins(calls: DataFrame) -> DataFrame:
+    """`levels` of conversations of any length; no task holds one."""
     named = lambda frame, name: frame.withColumnRenamed("call_id", name)
     edges = calls.select(*KEY, F.explode(F.array_distinct("depends_on")).alias("needs"))
     edges = written(edges.join(named(calls.select(*KEY), "needs"), ["conv_id", "needs"], "left_semi").select(*KEY, "needs"))
@@ -80,7 +136,8 @@ def levels(calls: DataFrame) -> DataFrame:
     for _ in range(longest.bit_length() + 1):  # what is open then goes round in a cycle
         far = ups.select("conv_id", F.col("call_id").alias("up"), F.col("up").alias("next"), F.col("dist").alias("more"))
         met = ups.join(far, ["conv_id", "up"], "left")
-        ups = written(met.select(*KEY, F.coalesce("next", "up").alias("up"), (F.col("dist") + F.coalesce("more", F.lit(0))).alias("dist"), F.col("next").isNotNull().alias("open")))
+        last, ups = ups, written(met.select(*KEY, F.coalesce("next", "up").alias("up"), (F.col("dist") + F.coalesce("more", F.lit(0))).alias("dist"), F.col("next").isNotNull().alias("open")))
+        discard(last)
         if not ups.where("open").limit(1).count():
             break
     chains = ups.where("not open").select(*KEY, "up", "dist")
@@ -89,16 +146,20 @@ def levels(calls: DataFrame) -> DataFrame:
     several = edges.join(degree.where("n > 1").select(*KEY), KEY, "left_semi")
     steps = several.join(named(chains, "needs"), ["conv_id", "needs"], "left").select(*KEY, F.coalesce("up", "needs").alias("base"), (F.coalesce("dist", F.lit(0)) + 1).alias("plus"))
     steps = written(steps.join(named(has_needs, "base"), ["conv_id", "base"], "left").select(*KEY, "base", "plus", F.coalesce("waits", F.lit(False)).alias("waits")))
-    done, before, count = steps.where("false").select(*KEY, F.col("plus").alias("level")), -1, 0
+    # the empty start is a table of its own, so that each round may delete the one before
+    done, before, count = written(steps.where("false").select(*KEY, F.col("plus").alias("level"))), -1, 0
     while count != before:
         met = steps.join(named(done, "base"), ["conv_id", "base"], "left").withColumn("value", F.when(F.col("waits"), F.col("level") + F.col("plus")).otherwise(F.col("plus")))
-        done = written(met.groupBy(*KEY).agg(F.max("value").alias("level"), F.count("value").alias("m"), F.count("*").alias("n")).where("m = n").select(*KEY, "level"))
+        last, done = done, written(met.groupBy(*KEY).agg(F.max("value").alias("level"), F.count("value").alias("m"), F.count("*").alias("n")).where("m = n").select(*KEY, "level"))
         before, count = count, done.count()
+        discard(last)
 
     ends = chains.join(named(has_needs, "up"), ["conv_id", "up"], "left").join(named(done, "up"), ["conv_id", "up"], "left")
     ends = ends.select(*KEY, (F.when(F.col("waits"), F.col("level")).otherwise(F.lit(0)) + F.col("dist")).alias("level"))
     rows = calls.select(*KEY).join(degree.select(*KEY, "n"), KEY, "left").join(ends.unionByName(done), KEY, "left")
-    return rows.select(*KEY, F.when(F.col("n").isNull(), F.lit(0)).otherwise(F.col("level")).cast("int").alias("level"), F.coalesce("n", F.lit(0)).alias("n_known"))
+    out = written(rows.select(*KEY, F.when(F.col("n").isNull(), F.lit(0)).otherwise(F.col("level")).cast("int").alias("level"), F.coalesce("n", F.lit(0)).alias("n_known")))
+    discard(edges, degree, ups, steps, done)
+    return out
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -129,8 +190,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
                 messages.append(canonical(message))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*KEY, "position", "level", "name")), pa.array(texts, pa.string()), batch.column("content"), batch.column("n_results"), pa.array(problems, pa.list_(pa.string())), pa.array([not p for p in problems]), pa.array(messages, pa.string())], names=[*KEY, "position", "level", "name", "arguments", "content", "n_results", "problems", "valid", "message"])
 
-    kinds = {c: frame.schema[c].dataType.simpleString() for c in ("conv_id", "call_id", "name", "content")}
-    return frame.mapInArrow(check, f"conv_id {kinds['conv_id']}, call_id {kinds['call_id']}, position bigint, level int, name {kinds['name']}, arguments string, content {kinds['content']}, n_results bigint, problems array<string>, valid boolean, message string")
+    kind = lambda c: (c, frame.schema[c].dataType)
+    return frame.mapInArrow(check, shape(kind("conv_id"), kind("call_id"), *fields("position bigint, level int"), kind("name"), ("arguments", "string"), kind("content"), *fields("n_results bigint, problems array<string>, valid boolean, message string")))
 
 
 def orphans(calls: DataFrame, results: DataFrame) -> DataFrame:
