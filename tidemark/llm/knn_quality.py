@@ -1,6 +1,6 @@
 """Quality classifier: nearest-neighbour voting among labelled documents in a latent-semantic space.
 
-Terms of a document: the shapes of its words (runs of lower case, capitals, digits as one sign; other characters as they
+Terms of a document: its words (A-Z lower-cased, up to 64 bytes), the shapes of its words (runs of lower case, capitals, digits as one sign; other characters as they
 are; a shape of over 16 signs counts as consecutive shapes of 16), pairs of neighbouring shapes, and how its words repeat (the word before again, a word seen before, a line seen
 before). Weights are log-scaled shares times inverse document frequencies; a truncated singular value decomposition of
 the labelled sample's term matrix spans the space. The sample is bounded: the first `max_labelled` rows by hash order of
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import encode, slices
+from ._common import LOWER_ASCII, encode, fields, shape, slices
 
 _SHAPE = bytes(97 if 97 <= c <= 122 or c >= 128 else 65 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c for c in range(256))
 _RUNS = re.compile(rb"(.)\1+", re.S)
@@ -38,7 +38,8 @@ _RUNS = re.compile(rb"(.)\1+", re.S)
 class Terms:
     """Counts the terms of texts; remembers the shapes of a bounded number of words of at most 64 bytes."""
 
-    def __init__(self, remember: int = 100_000):
+    def __init__(self, remember: int = 100_000, wanted: dict | None = None):
+        self.wanted = wanted  # words to count; all where it is not given
         self.shapes: dict[bytes, list[bytes]] = {}
         self.remember = remember
 
@@ -69,6 +70,8 @@ class Terms:
         same = sum(a == b for a, b in zip(words, words[1:], strict=False))
         three = n - 2 - len(set(zip(words, words[1:], words[2:], strict=False))) if n > 2 else 0
         seen = len(lines) - len(set(lines))
+        own = Counter(w for w in data.translate(LOWER_ASCII).split() if len(w) <= 64)
+        out |= {b"\n=" + w: 0.5 * math.log1p(100 * c / n) for w, c in own.items() if self.wanted is None or b"\n=" + w in self.wanted}
         for name, share in ((b"\nagain", same / n), (b"\nthree", three / n), (b"\nline", seen / len(lines))):
             for level in (0.02, 0.1, 0.3, 0.6):
                 if share > level:
@@ -101,8 +104,12 @@ class Space:
             return out
         k = min(k, len(self.labels))
         for a in range(0, len(rows), block):
-            cosines = self.project(rows[a : a + block]) @ self.vectors.T
-            near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
+            # nine decimals: what a product's place in its block does to it is far below, so equal texts score alike
+            cosines = np.round(self.project(rows[a : a + block]).astype(float) @ self.vectors.T.astype(float), 9)
+            least = -np.partition(-cosines, k - 1, axis=1)[:, k - 1 : k]
+            ties = cosines == least
+            chosen = (cosines > least) | (ties & (np.cumsum(ties, 1) <= k - (cosines > least).sum(1, keepdims=True)))
+            near = np.nonzero(chosen)[1].reshape(-1, k)
             close = np.take_along_axis(cosines, near, 1)
             weight = np.maximum(close, 0) ** sharpness
             total = weight.sum(1)
@@ -128,7 +135,8 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, d
     frame = rows.select(F.xxhash64("id").alias("h"), "t", "q")
     taught = sorted(frame.mapInArrow(terms, "terms array<binary>, weights array<float>, q int, h bigint").collect(), key=lambda r: (r.h, r.q, r.terms))
     df = Counter(bytes(t) for r in taught for t in r.terms)
-    kept = sorted((t for t, n in df.items() if n > 1), key=lambda t: (-df[t], t))[:max_terms]
+    word = lambda t: t.startswith(b"\n=")
+    kept = [t for kind in (False, True) for t in sorted((t for t, n in df.items() if n > 1 and word(t) == kind), key=lambda t: (-df[t], t))[:max_terms]]
     number = {t: i for i, t in enumerate(kept)}
     idf = np.array([math.log((1 + len(taught)) / (0.5 + df[t])) for t in kept], np.float32)
     full = [(i, number[bytes(t)], w) for i, r in enumerate(taught) for t, w in zip(r.terms, r.weights, strict=True) if bytes(t) in number]
@@ -155,10 +163,10 @@ def classify(docs: DataFrame, space: Space, doc_id: str = "doc_id", text: str =
     shared = docs.sparkSession.sparkContext.broadcast(space)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Terms()
+        reader = Terms(wanted=shared.value.terms)
         for part in slices(batches):
             score = shared.value.score([reader.weights(x.as_py()) for x in part.column(1)], k, sharpness)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32))], names=["id", "score", "predicted"])
 
     frame = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t"))
-    return frame.mapInArrow(run, f"id {docs.schema[doc_id].dataType.simpleString()}, score double, predicted int").withColumnRenamed("id", doc_id)
+    return frame.mapInArrow(run, shape(("id", docs.schema[doc_id].dataType), *fields("score double, predicted int"))).withColumnRenamed("id", doc_id)
