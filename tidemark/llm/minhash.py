@@ -30,10 +30,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import LOWER_ASCII, discard, encode, parallelism, slices, written
+from ._common import LOWER_ASCII, discard, encode, fields, from_row, in_row, parallelism, shape, slices, written
 from .components import components
 from .hashing import blocks, mix, shingles
 
@@ -100,9 +100,14 @@ def _digests(elements: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return both
 
 
+def _ref(doc_id: str, text: str) -> Column:
+    """128 bits that name a row's id and text."""
+    return F.struct(F.xxhash64(doc_id, text).alias("a"), F.xxhash64(F.lit(1), text, F.length(text), doc_id).alias("b")).alias("ref")
+
+
 def sets_of(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
-    """Each row's id, ref (of id and text), n_shingles, node (digest of its set) and bands."""
-    frame = docs.select(F.col(doc_id).alias("id"), F.xxhash64(doc_id, text).alias("ref"), F.col(text).cast("string").alias("t"))
+    """Each row's id, ref (128 bits of id and text), n_shingles, node (digest of its set) and bands."""
+    frame = docs.select(F.col(doc_id).alias("id"), _ref(doc_id, text), F.col(text).cast("string").alias("t"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -116,7 +121,7 @@ def sets_of(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
                 offsets = np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sizes), _binary(_digests(elements, sizes)), pa.ListArray.from_arrays(offsets, keys.ravel())], names=["id", "ref", "n_shingles", "node", "bands"])
 
-    return frame.mapInArrow(read, f"id {docs.schema[doc_id].dataType.simpleString()}, ref bigint, n_shingles bigint, node binary, bands array<bigint>")
+    return frame.mapInArrow(read, shape(("id", docs.schema[doc_id].dataType), ("ref", frame.schema["ref"].dataType), *fields("n_shingles bigint, node binary, bands array<bigint>")))
 
 
 def _verified(pairs: DataFrame, active: DataFrame, k: int, percent: int) -> DataFrame:
@@ -250,7 +255,7 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -> t
     shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = written(rows.join(shared, "key"))
     weight = members.groupBy("node").agg(F.sum(F.log2("n")).alias("w"), F.min("ref").alias("ref"))
-    texts = docs.select(F.xxhash64(doc_id, text).alias("ref"), F.col(text).cast("string").alias("t"))
+    texts = docs.select(_ref(doc_id, text), F.col(text).cast("string").alias("t"))
     active = written(weight.select("node", "ref").join(texts, "ref").select("node", "t").dropDuplicates(["node"]))
     roots = _linked(members.join(weight.select("node", "w"), "node").select("key", "node", "w"), active, k, percent)
     discard(members, active)
@@ -270,8 +275,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, that of the least id, with all its columns."""
-    dropped = near_duplicates(docs, doc_id, text, k, percent).where("not kept").select(F.col(doc_id).alias("__dropped"))
-    return docs.join(dropped, docs[doc_id] == F.col("__dropped"), "left_anti")
+    dropped = near_duplicates(docs, doc_id, text, k, percent).where("not kept").select(F.col(doc_id).alias("id"))
+    return docs.select(in_row(docs), F.col(doc_id).alias("id")).join(dropped, "id", "left_anti").select(*from_row(docs.columns))
 
 
 def keep_one_row(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -284,8 +289,7 @@ def keep_one_row(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     best = worded.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "ref")).alias("best"))
     chosen = best.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best")).select(F.col("best.ref").alias("ref"))
     rows = worded.groupBy("ref").agg(F.count("*").alias("n")).join(chosen.withColumn("chosen", F.lit(True)), "ref", "left")
-    rows = written(rows.where("chosen is null or n > 1").select(F.col("ref").alias("__ref"), F.col("chosen").isNotNull().alias("__chosen")))
-    own = docs.withColumn("__ref", F.xxhash64(doc_id, text))
-    again = own.join(rows.where("__chosen"), "__ref", "left_semi").select("__ref", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    again = again.groupBy("__ref").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")).select("row.*")
-    return own.join(rows, "__ref", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(again)
+    rows = written(rows.where("chosen is null or n > 1").select("ref", F.col("chosen").isNotNull().alias("chosen")))
+    own = docs.select(in_row(docs), _ref(doc_id, text))
+    again = own.join(rows.where("chosen"), "ref", "left_semi").groupBy("ref").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return own.join(rows, "ref", "left_anti").select("row").unionByName(again.select("row")).select(*from_row(docs.columns))
