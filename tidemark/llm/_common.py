@@ -8,7 +8,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: `bytes.split()` splits at exactly \x20 and \x09-\x0D, so it yields the words `[^\x20\x09-\x0D]+`.
@@ -75,6 +76,21 @@ def unpacked(data: bytes, *kinds: type | np.dtype) -> list[np.ndarray]:
     return out
 
 
+def fields(text: str) -> list[tuple[str, str]]:
+    """`a bigint, b array<string>` as fields for `shape`."""
+    return [tuple(x.split(" ")) for x in text.split(", ")]
+
+
+def in_row(docs: DataFrame, columns: list[str] | None = None) -> Column:
+    """The columns as one struct `row`, so that their names clash with none of an operator's own."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns if columns is None or c in columns)).alias("row")
+
+
+def from_row(names: list[str]) -> list[Column]:
+    """The columns of `in_row` again."""
+    return [F.col("row").getField(c).alias(c) for c in names]
+
+
 def parallelism(spark: SparkSession) -> int:
     """Partitions for a shuffle of the size that the session is set for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -39,7 +39,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import shape, slices
+from ._common import from_row, in_row, shape, slices
 from .hashing import blocks, mix, ranges, running
 
 MODEL = "word_bpe_49k.json"
@@ -404,11 +404,11 @@ def _lists(ids: np.ndarray, sizes: np.ndarray, names: pa.Array | None = None) ->
 
 
 def _rows(frame: DataFrame, value: str, name: str) -> DataFrame:
-    return frame.select(F.struct(*(F.col(f"`{c}`") for c in frame.columns)).alias("row"), F.col(f"`{value}`").alias(name))
+    return frame.select(in_row(frame), F.col(f"`{value}`").alias(name))
 
 
 def _back(frame: DataFrame, value: str, name: str) -> DataFrame:
-    return frame.select(*(F.col("row").getField(c).alias(c) for c in frame.schema["row"].dataType.names), F.col(value).alias(name))
+    return frame.select(*from_row(frame.schema["row"].dataType.names), F.col(value).alias(name))
 
 
 def encode(docs: DataFrame, text: str = "text", ids: str = "input_ids", model: str = MODEL) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import encode, slices
+from ._common import encode, fields, from_row, in_row, shape, slices
 
 WINDOW = 10
 _KEEP = set(b"0123456789abcdefghijklmnopqrstuvwxyz") | set(range(0x80, 0x100))
@@ -177,15 +177,15 @@ def _shards(items: DataFrame, item_id: str, text: str, window: int, most: int) -
             yield ItemAutomaton(part, window)
 
 
-def _scan(docs: DataFrame, keep: list[str], items: DataFrame, text: str, item_id: str, item_text: str, window: int, most: int, shape: str, finish: Callable[[pa.Array, pa.Array, list[int], list[list[tuple[int, int]]], list[list[str | None]]], pa.RecordBatch]) -> DataFrame:
+def _scan(docs: DataFrame, keep: list[str], items: DataFrame, text: str, item_id: str, item_text: str, window: int, most: int, told: str, finish: Callable[[pa.Array, pa.Array, list[int], list[list[tuple[int, int]]], list[list[str | None]]], pa.RecordBatch]) -> DataFrame:
     """What `finish` makes of a batch's rows (the kept columns), texts, numbers of words, hit spans and items.
 
     One automaton is met in the task that reads the texts, and nothing is shuffled. Of several, each reads the texts in
     tasks of its own and tells the hits of distinct texts, which then join the documents by 128-bit hashes and length.
     """
     spark = docs.sparkSession
-    frame = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col(text).cast("string").alias("t"))
-    shape = f"row {frame.schema['row'].dataType.simpleString()}, {shape}"
+    frame = docs.select(in_row(docs, keep), F.col(text).cast("string").alias("t"))
+    made = shape(("row", frame.schema["row"].dataType), *fields(told))
     shards = _shards(items, item_id, item_text, window, most)
     first, second = next(shards), next(shards, None)
     if second is None:
@@ -198,7 +198,7 @@ def _scan(docs: DataFrame, keep: list[str], items: DataFrame, text: str, item_id
                 names = [_in_order({shared.value.names[i] for i in found}) for _, found in hits]
                 yield finish(batch.column(0), batch.column(1), [len(words) for words in texts], [spans for spans, _ in hits], names)
 
-        return frame.mapInArrow(read, shape)
+        return frame.mapInArrow(read, made)
 
     keys = {"h1": F.xxhash64("t"), "h2": F.xxhash64(F.length("t"), "t"), "n": F.length("t")}
     found = []
@@ -228,7 +228,7 @@ def _scan(docs: DataFrame, keep: list[str], items: DataFrame, text: str, item_id
             names = [_in_order({name for x in own for name in x["items"]}) for own in hits]
             yield finish(batch.column(0), batch.column(1), [len(words_of(x.as_py())) for x in batch.column(1)], spans, names)
 
-    return joined.mapInArrow(gather, shape)
+    return joined.mapInArrow(gather, made)
 
 
 def find_hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, max_shard_words: int = 100_000) -> DataFrame:
@@ -240,7 +240,7 @@ def find_hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: s
         return pa.RecordBatch.from_arrays([rows, *cols], names=["row", "n_words", "starts", "ends", "items"])
 
     found = _scan(docs, [doc_id], items, text, item_id, item_text, window, max_shard_words, "n_words bigint, starts array<bigint>, ends array<bigint>, items array<string>", finish)
-    return found.select(F.col("row")[doc_id].alias(doc_id), "n_words", "starts", "ends", "items")
+    return found.select(*from_row([doc_id]), "n_words", "starts", "ends", "items")
 
 
 def hit_digest(hits: DataFrame, doc_id: str = "doc_id") -> DataFrame:
@@ -265,7 +265,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
         return pa.RecordBatch.from_arrays([rows, pa.array(out, pa.string())], names=["row", "t"]).filter(keep)
 
     clean = _scan(docs, [c for c in docs.columns if c != text], items, text, item_id, item_text, window, max_shard_words, "t string", finish)
-    return clean.select(*(F.col("t").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns))
+    return clean.select(*(F.col("t").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def without(value: str, starts: list[int], ends: list[int]) -> str:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import encode, slices
+from ._common import encode, fields, from_row, in_row, shape, slices
 
 SYMBOLS = b"#*$%&|<>"
 _SPACES = b" \t\n\v\f\r"
@@ -216,7 +216,7 @@ def _judged(frame: DataFrame, model: LineCrf, min_share: float) -> DataFrame:
             cols = (n, chars, symbols, dup, repeat, failed, ~failed & (share >= min_share), inside, share)
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, cols)], names=["row", *(x.split()[0] for x in _VERDICT.split(", "))])
 
-    return frame.mapInArrow(judge, f"row {frame.schema['row'].dataType.simpleString()}, {_VERDICT}")
+    return frame.mapInArrow(judge, shape(("row", frame.schema["row"].dataType), *fields(_VERDICT)))
 
 
 def judge(docs: DataFrame, model: LineCrf, doc_id: str = "doc_id", text: str = "text", min_share: float = 0.7) -> DataFrame:
@@ -227,8 +227,7 @@ def judge(docs: DataFrame, model: LineCrf, doc_id: str = "doc_id", text: str = "
 
 def keep_content(docs: DataFrame, model: LineCrf, text: str = "text", min_share: float = 0.7) -> DataFrame:
     """The documents that pass the base rules and the field's verdict, with all their columns."""
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    return _judged(docs.select(row, F.col(text).cast("string").alias("t")), model, min_share).where("kept").select("row.*")
+    return _judged(docs.select(in_row(docs), F.col(text).cast("string").alias("t")), model, min_share).where("kept").select(*from_row(docs.columns))
 
 
 def label_lines(docs: DataFrame, model: LineCrf, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -244,5 +243,5 @@ def label_lines(docs: DataFrame, model: LineCrf, doc_id: str = "doc_id", text: s
                     marks = shared.value.viterbi(np.array(rows), np.array([len(rows)]))
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([i] * len(rows))), pa.array(numbers, pa.int64()), pa.array(sizes, pa.int64()), pa.array(marks == 1)], names=["row", "line", "n_words", "boilerplate"])
 
-    out = frame.mapInArrow(label, f"row {frame.schema['row'].dataType.simpleString()}, line bigint, n_words bigint, boilerplate boolean")
+    out = frame.mapInArrow(label, shape(("row", frame.schema["row"].dataType), *fields("line bigint, n_words bigint, boilerplate boolean")))
     return out.select(F.col("row.id").alias(doc_id), "line", "n_words", "boilerplate")

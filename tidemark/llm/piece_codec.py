@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import slices
+from ._common import fields, from_row, in_row, shape, slices
 from .unigram import Encoder, Pieces
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -42,7 +42,7 @@ def _decoded(pieces: pa.Array, lists: pa.ListArray) -> list[str | None]:
 
 
 def _rows(frame: DataFrame, value: str, name: str) -> DataFrame:
-    return frame.select(F.struct(*(F.col(f"`{c}`") for c in frame.columns)).alias("row"), F.col(value).alias(name))
+    return frame.select(in_row(frame), F.col(value).alias(name))
 
 
 def encode(docs: DataFrame, text: str = "text", ids: str = "input_ids", model: str = MODEL) -> DataFrame:
@@ -55,8 +55,8 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "input_ids", model: s
         for part in slices(batches):
             yield pa.RecordBatch.from_arrays([part.column(0), _encoded(encoder, part.column(1))], names=["row", "ids"])
 
-    out = frame.mapInArrow(run, f"row {frame.schema['row'].dataType.simpleString()}, ids array<int>")
-    return out.select("row.*", F.col("ids").alias(ids))
+    out = frame.mapInArrow(run, shape(("row", frame.schema["row"].dataType), *fields("ids array<int>")))
+    return out.select(*from_row(docs.columns), F.col("ids").alias(ids))
 
 
 def decode(encoded: DataFrame, ids: str = "input_ids", text: str = "decoded", model: str = MODEL) -> DataFrame:
@@ -69,8 +69,8 @@ def decode(encoded: DataFrame, ids: str = "input_ids", text: str = "decoded", mo
         for part in slices(batches):
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_decoded(pieces, part.column(1)), pa.string())], names=["row", "t"])
 
-    out = frame.mapInArrow(run, f"row {frame.schema['row'].dataType.simpleString()}, t string")
-    return out.select("row.*", F.col("t").alias(text))
+    out = frame.mapInArrow(run, shape(("row", frame.schema["row"].dataType), *fields("t string")))
+    return out.select(*from_row(encoded.columns), F.col("t").alias(text))
 
 
 def recode(docs: DataFrame, text: str = "text", ids: str = "input_ids", decoded: str = "decoded", model: str = MODEL) -> DataFrame:
@@ -84,8 +84,8 @@ def recode(docs: DataFrame, text: str = "text", ids: str = "input_ids", decoded:
             lists = _encoded(encoder, part.column(1))
             yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(_decoded(pieces, lists), pa.string())], names=["row", "ids", "t"])
 
-    out = frame.mapInArrow(run, f"row {frame.schema['row'].dataType.simpleString()}, ids array<int>, t string")
-    return out.select("row.*", F.col("ids").alias(ids), F.col("t").alias(decoded))
+    out = frame.mapInArrow(run, shape(("row", frame.schema["row"].dataType), *fields("ids array<int>, t string")))
+    return out.select(*from_row(docs.columns), F.col("ids").alias(ids), F.col("t").alias(decoded))
 
 
 def digest(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: str = MODEL) -> DataFrame:
@@ -102,5 +102,5 @@ def digest(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: s
             same = [(t or "") == back for t, back in zip(part.column(1).to_pylist(), _decoded(pieces, lists), strict=True)]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(ends).astype(np.int64)), pa.array(hashes, pa.string()), pa.array(same, pa.bool_())], names=["id", "n_tokens", "ids_sha256", "round_trip"])
 
-    out = frame.mapInArrow(sums, f"id {docs.schema[doc_id].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, round_trip boolean")
+    out = frame.mapInArrow(sums, shape(("id", docs.schema[doc_id].dataType), *fields("n_tokens bigint, ids_sha256 string, round_trip boolean")))
     return out.withColumnRenamed("id", doc_id)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import slices
+from ._common import fields, shape, slices
 from .piece_codec import MODEL
 from .unigram import Counter, Pieces
 
@@ -33,5 +33,5 @@ def count_tokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mo
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(tokens, pa.int64()), pa.array(words, pa.int64())], names=["id", "n_tokens", "n_pre_tokens"])
 
     frame = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t"))
-    out = frame.mapInArrow(run, f"id {docs.schema[doc_id].dataType.simpleString()}, n_tokens bigint, n_pre_tokens bigint")
+    out = frame.mapInArrow(run, shape(("id", docs.schema[doc_id].dataType), *fields("n_tokens bigint, n_pre_tokens bigint")))
     return out.withColumnRenamed("id", doc_id)

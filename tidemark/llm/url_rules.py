@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import parallelism
+from ._common import fields, from_row, parallelism, shape
 
 SAMPLE = 20_000
 
@@ -81,8 +81,8 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", row_id: str = "pa
             cols = list(zip(*out, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *(pa.array(c, pa.string()) for c in cols[1:])], names=["part", "key", "path", "host", "verdict"])
 
-    kind = rows.schema["row"].dataType.simpleString()
-    placed = rows.select("row", "key", "path", "id", "host").mapInArrow(parts, f"row {kind}, part bigint, key string, path string, id string, host string")
+    kind = rows.schema["row"].dataType
+    placed = rows.select("row", "key", "path", "id", "host").mapInArrow(parts, shape(("row", kind), *fields("part bigint, key string, path string, id string, host string")))
     own = rules.where(F.col("host").isNotNull() & F.col("path").isNotNull() & F.col("verdict").isNotNull()).select("host", "path", "verdict").distinct()
     own = own.withColumn("key", reversed_host(F.col("host"))).where("key <> ''").select("key", "host", "path", "verdict")
     dealt = own.mapInArrow(spread, "part bigint, key string, path string, host string, verdict string").withColumns({"row": F.lit(None).cast(kind), "id": F.lit("")})
@@ -112,5 +112,5 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", row_id: str = "pa
             taken = batch.take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays([taken.column("row"), taken.column("host"), taken.column("path"), pa.array(rule, pa.string()), pa.array(verdict, pa.string())], names=["row", "host", "path", "rule", "verdict"])
 
-    out = dealt_out.mapInArrow(sweep, f"row {kind}, host string, path string, rule string, verdict string")
-    return out.select("row.*", "host", "path", "rule", "verdict")
+    out = dealt_out.mapInArrow(sweep, shape(("row", kind), *fields("host string, path string, rule string, verdict string")))
+    return out.select(*from_row(kind.names), "host", "path", "rule", "verdict")
