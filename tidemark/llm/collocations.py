@@ -27,9 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.segments import first_rows
 from ._common import LOWER_ASCII, discard, encode, give_back, packed, parallelism, shape, slices, unpacked, written
 from .hashing import mix, prints
 
@@ -244,6 +245,5 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, top: int =
     inside = many.where(size > 2).select("lang", "a", F.explode(F.expr("flatten(transform(sequence(2, size(words) - 1), k -> transform(sequence(1, size(words) - k + 1), i -> slice(words, i, k))))")).alias("words"))
     inside = inside.groupBy("lang", "words").agg(F.max("a").alias("most"))
     kept = best.join(inside, ["lang", "words"], "left").where("most is null or 100 * most < 50 * a").select("lang", F.array_join("words", " ").alias("phrase"), "a", "l", "r", "score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    ranked = first_rows(kept, ["lang"], [F.desc("score"), F.desc("a"), "phrase"], top, name="rank")  # in parts of a language first
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
