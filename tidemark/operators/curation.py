@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .segments import first_rows
+
 _C = F.col
 
 
@@ -55,6 +57,50 @@ def append_once(rows: DataFrame, data: str, index: str, key: str = "run_path") -
     kept.groupBy(key, "batch").agg(F.count("*").alias("promoted_rows")).write.mode("append").parquet(index)
 
 
+def commit(tables: dict[str, DataFrame], root: str, batch: str, replaces: list[str] = ()) -> None:
+    """Several tables as one batch: each replaces its folder of that batch, and one marker at the end makes all of them count.
+
+    A job that dies before the marker leaves nothing that `committed` reads; the same batch delivered again stands once.
+    replaces: batches that no longer count once this one does.
+    """
+    for name, rows in tables.items():
+        rows.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch}")
+    spark = next(iter(tables.values())).sparkSession
+    marker = spark.range(1).select(F.array(*map(F.lit, replaces)).cast("array<string>").alias("replaces"))
+    marker.coalesce(1).write.mode("overwrite").parquet(f"{root}/_commits/batch={batch}")
+
+
+def _counting(spark: SparkSession, root: str) -> DataFrame:
+    marks = spark.read.schema("batch string, replaces array<string>").option("basePath", f"{root}/_commits").parquet(f"{root}/_commits")
+    return marks.join(marks.select(F.explode("replaces").alias("batch")), "batch", "left_anti").select("batch")
+
+
+def committed(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table's rows of the batches whose marker stands and that none replaces; the batch column tells which."""
+    data = spark.read.option("basePath", f"{root}/{name}").parquet(f"{root}/{name}")
+    return data.withColumn("batch", _C("batch").cast("string")).join(_counting(spark, root), "batch", "left_semi")
+
+
+def compact_batches(spark: SparkSession, root: str, names: list[str], batch: str) -> None:
+    """All batches that count as one: their rows in few files, and one marker that puts it in their place."""
+    old = [r.batch for r in _counting(spark, root).collect()]  # a name a batch
+    commit({n: committed(spark, root, n).drop("batch").hint("rebalance") for n in names}, root, batch, old)
+
+
+def quarantine_bundle(actions: DataFrame, verdicts: DataFrame, events: DataFrame, at: Column, order: list[str], key: str = "run_path", n: int = 5) -> dict[str, DataFrame]:
+    """What `commit` writes for runs to quarantine: their verdicts, samples of their events, and the index lines that name them."""
+    own = actions.where("action = 'quarantine'").select(key)
+    bad = verdicts.join(own, key, "left_semi")
+    return {"verdict": bad, "samples": sample_rows(events.join(own, key, "left_semi"), [key], order, n), "index": bad.select(key, "findings").withColumn("quarantined_at", at)}
+
+
+def quarantine_report(actions: DataFrame) -> DataFrame:
+    """One row: runs scanned, quarantined and skipped, findings and status (warn if nothing was quarantined)."""
+    out = actions.agg(F.count("*").alias("scanned_runs"), F.count_if(_C("action") == "quarantine").alias("quarantined_runs"), F.count_if(_C("action") != "quarantine").alias("skipped_runs"))
+    none = _C("quarantined_runs") == 0
+    return out.withColumns({"findings": F.array_compact(F.array(F.when(none, F.lit("no_quarantine_changes")))), "status": F.when(none, "warn").otherwise("ok")})
+
+
 def visible(data: DataFrame, index: DataFrame, key: str = "run_path") -> DataFrame:
     """Rows of runs and batches that the index has."""
     return data.join(index.select(key, "batch"), [key, "batch"], "left_semi").drop("batch")
@@ -72,19 +118,34 @@ def curated_once(rows: DataFrame, keys: list[str], order: list[str]) -> DataFram
     return rows.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__n = 1").drop("__n")
 
 
+def _named(key: str) -> Column:
+    return _C(key).isNotNull() & (_C(key).cast("string") != "")
+
+
 def latest_index(index: DataFrame, key: str = "run_path", at: str = "promoted_at", order: str = "ord") -> DataFrame:
-    """One row a run: the greatest time, the later line of equals."""
-    return index.groupBy(key).agg(F.max_by(F.struct(*(c for c in index.columns if c != key)), F.struct(at, order)).alias("r")).select(key, "r.*")
+    """One row a run: the greatest time (none is the least), the later line of equals. Lines without a run are none."""
+    return index.where(_named(key)).groupBy(key).agg(F.max_by(F.struct(*(c for c in index.columns if c != key)), F.struct(at, order)).alias("r")).select(key, "r.*")
 
 
 def index_stats(index: DataFrame, corrupt: str = "corrupt", key: str = "run_path") -> DataFrame:
-    """Raw, valid, distinct, repeated and corrupt entries of an index."""
-    ok = _C(corrupt).isNull()
-    return index.agg(F.count("*").alias("raw_entries"), F.count_if(~ok).alias("corrupt_entries"), F.countDistinct(F.when(ok, _C(key))).alias("runs"), (F.count_if(ok) - F.countDistinct(F.when(ok, _C(key)))).alias("duplicate_entries"))
+    """Entries that name a run, runs, entries beyond each run's first, runs with such entries; torn lines, which are no entries."""
+    per_run = index.groupBy(F.when(_C(corrupt).isNull() & _named(key), _C(key)).alias("run")).agg(F.count("*").alias("n"), F.count(corrupt).alias("torn"))
+    runs = lambda c: F.coalesce(F.sum(F.when(_C("run").isNotNull(), c)), F.lit(0)).cast("bigint")
+    return per_run.agg(runs(_C("n")).alias("raw_entries"), F.count("run").alias("runs"), runs(_C("n") - 1).alias("duplicate_entries"), runs((_C("n") > 1).cast("int")).alias("duplicate_runs"), F.coalesce(F.sum("torn"), F.lit(0)).cast("bigint").alias("corrupt_entries"))
+
+
+def refresh_days(index: DataFrame, changed: DataFrame, path: str, day: str = "day", key: str = "run_path", **how: str) -> None:
+    """Promotion rollups of the days that index lines came in for (`changed`: day), written over those days alone.
+
+    A run has one day, so a day is whole with the lines of its own runs; the days' index lines are all that is read again.
+    """
+    own = index.join(changed.select(day).distinct(), day, "left_semi")
+    rollup = promotion_rollup(latest_index(own, key, **how), [day])
+    rollup.hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
 
 
 def promotion_rollup(index: DataFrame, keys: list[str]) -> DataFrame:
-    """Runs, rows and latest promotion per day or lane and day."""
+    """Runs, rows and latest promotion per day or lane and day, of one line a run: see `latest_index`."""
     return index.groupBy(*keys).agg(F.count("*").alias("promoted_runs"), F.coalesce(F.sum("promoted_rows"), F.lit(0)).cast("bigint").alias("promoted_rows"), F.max("promoted_at").alias("latest_promotion"))
 
 
@@ -179,12 +240,30 @@ def offload_plan(runs: DataFrame, promoted: DataFrame, quarantined: DataFrame, p
 
 def stuck_by_lane(plan: DataFrame, key: str = "run_path", n: int = 5) -> DataFrame:
     """Stuck runs per lane: the exact count, and the first few as examples, found in parts of a lane first."""
-    own = plan.where("state = 'stuck'").select("lane", key, F.pmod(F.xxhash64(key), F.lit(64)).alias("__part"))
-    first = own.withColumn("__n", F.row_number().over(Window.partitionBy("lane", "__part").orderBy(key))).where(_C("__n") <= n)
-    examples = first.groupBy("lane").agg(F.slice(F.array_sort(F.collect_list(key)), 1, n).alias("examples"))
+    own = plan.where("state = 'stuck'").select("lane", key)
+    examples = first_rows(own, ["lane"], [key], n).groupBy("lane").agg(F.array_sort(F.collect_list(key)).alias("examples"))
     return own.groupBy("lane").agg(F.count("*").alias("stuck")).join(examples, "lane")
 
 
+def offload_report(plan: DataFrame, policy: DataFrame, on_disk: DataFrame) -> DataFrame:
+    """A row for every configured lane and one for all (lane null), in one pass over the plan: scanned, eligible, waiting and stuck runs.
+
+    The row for all has the findings (lanes that are on disk only; configured lanes without a folder, in lane order; stuck
+    runs; nothing to move) and the status: warn if there is a finding but the last.
+    """
+    of = lambda state: F.count_if(_C("state") == state)
+    counts = plan.rollup("lane").agg(F.count("*").alias("scanned_runs"), of("move").alias("eligible_runs"), of("wait").alias("waiting_runs"), of("stuck").alias("stuck_runs"), F.grouping("lane").alias("total"))
+    lanes = policy.select("lane", "min_age_days").join(counts.where("total = 0").drop("total"), "lane", "left")
+    both = lane_differences(on_disk, policy.select("lane")).join(policy.select("lane", "lane_rank"), "lane", "left")
+    name = F.when(_C("problem") == "missing_lane", "missing_lane_dir").otherwise(_C("problem"))
+    sort = F.struct((_C("problem") == "missing_lane").alias("late"), "lane_rank", "lane", F.concat_ws(":", name, "lane").alias("finding"))
+    odd = both.agg(F.transform(F.array_sort(F.collect_list(sort)), lambda x: x["finding"]).alias("odd"))  # lanes are few: configured ones and folders
+    total = counts.where("total = 1").drop("total", "lane").withColumn("one", F.lit(1)).join(odd.withColumn("one", F.lit(1)), "one", "full").drop("one").fillna(0)
+    found = F.concat(F.coalesce("odd", F.array().cast("array<string>")), F.array_compact(F.array(F.when(_C("stuck_runs") > 0, F.concat(F.lit("stuck_unaccounted_runs:"), "stuck_runs")), F.when(_C("eligible_runs") == 0, F.lit("no_offload_candidates")))))
+    total = total.withColumn("findings", found).withColumn("status", F.when(F.exists("findings", lambda x: x != "no_offload_candidates"), "warn").otherwise("ok")).drop("odd")
+    return lanes.unionByName(total, allowMissingColumns=True).fillna(0, ["scanned_runs", "eligible_runs", "waiting_runs", "stuck_runs"])
+
+
 def lane_differences(on_disk: DataFrame, configured: DataFrame) -> DataFrame:
     """(lane, problem): lanes on disk but not configured, and the other way round."""
     a = on_disk.select("lane").distinct().join(configured, "lane", "left_anti").select("lane", F.lit("unconfigured_lane").alias("problem"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import finite_positive, no_errors, skew_ms
+from .segments import first_rows
 
 MAX_DELAY_MS, MAX_FUTURE_MS = 60_000, 5_000
 
@@ -120,6 +121,21 @@ def high_water(events: DataFrame, keys: list[str], sequence: str = "sequence") -
     return events.groupBy(*keys).agg(F.max(sequence).alias("high_water"))
 
 
+def recent_high_water(listing: DataFrame, events: DataFrame, streams: DataFrame, now: Column, max_age_seconds: float, newest: int = 50, sequence: str = "sequence") -> DataFrame:
+    """Where incremental loads stand on disk: lane, symbol, high_water, run_id of the newest young run with an id of the symbol.
+
+    streams: lane, symbol, current_run (left out; may be null). listing: lane, run_id, started_at. Only the `newest` runs of at most that age
+    count; empty ones don't end the search. The few runs that count choose by a join what is read of the events, so
+    where those are partitioned by lane and run, nothing else is (dynamic partition pruning). A lane without an id has no row.
+    """
+    age = (F.unix_micros(now) - F.unix_micros("started_at")) / 1e6
+    own = listing.join(streams.select("lane", "current_run").distinct(), "lane").where((F.col("current_run").isNull() | (F.col("run_id") != F.col("current_run"))) & (age <= max_age_seconds))
+    young = first_rows(own.select("lane", "run_id").distinct(), ["lane"], [F.desc("run_id")], newest).select("lane", "run_id")
+    wanted = young.join(streams.select("lane", "symbol"), "lane")
+    top = events.where(F.col(sequence).isNotNull()).join(wanted, ["lane", "run_id", "symbol"]).groupBy("lane", "symbol", "run_id").agg(F.max(sequence).alias("high_water"))
+    return top.groupBy("lane", "symbol").agg(F.max_by("high_water", "run_id").alias("high_water"), F.max("run_id").alias("run_id"))
+
+
 def resume_rule(streams: DataFrame, now: Column, max_gap_seconds: float = 6 * 3600) -> DataFrame:
     """(symbol, cursor_symbol, last_id, updated_at, floor) -> next_id, reset: where an incremental load goes on.
 

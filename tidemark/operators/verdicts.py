@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import finite_positive, skew_ms
 from .gates import before, up_to
+from .segments import first_rows
 
 _C = F.col
 MAX_SKEW_MS = 60_000
@@ -236,9 +237,40 @@ def runs_to_score(runs: DataFrame, verdicts: DataFrame, keys: list[str], newest:
     return runs.join(known, keys, "left").withColumn("action", action).drop("known")
 
 
+def scoring_worklist(runs: DataFrame, scored: DataFrame, now: Column, limit: int, max_age_seconds: float, overwrite: bool = False, lane: str = "lane", run: str = "run_id") -> DataFrame:
+    """The runs that a pass over each lane meets, newest first: lane, run, todo (to be scored; else already scored and skipped).
+
+    The limit counts runs to score, after scored ones are left out: else newer scored runs would hide older open ones for ever. What lies
+    beyond a lane's last chosen run is not met. runs: lane, run, started_at (null: any age), has_events.
+    """
+    age = (F.unix_micros(now) - F.unix_micros("started_at")) / 1e6
+    young = runs.where(_C("has_events") & (_C("started_at").isNull() | (age <= max_age_seconds))).select(lane, run).distinct()
+    known = scored.select(lane, run).distinct()
+    open_ = young if overwrite else young.join(known, [lane, run], "left_anti")
+    chosen = first_rows(open_, [lane], [F.desc(run)], limit).select(lane, run, F.lit(True).alias("todo"))
+    if overwrite or limit <= 0:
+        return chosen
+    last = chosen.groupBy(lane).agg(F.count("*").alias("__n"), F.min(run).alias("__last"))
+    met = young.join(known, [lane, run], "left_semi").join(last, lane, "left").where((F.coalesce(_C("__n"), F.lit(0)) < limit) | (_C(run) > _C("__last")))
+    return chosen.unionByName(met.select(lane, run, F.lit(False).alias("todo")))
+
+
+def scoring_report(worklist: DataFrame, verdicts: DataFrame, lane: str = "lane", run: str = "run_id") -> DataFrame:
+    """Per lane: scored, replayable, not replayable and skipped runs, and how often each finding came up among runs not replayable.
+
+    A run of the worklist without a verdict failed: a `replay_error` finding, and not scored.
+    """
+    todo = worklist.join(verdicts.select(lane, run, "replayable", "findings"), [lane, run], "left")
+    poor = F.when(_C("todo") & _C("replayable").isNull(), F.array(F.lit("replay_error"))).when(_C("todo") & ~_C("replayable"), _C("findings"))
+    counts = todo.groupBy(lane).agg(F.count_if(_C("todo") & _C("replayable").isNotNull()).alias("scanned"), F.count_if(_C("todo") & _C("replayable")).alias("replayable"), F.count_if(_C("todo") & ~_C("replayable")).alias("not_replayable"), F.count_if(~_C("todo")).alias("skipped_already_scored"))
+    found = todo.select(lane, F.explode(poor).alias("finding")).groupBy(lane, "finding").agg(F.count("*").alias("runs"))
+    found = found.groupBy(lane).agg(F.array_sort(F.collect_list(F.struct("finding", "runs"))).alias("findings"))  # findings are a fixed few
+    return counts.join(found, lane, "left")
+
+
 def finding_histogram(verdicts: DataFrame, lane: str = "lane") -> DataFrame:
     """Runs per lane and finding."""
     return verdicts.select(lane, F.explode("findings").alias("finding")).groupBy(lane, "finding").agg(F.count("*").alias("runs"))
 
 
-__all__ = ["depth", "depth_stream", "finding_histogram", "funding", "runs_to_score", "stream_mode", "sync_health", "text", "trades", "trades_stream", "up_to"]
+__all__ = ["depth", "depth_stream", "finding_histogram", "funding", "runs_to_score", "scoring_report", "scoring_worklist", "stream_mode", "sync_health", "text", "trades", "trades_stream", "up_to"]

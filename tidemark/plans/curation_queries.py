@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import curation, gates, health, quotes, verdicts
 from ..sources import scans, sinks
-from .inputs import RUNS, TRADES, order_runs, table, trades
+from .inputs import RUNS, TRADES, order_runs, shared_folder, table, trades
 
 _C = F.col
 
@@ -50,7 +50,21 @@ def promotion_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def promotion_index_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curation.index_stats(_index(spark, sf_dir))
+    """Lines with a run, without one (null, empty) and torn ones."""
+    line = _C("l_linenumber")
+    li = table(spark, sf_dir, "lineitem").select(F.when(line == 5, None).when(line == 6, "").otherwise((_C("l_orderkey") % 5000).cast("string")).alias("run_path"), F.when(line == 7, "torn").alias("corrupt"))
+    return curation.index_stats(li)
+
+
+def promotion_rollup_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rollups by day, of the index lines up to 1996 first, then of the days again that later lines came in for."""
+    li = table(spark, sf_dir, "lineitem").where("l_linenumber <> 7")
+    index = li.select((_C("l_orderkey") % 5000).alias("run_path"), F.to_date(F.timestamp_seconds((_C("l_orderkey") % 5000 % 60) * 86_400)).alias("day"), _C("l_shipdate").cast("timestamp").alias("promoted_at"), (_C("l_orderkey") * 1000 + _C("l_linenumber") * 100 + _C("l_quantity").cast("bigint")).alias("ord"), _C("l_partkey").alias("promoted_rows"))
+    index = index.groupBy("run_path", "day", "promoted_at", "ord").agg(F.max("promoted_rows").alias("promoted_rows"))
+    early, path = _C("promoted_at") < F.lit("1997-01-01").cast("timestamp"), shared_folder(spark)
+    curation.refresh_days(index.where(early), index.where(early), path)
+    curation.refresh_days(index, index.where(~early), path)
+    return spark.read.parquet(path).select("day", "promoted_runs", "promoted_rows", F.date_format("latest_promotion", "yyyy-MM-dd").alias("latest_promotion"))
 
 
 def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +110,62 @@ def finding_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.finding_histogram(v)
 
 
+def scoring_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as runs, those of every third customer scored; of the next 40 open ones a lane, those without a status fail."""
+    runs = order_runs(spark, sf_dir).withColumnRenamed("run_path", "run_id")
+    found = F.array_compact(F.array(F.when(_C("o_custkey") % 4 == 1, F.lit("gap")), F.when(_C("o_custkey") % 5 == 2, F.lit("crossed"))))
+    given = runs.where("replayable is not null").select("lane", "run_id", "replayable", found.alias("findings"))
+    work = verdicts.scoring_worklist(runs, runs.where("o_custkey % 3 = 0"), F.lit("1998-01-01").cast("timestamp"), 40, 1500 * 86_400)
+    out = verdicts.scoring_report(work, given)
+    return out.withColumn("findings", F.coalesce(F.array_join(F.transform("findings", lambda x: F.concat_ws(":", x["finding"], x["runs"])), ","), F.lit("")))
+
+
+def quarantine_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs quarantined in two batches, the first delivered twice, a third without its marker, then compacted: what readers see."""
+    runs, root = order_runs(spark, sf_dir), shared_folder(spark)
+    actions = curation.quarantine_actions(runs, _quarantined(runs))
+    given = runs.select("run_path", "replayable", F.array_compact(F.array(F.lit("unreplayable"), F.when(_C("o_custkey") % 4 == 1, F.lit("gap")))).alias("findings"))
+    lines = table(spark, sf_dir, "lineitem").select(_C("l_orderkey").alias("run_path"), "l_linenumber", "l_partkey")
+    bundle = lambda part: curation.quarantine_bundle(actions.where(part), given, lines, F.lit("2026-01-01").cast("timestamp"), ["l_linenumber", "l_partkey"])
+    for batch, part in (("1", "run_path % 3 = 0"), ("1", "run_path % 3 = 0"), ("2", "run_path % 3 = 1")):
+        curation.commit(bundle(part), root, batch)
+    for name, rows in bundle("run_path % 3 = 2").items():
+        rows.write.parquet(f"{root}/{name}/batch=3")
+    curation.compact_batches(spark, root, ["verdict", "samples", "index"], "compact-1")
+    index, samples = (curation.committed(spark, root, n) for n in ("index", "samples"))
+    out = index.join(samples.select("run_path", F.size("samples").alias("samples")), "run_path", "left")
+    return out.select("run_path", F.array_join("findings", ",").alias("findings"), F.coalesce("samples", F.lit(0)).alias("samples"), "batch")
+
+
+def quarantine_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = order_runs(spark, sf_dir)
+    return curation.quarantine_report(curation.quarantine_actions(runs, _quarantined(runs))).withColumn("findings", F.array_join("findings", ","))
+
+
+def offload_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One lane on disk is not configured, one configured lane has no runs."""
+    runs = order_runs(spark, sf_dir)
+    policy = _policy(spark, sf_dir).drop("max_age_days").where("lane <> 'MEDIUM'")
+    policy = policy.unionByName(table(spark, sf_dir, "region").where("r_regionkey = 0").select(F.lit("ARCHIVE").alias("lane"), F.lit(9).alias("lane_rank"), F.lit(900).alias("min_age_days"), F.lit("indexed").alias("gate")))
+    plan = curation.offload_plan(runs, _promoted(runs), _quarantined(runs), policy, F.lit("1998-08-02").cast("timestamp"), 1500)
+    return curation.offload_report(plan, policy, runs).withColumn("findings", F.array_join("findings", ","))
+
+
+def zero_byte_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    listing = o.select(F.concat(F.lit("part-"), _C("o_orderkey").cast("string"), F.when(_C("o_orderkey") % 5 == 0, ".json").otherwise(".parquet")).alias("file"), F.when(_C("o_custkey") % 9 == 0, 0).otherwise(_C("o_custkey")).cast("bigint").alias("bytes"))
+    return curation.empty_parquet(listing)
+
+
+def recent_high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as runs of a lane and day; a lane's stream is one of three symbols, and its current run is the latest day."""
+    e = table(spark, sf_dir, "events").select((_C("user_id") % 7).alias("lane"), F.to_date("ts").alias("run_id"), F.concat(F.lit("P"), (_C("user_id") % 5).cast("string")).alias("symbol"), F.when(_C("event_id") % 4 != 0, _C("event_id")).alias("sequence"))
+    listing = e.select("lane", "run_id", _C("run_id").cast("timestamp").alias("started_at")).distinct()
+    now = F.lit("2024-01-30 23:59:59").cast("timestamp")
+    streams = e.groupBy("lane").agg(F.max("run_id").alias("current_run")).select("lane", F.concat(F.lit("P"), (_C("lane") % 5).cast("string")).alias("symbol"), "current_run")
+    return gates.recent_high_water(listing, e, streams, now, 20 * 86_400, 10)
+
+
 def run_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
     out = curation.sample_rows(e, ["user_id"], ["event_id"], 5)
@@ -319,7 +389,7 @@ def lane_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.withColumn("p", S.lane_parts(_C("lane"))).select("s_suppkey", "p.venue", "p.dataset", "p.instrument")
 
 
-QUERIES = {f.__name__: f for f in (promotion_actions, quarantine_actions, promoted_rows, promotion_index_dedup, promotion_index_stats, readiness_by_lane_day, worst_class_latch, lane_summary, day_summary, runs_to_score, book_sync_health, finding_histogram, run_samples, curated_once, promoted_per_run, quote_states, quote_transitions, quote_counters, market_quotes, market_discovery, text_content_hash, text_verdict, text_read_once, text_new_edit, seen_state_cap, clean_ratio_streak, quarantine_ratio, job_freshness, recent_failures, silence_gaps, retention_plan, stuck_accounting, retention_candidates, lane_differences, copy_differences, growth_alert, partition_layout, resume_high_water, feed_items, listing_children, page_cap, lane_names)}
+QUERIES = {f.__name__: f for f in (promotion_actions, quarantine_actions, promoted_rows, promotion_index_dedup, promotion_index_stats, readiness_by_lane_day, worst_class_latch, lane_summary, day_summary, runs_to_score, book_sync_health, finding_histogram, run_samples, curated_once, promoted_per_run, quote_states, quote_transitions, quote_counters, market_quotes, market_discovery, text_content_hash, text_verdict, text_read_once, text_new_edit, seen_state_cap, clean_ratio_streak, quarantine_ratio, job_freshness, recent_failures, silence_gaps, retention_plan, stuck_accounting, retention_candidates, lane_differences, copy_differences, growth_alert, partition_layout, resume_high_water, feed_items, listing_children, page_cap, lane_names, promotion_rollup_days, scoring_report, quarantine_commit, quarantine_report, offload_report, zero_byte_files, recent_high_water)}
 
 
 def _named(*pairs: tuple[str, str]) -> str:
@@ -359,7 +429,36 @@ ORACLES = {
     "quarantine_actions": f"with {RUNS} select run_path, case when replayable is null then 'missing_replay' when replayable then 'replayable' when o_custkey % 7 = 0 then 'already_quarantined' else 'quarantine' end as action from r",
     "promoted_rows": f"with {RUNS} select run_path as source_run_path, 'tag' as promotion_tag, count(*) as rows, round(sum(l_quantity), 2) as quantity from r join lineitem on l_orderkey = run_path where {_ACTION} = 'promote' group by run_path",
     "promotion_index_dedup": f"with {_INDEX}, u as (select run_path, promoted_at, ord, max(promoted_rows) as promoted_rows from i where not torn group by all) select run_path, strftime(max(promoted_at), '%Y-%m-%d') as promoted_at, arg_max(promoted_rows, (promoted_at, ord)) as promoted_rows from u group by run_path",
-    "promotion_index_stats": f"with {_INDEX} select count(*) as raw_entries, count(*) filter (torn) as corrupt_entries, count(distinct run_path) filter (not torn) as runs, count(*) filter (not torn) - count(distinct run_path) filter (not torn) as duplicate_entries from i",
+    "promotion_index_stats": """with i as (select case l_linenumber when 5 then null when 6 then '' else cast(l_orderkey % 5000 as varchar) end as run_path, l_linenumber = 7 as torn from lineitem),
+n as (select run_path, count(*) as n from i where not torn and coalesce(run_path, '') <> '' group by run_path)
+select cast(sum(n) as bigint) as raw_entries, count(*) as runs, cast(sum(n - 1) as bigint) as duplicate_entries, count(*) filter (n > 1) as duplicate_runs, (select count(*) from i where torn) as corrupt_entries from n""",
+    "promotion_rollup_days": f"""with {_INDEX}, u as (select run_path, promoted_at, ord, max(promoted_rows) as promoted_rows from i where not torn group by all),
+l as (select run_path, max(promoted_at) as latest, arg_max(promoted_rows, (promoted_at, ord)) as n from u group by run_path)
+select cast(date '1970-01-01' + cast(run_path % 60 as integer) as date) as day, count(*) as promoted_runs, cast(sum(n) as bigint) as promoted_rows, strftime(max(latest), '%Y-%m-%d') as latest_promotion from l group by 1""",
+    "scoring_report": f"""with {RUNS},
+young as (select * from r where has_events and date_diff('second', started_at, timestamp '1998-01-01') <= 1500 * 86400),
+walk as (select *, o_custkey % 3 = 0 as scored, count(*) filter (o_custkey % 3 <> 0) over (partition by lane order by run_path desc rows between unbounded preceding and current row) as met from young),
+done as (select *, not scored as todo from walk where (not scored and met <= 40) or (scored and met < 40)),
+f as (select lane, finding, count(*) as n from (select lane, unnest(case when replayable is null then ['replay_error'] when not replayable then list_concat(['gap'][:case when o_custkey % 4 = 1 then 1 else 0 end], ['crossed'][:case when o_custkey % 5 = 2 then 1 else 0 end]) else [] end) as finding from done where todo) group by all)
+select lane, count(*) filter (todo and replayable is not null) as scanned, count(*) filter (todo and replayable) as replayable, count(*) filter (todo and not replayable) as not_replayable, count(*) filter (not todo) as skipped_already_scored,
+ coalesce((select string_agg(finding || ':' || n, ',' order by finding) from f where f.lane = done.lane), '') as findings from done group by lane""",
+    "quarantine_commit": f"""with {RUNS}, q as (select * from r where not replayable and o_custkey % 7 <> 0 and run_path % 3 <> 2), n as (select l_orderkey as run_path, least(count(*), 5) as n from lineitem group by 1)
+select run_path, case when o_custkey % 4 = 1 then 'unreplayable,gap' else 'unreplayable' end as findings, cast(coalesce(n, 0) as integer) as samples, 'compact-1' as batch from q left join n using (run_path)""",
+    "quarantine_report": f"with {RUNS} select count(*) as scanned_runs, count(*) filter (not replayable and o_custkey % 7 <> 0) as quarantined_runs, count(*) filter (not coalesce(not replayable and o_custkey % 7 <> 0, false)) as skipped_runs, case when quarantined_runs = 0 then 'no_quarantine_changes' else '' end as findings, case when quarantined_runs = 0 then 'warn' else 'ok' end as status from r",
+    "offload_report": f"""with {RUNS},
+o as (select *, case when lane = 'LOW' then 400 else 900 end as least, lane = 'URGENT' or o_custkey % 5 = 0 or o_custkey % 7 = 0 as ok from r where lane <> 'MEDIUM'),
+g as (select *, sum(case when ok then 1 else 0 end) over (order by length(lane), lane, started_at, run_path rows between unbounded preceding and current row) as place from o where date_diff('second', started_at, timestamp '1998-08-02') > least * 86400),
+c as (select lane, count(*) as s, count(*) filter (ok and place <= 1500) as e, count(*) filter (ok and place > 1500) as w, count(*) filter (not ok) as k from g group by rollup (lane)),
+p as (select distinct lane, case when lane = 'LOW' then 400 else 900 end as min_age_days from r where lane <> 'MEDIUM' union all select 'ARCHIVE', 900)
+select p.lane, min_age_days, coalesce(s, 0) as scanned_runs, coalesce(e, 0) as eligible_runs, coalesce(w, 0) as waiting_runs, coalesce(k, 0) as stuck_runs, cast(null as varchar) as findings, cast(null as varchar) as status from p left join c on c.lane = p.lane
+union all select null, null, s, e, w, k, concat_ws(',', 'unconfigured_lane:MEDIUM', 'missing_lane_dir:ARCHIVE', case when k > 0 then 'stuck_unaccounted_runs:' || k end, case when e = 0 then 'no_offload_candidates' end), 'warn' from c where lane is null""",
+    "zero_byte_files": "select 'part-' || o_orderkey || '.parquet' as file, cast(0 as bigint) as bytes from orders where o_orderkey % 5 <> 0 and (o_custkey % 9 = 0 or o_custkey = 0)",
+    "recent_high_water": """with e as (select user_id % 7 as lane, cast(ts as date) as run_id, 'P' || (user_id % 5) as symbol, case when event_id % 4 <> 0 then event_id end as sequence from events),
+cur as (select lane, max(run_id) as current_run, 'P' || (lane % 5) as symbol from e group by lane),
+l as (select distinct e.lane, run_id from e join cur using (lane) where run_id <> current_run and date_diff('second', cast(run_id as timestamp), timestamp '2024-01-30 23:59:59') <= 20 * 86400),
+y as (select *, row_number() over (partition by lane order by run_id desc) as n from l),
+t as (select e.lane, e.symbol, e.run_id, max(sequence) as hw from e join y using (lane, run_id) join cur on cur.lane = e.lane and cur.symbol = e.symbol where n <= 10 and sequence is not null group by all)
+select lane, symbol, arg_max(hw, run_id) as high_water, max(run_id) as run_id from t group by lane, symbol""",
     "readiness_by_lane_day": _DAYS + " select * from d",
     "worst_class_latch": _DAYS + " select * from l",
     "lane_summary": _DAYS + " select count(*) as lanes, string_agg(distinct lane[1], ',' order by lane[1]) as venues, 'trades' as datasets, cast(sum(ready_days) as bigint) as ready_days, cast(sum(ready_with_quarantine_days) as bigint) as ready_with_quarantine_days, cast(sum(building_days) as bigint) as building_days, cast(sum(missing_days) as bigint) as missing_days, cast(sum(curated_rows) as bigint) as curated_rows, cast(sum(promoted_runs) as bigint) as promoted_runs from l",
