@@ -77,6 +77,11 @@ def sequence_cursor(df: DataFrame, keys: list[str], order: list[str], sequence:
 def event_gate(events: DataFrame, keys: list[str], order: list[str], max_delay_ms: int = MAX_DELAY_MS, max_future_ms: int = MAX_FUTURE_MS) -> DataFrame:
     """The gate of trade, funding and generic events. keys: run and stream (source, product, channel)."""
     e = sequence_cursor(events.withColumn("subscribe_replay", F.col("metadata.subscribe_replay")), keys, order)
+    return event_rules(e, max_delay_ms, max_future_ms)
+
+
+def event_rules(e: DataFrame, max_delay_ms: int = MAX_DELAY_MS, max_future_ms: int = MAX_FUTURE_MS) -> DataFrame:
+    """The event gate's verdict on rows that have the cursor's `sequence_reason` already, from a window or from a stream's state."""
     trades, price, size = F.col("channel") == "trades", F.col("price"), F.col("size")
     delay = skew_ms(F.col("received_at"), F.col("exchange_time"))
     return verdict(

@@ -42,8 +42,8 @@ def _every_run(out: DataFrame, keys: list[str], runs: DataFrame | None) -> DataF
 def trades(events: DataFrame, keys: list[str], order: list[str], max_skew_ms: float = MAX_SKEW_MS, runs: DataFrame | None = None) -> DataFrame:
     """Runs with a dense trade id: gaps, order, duplicates (tolerated), prices, sizes, clock skew."""
     w = before(keys, order)
-    e = events.withColumn("id", F.coalesce("sequence", _C("trade_id").try_cast("bigint")))
-    e = e.withColumns({"step": _C("id") - F.last("id", ignorenulls=True).over(w), "skew": F.abs(skew_ms(_C("received_at"), _C("exchange_time")))})
+    e = with_trade_id(events)
+    e = e.withColumn("step", _C("id") - F.last("id", ignorenulls=True).over(w))
     out = e.groupBy(*keys).agg(
         *_common(e, order),
         F.count("*").alias("event_count"),
@@ -60,7 +60,16 @@ def trades(events: DataFrame, keys: list[str], order: list[str], max_skew_ms: fl
         F.count_if(_C("skew") > max_skew_ms).alias("excessive_clock_skew_count"),
         F.max("skew").alias("max_clock_skew_ms"),
     )
-    out = _every_run(out, keys, runs)
+    return judged_trades(_every_run(out, keys, runs))
+
+
+def with_trade_id(events: DataFrame) -> DataFrame:
+    """Adds the dense id and the clock skew of a print."""
+    return events.withColumns({"id": F.coalesce("sequence", _C("trade_id").try_cast("bigint")), "skew": F.abs(skew_ms(_C("received_at"), _C("exchange_time")))})
+
+
+def judged_trades(out: DataFrame) -> DataFrame:
+    """Findings and verdict of runs whose counters are there, from windows or from a stream's state."""
     bad = _findings((_C("event_count") == 0, "no_events"), (_C("non_monotonic_count") > 0, "non_monotonic_trade_ids"), (_C("trade_id_gap_count") > 0, "trade_id_gaps"), (_C("invalid_price_count") > 0, "invalid_prices"), (_C("invalid_size_count") > 0, "invalid_sizes"), (_C("excessive_clock_skew_count") > 0, "excessive_clock_skew"), (_C("missing_trade_id_count") > 0, "missing_trade_ids"))
     return out.withColumns({"mode": F.lit("trade_stream"), "gap_detection": F.lit("sequence"), "findings": bad}).withColumn("replayable", F.size("findings") == 0)
 

@@ -12,6 +12,7 @@ from ..operators import book, gates
 from ..sources.sinks import split
 from ..streaming import jobs
 from .inputs import CROSSED, TRADES, depth, shared_folder, table, trades
+from .market_queries import _GATE, _named
 
 _C = F.col
 
@@ -100,7 +101,8 @@ def streamed_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streamed_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Crossed states of books that live in state, over a stream that is stopped half way."""
     d = depth(spark, sf_dir)
-    out = _in_two(spark, d, "ord % 7 >= 0 and ord < 3000", lambda s: jobs.stateful_book(s, "run", "ord"))
+    half = d.agg(F.percentile_approx("ord", 0.5).alias("n")).first().n  # one number
+    out = _in_two(spark, d, f"ord < {half}", lambda s: jobs.stateful_book(s, "run", "ord"))
     return book.crossed_counts(out, ["key"]).select(_C("key").cast("bigint").alias("run"), "crossed_book_count")
 
 
@@ -136,7 +138,27 @@ def streamed_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.join(clean, "day", "left").join(held, "day", "left").fillna(0, ["clean", "held"])
 
 
-QUERIES = {f.__name__: f for f in (streamed_gate, streamed_windows, streamed_dedup, streamed_cursor, streamed_edits, streamed_book, streamed_silence, streamed_late)}
+def streamed_run_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole gate and trade verdicts of accepted prints, chained in one stream that is stopped half way: a run's verdict comes when its day is over."""
+    folder = shared_folder(spark)
+    e = trades(spark, sf_dir).withColumn("lane", _C("user_id") % 10)
+    flush = e.limit(1).withColumns({c: (F.lit("2030-01-01").cast("timestamp")).alias(c) for c in ("received_at", "exchange_time")}).withColumns({"lane": F.lit(-1).cast("bigint"), "day": F.lit("2030-01-01").cast("date"), "event_type": F.lit("click"), "channel": F.lit("trades")})
+    keys, order = ["lane", "day"], ["received_at", "ord"]
+
+    def work(s: DataFrame) -> DataFrame:
+        gated = jobs.event_gate_stream(s.withWatermark("received_at", "2 days"), [*keys, "product", "channel"], order)
+        return jobs.run_verdicts(gated.where("accepted and channel = 'trades'"), keys, order, F.date_add("day", 2).cast("timestamp"))
+
+    with _rocks(spark):
+        for part in (e.where("received_at < '2024-01-15'"), e.where("not (received_at < '2024-01-15')"), flush):
+            part.write.mode("append").parquet(f"{folder}/in")
+            stream = spark.readStream.schema(e.schema).parquet(f"{folder}/in")
+            work(stream).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    out = spark.read.parquet(f"{folder}/out").where("lane >= 0")
+    return out.select("lane", "day", "event_count", "first_trade_id", "last_trade_id", "non_monotonic_count", "trade_id_gap_count", "trade_id_gap_total_missing", "invalid_price_count", F.array_join("findings", ",").alias("findings"), "replayable")
+
+
+QUERIES = {f.__name__: f for f in (streamed_gate, streamed_windows, streamed_dedup, streamed_cursor, streamed_edits, streamed_book, streamed_silence, streamed_late, streamed_run_verdicts)}
 
 ORACLES = {
     "streamed_gate": "select strftime(date_trunc('day', ts), '%Y%m%d') || '_000000' as run_id, concat_ws(',', case when value > 90 then 'too_high' end, case when event_type = 'error' then 'error' end) as reasons, count(*) as events from events group by all",
@@ -147,6 +169,11 @@ p as (select *, user_id % 50 as stream, (ord * 31) % 257 + case when day < date
 s as (select *, count(*) filter (not again) over (partition by stream order by place, ord rows between unbounded preceding and 1 preceding) > 0 as seen from p),
 c as (select *, max(case when not again or seen then sequence end) over (partition by stream order by place, ord rows between unbounded preceding and 1 preceding) as cur from s)
 select ord as event_id, case when again and not coalesce(sequence > cur, false) then 'subscribe_replay' when not again and sequence < cur then 'non_monotonic_sequence' else '' end as reason from c""",
+    "streamed_run_verdicts": _GATE.replace("partition by user_id, day,", "partition by user_id % 10, day,") + f""",
+t as (select *, user_id % 10 as lane, sequence - lag(sequence) over (partition by user_id % 10, day order by received_at, ord) as step from g where reasons = '' and channel = 'trades'),
+a as (select lane, day, count(*) as event_count, arg_min(sequence, (received_at, ord)) as first_trade_id, arg_max(sequence, (received_at, ord)) as last_trade_id, count(*) filter (step < 0) as non_monotonic_count, count(*) filter (step > 1) as trade_id_gap_count,
+ cast(coalesce(sum(step - 1) filter (step > 1), 0) as bigint) as trade_id_gap_total_missing, count(*) filter (not (price > 0)) as invalid_price_count, count(*) filter (abs(delay) > 60) as far from t group by all)
+select * exclude (far), {_named(("non_monotonic_count > 0", "non_monotonic_trade_ids"), ("trade_id_gap_count > 0", "trade_id_gaps"), ("invalid_price_count > 0", "invalid_prices"), ("far > 0", "excessive_clock_skew"))} as findings, non_monotonic_count + trade_id_gap_count + invalid_price_count + far = 0 as replayable from a""",
     "streamed_edits": "with p as (select *, lag(text) over (partition by conv_id order by turn) as q from conversations) select conv_id, turn, case when q is null then 'new' else 'edit' end as row_type from p where q is null or q <> text",
     "streamed_book": CROSSED,
     "streamed_silence": "with g as (select user_id % 50 as k, ts, lead(ts) over (partition by user_id % 50 order by ts, event_id) as nxt from events) select cast(k as varchar) as key, count(distinct epoch_us(ts) // 1000) as silences from g where epoch_us(nxt) // 1000 - epoch_us(ts) // 1000 > 14400000 group by 1",

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from ..functions.scalars import skew_ms
+from ..functions.scalars import finite_positive, skew_ms
 from ..operators import gates
 from ..schemas import FRAME
 
@@ -68,11 +70,87 @@ def _cursor(keys: list[str], order: list[str], columns: list[str]) -> StatefulPr
     return Cursor(keys, order, columns)
 
 
-def stateful_cursor(events: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
-    """The gate's sequence rule over a stream: the cursor lives across micro-batches. columns: what to keep, `sequence` and `subscribe_replay` among them."""
-    kept = list(dict.fromkeys([*columns, "sequence", "subscribe_replay"]))
-    shape = ", ".join(f"`{c}` {events.schema[c].dataType.simpleString()}" for c in kept) + ", sequence_reason string"
-    return events.groupBy(*keys).transformWithStateInPandas(statefulProcessor=_cursor(keys, order, kept), outputStructType=shape, outputMode="Append", timeMode="None")
+def _kept(events: DataFrame, columns: list[str], more: str) -> StructType:
+    return StructType([StructField(c, events.schema[c].dataType) for c in columns] + [StructField(more, StringType())])
+
+
+def stateful_cursor(events: DataFrame, keys: list[str], order: list[str], columns: list[str], at: str | None = None) -> DataFrame:
+    """The gate's sequence rule over a stream: the cursor lives across micro-batches. columns: what to keep, `sequence` and `subscribe_replay` among them.
+
+    at: the column that carries the stream's watermark, where another stateful operator follows.
+    """
+    kept = list(dict.fromkeys([*columns, "sequence", "subscribe_replay", *([at] if at else [])]))
+    time = {"timeMode": "EventTime", "eventTimeColumnName": at} if at else {"timeMode": "None"}
+    return events.groupBy(*keys).transformWithStateInPandas(statefulProcessor=_cursor(keys, order, kept), outputStructType=_kept(events, kept, "sequence_reason"), outputMode="Append", **time)
+
+
+def event_gate_stream(events: DataFrame, keys: list[str], order: list[str], at: str = "received_at") -> DataFrame:
+    """The whole event gate over a stream: every row rule, and the sequence rule with its cursor in state. events: with a watermark on `at`."""
+    own = events.withColumn("subscribe_replay", F.coalesce("metadata.subscribe_replay", F.lit(False)))
+    return gates.event_rules(stateful_cursor(own, keys, order, events.columns, at))
+
+
+def _run_counters(keys: list[str], order: list[str]) -> StatefulProcessor:
+    class Runs(StatefulProcessor):
+        """A run's counters, a row of state; a timer at its end, by event time, emits them."""
+
+        def __init__(self, keys: list[str], order: list[str]):
+            self.keys, self.order = keys, order
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            names = ("n", "first", "last", "back", "same", "gaps", "missing", "none", "prices", "sizes", "skewed")
+            self.state = handle.getValueState("run", ", ".join(f"{x} bigint" for x in names) + ", most double")
+
+        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+            batch = pd.concat(list(rows)).sort_values(self.order, kind="stable")
+            if self.state.exists():
+                n, first, last, back, same, gaps, missing, none, prices, sizes, skewed, most = self.state.get()
+            else:
+                n = back = same = gaps = missing = none = prices = sizes = skewed = 0
+                first = last = most = None
+                self.handle.registerTimer(int(batch["end_ms"].iloc[0]))
+            for id_, price, size, far, skew in zip(batch["id"], batch["bad_price"], batch["bad_size"], batch["far"], batch["skew"], strict=True):
+                n, prices, sizes, skewed = n + 1, prices + int(price), sizes + int(size), skewed + int(far)
+                if skew is not None and skew == skew:
+                    most = float(skew) if most is None else max(most, float(skew))
+                if id_ is None or id_ != id_ or id_ == "":
+                    none += 1
+                    continue
+                id_ = int(id_)
+                step = None if last is None else id_ - last
+                first, last = id_ if first is None else first, id_
+                if step is not None:
+                    back, same, gaps, missing = back + (step < 0), same + (step == 0), gaps + (step > 1), missing + max(0, step - 1)
+            self.state.update((n, first, last, back, same, gaps, missing, none, prices, sizes, skewed, most))
+            return iter(())
+
+        def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
+            if self.state.exists():
+                n, first, last, back, same, gaps, missing, none, prices, sizes, skewed, most = self.state.get()
+                self.state.clear()
+                names = (*self.keys, "event_count", "first_trade_id", "last_trade_id", "non_monotonic_count", "duplicate_trade_id_count", "trade_id_gap_count", "trade_id_gap_total_missing", "missing_trade_id_count", "invalid_price_count", "invalid_size_count", "excessive_clock_skew_count", "max_clock_skew_ms")
+                yield pd.DataFrame([(*key, n, first, last, back, same, gaps, missing, none, prices, sizes, skewed, most)], columns=list(names), dtype=object)
+
+        def close(self) -> None:
+            pass
+
+    return Runs(keys, order)
+
+
+def run_verdicts(events: DataFrame, keys: list[str], order: list[str], ends_at: Column, max_skew_ms: float = 60_000) -> DataFrame:
+    """Trade verdicts of runs, each emitted once when the watermark passes its end: the rules of `verdicts.trades`.
+
+    keys: the run; ends_at: its end, from the run's columns. Batches bring a run's events in order, rows of a batch are put in order.
+    """
+    from ..operators import verdicts
+
+    own = verdicts.with_trade_id(events)
+    own = own.select(*keys, *(c for c in order if c not in keys), _C("id").cast("string").alias("id"), (~finite_positive(_C("price"))).alias("bad_price"), (~finite_positive(_C("size"))).alias("bad_size"), F.coalesce(_C("skew") > max_skew_ms, F.lit(False)).alias("far"), _C("skew").cast("double").alias("skew"), F.unix_millis(ends_at).alias("end_ms"))
+    counts = ("event_count", "first_trade_id", "last_trade_id", "non_monotonic_count", "duplicate_trade_id_count", "trade_id_gap_count", "trade_id_gap_total_missing", "missing_trade_id_count", "invalid_price_count", "invalid_size_count", "excessive_clock_skew_count")
+    shape = StructType([StructField(k, events.schema[k].dataType) for k in keys] + [StructField(c, LongType()) for c in counts] + [StructField("max_clock_skew_ms", DoubleType())])
+    out = own.groupBy(*keys).transformWithStateInPandas(statefulProcessor=_run_counters(keys, order), outputStructType=shape, outputMode="Append", timeMode="EventTime")
+    return verdicts.judged_trades(out)
 
 
 def _seen(order: list[str], columns: list[str], ttl_ms: int | None) -> StatefulProcessor:
@@ -106,8 +184,68 @@ def _seen(order: list[str], columns: list[str], ttl_ms: int | None) -> StatefulP
 def stateful_new_or_edit(items: DataFrame, keys: list[str], order: list[str], columns: list[str], ttl_ms: int | None = 30 * 86_400_000) -> DataFrame:
     """New and edited items of a stream of polls, by key; state is bounded by its time to live."""
     kept = list(dict.fromkeys([*columns, "content_hash"]))
-    shape = ", ".join(f"`{c}` {items.schema[c].dataType.simpleString()}" for c in kept) + ", row_type string"
-    return items.groupBy(*keys).transformWithStateInPandas(statefulProcessor=_seen(order, kept, ttl_ms), outputStructType=shape, outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None")
+    return items.groupBy(*keys).transformWithStateInPandas(statefulProcessor=_seen(order, kept, ttl_ms), outputStructType=_kept(items, kept, "row_type"), outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None")
+
+
+def _capped(id_: str, order: list[str], columns: list[str], cap: int) -> StatefulProcessor:
+    class Capped(StatefulProcessor):
+        """The last hashes of a feed's items, the least recently seen one going beyond a cap."""
+
+        def __init__(self, id_: str, order: list[str], columns: list[str], cap: int):
+            self.id, self.order, self.columns, self.cap = id_, order, columns, cap
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.items = handle.getMapState("items", "id string", "hash string, seen bigint")
+            self.clock = handle.getValueState("clock", "seen bigint")
+
+        def handleInitialState(self, key: tuple, initialState: pd.DataFrame, timerValues: object) -> None:
+            for item, value, recency in zip(initialState["id"], initialState["content_hash"], initialState["recency"], strict=True):
+                if recency <= self.cap:
+                    self.items.updateValue((item,), (value, -int(recency)))
+
+        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+            batch = pd.concat(list(rows)).sort_values(self.order, kind="stable")
+            known = {k[0]: tuple(v) for k, v in self.items.iterator()}
+            before = dict(known)
+            held = dict(sorted(known.items(), key=lambda x: x[1][1]))  # least recently seen first
+            clock = self.clock.get()[0] if self.clock.exists() else 0
+            kinds = []
+            for item, value in zip(batch[self.id], batch["content_hash"], strict=True):
+                if item is None or item != item:
+                    kinds.append("new")
+                    continue
+                last = held.pop(item, None)
+                kinds.append("new" if last is None else "edit" if last[0] != value else None)
+                clock += 1
+                held[item] = (value, clock)
+                if len(held) > self.cap:
+                    del held[next(iter(held))]
+            for item in before.keys() - held.keys():
+                self.items.removeKey((item,))
+            for item, value in held.items():
+                if before.get(item) != value:
+                    self.items.updateValue((item,), value)
+            self.clock.update((clock,))
+            out = batch.assign(row_type=pd.Series(kinds, index=batch.index, dtype=object))
+            yield out[out["row_type"].notna()][[*self.columns, "row_type"]]
+
+        def close(self) -> None:
+            pass
+
+    return Capped(id_, order, columns, cap)
+
+
+def capped_new_or_edit(items: DataFrame, feed: str, id_: str, order: list[str], columns: list[str], cap: int = 5000, start: DataFrame | None = None) -> DataFrame:
+    """New and edited items of a stream of polls by feed; a feed's state is its `cap` most recently seen items.
+
+    start: the state to begin with (feed, id, content_hash, recency from 1), as `quotes.seen_state` and `proven_state` make it; it is
+    read by the first batch of a new checkpoint alone. Items without an id pass as new. A feed is one task's, its state bounded by the cap.
+    """
+    kept = list(dict.fromkeys([*columns, id_, "content_hash"]))
+    own = None
+    if start is not None:
+        own = start.select(_C(feed), _C(id_).cast("string").alias("id"), _C("content_hash"), _C("recency").cast("bigint").alias("recency")).groupBy(feed)
+    return items.groupBy(feed).transformWithStateInPandas(statefulProcessor=_capped(id_, order, kept, cap), outputStructType=_kept(items, kept, "row_type"), outputMode="Append", timeMode="None", initialState=own)
 
 
 def once_per_batch(write: Callable[[DataFrame, int], None], done: str) -> Callable[[DataFrame, int], None]:
@@ -206,23 +344,38 @@ def _book(order: str) -> StatefulProcessor:
         def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
             batch = pd.concat(list(rows)).sort_values(self.order, kind="stable")
             books = [{k[0]: v[0] for k, v in s.iterator()} for s in self.sides]
-            before = [set(b) for b in books]
+            heaps = [[-p for p in books[0]], list(books[1])]  # best first; dead prices go when they surface
+            for heap in heaps:
+                heapq.heapify(heap)
+            before: list[dict] = [{}, {}]  # what changed levels were, null for none
             out = []
             for event, at, *levels in zip(batch["event_type"], batch[self.order], batch["bids"], batch["asks"], strict=True):
-                for book, own in zip(books, levels, strict=True):
+                best = []
+                for sign, book, heap, old, own in zip((-1, 1), books, heaps, before, levels, strict=True):
                     if event == "snapshot":
+                        for price, size in book.items():
+                            old.setdefault(price, size)
                         book.clear()
+                        heap.clear()
                     for x in own if own is not None else ():
+                        price = x["price"]
+                        old.setdefault(price, book.get(price))
                         if x["size"] == 0 or (event == "snapshot" and x["size"] < 0):
-                            book.pop(x["price"], None)
-                        else:
-                            book[x["price"]] = x["size"]
-                out.append((str(key[0]), at, max(books[0], default=None), min(books[1], default=None)))
+                            book.pop(price, None)
+                            continue
+                        if price not in book:
+                            heapq.heappush(heap, sign * price)
+                        book[price] = x["size"]
+                    while heap and sign * heap[0] not in book:
+                        heapq.heappop(heap)
+                    best.append(sign * heap[0] if heap else None)
+                out.append((str(key[0]), at, *best))
             for state, book, old in zip(self.sides, books, before, strict=True):
-                for price in old - set(book):
-                    state.removeKey((price,))
-                for price, size in book.items():
-                    state.updateValue((price,), (size,))
+                for price, size in old.items():
+                    if price not in book and size is not None:
+                        state.removeKey((price,))
+                    elif price in book and book[price] != size:
+                        state.updateValue((price,), (book[price],))
             yield pd.DataFrame(out, columns=["key", "ord", "best_bid", "best_ask"]).astype({"key": object, "best_bid": float, "best_ask": float})
 
         def close(self) -> None:
@@ -238,10 +391,42 @@ def stateful_book(updates: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def observed(events: DataFrame, name: str = "progress") -> DataFrame:
-    """Counters of each micro-batch, for a listener: rows, accepted, quarantined."""
+    """Counters of each micro-batch, for `BatchMetrics`: rows, accepted, quarantined."""
     return events.observe(name, F.count(F.lit(1)).alias("rows"), F.count_if("accepted").alias("accepted"), F.count_if(~_C("accepted")).alias("quarantined"))
 
 
+class BatchMetrics(StreamingQueryListener):
+    """Turns what `observed` counts into rows, one a batch, without a second pass over the data.
+
+    The latest `keep` batches are held on the driver; a batch that is delivered again replaces its row.
+    """
+
+    def __init__(self, name: str = "progress", keep: int = 10_000):
+        self.name, self.keep = name, keep
+        self.rows: dict[tuple[str, int], tuple[int, int, int]] = {}
+
+    def onQueryStarted(self, event: object) -> None:
+        pass
+
+    def onQueryProgress(self, event: object) -> None:
+        found = event.progress.observedMetrics.get(self.name)
+        if found is not None:
+            self.rows[str(event.progress.id), event.progress.batchId] = found.rows, found.accepted, found.quarantined
+            while len(self.rows) > self.keep:
+                del self.rows[next(iter(self.rows))]
+
+    def onQueryIdle(self, event: object) -> None:
+        pass
+
+    def onQueryTerminated(self, event: object) -> None:
+        pass
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """query, batch, rows, accepted, quarantined, partial (more may follow)."""
+        rows = [(*k, *v, True) for k, v in self.rows.items()]
+        return spark.createDataFrame(rows, "query string, batch bigint, rows bigint, accepted bigint, quarantined bigint, partial boolean")
+
+
 def with_metrics(write: Callable[[DataFrame, int], None], path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that also leaves a metrics row per key and batch (partial: more may follow), replaced if the batch comes again.
 
