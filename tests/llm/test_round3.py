@@ -239,3 +239,23 @@ def test_a_chain_of_calls_takes_few_jobs(spark):
     few = calls.where("id < 12") if "id" in calls.columns else calls.where(F.expr("cast(substr(call_id, 2) as int) < 12"))
     by_joins = {r.call_id: (r.level, r.n_known) for r in tool_calls.levels(few, most=5).collect()}
     assert by_joins == {f"c{k}": (k, min(k, 2)) for k in range(12)}
+
+
+def test_many_items_are_met_in_shards(spark, monkeypatch):
+    """Three shards and more: one read of the documents in the plan, the same hits as one automaton's, a hot shard in several tasks."""
+    rng = random.Random(13)
+    word = lambda: f"w{rng.randrange(60)}"
+    items = spark.createDataFrame([(i if i % 5 else None, " ".join(word() for _ in range(rng.choice([0, 1, 4, 12, 40])))) for i in range(60)], "item_id int, text string")
+    parts = [r.text for r in items.collect() if r.text]
+    docs = spark.createDataFrame([(i, " ".join([*(word() for _ in range(rng.randrange(30))), rng.choice(parts), "zz", rng.choice(parts)]) if i % 3 else None if i % 2 else "far away " * 9, str(i)) for i in range(200)], "doc_id int, text string, `a.b` string")
+    docs = docs.unionByName(docs.where("doc_id < 20"))
+    monkeypatch.setattr(decontaminate, "SHARE", 7)
+    want = decontaminate.hit_digest(decontaminate.find_hits(docs, items))
+    found = decontaminate.find_hits(docs, items, max_shard_words=150)
+    assert sorted(map(tuple, decontaminate.hit_digest(found).collect())) == sorted(map(tuple, want.collect()))
+    assert want.where("contaminated").count() > 100
+    scans = lambda frame: frame._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD")
+    assert scans(found) == scans(docs), "documents are read once beside the hits"
+    one, many = (decontaminate.decontaminate(docs, items, max_shard_words=n) for n in (100_000, 150))
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, many.collect()))
+    assert decontaminate.find_hits(docs.limit(0), items, max_shard_words=150).count() == 0

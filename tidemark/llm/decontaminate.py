@@ -6,10 +6,18 @@ A document word inside any occurrence of a window is *hit*. The automaton of all
 document once and holds, at each word, the longest match that ends there; a match of at least a
 window's length marks the words and, through the automaton's item sets, the items.
 
-Items are few beside the corpus but not assumed to be: they are cut into shards of at most
-`max_shard_words` words (long items overlap by a window less one word), one automaton a shard, so
-that what is broadcast is bounded. With one shard no row is shuffled; with several, each reads the texts in tasks of
-its own, and only hits are shuffled and joined back. A very long text is held as one list of words, in one task.
+Items are few beside the corpus but not assumed to be. Up to `max_shard_words` words of them are one automaton, which is
+broadcast: no row is shuffled. More of them are dealt to *shards* of about so many words (long items in pieces that overlap by
+a window less one word), whose automata are built in tasks and never meet the driver:
+
+1. The texts are read once, against a bounded filter of the windows' fingerprints (`FILTER` bits, whatever the items' number),
+   which is all that is broadcast. Texts with a window that it lets pass are candidates, each distinct one once.
+2. A candidate's fingerprints join the windows' and name its shards. It travels to those; there it streams past the shard's
+   automaton, which tells hits as the one automaton does, so a false fingerprint costs time alone. A shard with many
+   candidates is dealt over several tasks.
+3. Hits join the documents by 128-bit hashes and length of their texts.
+
+A very long text is held as one list of words, in one task.
 
 Defined results: null or word-less texts have no words and no hits; null or word-less items have no
 windows; repeated documents are judged one by one; repeated items count once per item_id;
@@ -19,17 +27,18 @@ tables give empty results (no items: nothing is hit); extra columns pass through
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Callable, Iterator
-from functools import reduce
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import encode, fields, from_row, in_row, shape, slices
+from ._common import discard, encode, fields, from_row, in_row, parallelism, shape, slices, written
+from .hashing import mix, word_hashes
 
 WINDOW = 10
 _KEEP = set(b"0123456789abcdefghijklmnopqrstuvwxyz") | set(range(0x80, 0x100))
@@ -155,41 +164,150 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return merged
 
 
-def _shards(items: DataFrame, item_id: str, text: str, window: int, most: int) -> Iterator[ItemAutomaton]:
-    """One automaton after the other, each of at most about `most` words: the driver holds one shard at a time."""
-    chars = items.agg(F.sum(F.length(text))).first()[0] or 0
-    n = max(1, -(-chars // (2 * most)))  # a word and its end take two characters at least
-    own = items.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).where("t is not null")
-    for k in range(n):
-        rows = (own if n == 1 else own.where(F.pmod(F.xxhash64("i"), F.lit(n)) == k)).distinct().toLocalIterator()
-        part: list[tuple[str | None, list[bytes]]] = []
-        size = 0
-        for row in rows:
-            words = words_of(row.t)
-            pieces = [words] if len(words) <= most else [words[a : a + most] for a in range(0, len(words) - window + 1, most - window + 1)]
-            for piece in pieces:
-                part.append((row.i, piece))
-                size += len(piece)
-                if size >= most:
-                    yield ItemAutomaton(part, window)
-                    part, size = [], 0
-        if part or k == 0:
-            yield ItemAutomaton(part, window)
+#: Bits of the windows' filter; slices of it are made by tasks.
+FILTER, SLICE = 1 << 27, 1 << 16
+#: Candidates that a task reads with one loading of a shard's automaton, about.
+SHARE = 5000
+_U = np.uint64
 
 
-def _scan(docs: DataFrame, keep: list[str], items: DataFrame, text: str, item_id: str, item_text: str, window: int, most: int, told: str, finish: Callable[[pa.Array, pa.Array, list[int], list[list[tuple[int, int]]], list[list[str | None]]], pa.RecordBatch]) -> DataFrame:
-    """What `finish` makes of a batch's rows (the kept columns), texts, numbers of words, hit spans and items.
+def _prints(words: np.ndarray, k: int) -> np.ndarray:
+    """Fingerprints of all k consecutive words, given by their hashes."""
+    n = len(words) - k + 1
+    out = np.zeros(max(0, n), _U)
+    for i in range(k if n > 0 else 0):
+        out = out * _U(0xC2B2AE3D27D4EB4F) + mix(words[i : i + n], i)
+    return mix(out, k)
 
-    One automaton is met in the task that reads the texts, and nothing is shuffled. Of several, each reads the texts in
-    tasks of its own and tells the hits of distinct texts, which then join the documents by 128-bit hashes and length.
-    """
+
+def _hashed(words: list[bytes]) -> np.ndarray:
+    return word_hashes([b" ".join(words)])[0]
+
+
+def _own(items: DataFrame, item_id: str, text: str) -> DataFrame:
+    return items.select(F.col(item_id).cast("string").alias("i"), F.col(text).cast("string").alias("t")).where("t is not null").distinct()
+
+
+def _pieces(items: DataFrame, window: int, most: int, shards: int) -> DataFrame:
+    """(shard, i, t): the items' words, joined by blanks, in pieces of at most `most` words."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            out = []
+            for i, t, at in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+                words = words_of(t)
+                pieces = [words] if len(words) <= most else [words[a : a + most] for a in range(0, len(words) - window + 1, most - window + 1)]
+                out += [((at + k) % shards, i, b" ".join(own).decode("utf-8", "replace")) for k, own in enumerate(pieces) if own]
+            columns = list(zip(*out, strict=True)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), *(pa.array(c, pa.string()) for c in columns[1:])], names=["shard", "i", "t"])
+
+    at = F.pmod(F.xxhash64("i", "t"), F.lit(shards)).alias("at")
+    return items.select("i", "t", at).mapInArrow(cut, shape(*fields("shard bigint, i string, t string")))
+
+
+def _windows(pieces: DataFrame, window: int) -> DataFrame:
+    """(shard, k, print) of the pieces' windows of k words, each once a shard."""
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            for shard, t in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+                words = _hashed(t.as_py().encode().split())
+                k = min(window, len(words))
+                found = np.unique(_prints(words, k)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), shard)), pa.array(np.full(len(found), k, np.int32)), pa.array(found)], names=["shard", "k", "print"])
+
+    return pieces.mapInArrow(tell, shape(*fields("shard bigint, k int, print bigint"))).distinct()
+
+
+def _filter(windows: DataFrame) -> np.ndarray:
+    """The bits of the windows' fingerprints; tasks make slices of it, the driver puts the slices together."""
+
+    def fill(table: pa.Table) -> pa.Table:
+        bits = np.zeros(SLICE, np.uint8)
+        bits[table.column("bit").to_numpy()] = 1
+        return pa.table({"part": table.column("part").slice(0, 1), "bits": pa.array([np.packbits(bits).tobytes()])})
+
+    at = F.pmod("print", F.lit(FILTER))
+    made = windows.select((at / SLICE).cast("int").alias("part"), (at % SLICE).cast("int").alias("bit")).distinct().groupBy("part").applyInArrow(fill, shape(*fields("part int, bits binary")))
+    out = np.zeros(FILTER // 8, np.uint8)
+    for row in made.collect():  # FILTER / 8 bytes at most
+        out[row.part * SLICE // 8 : (row.part + 1) * SLICE // 8] = np.frombuffer(row.bits, np.uint8)
+    return out
+
+
+def _sharded_hits(texts: DataFrame, items: DataFrame, window: int, most: int, shards: int) -> DataFrame:
+    """texts: h1, h2, n (what names a text) and t. (h1, h2, n, hits: array of starts, ends, items) of the distinct texts with a hit."""
+    spark = texts.sparkSession
+    keys = ["h1", "h2", "n"]
+    pieces = written(_pieces(items, window, most, shards))
+    windows = written(_windows(pieces, window))
+    sizes = sorted(r.k for r in windows.select("k").distinct().collect())  # at most `window` numbers
+    shared = spark.sparkContext.broadcast(_filter(windows))
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts with a fingerprint that the filter lets pass, and these fingerprints."""
+        bits = shared.value
+        for batch in slices(batches):
+            at, found = [], []
+            for i, t in enumerate(batch.column(3)):
+                words = words_of(t.as_py())
+                if words:
+                    hashes = _hashed(words)
+                    prints = np.unique(np.concatenate([_prints(hashes, k) for k in sizes if k <= len(hashes)] or [np.zeros(0, _U)]))
+                    place = (prints.view(np.int64) % FILTER).astype(np.int64)
+                    prints = prints[(bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1]
+                    if len(prints):
+                        at.append(i)
+                        found.append(prints.view(np.int64))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(at, pa.int64())) for c in range(4)), pa.array(found, pa.list_(pa.int64()))], names=[*keys, "t", "prints"])
+
+    kinds = shape(*((f.name, f.dataType) for f in texts.schema.fields), ("prints", "array<bigint>"))
+    candidates = written(texts.where("t is not null").mapInArrow(sift, kinds).dropDuplicates(keys))
+    named = candidates.select(*keys, F.explode("prints").alias("print")).join(windows.select("print", "shard").distinct(), "print").select(*keys, "shard").distinct()
+
+    def build(table: pa.Table) -> pa.Table:
+        own = list(zip(table.column("i").to_pylist(), (t.encode().split() for t in table.column("t").to_pylist()), strict=True))
+        return pa.table({"shard": table.column("shard").slice(0, 1), "automaton": pa.array([pickle.dumps(ItemAutomaton(own, window))], pa.binary())})
+
+    automata = pieces.groupBy("shard").applyInArrow(build, shape(*fields("shard bigint, automaton binary")))
+    named = written(named)
+    salts = named.groupBy("shard").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("salts"))
+    dealt = named.join(salts, "shard").withColumn("salt", F.pmod(F.xxhash64("h2"), F.col("salts")).cast("int")).join(candidates.select(*keys, "t"), keys)
+    loads = automata.join(salts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "automaton")
+    rows = dealt.select("shard", "salt", F.lit(1).alias("reads"), *keys, "t").unionByName(loads.withColumn("reads", F.lit(0)), allowMissingColumns=True)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = None
+        for batch in slices(batches, 16):
+            out = []
+            for i, (reads, t, blob) in enumerate(zip(*(batch.column(c) for c in ("reads", "t", "automaton")), strict=True)):
+                if not reads.as_py():
+                    automaton = None  # one at a time
+                    automaton = pickle.loads(blob.as_py())  # noqa: S301, made by `build` above
+                    continue
+                spans, names = automaton.read(words_of(t.as_py()))
+                if spans:
+                    out.append((i, [a for a, _ in spans], [b for _, b in spans], _in_order({automaton.names[x] for x in names})))
+            at, starts, ends, names = zip(*out, strict=True) if out else ([], [], [], [])
+            many = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(at, pa.int64())) for c in keys), pa.array(starts, many), pa.array(ends, many), pa.array(names, pa.list_(pa.string()))], names=[*keys, "starts", "ends", "items"])
+
+    kinds = shape(*((k, texts.schema[k].dataType) for k in keys), *fields("starts array<bigint>, ends array<bigint>, items array<string>"))
+    found = written(rows.repartition(parallelism(spark), "shard", "salt").sortWithinPartitions("shard", "salt", "reads").mapInArrow(read, kinds))
+    discard(pieces, windows, candidates, named)
+    return found.groupBy(*keys).agg(F.collect_list(F.struct("starts", "ends", "items")).alias("hits"))
+
+
+def _scan(docs: DataFrame, keep: list[str], items: DataFrame, text: str, item_id: str, item_text: str, window: int, most: int, told: str, finish: Callable[[pa.Array, pa.Array, list[int], list[list[tuple[int, int]]], list[list[str | None]]], pa.RecordBatch]) -> DataFrame:
+    """What `finish` makes of a batch's rows (the kept columns), texts, numbers of words, hit spans and items."""
     spark = docs.sparkSession
     frame = docs.select(in_row(docs, keep), F.col(text).cast("string").alias("t"))
     made = shape(("row", frame.schema["row"].dataType), *fields(told))
-    shards = _shards(items, item_id, item_text, window, most)
-    first, second = next(shards), next(shards, None)
-    if second is None:
-        shared = spark.sparkContext.broadcast(first)
+    own = _own(items, item_id, item_text)
+    chars = own.agg(F.sum(F.length("t") + 1)).first()[0] or 0
+    shards = max(1, -(-chars // (2 * most)))  # a word and its end take two characters at least
+    if shards == 1:
+        shared = spark.sparkContext.broadcast(ItemAutomaton([(r.i, words_of(r.t)) for r in own.toLocalIterator()], window))
 
         def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
@@ -201,24 +319,7 @@ def _scan(docs: DataFrame, keep: list[str], items: DataFrame, text: str, item_id
         return frame.mapInArrow(read, made)
 
     keys = {"h1": F.xxhash64("t"), "h2": F.xxhash64(F.length("t"), "t"), "n": F.length("t")}
-    found = []
-    for automaton in chain([first, second], shards):
-        shared = spark.sparkContext.broadcast(automaton)
-
-        def tell(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches):
-                rows = []
-                for i, value in enumerate(batch.column(3)):
-                    spans, names = shared.value.read(words_of(value.as_py()))
-                    if spans:
-                        rows.append((i, [a for a, _ in spans], [b for _, b in spans], _in_order({shared.value.names[x] for x in names})))
-                at, starts, ends, names = zip(*rows, strict=True) if rows else ([], [], [], [])
-                many = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(at, pa.int64())) for c in range(3)), pa.array(starts, many), pa.array(ends, many), pa.array(names, pa.list_(pa.string()))], names=["h1", "h2", "n", "starts", "ends", "items"])
-
-        texts = frame.select(*(c.alias(k) for k, c in keys.items()), "t")
-        found.append(texts.mapInArrow(tell, "h1 bigint, h2 bigint, n int, starts array<bigint>, ends array<bigint>, items array<string>"))
-    hits = reduce(DataFrame.unionByName, found).distinct().groupBy(*keys).agg(F.collect_list(F.struct("starts", "ends", "items")).alias("hits"))
+    hits = _sharded_hits(frame.select(*(c.alias(k) for k, c in keys.items()), "t"), own, window, most, shards)
     joined = frame.select("row", "t", *(c.alias(k) for k, c in keys.items())).join(hits, list(keys), "left").select("row", "t", "hits")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
