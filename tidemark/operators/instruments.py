@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,15 +27,21 @@ QUOTES = ("USDT", "USDC", "USD", "BTC", "ETH")
 _PAIR = f"struct<base_asset:{ASSET},quote_asset:{ASSET}>"
 
 
+def _local(spark: SparkSession, rows: list[tuple], *names: str) -> DataFrame:
+    """A fixed table of text columns as a local relation: its size is known, so a join with it needs no exchange of the other side."""
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    return spark.createDataFrame(pa.table({n: pa.array(c, pa.string()) for n, c in zip(names, columns, strict=True)}))
+
+
 def asset_aliases(spark: SparkSession, asset_id: str | None = None) -> DataFrame:
     rows = [(a, s, alias, name, kind, venue, "active") for a, s, name, aliases in ASSETS for alias, kind, venue in aliases if asset_id in (None, a)]
-    return spark.createDataFrame(rows, "asset_id string, canonical_symbol string, alias string, name string, alias_type string, venue string, status string")
+    return _local(spark, rows, "asset_id", "canonical_symbol", "alias", "name", "alias_type", "venue", "status")
 
 
 def instrument_aliases(spark: SparkSession, venue: str | None = None, instrument_type: str | None = None) -> DataFrame:
     ids = {s: a for a, s, _, _ in ASSETS}
     rows = [(f"perp:{v}:{s}", v, s, f"{b}/{q}-PERP", "perp", ids[b], ids[q], ids[k], "active") for v, s, b, q, k in PERPS if venue in (None, v) and instrument_type in (None, "perp")]
-    return spark.createDataFrame(rows, "instrument_id string, venue string, venue_symbol string, canonical_symbol string, instrument_type string, base_asset_id string, quote_asset_id string, settlement_asset_id string, status string")
+    return _local(spark, rows, "instrument_id", "venue", "venue_symbol", "canonical_symbol", "instrument_type", "base_asset_id", "quote_asset_id", "settlement_asset_id", "status")
 
 
 def dimension_summary(aliases: DataFrame, instruments: DataFrame) -> DataFrame:
