@@ -137,6 +137,19 @@ def quarantine_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("run_path", F.array_join("findings", ",").alias("findings"), F.coalesce("samples", F.lit(0)).alias("samples"), "batch")
 
 
+def promotion_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs promoted in two batches, the first of which comes twice: rows and the index lines that make them count, behind one marker."""
+    runs, root = order_runs(spark, sf_dir), shared_folder(spark)
+    actions = curation.promotion_actions(runs, _quarantined(runs), _promoted(runs))
+    rows = curation.promoted_rows(table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "run_path"), actions, F.lit("2026-01-01").cast("date"), "tag")
+    for batch, part in (("1", "run_path % 2 = 0"), ("1", "run_path % 2 = 0"), ("2", "run_path % 2 = 1")):
+        own = rows.where(part)
+        curation.commit({"rows": own, "index": own.groupBy("run_path").agg(F.count("*").alias("promoted_rows"))}, root, batch)
+    data, index = (curation.committed(spark, root, n) for n in ("rows", "index"))
+    kept = data.groupBy("run_path", "batch").agg(F.round(F.sum("l_quantity"), 2).alias("quantity"))
+    return index.join(kept, ["run_path", "batch"])
+
+
 def quarantine_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = order_runs(spark, sf_dir)
     return curation.quarantine_report(curation.quarantine_actions(runs, _quarantined(runs))).withColumn("findings", F.array_join("findings", ","))
@@ -389,7 +402,7 @@ def lane_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.withColumn("p", S.lane_parts(_C("lane"))).select("s_suppkey", "p.venue", "p.dataset", "p.instrument")
 
 
-QUERIES = {f.__name__: f for f in (promotion_actions, quarantine_actions, promoted_rows, promotion_index_dedup, promotion_index_stats, readiness_by_lane_day, worst_class_latch, lane_summary, day_summary, runs_to_score, book_sync_health, finding_histogram, run_samples, curated_once, promoted_per_run, quote_states, quote_transitions, quote_counters, market_quotes, market_discovery, text_content_hash, text_verdict, text_read_once, text_new_edit, seen_state_cap, clean_ratio_streak, quarantine_ratio, job_freshness, recent_failures, silence_gaps, retention_plan, stuck_accounting, retention_candidates, lane_differences, copy_differences, growth_alert, partition_layout, resume_high_water, feed_items, listing_children, page_cap, lane_names, promotion_rollup_days, scoring_report, quarantine_commit, quarantine_report, offload_report, zero_byte_files, recent_high_water)}
+QUERIES = {f.__name__: f for f in (promotion_actions, quarantine_actions, promoted_rows, promotion_index_dedup, promotion_index_stats, readiness_by_lane_day, worst_class_latch, lane_summary, day_summary, runs_to_score, book_sync_health, finding_histogram, run_samples, curated_once, promoted_per_run, quote_states, quote_transitions, quote_counters, market_quotes, market_discovery, text_content_hash, text_verdict, text_read_once, text_new_edit, seen_state_cap, clean_ratio_streak, quarantine_ratio, job_freshness, recent_failures, silence_gaps, retention_plan, stuck_accounting, retention_candidates, lane_differences, copy_differences, growth_alert, partition_layout, resume_high_water, feed_items, listing_children, page_cap, lane_names, promotion_rollup_days, scoring_report, quarantine_commit, promotion_commit, quarantine_report, offload_report, zero_byte_files, recent_high_water)}
 
 
 def _named(*pairs: tuple[str, str]) -> str:
@@ -444,6 +457,7 @@ select lane, count(*) filter (todo and replayable is not null) as scanned, count
  coalesce((select string_agg(finding || ':' || n, ',' order by finding) from f where f.lane = done.lane), '') as findings from done group by lane""",
     "quarantine_commit": f"""with {RUNS}, q as (select * from r where not replayable and o_custkey % 7 <> 0 and run_path % 3 <> 2), n as (select l_orderkey as run_path, least(count(*), 5) as n from lineitem group by 1)
 select run_path, case when o_custkey % 4 = 1 then 'unreplayable,gap' else 'unreplayable' end as findings, cast(coalesce(n, 0) as integer) as samples, 'compact-1' as batch from q left join n using (run_path)""",
+    "promotion_commit": f"with {RUNS} select run_path, cast(run_path % 2 + 1 as varchar) as batch, count(*) as promoted_rows, round(sum(l_quantity), 2) as quantity from r join lineitem on l_orderkey = run_path where {_ACTION} = 'promote' group by run_path",
     "quarantine_report": f"with {RUNS} select count(*) as scanned_runs, count(*) filter (not replayable and o_custkey % 7 <> 0) as quarantined_runs, count(*) filter (not coalesce(not replayable and o_custkey % 7 <> 0, false)) as skipped_runs, case when quarantined_runs = 0 then 'no_quarantine_changes' else '' end as findings, case when quarantined_runs = 0 then 'warn' else 'ok' end as status from r",
     "offload_report": f"""with {RUNS},
 o as (select *, case when lane = 'LOW' then 400 else 900 end as least, lane = 'URGENT' or o_custkey % 5 = 0 or o_custkey % 7 = 0 as ok from r where lane <> 'MEDIUM'),

@@ -185,19 +185,20 @@ def stream_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def empty_run_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdicts of the runs of all customers on the first day, most of which have no event; of 25 customers' runs for books."""
-    e = trades(spark, sf_dir).where("day = '2024-01-01'")
-    runs = table(spark, sf_dir, "customer").select(_C("c_custkey").alias("user_id"))
+    """Verdicts of two runs a customer: one with all its events and windows, and one without any."""
+    e = trades(spark, sf_dir).withColumn("user_id", _C("user_id") * 2)
+    runs = table(spark, sf_dir, "customer").select(F.explode(F.array(_C("c_custkey") * 2, _C("c_custkey") * 2 + 1)).alias("user_id"))
     u = e.select("user_id", "ord", F.when(_C("event_type") == "signup", "snapshot").otherwise("delta").alias("event_type"), _C("exchange_time").alias("event_time"))
-    w, by_nation = windows(spark, sf_dir), table(spark, sf_dir, "nation").select(_C("n_nationkey").alias("run"))
-    anchors = by_nation.select("run", F.lit(0).cast("bigint").alias("snapshot_last_update_id"))
+    w = windows(spark, sf_dir).withColumn("run", _C("run") * 2)
+    of_books = runs.withColumnRenamed("user_id", "run")
+    anchors = of_books.select("run", F.lit(0).cast("bigint").alias("snapshot_last_update_id"))
     keys, order = ["user_id"], ["ord"]
     made = {
         "trades": verdicts.trades(e, keys, order, runs=runs),
         "trades_stream": verdicts.trades_stream(e, keys, order, runs=runs),
         "funding": verdicts.funding(e.where("channel = 'funding'"), keys, order, runs=runs),
         "depth_stream": verdicts.depth_stream(u, keys, order, runs=runs),
-        "depth": verdicts.depth(w, ["run"], order, anchors, runs=by_nation).withColumnRenamed("run", "user_id"),
+        "depth": verdicts.depth(w, ["run"], order, anchors, runs=of_books).withColumnRenamed("run", "user_id"),
     }
     rows = [v.select(F.lit(k).alias("kind"), "user_id", "event_count", F.array_contains("findings", "no_events").alias("no_events"), "replayable") for k, v in made.items()]
     return reduce(DataFrame.unionByName, rows)
@@ -263,12 +264,12 @@ select run, 'stream_snapshot_checksum' as mode, 'checksum' as gap_detection, che
  concat_ws(',', case when snaps = 0 then 'no_snapshot_anchor' end, case when snaps > 0 and not opens then 'run_does_not_start_with_snapshot' end, case when lacking > 0 then 'missing_checksum' end, case when wrong > 0 then 'checksum_mismatch' end) as findings, snaps > 0 and opens and checked > 0 and wrong + lacking = 0 as replayable from a""",
     "stream_modes": """with f as (select o_custkey as run, min(o_orderkey) as k from orders group by 1)
 select run, (['bybit','okx_perp','kraken','binance'])[k % 4 + 1] as venue, case when k % 3 = 0 then 'BTC/USD' else 'XYZ/USD' end as product, case k % 4 when 0 then 'dense' when 1 then 'chain' when 2 then case when k % 3 = 0 then 'checksum' else 'structural' end else 'structural' end as stream_mode from f""",
-    "empty_run_verdicts": f"""with {TRADES}, d as (select * from e where day = date '2024-01-01'), c as (select c_custkey as user_id from customer),
+    "empty_run_verdicts": f"""with {TRADES}, d as (select * replace (user_id * 2 as user_id) from e), c as (select unnest([2 * c_custkey, 2 * c_custkey + 1]) as user_id from customer),
 v as (select *, sequence - lag(sequence) over (partition by user_id order by ord) as step from d),
 t as (select user_id, count(*) as n, bool_and(price > 0 and size > 0 and abs(delay) <= 60) as fine, bool_and(step is null or step = 1) as dense from v group by 1),
 f as (select user_id, count(*) as n, bool_and(price > 0 and abs(delay) <= 60) as fine from d where channel = 'funding' group by 1),
 s as (select user_id, count(*) as n, count(*) filter (again) as snaps, arg_min(again, ord) as opens from d group by 1),
-w as (select o_custkey as run, o_orderkey as ord, o_orderkey * 2 + case when o_orderkey % 97 = 0 then 5 else 0 end as lo, o_orderkey * 2 + case when o_orderkey % 89 = 0 then -3 else 1 end as hi from orders),
+w as (select o_custkey * 2 as run, o_orderkey as ord, o_orderkey * 2 + case when o_orderkey % 97 = 0 then 5 else 0 end as lo, o_orderkey * 2 + case when o_orderkey % 89 = 0 then -3 else 1 end as hi from orders),
 w1 as (select *, lo <= hi as valid, lo <= hi and hi > 0 as past from w), w2 as (select *, count(*) filter (past) over (partition by run order by ord rows between unbounded preceding and 1 preceding) as k from w1),
 w3 as (select *, valid and k = 0 and not past as skipped, valid and (k > 0 or past) as live, past and k = 0 as anch from w2), w4 as (select *, max(case when live then hi end) over (partition by run order by ord rows between unbounded preceding and 1 preceding) as prev from w3),
 b as (select run, count(*) filter (not skipped) as n, count(*) filter (not valid or live and not anch and (hi <= prev or lo > prev + 1) or anch and lo > 1) as poor from w4 group by run)
@@ -276,7 +277,7 @@ select 'trades' as kind, user_id, coalesce(n, 0) as event_count, n is null as no
 union all select 'trades_stream', user_id, coalesce(n, 0), n is null, coalesce(fine, false) from c left join t using (user_id)
 union all select 'funding', user_id, coalesce(n, 0), n is null, coalesce(fine, false) from c left join f using (user_id)
 union all select 'depth_stream', user_id, coalesce(n, 0), n is null, coalesce(snaps > 0 and opens, false) from c left join s using (user_id)
-union all select 'depth', n_nationkey, coalesce(n, 0), coalesce(n, 0) = 0, coalesce(n > 0 and poor = 0, false) from nation left join b on run = n_nationkey""",
+union all select 'depth', user_id, coalesce(n, 0), coalesce(n, 0) = 0, coalesce(n > 0 and poor = 0, false) from c left join b on run = user_id""",
     "ordered_lanes": """with l as (select distinct 'v' || (s_suppkey % 5) as venue, case when s_suppkey % 2 = 0 then 'trades' else 'depth' end as dataset, case when s_suppkey % 3 = 0 then 'btc' || (s_suppkey % 4) else '' end as instrument from supplier)
 select venue || '_' || dataset || case when instrument <> '' then '_' || instrument else '' end as lane, row_number() over (order by venue, dataset, instrument) as place from l""",
     "shortest_frequency": """with p as (select p_partkey % 37 as "group", (['daily','weekly','hourly','monthly','annual'])[p_partkey % 11 % 5 + 1] as frequency, ([86400, 604800, 3600, 2592000, 31536000])[p_partkey % 11 % 5 + 1] as s from part)
