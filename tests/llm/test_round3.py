@@ -259,3 +259,12 @@ def test_many_items_are_met_in_shards(spark, monkeypatch):
     one, many = (decontaminate.decontaminate(docs, items, max_shard_words=n) for n in (100_000, 150))
     assert sorted(map(repr, one.collect())) == sorted(map(repr, many.collect()))
     assert decontaminate.find_hits(docs.limit(0), items, max_shard_words=150).count() == 0
+
+
+def test_a_page_without_an_id_and_page_minus_one_are_two(spark):
+    from tidemark.llm import warc
+
+    pages = spark.createDataFrame([(-1, "http://a.org/", "minus"), (None, "http://a.org/", "none"), (None, None, None), (3, "http://a.org/", "y" * 1000), (-1, "http://b.org/", "y" * 1000)], "page_id bigint, url string, html string")
+    archive = warc.write(pages)
+    out = warc.read(archive, warc.lookup(archive, warc.wanted_of(pages))).select("page_id", "payload_bytes", "record_type", "refers_to").collect()
+    assert sorted(map(repr, map(tuple, out))) == sorted(map(repr, [(-1, 5, "response", None), (None, 4, "response", None), (None, 0, "response", None), (3, 1000, "response", None), (-1, 1000, "revisit", 3)]))

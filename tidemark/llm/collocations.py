@@ -36,7 +36,7 @@ from .hashing import mix, prints
 
 _U = np.uint64
 #: Bytes of text in a block.
-BLOCK = 8 << 20
+BLOCK = 5 << 20
 #: 2: ends a piece, 1: ends a word.
 _KIND = np.zeros(256, np.int8)
 _KIND[list(b" \t")] = 1
