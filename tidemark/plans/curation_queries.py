@@ -271,6 +271,15 @@ def seen_state_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.seen_state(d, "source", "item", "doc_id", cap=10).select("source", "item", "doc_id", "content_hash", _C("recency").cast("bigint").alias("recency"))
 
 
+def seen_state_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of even documents, as far as its rows stand in clean (two thirds do), goes on with odd ones; ten items a source at each time."""
+    d = table(spark, sf_dir, "documents").select("source", (_C("doc_id") % 400).alias("item"), "doc_id", S.content_hash(_C("text")).alias("content_hash"))
+    start = quotes.seen_state(d.where("doc_id % 2 = 0"), "source", "item", "doc_id", cap=10)
+    start = quotes.proven_state(start, d.where("doc_id % 2 = 0 and doc_id % 3 <> 0"), "source", "item")
+    out = quotes.seen_state(d.where("doc_id % 2 = 1"), "source", "item", "doc_id", cap=10, start=start)
+    return out.select("source", "item", "doc_id", "content_hash", _C("recency").cast("bigint").alias("recency"))
+
+
 def _run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     c = lambda x: F.count_if(_C("event_type") == x)
@@ -402,7 +411,7 @@ def lane_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.withColumn("p", S.lane_parts(_C("lane"))).select("s_suppkey", "p.venue", "p.dataset", "p.instrument")
 
 
-QUERIES = {f.__name__: f for f in (promotion_actions, quarantine_actions, promoted_rows, promotion_index_dedup, promotion_index_stats, readiness_by_lane_day, worst_class_latch, lane_summary, day_summary, runs_to_score, book_sync_health, finding_histogram, run_samples, curated_once, promoted_per_run, quote_states, quote_transitions, quote_counters, market_quotes, market_discovery, text_content_hash, text_verdict, text_read_once, text_new_edit, seen_state_cap, clean_ratio_streak, quarantine_ratio, job_freshness, recent_failures, silence_gaps, retention_plan, stuck_accounting, retention_candidates, lane_differences, copy_differences, growth_alert, partition_layout, resume_high_water, feed_items, listing_children, page_cap, lane_names, promotion_rollup_days, scoring_report, quarantine_commit, promotion_commit, quarantine_report, offload_report, zero_byte_files, recent_high_water)}
+QUERIES = {f.__name__: f for f in (promotion_actions, quarantine_actions, promoted_rows, promotion_index_dedup, promotion_index_stats, readiness_by_lane_day, worst_class_latch, lane_summary, day_summary, runs_to_score, book_sync_health, finding_histogram, run_samples, curated_once, promoted_per_run, quote_states, quote_transitions, quote_counters, market_quotes, market_discovery, text_content_hash, text_verdict, text_read_once, text_new_edit, seen_state_cap, seen_state_resumed, clean_ratio_streak, quarantine_ratio, job_freshness, recent_failures, silence_gaps, retention_plan, stuck_accounting, retention_candidates, lane_differences, copy_differences, growth_alert, partition_layout, resume_high_water, feed_items, listing_children, page_cap, lane_names, promotion_rollup_days, scoring_report, quarantine_commit, promotion_commit, quarantine_report, offload_report, zero_byte_files, recent_high_water)}
 
 
 def _named(*pairs: tuple[str, str]) -> str:
@@ -503,6 +512,14 @@ a as (select lane, run, count(*) as event_count, count(*) filter (not edit) as n
 select *, {_named(("missing_envelope_count > 0", "missing_envelope_fields"), ("non_monotonic_ingestion_count > 0", "non_monotonic_ingestion_ts"), ("duplicate_key_count > 0", "duplicate_envelope_keys"), ("missing_source_ts_count > 0", "missing_source_ts"), ("unparseable_source_ts_count > 0", "unparseable_source_ts"), ("stale_source_ts_count > 0", "stale_source_ts"), ("future_source_ts_count > 0", "future_source_ts"))} as findings, missing_envelope_count + non_monotonic_ingestion_count = 0 as replayable from a""",
     "text_read_once": """with i as (select doc_id as ord, lang as source, coalesce(text, '') as t, 1700000000 + doc_id * 60 - case when doc_id % 113 = 0 then 600 else 0 end as seen from documents where doc_id % 59 <> 0), n as (select *, row_number() over (partition by source, t order by seen desc, ord) as n from i) select ord, source from n where n = 1""",
     "text_new_edit": "with p as (select *, coalesce(text, '') as t, lag(coalesce(text, '')) over (partition by conv_id order by turn) as q from conversations) select conv_id, turn, case when q is null then 'new' else 'edit' end as row_type from p where q is null or q <> t",
+    "seen_state_resumed": """with d as (select source, doc_id % 400 as item, doc_id, sha256(cast(to_json([coalesce(text, '')]) as varchar)) as h from documents),
+b as (select source, item, arg_max(h, doc_id) as h, max(doc_id) as doc_id from d where doc_id % 2 = 0 group by all),
+n as (select *, row_number() over (partition by source order by doc_id desc, item) as recency from b),
+s as (select n.* from n where recency <= 10 and exists (from d where d.source = n.source and d.item = n.item and d.h = n.h and d.doc_id % 2 = 0 and d.doc_id % 3 <> 0)),
+a as (select source, item, arg_max(h, doc_id) as h, max(doc_id) as doc_id from d where doc_id % 2 = 1 group by all),
+u as (select source, item, h, doc_id, 1 as later from a union all select source, item, h, doc_id, 0 from s where not exists (from a where a.source = s.source and a.item = s.item)),
+r as (select *, row_number() over (partition by source order by later desc, doc_id desc, item) as recency from u)
+select source, item, doc_id, h as content_hash, recency from r where recency <= 10""",
     "seen_state_cap": "with l as (select source, doc_id % 400 as item, max(doc_id) as doc_id, sha256(cast(to_json([arg_max(coalesce(text, ''), doc_id)]) as varchar)) as content_hash from documents group by all), n as (select *, row_number() over (partition by source order by doc_id desc, item) as recency from l) select * from n where recency <= 10",
     "clean_ratio_streak": f"""with {_METRICS}, n as (select *, row_number() over (partition by lane order by run_id desc) as n, clean_events / raw_events as ratio, day(run_id) % 2 = 0 as ok from m),
 a as (select lane, count(*) as runs, cast(sum(raw_events) as bigint) as raw_events, cast(sum(clean_events) as bigint) as clean_events, cast(sum(quarantined_events) as bigint) as quarantined_events, arg_max(ok, run_id) as latest_replayable, max(run_id) as last, max(ratio) filter (n <= 3) as hi, count(*) filter (n <= 3) as k from n where n <= 20 group by lane)
