@@ -1,6 +1,6 @@
 """Quality classifier: nearest-neighbour voting among labelled documents in a latent-semantic space.
 
-Terms of a document: its words (A-Z lower-cased, up to 64 bytes), the shapes of its words (runs of lower case, capitals, digits as one sign; other characters as they
+Terms of a document: its words (A-Z lower-cased; the `max_words` that most of the sample's documents hold, two at least), the shapes of its words (runs of lower case, capitals, digits as one sign; other characters as they
 are; a shape of over 16 signs counts as consecutive shapes of 16), pairs of neighbouring shapes, and how its words repeat (the word before again, a word seen before, a line seen
 before). Weights are log-scaled shares times inverse document frequencies; a truncated singular value decomposition of
 the labelled sample's term matrix spans the space. The sample is bounded: the first `max_labelled` rows by hash order of
@@ -32,14 +32,16 @@ from pyspark.sql import functions as F
 from ._common import LOWER_ASCII, encode, fields, shape, slices
 
 _SHAPE = bytes(97 if 97 <= c <= 122 or c >= 128 else 65 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c for c in range(256))
+#: What a term that is a word starts with.
+WORD = b"\n="
 _RUNS = re.compile(rb"(.)\1+", re.S)
 
 
 class Terms:
     """Counts the terms of texts; remembers the shapes of a bounded number of words of at most 64 bytes."""
 
-    def __init__(self, remember: int = 100_000, wanted: dict | None = None):
-        self.wanted = wanted  # words to count; all where it is not given
+    def __init__(self, remember: int = 100_000, words: frozenset[bytes] | None = None):
+        self.words = words  # those that count as terms; all of up to 64 bytes where they are not given
         self.shapes: dict[bytes, list[bytes]] = {}
         self.remember = remember
 
@@ -70,8 +72,9 @@ class Terms:
         same = sum(a == b for a, b in zip(words, words[1:], strict=False))
         three = n - 2 - len(set(zip(words, words[1:], words[2:], strict=False))) if n > 2 else 0
         seen = len(lines) - len(set(lines))
-        own = Counter(w for w in data.translate(LOWER_ASCII).split() if len(w) <= 64)
-        out |= {b"\n=" + w: 0.5 * math.log1p(100 * c / n) for w, c in own.items() if self.wanted is None or b"\n=" + w in self.wanted}
+        lower = data.translate(LOWER_ASCII).split()
+        own = Counter(w for w in lower if w in self.words) if self.words is not None else Counter(w for w in lower if len(w) <= 64)
+        out |= {WORD + w: 0.5 * math.log1p(100 * c / n) for w, c in own.items()}
         for name, share in ((b"\nagain", same / n), (b"\nthree", three / n), (b"\nline", seen / len(lines))):
             for level in (0.02, 0.1, 0.3, 0.6):
                 if share > level:
@@ -117,7 +120,7 @@ class Space:
         return np.clip(out, 0, 1)
 
 
-def train(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, doc_id: str = "doc_id", text: str = "text", quality: str = "quality", max_labelled: int = 4000, max_chars: int = 40_000, dims: int = 48, max_terms: int = 6000) -> Space:
+def train(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, doc_id: str = "doc_id", text: str = "text", quality: str = "quality", max_labelled: int = 4000, max_chars: int = 40_000, dims: int = 48, max_terms: int = 6000, max_words: int = 2000) -> Space:
     """Fit on the first `max_labelled` allowed labelled ids by hash order, documents of at most `max_chars` characters; of texts of one id the least."""
     known = labels.where(F.col(quality).isin(0, 1) & F.col(doc_id).isNotNull())
     if learnable is not None:
@@ -126,17 +129,26 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, d
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t")).join(F.broadcast(chosen), "id")
     rows = rows.groupBy("id").agg(F.min("t").alias("t"), F.min("q").alias("q")).where(F.length("t") <= max_chars)  # one text an id
 
+    frame = rows.select(F.xxhash64("id").alias("h"), "t", "q")
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            for x in batch.column(1):
+                yield pa.RecordBatch.from_arrays([pa.array({w for w in encode(x.as_py()).translate(LOWER_ASCII).split() if len(w) <= 64}, pa.binary())], names=["word"])
+
+    often = frame.mapInArrow(words, shape(("word", "binary"))).groupBy("word").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(max_words)
+    known_words = frozenset(bytes(r.word) for r in often.collect())
+
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Terms()
+        reader = Terms(words=known_words)
         for batch in slices(batches):
             found = [reader.weights(x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([pa.array([list(r) for r in found], pa.list_(pa.binary())), pa.array([list(r.values()) for r in found], pa.list_(pa.float32())), batch.column(2), batch.column(0)], names=["terms", "weights", "q", "h"])
 
-    frame = rows.select(F.xxhash64("id").alias("h"), "t", "q")
     taught = sorted(frame.mapInArrow(terms, "terms array<binary>, weights array<float>, q int, h bigint").collect(), key=lambda r: (r.h, r.q, r.terms))
     df = Counter(bytes(t) for r in taught for t in r.terms)
-    word = lambda t: t.startswith(b"\n=")
-    kept = [t for kind in (False, True) for t in sorted((t for t, n in df.items() if n > 1 and word(t) == kind), key=lambda t: (-df[t], t))[:max_terms]]
+    shapes = sorted((t for t, n in df.items() if n > 1 and not t.startswith(WORD)), key=lambda t: (-df[t], t))[:max_terms]
+    kept = shapes + sorted(t for t in df if t.startswith(WORD))
     number = {t: i for i, t in enumerate(kept)}
     idf = np.array([math.log((1 + len(taught)) / (0.5 + df[t])) for t in kept], np.float32)
     full = [(i, number[bytes(t)], w) for i, r in enumerate(taught) for t, w in zip(r.terms, r.weights, strict=True) if bytes(t) in number]
@@ -163,7 +175,7 @@ def classify(docs: DataFrame, space: Space, doc_id: str = "doc_id", text: str =
     shared = docs.sparkSession.sparkContext.broadcast(space)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Terms(wanted=shared.value.terms)
+        reader = Terms(words=frozenset(t[len(WORD) :] for t in shared.value.terms if t.startswith(WORD)))
         for part in slices(batches):
             score = shared.value.score([reader.weights(x.as_py()) for x in part.column(1)], k, sharpness)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32))], names=["id", "score", "predicted"])
