@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import heapq
+import zlib
+from bisect import bisect_left
 from collections import deque
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -49,7 +52,22 @@ def _flat(lists: pa.Array) -> tuple[list[int], list[float], list[float]]:
     """Ends of each event's levels, and all prices and sizes in a row."""
     levels = lists.flatten()
     ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-    return [0, *ends.tolist()], levels.field("price").to_pylist(), levels.field("size").to_pylist()
+    plain = lambda x: x.to_pylist() if x.null_count else x.to_numpy(zero_copy_only=False).tolist()
+    return [0, *ends.tolist()], plain(levels.field("price")), plain(levels.field("size"))
+
+
+def _starts(names: list[pa.Array], last: list | None) -> tuple[list[bool], list]:
+    """Does a row's name differ from that of the row before (last: of the batch before), and the last row's name."""
+    n = len(names[0])
+    if any(pa.types.is_nested(x.type) for x in names):
+        of = list(zip(*(x.to_pylist() for x in names), strict=True))
+        starts = [list(of[0]) != last, *(a != b for a, b in zip(of, of[1:], strict=False))]
+        return starts, list(of[-1])
+    other = np.zeros(n - 1, bool)
+    for x in names:
+        a, b = x.slice(0, n - 1), x.slice(1)
+        other |= pc.or_(pc.fill_null(pc.not_equal(a, b), False), pc.xor(pc.is_null(a), pc.is_null(b))).to_numpy(zero_copy_only=False)
+    return [[x[0].as_py() for x in names] != last, *other.tolist()], [x[n - 1].as_py() for x in names]
 
 
 def with_starts(updates: DataFrame, keys: list[str], order: list[str], pieces: int | None = None) -> DataFrame:
@@ -74,6 +92,13 @@ def with_starts(updates: DataFrame, keys: list[str], order: list[str], pieces: i
     return rows.unionByName(books.withColumn("event_type", F.lit("start")), allowMissingColumns=True)
 
 
+def _standing(updates: DataFrame, keys: list[str], order: list[str], names: list[str] = ()) -> tuple[dict, DataFrame]:
+    """The types of keys, book and order, and the updates with each sub-book, or piece of one, sorted in a partition."""
+    kind = {c: updates.schema[c].dataType for c in [*keys, "book", *order]}
+    first = F.when(_C("event_type") == "start", 0).otherwise(1)  # before its piece's events
+    return kind, updates.select(*kind, "event_type", "bids", "asks", *names).repartition(*names, *keys, "book").sortWithinPartitions(*names, *keys, "book", first, *order)
+
+
 def _folded(updates: DataFrame, keys: list[str], order: list[str], made: str, fold: Callable[[Iterator], Iterator[tuple]]) -> DataFrame:
     """(keys, book, order and `made`) of every event: `fold` is given (whether the sub-book is new, a snapshot, bids, asks) in order.
 
@@ -81,9 +106,7 @@ def _folded(updates: DataFrame, keys: list[str], order: list[str], made: str, fo
     and each costs no call of its own.
     """
     names = [PIECE] if PIECE in updates.columns else []
-    kind = {c: updates.schema[c].dataType for c in [*keys, "book", *order]}
-    first = F.when(_C("event_type") == "start", 0).otherwise(1)  # before its piece's events
-    rows = updates.select(*kind, "event_type", "bids", "asks", *names).repartition(*names, *keys, "book").sortWithinPartitions(*names, *keys, "book", first, *order)
+    kind, rows = _standing(updates, keys, order, names)
     levels = pa.list_(pa.struct([("price", pa.float64()), ("size", pa.float64())]))
     types = [levels if "array" in x else pa.float64() for x in made.split(", ")]
     shape = StructType([StructField(c, t) for c, t in kind.items()] + list(StructType.fromDDL(made)))
@@ -178,6 +201,57 @@ def best_prices(updates: DataFrame, keys: list[str], order: str | list[str]) ->
     return _folded(with_starts(updates, keys, order), keys, order, "best_bid double, best_ask double", run)
 
 
+def checksums(updates: DataFrame, keys: list[str], order: str | list[str], price_decimals: int, size_decimals: int, depth: int | None = 10, top: int = 10) -> DataFrame:
+    """(keys, book, order, event_type, crc) after every event of each sub-book: what `book_crc` tells of `fold`, made while the books stream past.
+
+    A level is put into digits once, when it is written, and only sides that an event touches are joined again. A depth bounds the
+    book after each event, so a sub-book is one task's, streaming. updates: with `book`.
+    """
+    order = [order] if isinstance(order, str) else order
+    kind, rows = _standing(updates, keys, order)
+
+    def digits(value: float, decimals: int) -> str:
+        return f"{value:.{decimals}f}".replace(".", "").lstrip("0") or "0"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, made, text = ([], []), ([], []), ["", ""]  # a side's signed prices from the best, their levels' digits, its text
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            starts, last = _starts([batch.column(c) for c in (*keys, "book")], last)
+            snapshots = pc.fill_null(pc.equal(batch.column("event_type"), "snapshot"), False).to_numpy(zero_copy_only=False).tolist()
+            sides = [(i, sign, best[i], made[i], *_flat(batch.column(c))) for i, (c, sign) in enumerate((("bids", -1), ("asks", 1)))]
+            sums = []
+            for n, (new, snapshot) in enumerate(zip(starts, snapshots, strict=True)):
+                for i, sign, places, levels, ends, prices, sizes in sides:
+                    start, end = ends[n], ends[n + 1]
+                    if new or snapshot:
+                        places.clear()
+                        levels.clear()
+                    elif start == end:
+                        continue
+                    for at in range(start, end):
+                        price, size = sign * prices[at], sizes[at]
+                        place = bisect_left(places, price)
+                        known = place < len(places) and places[place] == price
+                        if size == 0 or (snapshot and not size > 0):
+                            if known and not snapshot:
+                                del places[place], levels[place]
+                        elif known:
+                            levels[place] = digits(sign * places[place], price_decimals) + digits(size, size_decimals)
+                        else:
+                            places.insert(place, price)
+                            levels.insert(place, digits(prices[at], price_decimals) + digits(size, size_decimals))
+                    if depth is not None:
+                        del places[depth:], levels[depth:]
+                    text[i] = "".join(levels[:top])
+                sums.append(zlib.crc32((text[1] + text[0]).encode()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*kind, "event_type")), pa.array(sums, pa.int64())], names=[*kind, "event_type", "crc"])
+
+    return rows.mapInArrow(run, StructType([StructField(c, t) for c, t in kind.items()] + list(StructType.fromDDL("event_type string, crc bigint"))))
+
+
 def crossed_counts(states: DataFrame, keys: list[str]) -> DataFrame:
     """Events after which the best bid was not below the best ask."""
     return states.groupBy(*keys).agg(F.count_if(F.coalesce(_C("best_bid") >= _C("best_ask"), F.lit(False))).alias("crossed_book_count"))
@@ -201,8 +275,8 @@ def book_crc(bids: Column, asks: Column, price_decimals: int, size_decimals: int
 
 
 def checksum_counts(states: DataFrame, keys: list[str], expected: str, price_decimals: int, size_decimals: int) -> DataFrame:
-    """Per run: checked, mismatching and missing checksums. states: `fold` output with the expected value joined."""
-    own = book_crc(_C("top_bids"), _C("top_asks"), price_decimals, size_decimals)
+    """Per run: checked, mismatching and missing checksums. states: `checksums` or `fold` output with the expected value joined."""
+    own = _C("crc") if "crc" in states.columns else book_crc(_C("top_bids"), _C("top_asks"), price_decimals, size_decimals)
     return states.groupBy(*keys).agg(F.count(expected).alias("checksum_checked_count"), F.count_if(_C(expected) != own).alias("checksum_mismatch_count"), F.count_if(_C(expected).isNull()).alias("checksum_missing_count"))
 
 

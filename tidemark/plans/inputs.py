@@ -41,7 +41,7 @@ def depth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every 40th order is a snapshot; returned lines have size 0. A frame's price stands once a side: its largest size.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem").repartition("l_suppkey")  # once for levels, frames and the runs' windows
     level = li.groupBy(_C("l_suppkey").alias("run"), _C("l_orderkey").alias("ord"), F.when(_C("l_linestatus") == "O", "bid").otherwise("ask").alias("side"), (_C("l_partkey") % 50).cast("double").alias("price")).agg(F.max(F.when(_C("l_returnflag") == "R", 0.0).otherwise(_C("l_quantity"))).alias("size"))
     pair = F.struct("price", "size")
     side = lambda s: F.array_sort(F.collect_list(F.when(_C("side") == s, pair)))
