@@ -120,8 +120,7 @@ def crossed_book_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def book_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The checksum after every event of books bounded to ten levels a side."""
     u = book.sub_books(depth(spark, sf_dir), ["run"], ["ord"])
-    states = book.fold(u, ["run"], "ord", depth=10)
-    return states.select("run", "ord", book.book_crc(_C("top_bids"), _C("top_asks"), 1, 8).alias("crc"))
+    return book.checksums(u, ["run"], "ord", 1, 8, depth=10).select("run", "ord", "crc")
 
 
 def instrument_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
