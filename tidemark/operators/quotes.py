@@ -13,10 +13,13 @@ _C = F.col
 
 def market_candidates(items: DataFrame, now: Column, item: str = "item") -> DataFrame:
     """Market objects (JSON text) as typed rows, with seconds to close and `empty_best_ask` in findings."""
-    get = lambda k: F.get_json_object(item, f"$.{k}")
+    prices, numbers = ("yes_bid", "yes_ask", "no_bid", "no_ask"), ("yes_ask_size", "no_ask_size", "volume", "volume_24h", "open_interest", "liquidity")
+    names = ["ticker", "event_ticker", "series_ticker", "status", "close_time", *prices, *(f"{k}_dollars" for k in prices), *numbers, "fractional_trading_enabled"]
+    read = items.select("*", F.json_tuple(item, *names).alias(*(f"__{k}" for k in names)))  # an object is parsed once
+    get = lambda k: _C(f"__{k}")
     price = lambda k: S.cents_price(get(k), get(f"{k}_dollars"))
     number = lambda k: S.finite(get(k).try_cast("double"))
-    out = items.select(*(c for c in items.columns if c != item), get("ticker").alias("ticker"), get("event_ticker").alias("event_ticker"), get("series_ticker").alias("series_ticker"), F.lower(get("status")).alias("status"), get("close_time").alias("close_time"), *(price(k).alias(k) for k in ("yes_bid", "yes_ask", "no_bid", "no_ask")), *(number(k).alias(k) for k in ("yes_ask_size", "no_ask_size", "volume", "volume_24h", "open_interest", "liquidity")), S.truthy(get("fractional_trading_enabled")).alias("fractional_trading_enabled"))
+    out = read.select(*(c for c in items.columns if c != item), get("ticker").alias("ticker"), get("event_ticker").alias("event_ticker"), get("series_ticker").alias("series_ticker"), F.lower(get("status")).alias("status"), get("close_time").alias("close_time"), *(price(k).alias(k) for k in prices), *(number(k).alias(k) for k in numbers), S.truthy(get("fractional_trading_enabled")).alias("fractional_trading_enabled"))
     none = ~(F.coalesce(_C("yes_ask") > 0, F.lit(False)) | F.coalesce(_C("no_ask") > 0, F.lit(False)))
     return out.withColumns({"seconds_to_close": (F.unix_micros(S.iso_timestamp(_C("close_time"))) - F.unix_micros(now)) / 1e6, "findings": F.array_compact(F.array(F.when(none, F.lit("empty_best_ask"))))})
 

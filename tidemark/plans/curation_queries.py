@@ -218,7 +218,8 @@ def quote_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _markets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """parts as market objects: bids and asks in cents or dollars, some without an ask."""
-    p = table(spark, sf_dir, "part")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a small file is one task's, and much is made of each of its rows
+    p = table(spark, sf_dir, "part").select("p_partkey").repartition(parts, "p_partkey")
     k = _C("p_partkey")
     item = F.to_json(F.struct(F.concat(F.lit("t"), k.cast("string")).alias("ticker"), F.concat(F.lit("s"), (k % 20).cast("string")).alias("series_ticker"), F.when(k % 4 == 0, "closed").otherwise("active").alias("status"), (k % 50 + 1).alias("yes_bid"), F.when(k % 9 != 0, k % 50 + 2).alias("yes_ask"), F.format_string("%.2f", (k % 80) / 100).alias("no_ask_dollars"), (k % 7).alias("yes_ask_size")))
     return quotes.market_candidates(p.select("p_partkey", item.alias("item")), F.lit("2026-01-01").cast("timestamp"))
