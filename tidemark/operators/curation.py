@@ -29,9 +29,12 @@ def promotion_actions(runs: DataFrame, quarantined: DataFrame, promoted: DataFra
 
 
 def promoted_rows(events: DataFrame, actions: DataFrame, checked_at: Column, tag: str, key: str = "run_path") -> DataFrame:
-    """Events of the runs to promote, with where they come from."""
+    """Events of the runs to promote, with where they come from.
+
+    A task holds its share of the runs, a row each; their events stream past and are not sorted.
+    """
     own = actions.where("action = 'promote'").select(key, *(c for c in ("replay_summary_path",) if c in actions.columns))
-    rows = events.join(own, key)
+    rows = events.join(own.hint("shuffle_hash"), key)
     return rows.withColumns({"source_run_path": _C(key), "promotion_checked_at": checked_at, "promotion_tag": F.lit(tag)})
 
 

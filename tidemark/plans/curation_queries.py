@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import curation, gates, health, quotes, verdicts
 from ..sources import scans, sinks
+from ..sources.tables import written
 from .inputs import RUNS, TRADES, order_runs, shared_folder, table, trades
 
 _C = F.col
@@ -141,7 +142,7 @@ def promotion_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs promoted in two batches, the first of which comes twice: rows and the index lines that make them count, behind one marker."""
     runs, root = order_runs(spark, sf_dir), shared_folder(spark)
     actions = curation.promotion_actions(runs, _quarantined(runs), _promoted(runs))
-    rows = curation.promoted_rows(table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "run_path"), actions, F.lit("2026-01-01").cast("date"), "tag")
+    rows = written(curation.promoted_rows(table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "run_path"), actions, F.lit("2026-01-01").cast("date"), "tag"))  # joined once for all batches
     for batch, part in (("1", "run_path % 2 = 0"), ("1", "run_path % 2 = 0"), ("2", "run_path % 2 = 1")):
         own = rows.where(part)
         curation.commit({"rows": own, "index": own.groupBy("run_path").agg(F.count("*").alias("promoted_rows"))}, root, batch)
