@@ -111,8 +111,11 @@ def venue_name(c: Column) -> Column:
 def content_hash(*fields: Column) -> Column:
     """SHA-256 of a compact JSON array of the fields, null as empty text."""
     out = F.to_json(F.array(*(F.coalesce(f.cast("string"), F.lit("")) for f in fields)))
-    for code in (0x0B, 0x0E, 0x0F, *range(0x1A, 0x20)):  # control escapes in small letters, as other JSON writers have them
-        out = F.regexp_replace(out, rf"(?<!\\)((?:\\\\)*)\\u{code:04X}", rf"$1\\u{code:04x}")
+    # Control escapes in small letters, as other JSON writers have them. Pairs of backslashes stand aside as a raw control, which JSON never holds.
+    low = F.replace(out, F.lit("\\\\"), F.lit("\x01"))
+    for code in (0x0B, 0x0E, 0x0F, *range(0x1A, 0x20)):
+        low = F.replace(low, F.lit(f"\\u{code:04X}"), F.lit(f"\\u{code:04x}"))
+    out = F.when(F.contains(out, F.lit("\\u00")), F.replace(low, F.lit("\x01"), F.lit("\\\\"))).otherwise(out)
     return F.sha2(out, 256)
 
 
