@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import book, gates
 from ..sources.sinks import split
+from ..sources.tables import discard, written
 from ..streaming import jobs
 from .inputs import CROSSED, TRADES, depth, shared_folder, table, trades
 from .market_queries import _GATE, _named
@@ -100,9 +101,10 @@ def streamed_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def streamed_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Crossed states of books that live in state, over a stream that is stopped half way."""
-    d = depth(spark, sf_dir)
+    d = written(depth(spark, sf_dir))  # once for the median and both parts
     half = d.agg(F.percentile_approx("ord", 0.5).alias("n")).first().n  # one number
     out = _in_two(spark, d, f"ord < {half}", lambda s: jobs.stateful_book(s, "run", "ord"))
+    discard(d)
     return book.crossed_counts(out, ["key"]).select(_C("key").cast("bigint").alias("run"), "crossed_book_count")
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 import heapq
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
@@ -331,63 +333,108 @@ def silence_timer(events: DataFrame, key: str, at: str = "received_at", seconds:
     return events.select(key, at).groupBy(key).transformWithStateInPandas(statefulProcessor=_silence(at, int(seconds * 1000)), outputStructType="key string, silent_since timestamp, by_timer boolean", outputMode="Append", timeMode="EventTime")
 
 
-def _book(order: str) -> StatefulProcessor:
+def _packed(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """A key's updates of an Arrow batch as one row of arrays: its key, orders, snapshots, and a side's number of levels an update, prices, sizes."""
+    flat = [_C(f"{side}s.{c}").cast("array<double>").alias(f"{side}_{c}") for side in ("bid", "ask") for c in ("price", "size")]
+    own = rows.select(key, _C(order).cast("bigint").alias("ord"), F.coalesce(_C("event_type") == "snapshot", F.lit(False)).alias("snapshot"), *flat)
+    sides = ", ".join(f"{s}_n array<bigint>, {s}_price array<double>, {s}_size array<double>" for s in ("bid", "ask"))
+    shape = StructType([StructField(key, rows.schema[key].dataType), *StructType.fromDDL(f"ord array<bigint>, snapshot array<boolean>, {sides}")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            code = batch.column(0).dictionary_encode(null_encoding="encode").indices.to_numpy()
+            place = np.argsort(code, kind="stable")
+            starts = np.flatnonzero(np.diff(code[place], prepend=-1))
+            batch = batch.take(pa.array(place))
+            ends = np.append(starts, len(place))
+            listed = lambda values, ends: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+            columns = [batch.column(0).take(pa.array(starts)), listed(batch.column(1), ends), listed(batch.column(2), ends)]
+            for c in (3, 5):
+                n = batch.column(c).value_lengths().fill_null(0).cast(pa.int64())
+                of = np.append(0, np.cumsum(n.to_numpy()))[ends]
+                columns += [listed(n, ends), *(listed(batch.column(c + i).flatten(), of) for i in (0, 1))]
+            yield pa.RecordBatch.from_arrays(columns, names=shape.names)
+
+    return own.mapInArrow(run, shape)
+
+
+def _book() -> StatefulProcessor:
     class Book(StatefulProcessor):
-        """A book's levels as state: a map a side from price to size; best prices after every event."""
+        """A book's levels as state: a list of what each batch changed, put anew as one entry when most of it is dead; so a batch
+        costs a book one read and one write of state, of changed levels only. Best prices after every event.
 
-        def __init__(self, order: str):
-            self.order = order
+        An entry has a side's prices, then their sizes (0: gone).
+        """
 
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self.sides = [handle.getMapState(s, "price double", "size double") for s in ("bids", "asks")]
+            self.changes = handle.getListState("changes", "bids array<double>, asks array<double>")
 
         def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
-            batch = pd.concat(list(rows)).sort_values(self.order, kind="stable")
-            books = [{k[0]: v[0] for k, v in s.iterator()} for s in self.sides]
-            heaps = [[-p for p in books[0]], list(books[1])]  # best first; dead prices go when they surface
-            for heap in heaps:
+            batch = pd.concat(list(rows))
+            column = lambda c: np.concatenate(batch[c].to_list())
+            at, snapshots = column("ord"), column("snapshot")
+            place = np.argsort(at, kind="stable")
+            snapshots = snapshots[place]
+            books: list[dict] = [{}, {}]
+            kept = 0  # levels that the state holds, dead ones too
+            for entry in self.changes.get():
+                for book, own in zip(books, entry, strict=True):
+                    book.update(zip(own[: len(own) // 2], own[len(own) // 2 :], strict=True))
+                    kept += len(own) // 2
+            books = [{p: s for p, s in book.items() if s != 0} for book in books]
+            changed, bests = [], []
+            for side, sign, book in zip(("bid", "ask"), (-1, 1), books, strict=True):
+                count = column(f"{side}_n").astype(int)
+                start, count = (np.cumsum(count) - count)[place], count[place]
+                touched = np.flatnonzero(snapshots | (count > 0))  # between these a side stays as it is
+                prices, sizes = column(f"{side}_price").tolist(), column(f"{side}_size").tolist()
+                heap = [sign * p for p in book]  # best first; dead prices go when they surface
                 heapq.heapify(heap)
-            before: list[dict] = [{}, {}]  # what changed levels were, null for none
-            out = []
-            for event, at, *levels in zip(batch["event_type"], batch[self.order], batch["bids"], batch["asks"], strict=True):
-                best = []
-                for sign, book, heap, old, own in zip((-1, 1), books, heaps, before, levels, strict=True):
-                    if event == "snapshot":
+                old: dict = {}  # what changed levels were, null for none
+                best = [sign * heap[0] if heap else None]
+                for snapshot, first, end in zip(snapshots[touched].tolist(), start[touched].tolist(), (start + count)[touched].tolist(), strict=True):
+                    if snapshot:
                         for price, size in book.items():
                             old.setdefault(price, size)
                         book.clear()
                         heap.clear()
-                    for x in own if own is not None else ():
-                        price = x["price"]
-                        old.setdefault(price, book.get(price))
-                        if x["size"] == 0 or (event == "snapshot" and x["size"] < 0):
+                    for n in range(first, end):
+                        price, size = prices[n], sizes[n]
+                        if price != price:  # none: no level
+                            continue
+                        known = book.get(price)
+                        old.setdefault(price, known)
+                        if size == 0 or (snapshot and not size > 0):
                             book.pop(price, None)
                             continue
-                        if price not in book:
+                        if known is None:
                             heapq.heappush(heap, sign * price)
-                        book[price] = x["size"]
+                        book[price] = size
                     while heap and sign * heap[0] not in book:
                         heapq.heappop(heap)
                     best.append(sign * heap[0] if heap else None)
-                out.append((str(key[0]), at, *best))
-            for state, book, old in zip(self.sides, books, before, strict=True):
-                for price, size in old.items():
-                    if price not in book and size is not None:
-                        state.removeKey((price,))
-                    elif price in book and book[price] != size:
-                        state.updateValue((price,), (book[price],))
-            yield pd.DataFrame(out, columns=["key", "ord", "best_bid", "best_ask"]).astype({"key": object, "best_bid": float, "best_ask": float})
+                changed.append({p: book.get(p, 0.0) for p, s in old.items() if book.get(p) != s})
+                bests.append(np.array(best, float)[np.searchsorted(touched, np.arange(len(place)), side="right")])
+            flat = lambda sides: tuple([*side, *side.values()] for side in sides)
+            n = sum(map(len, changed))
+            if kept + n > 2 * sum(map(len, books)):
+                self.changes.put([flat(books)])
+            elif n:
+                self.changes.appendValue(flat(changed))
+            yield pd.DataFrame({"key": str(key[0]), "ord": at[place], "best_bid": bests[0], "best_ask": bests[1]})
 
         def close(self) -> None:
             pass
 
-    return Book(order)
+    return Book()
 
 
 def stateful_book(updates: DataFrame, key: str, order: str) -> DataFrame:
-    """(key, ord, best_bid, best_ask) after every update of a stream: the book lives across micro-batches, a row of state a level."""
-    rows = updates.select(key, _C(order).cast("bigint").alias(order), "event_type", "bids", "asks")
-    return rows.groupBy(key).transformWithStateInPandas(statefulProcessor=_book(order), outputStructType="key string, ord bigint, best_bid double, best_ask double", outputMode="Append", timeMode="None")
+    """(key, ord, best_bid, best_ask) after every update of a stream: the book lives across micro-batches, its changed levels in one entry of
+    state a batch. A key's updates meet as a few rows of arrays, not a row each."""
+    return _packed(updates, key, order).groupBy(key).transformWithStateInPandas(statefulProcessor=_book(), outputStructType="key string, ord bigint, best_bid double, best_ask double", outputMode="Append", timeMode="None")
 
 
 def observed(events: DataFrame, name: str = "progress") -> DataFrame:
