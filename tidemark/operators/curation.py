@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,20 +12,26 @@ from .segments import first_rows
 _C = F.col
 
 
-def _in(index: DataFrame, key: str, name: str) -> DataFrame:
-    return index.select(key).where(_C(key).isNotNull()).distinct().withColumn(name, F.lit(True))
+def _marked(runs: DataFrame, key: str, indices: dict[str, DataFrame]) -> DataFrame:
+    """The runs, with a column an index that is true where the index has their key.
+
+    Indices are looked up together: a task holds a row for each key of its share that any of them has, and runs stream past unsorted.
+    """
+    own = [index.select(key, *(F.lit(True if n == name else None).cast("boolean").alias(n) for n in indices)) for name, index in indices.items()]
+    marks = reduce(DataFrame.union, own).where(_C(key).isNotNull()).groupBy(key).agg(*(F.max(n).alias(n) for n in indices))
+    return runs.join(marks.hint("shuffle_hash"), key, "left")
 
 
 def quarantine_actions(runs: DataFrame, quarantined: DataFrame, key: str = "run_path") -> DataFrame:
     """runs: key, replayable (null: no verdict) -> action: missing_replay, replayable, already_quarantined, quarantine."""
-    own = runs.join(_in(quarantined, key, "__q"), key, "left")
+    own = _marked(runs, key, {"__q": quarantined})
     action = F.when(_C("replayable").isNull(), "missing_replay").when(_C("replayable"), "replayable").when(_C("__q"), "already_quarantined").otherwise("quarantine")
     return own.withColumn("action", action).drop("__q")
 
 
 def promotion_actions(runs: DataFrame, quarantined: DataFrame, promoted: DataFrame, key: str = "run_path") -> DataFrame:
     """runs: key, replayable, has_events -> action, quarantine first of all that block: missing_replay, quarantined, unreplayable, already_promoted, missing_events, promote."""
-    own = runs.join(_in(quarantined, key, "__q"), key, "left").join(_in(promoted, key, "__p"), key, "left")
+    own = _marked(runs, key, {"__q": quarantined, "__p": promoted})
     action = F.when(_C("replayable").isNull(), "missing_replay").when(_C("__q"), "quarantined").when(~_C("replayable"), "unreplayable").when(_C("__p"), "already_promoted").when(~_C("has_events"), "missing_events").otherwise("promote")
     return own.withColumn("action", action).drop("__q", "__p")
 
