@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +56,32 @@ def test_phrases_equal_a_plain_count(spark, texts, monkeypatch, longest, top):
     assert got == {lang: own[:top] for lang, own in want.items()} and got
 
 
+def test_memory_of_phrases_is_by_the_block_and_the_bucket(spark, texts, monkeypatch):
+    for name, value in (("BLOCK", 2000), ("BUCKET", 50), ("BATCH", 1000)):
+        monkeypatch.setattr(collocations, name, value, raising=False)
+    monkeypatch.setattr(collocations, "LARGE_ROWS", {**getattr(collocations, "LARGE_ROWS", {}), "parquet.block.size": "100"}, raising=False)
+    key, written = "spark.sql.execution.arrow.maxBytesPerBatch", collocations.written
+    before, groups, batches, buckets, backs = spark.conf.get(key), [], [], [], []
+
+    def watched(frame, **options):
+        batches.append(spark.conf.get(key))
+        table = written(frame, **options)
+        if "phrase" in table.columns:
+            files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in table.inputFiles()]
+            groups.append([m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)])
+        elif "back" in table.columns:
+            buckets.append(table.where("id is not null").select(F.explode("id").alias("id")).select(F.shiftright("id", 40)).distinct().count())
+            backs.append(table.where("block is not null").count())
+        return table
+
+    monkeypatch.setattr(collocations, "written", watched)
+    found = collocations.collocations(texts.repartition(1)).count()
+    assert found == sum(map(len, plain_phrases([(r.lang, r.text) for r in texts.collect()]).values()))
+    assert len(groups) == len(buckets) == 3 and len(groups[0]) > 3 and max(map(max, groups)) == 1  # no two blocks are held together
+    assert min(buckets[0], backs[0]) > 4 == int(spark.conf.get("spark.sql.shuffle.partitions"))  # by the phrases told, whatever the session is set for
+    assert set(batches) == {"1000"} and spark.conf.get(key) == before
+
+
 def test_phrases_of_an_empty_table(spark, texts):
     assert collocations.collocations(texts.limit(0)).count() == 0
     assert collocations.collocations(texts.where("doc_id < 4")).count() == 0

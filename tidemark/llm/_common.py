@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +36,10 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The frame as a Parquet table in the shared folder: computed once, its lineage cut, safe when executors are lost."""
+def written(df: DataFrame, **options: str) -> DataFrame:
+    """The frame as a Parquet table in the shared folder: computed once, its lineage cut, safe when executors are lost. options: the writer's."""
     path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -52,6 +53,26 @@ def discard(*frames: DataFrame) -> None:
                 path.getFileSystem(hadoop).delete(path, True)
 
 
+#: Options of `written` for rows of megabytes: pages and row groups end by size after any row. By default both hold 100 rows at least, and
+#: writers, readers and codecs then hold all of a task's rows, in memory of the heap and beside it.
+LARGE_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1", "parquet.block.size": str(4 << 20), "parquet.enable.dictionary": "false"}
+
+
+@contextmanager
+def by_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """What is written meanwhile goes to Python in batches of about so many bytes (one row at least) instead of 64 MB. Its shuffle
+    files go when it is written, instead of when the driver happens to collect its garbage: nothing reads them again."""
+    held = {"spark.sql.execution.arrow.maxBytesPerBatch": str(size), "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    before = {key: spark.conf.get(key, None) for key in held}
+    try:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 _KINDS = {"bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "float": T.FloatType(), "boolean": T.BooleanType(), "string": T.StringType(), "binary": T.BinaryType()}
 
 

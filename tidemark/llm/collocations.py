@@ -11,6 +11,9 @@ phrases, however frequent, are dealt evenly: by a hash of the phrase to buckets,
 semi-join goes the same way back: a bucket tells each block which of its phrases are frequent, and their numbers. In a
 block the join is a merge of neighbours. Occurrences are shuffled once a length, packed; texts never.
 
+Memory is by the block and the bucket, whatever the tables' size: rows reach Python a few at a time, are written in row groups of their
+own size, and buckets are as many as the phrases told ask for. A block meets what buckets tell it in a sorted stream.
+
 Words are told apart by 128 bits of two fingerprints and their language, longer phrases exactly, by the numbers of their two parts.
 
 Scores are made of decimals of 38 digits: exact as long as an n-gram occurs less than 10^15 times.
@@ -31,12 +34,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.segments import first_rows
-from ._common import LOWER_ASCII, discard, encode, give_back, packed, parallelism, shape, slices, unpacked, written
+from ._common import LARGE_ROWS, LOWER_ASCII, by_batches, discard, encode, give_back, packed, parallelism, shape, slices, unpacked, written
 from .hashing import mix, prints
 
 _U = np.uint64
 #: Bytes of text in a block.
 BLOCK = 5 << 20
+#: Phrases told to a bucket, on average at most.
+BUCKET = 1 << 20
+#: Bytes of an Arrow batch on its way to Python.
+BATCH = 2 << 20
 #: 2: ends a piece, 1: ends a word.
 _KIND = np.zeros(256, np.int8)
 _KIND[list(b" \t")] = 1
@@ -47,7 +54,7 @@ _TOLD, _BACK = (_U, _U, np.uint32, np.uint32), (np.uint32, np.int64)
 _SHIFT = 40
 
 
-_RELATION = shape(("block", "binary"), ("lang", "string"), ("n", "bigint"), ("step", "binary"), ("phrase", "binary"), ("own", "binary"), ("spelt", "array<string>"))
+_RELATION = shape(("block", "binary"), ("lang", "string"), ("n", "bigint"), ("distinct", "bigint"), ("step", "binary"), ("phrase", "binary"), ("own", "binary"), ("spelt", "array<string>"))
 
 
 def _relation(block: bytes, lang: str, step: np.ndarray, phrase: np.ndarray, a: np.ndarray, b: np.ndarray, count: np.ndarray, spelt: list[bytes] | None = None) -> pa.RecordBatch:
@@ -57,8 +64,8 @@ def _relation(block: bytes, lang: str, step: np.ndarray, phrase: np.ndarray, a:
     number[order] = np.arange(len(order), dtype=np.uint32)
     own = packed(a[order], b[order], count[order].astype(np.uint32))
     words = None if spelt is None else [spelt[i].decode("utf-8", "replace") for i in order.tolist()]
-    columns = [[block], [lang], [len(step)], [packed(step)], [packed(number[phrase])], [own], [words]]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.binary(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.string())), strict=True)], names=_RELATION.names)
+    columns = [[block], [lang], [len(step)], [len(order)], [packed(step)], [packed(number[phrase])], [own], [words]]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.binary(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.string())), strict=True)], names=_RELATION.names)
 
 
 def _words(lang: str, texts: list[bytes]) -> pa.RecordBatch | None:
@@ -116,7 +123,7 @@ _COUNTED = shape(("block", "binary"), ("back", "binary"), ("id", "array<bigint>"
 def counted(relation: DataFrame, least: int) -> DataFrame:
     """Group-count of a relation, a bucket of phrases at a time: rows for blocks (back: which of their phrases are frequent, and their
     numbers), and rows for the bucket's frequent phrases of a language (id, a and b, f; of words, what is spelt)."""
-    buckets = parallelism(relation.sparkSession)
+    buckets = max(parallelism(relation.sparkSession), -(-(relation.agg(F.sum("distinct")).first()[0] or 0) // BUCKET))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1):
@@ -133,9 +140,13 @@ def counted(relation: DataFrame, least: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in made], pa.int64()), pa.array([row["block"]] * n, pa.binary()), pa.array([row["lang"]] * n, pa.string()), pa.array(told, pa.binary()), pa.array(words, pa.list_(pa.string()))], names=["bucket", "block", "lang", "told", "spelt"])
 
     def count(table: pa.Table) -> pa.Table:
-        parts = [unpacked(x, *_TOLD) for x in table.column("told").to_pylist()]
-        sizes = [len(p[0]) for p in parts]
-        a, b, n, own = (np.concatenate(c) for c in zip(*parts, strict=True))
+        told = table.column("told")
+        sizes = [len(x.as_buffer()) // sum(np.dtype(k).itemsize for k in _TOLD) for x in told]
+        ends = np.cumsum(sizes)
+        a, b, n, own = columns = [np.empty(ends[-1], k) for k in _TOLD]
+        for x, hi, size in zip(told, ends.tolist(), sizes, strict=True):
+            for column, part in zip(columns, unpacked(x.as_buffer(), *_TOLD), strict=True):
+                column[hi - size : hi] = part
         order = np.lexsort((b, a))
         new = np.append(True, (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0))
         first = np.flatnonzero(new)
@@ -146,7 +157,6 @@ def counted(relation: DataFrame, least: int) -> DataFrame:
         id_of[often] = (bucket << _SHIFT) + np.arange(len(often))
         mine = np.empty(len(order), np.int64)
         mine[order] = id_of[np.cumsum(new) - 1]
-        ends = np.cumsum(sizes)
         backs, blocks = [], []
         for block, hi, size in zip(table.column("block").to_pylist(), ends.tolist(), sizes, strict=True):
             kept = mine[hi - size : hi]
@@ -165,7 +175,7 @@ def counted(relation: DataFrame, least: int) -> DataFrame:
         for lang in sorted(set(langs)):
             s = np.flatnonzero(langs == lang)
             rows.append((None, None, id_of[often[s]], a[at[s]].view(np.int64), b[at[s]].view(np.int64), total[often[s]], lang, None if words is None else words[s].tolist()))
-        del a, b, n, own, order, mine, parts
+        del a, b, n, own, order, mine, columns, column, part
         give_back()
         kinds = (pa.binary(), pa.binary(), *[pa.list_(pa.int64())] * 4, pa.string(), pa.list_(pa.string()))
         return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * len(kinds), kinds, strict=True)], names=_COUNTED.names)
@@ -177,48 +187,61 @@ def counted(relation: DataFrame, least: int) -> DataFrame:
 
 def longer(relation: DataFrame, told: DataFrame) -> DataFrame:
     """The relation semi-joined with its frequent phrases, and joined with itself by piece and adjacent position."""
-    backs = told.where("block is not null").groupBy("block").agg(F.collect_list("back").alias("backs"))
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        backs, of = [], None
         for part in slices(batches, 1):
-            for block, lang, step, phrase, backs in zip(*(part.column(c) for c in range(5)), strict=True):
-                (step,), (phrase,) = unpacked(step.as_py(), np.uint8), unpacked(phrase.as_py(), np.uint32)
-                own, ids = (np.concatenate(c) for c in zip(*(unpacked(x, *_BACK) for x in backs.as_py()), strict=True))
-                number = np.full(int(phrase.max()) + 1, -1, np.int64)
-                number[own] = np.arange(len(own))
-                at, kept = np.cumsum(step.astype(np.int64)), number[phrase]
-                often = np.flatnonzero(kept >= 0)
-                at, kept = at[often], kept[often]
-                next_ = np.flatnonzero(np.diff(at) == 1)
-                if not len(next_):
-                    continue
-                pair = (kept[next_].astype(_U) << _U(32)) | kept[next_ + 1].astype(_U)
-                distinct, place, count = np.unique(pair, return_inverse=True, return_counts=True)
-                a, b = ids[(distinct >> _U(32)).astype(np.int64)], ids[(distinct & _U(0xFFFFFFFF)).astype(np.int64)]
-                step = np.append(2, np.where(np.diff(at[next_]) == 1, 1, 2)).astype(np.uint8)
-                yield _relation(block.as_py(), lang.as_py(), step, place, a.view(_U), b.view(_U), count)
-
-    joined = relation.select("block", "lang", "step", "phrase").join(backs, "block")
-    return joined.mapInArrow(extend, _RELATION)
+            block, back, lang, step, phrase = (part.column(c)[0].as_py() for c in range(5))
+            if block != of:
+                backs, of = [], block
+            if back is not None:
+                backs.append(back)
+                continue
+            if not backs:
+                continue
+            (step,), (phrase,) = unpacked(step, np.uint8), unpacked(phrase, np.uint32)
+            own, ids = (np.concatenate(c) for c in zip(*(unpacked(x, *_BACK) for x in backs), strict=True))
+            number = np.full(int(phrase.max()) + 1, -1, np.int64)
+            number[own] = np.arange(len(own))
+            at, kept = np.cumsum(step.astype(np.int64)), number[phrase]
+            often = np.flatnonzero(kept >= 0)
+            at, kept = at[often], kept[often]
+            next_ = np.flatnonzero(np.diff(at) == 1)
+            if not len(next_):
+                continue
+            pair = (kept[next_].astype(_U) << _U(32)) | kept[next_ + 1].astype(_U)
+            distinct, place, count = np.unique(pair, return_inverse=True, return_counts=True)
+            a, b = ids[(distinct >> _U(32)).astype(np.int64)], ids[(distinct & _U(0xFFFFFFFF)).astype(np.int64)]
+            step = np.append(2, np.where(np.diff(at[next_]) == 1, 1, 2)).astype(np.uint8)
+            yield _relation(block, lang, step, place, a.view(_U), b.view(_U), count)
+
+    backs = told.where("block is not null").select("block", "back", *(F.lit(None).cast(k).alias(c) for c, k in (("lang", "string"), ("step", "binary"), ("phrase", "binary"))))
+    rows = backs.unionByName(relation.select("block", F.lit(None).cast("binary").alias("back"), "lang", "step", "phrase"))
+    return rows.repartition("block").sortWithinPartitions("block", F.col("lang").asc_nulls_first()).mapInArrow(extend, _RELATION)  # what it is told, then the block
 
 
 def phrases(docs: DataFrame, longest: int = 3, least: int = 10, text: str = "text", lang: str = "lang") -> tuple[DataFrame, DataFrame]:
     """(lang, words, f) of all phrases of up to `longest` words that occur at least `least` times; (lang, n) of all words."""
-    relation = written(occurrences(docs, text, lang))
-    totals = written(relation.groupBy("lang").agg(F.sum("n").alias("n")))
+
+    def stored(frame: DataFrame, **options: str) -> DataFrame:
+        with by_batches(frame.sparkSession, BATCH):
+            return written(frame, **options)
+
+    relation = stored(occurrences(docs, text, lang), **LARGE_ROWS)
+    totals = stored(relation.groupBy("lang").agg(F.sum("n").alias("n")))
     out = before = None
     for k in range(1, longest + 1):
-        told = written(counted(relation, least))
+        told = stored(counted(relation, least), **LARGE_ROWS)
         flat = told.where("id is not null").select("lang", F.explode(F.arrays_zip("id", "a", "b", "f", *(["spelt"] if k == 1 else []))).alias("x")).select("lang", "x.*")
         if k == 1:
             own = flat.select("lang", "id", F.array("spelt").alias("words"), "f")
         else:
             left, right = before.select(F.col("id").alias("a"), "words"), before.select(F.col("id").alias("b"), F.element_at("words", -1).alias("last"))
             own = flat.join(left, "a").join(right, "b").select("lang", "id", F.concat("words", F.array("last")).alias("words"), "f")
-        before = written(own)
+        before = stored(own)
         out = before if out is None else out.unionByName(before)
         if k < longest:
-            again = written(longer(relation, told))
+            again = stored(longer(relation, told), **LARGE_ROWS)
             discard(relation, told)
             relation = again
         else:
